@@ -56,6 +56,7 @@ from treeferry.sources.manifests import (  # noqa: E402
     source_manifest,
     to_destination_manifest,
     to_source_manifest,
+    with_dependencies,
 )
 
 __all__ = [
@@ -94,4 +95,5 @@ __all__ = [
     "uri_is_child",
     "verify_lengths",
     "walk_tree",
+    "with_dependencies",
 ]

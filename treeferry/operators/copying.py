@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -236,39 +237,39 @@ def _in_ranges(files: DataFrame, range_bytes: int, run: str) -> DataFrame:
     )
 
 
-def execute_copy(
-    files: DataFrame,
-    bytes_per_task: int,
-    *,
-    rows: int | None = None,
-    num_tasks: int | None = None,
-    range_bytes: int = RANGE_BYTES,
-    buffer_bytes: int = BUFFER_BYTES,
-) -> DataFrame:
-    """Copy the files of a plan (``source, destination, file_type, len, action``) and
-    report on each. Their directories have to exist.
+@dataclass(frozen=True)
+class Batches:
+    """Written copy work: rows with ``partition, batch``, and whether any is a range."""
 
-    Work is cut into batches of about ``bytes_per_task`` and each batch is a task, so
-    neither many small files nor a few large ones end up together. Files above
-    ``range_bytes`` are cut into ranges, which several tasks write. With ``num_tasks``
-    the batches are dealt to that many tasks. ``rows`` is the number of files, if known.
-    """
-    spark, run, has_ranges = files.sparkSession, uuid.uuid4().hex, Observation()
-    parts = _in_ranges(files.select("source", "destination", "file_type", "len", "action"), range_bytes, run)
-    balanced = balance_by_bytes(
-        parts,
-        bytes_per_task,
-        rows=rows,
-        cost=F.col("len") + FILE_COST_BYTES,
-        order=("destination", "range_start"),
-    )
-    batches = written(
-        balanced.observe(has_ranges, F.count("range_start").alias("ranges")), "batches"
+    rows: DataFrame
+    has_ranges: bool
+
+
+def plan_batches(
+    files: DataFrame, bytes_per_task: int, rows: int | None = None, range_bytes: int = RANGE_BYTES
+) -> Batches:
+    """Cut the files of a plan (``source, destination, file_type, len, action``) into
+    batches of about ``bytes_per_task``, so that neither many small files nor a few
+    large ones end up together. Files above ``range_bytes`` are cut into ranges first.
+    ``rows`` is the number of files, if known."""
+    seen = Observation()
+    parts = _in_ranges(
+        files.select("source", "destination", "file_type", "len", "action"), range_bytes, uuid.uuid4().hex
     )
-    routed, _ = spread_over_tasks(batches, num_tasks)
+    cost = F.col("len") + FILE_COST_BYTES
+    balanced = balance_by_bytes(parts, bytes_per_task, rows, cost, order=("destination", "range_start"))
+    batches = written(balanced.observe(seen, F.count("range_start").alias("ranges")), "batches")
+    return Batches(batches, seen.get["ranges"] > 0)
+
+
+def copy_batches(batches: Batches, num_tasks: int | None = None, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+    """Copy written batches, one task each, and report on every file. With ``num_tasks``
+    the batches are dealt to that many tasks."""
+    spark = batches.rows.sparkSession
+    routed, _ = spread_over_tasks(batches.rows, num_tasks)
     stage = _run_once(routed, _copy_part(buffer_bytes), new_folder(spark, "copy-stage"), STAGE_SCHEMA)
     columns = StructType.fromDDL(REPORT_SCHEMA).names
-    if not has_ranges.get["ranges"]:
+    if not batches.has_ranges:
         return stage.select(columns)
 
     cut_files = stage.where(F.col("file_len").isNotNull()).groupBy(
@@ -277,3 +278,17 @@ def execute_copy(
     to_finish = cut_files.agg(F.sum("bytes").alias("bytes"), F.max("error").alias("range_error"))
     finished = _run_once(to_finish, _finish_ranges, new_folder(spark, "ranges-report"), REPORT_SCHEMA)
     return stage.where(F.col("file_len").isNull()).select(columns).unionByName(finished)
+
+
+def execute_copy(
+    files: DataFrame,
+    bytes_per_task: int,
+    *,
+    rows: int | None = None,
+    num_tasks: int | None = None,
+    range_bytes: int = RANGE_BYTES,
+    buffer_bytes: int = BUFFER_BYTES,
+) -> DataFrame:
+    """Copy the files of a plan and report on each. Their directories have to exist."""
+    batches = plan_batches(files, bytes_per_task, rows, range_bytes)
+    return copy_batches(batches, num_tasks, buffer_bytes)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from treeferry.functions.paths import (
     DIRECTORY,
     ancestor_dependencies,
-    dependent_copies,
     is_directory,
     map_destination,
     parent_of,
@@ -41,16 +40,13 @@ def compare_manifests(source: DataFrame, destination: DataFrame) -> DataFrame:
     )
 
 
-def copy_plan(
-    source: DataFrame, destination: DataFrame, source_root: str, destination_root: str
-) -> DataFrame:
+def copy_plan(source: DataFrame, destination: DataFrame) -> DataFrame:
     """What to do for every source entry: ``source, destination, len, file_type,
-    dest_len, action, dependent_folders``.
+    dest_len, action``.
 
     Every source entry stays: an existing file is replaced whatever its length, and
     nothing at the destination is removed. Catalyst turns the full outer comparison
-    and the filter into a left outer join. The dependency arrays are made from the
-    source URI after the join and so are never shuffled.
+    and the filter into a left outer join.
     """
     kept = compare_manifests(source, destination).where(F.col("source").isNotNull())
     present = F.col("status") == "both"
@@ -63,14 +59,11 @@ def copy_plan(
         F.when(is_directory(), F.when(present, "keep").otherwise("create"))
         .otherwise(F.when(present, "replace").otherwise("copy"))
         .alias("action"),
-        dependent_copies(
-            ancestor_dependencies("source", source_root), source_root, destination_root
-        ).alias("dependent_folders"),
     )
 
 
 def expand_copies(plan: DataFrame) -> DataFrame:
-    """Each row's directory copies, root first, and then the row itself: ``source,
+    """Each row's ``dependent_folders``, root first, and then the row itself: ``source,
     destination, file_type, len, position``."""
     folders = F.transform(
         "dependent_folders",

@@ -12,13 +12,15 @@ from treeferry.operators.copying import (
     BUFFER_BYTES,
     FILE_COST_BYTES,
     RANGE_BYTES,
+    Batches,
     CopyFailed,
+    copy_batches,
     create_directories,
-    execute_copy,
+    plan_batches,
 )
 from treeferry.operators.planning import copy_plan, directories_of
-from treeferry.session import qualified
-from treeferry.sources.listing import TreeListing, walk_tree
+from treeferry.session import qualified, side_by_side
+from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
 from treeferry.storage import Stores, split_parent
 
@@ -52,33 +54,38 @@ def copy_tree(
     """
     if on_error not in ("collect", "fail"):
         raise ValueError("on_error must be 'collect' or 'fail'")
-    source_root, destination_root = qualified(spark, source), qualified(spark, destination)
+    source_root, destination_root = qualified(spark, source, destination)
     _check_roots(spark, source_root, destination_root)
     if create_destination:
         _make_root(destination_root)
 
-    listing = walk_tree(spark, source_root, listing_tasks)
-    present = walk_tree(spark, destination_root, listing_tasks)
+    listing, present = side_by_side(
+        spark,
+        lambda: walk_root(spark, source_root, listing_tasks),
+        lambda: walk_root(spark, destination_root, listing_tasks),
+    )
     entries = exclude_paths(listing.entries, exclude)
     manifest = to_source_manifest(entries, source_root, destination_root)
 
-    totals = entries.where(is_file()).agg(F.count("*").alias("files"), F.sum("len").alias("bytes")).first()
-    made = create_directories(directories_of(manifest, source_root, destination_root))
+    def planned() -> Batches | None:
+        total = entries.where(is_file()).agg(F.count("*").alias("files"), F.sum("len").alias("bytes")).first()
+        if not total["files"]:
+            return None
+        weight = total["bytes"] + total["files"] * FILE_COST_BYTES
+        share = bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism)
+        plan = copy_plan(manifest, to_destination_manifest(present.entries))
+        return plan_batches(plan.where(is_file()), share, total["files"], range_bytes)
+
+    made, batches = side_by_side(
+        spark,
+        lambda: create_directories(directories_of(manifest, source_root, destination_root)),
+        planned,
+    )
     report = made.unionByName(_listing_failures(listing, source_root, destination_root)).unionByName(
         _destination_failures(present)
     )
-    if totals["files"]:
-        weight = totals["bytes"] + totals["files"] * FILE_COST_BYTES
-        plan = copy_plan(manifest, to_destination_manifest(present.entries), source_root, destination_root)
-        copied = execute_copy(
-            plan.where(is_file()),
-            bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism),
-            rows=totals["files"],
-            num_tasks=num_tasks,
-            range_bytes=range_bytes,
-            buffer_bytes=buffer_bytes,
-        )
-        report = report.unionByName(copied)
+    if batches:
+        report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes))
 
     if on_error == "fail":
         failed = report.where(F.col("outcome") == "failed")
@@ -97,13 +104,11 @@ def bytes_per_task(weight: int, num_tasks: int | None, cores: int) -> int:
 
 
 def _check_roots(spark: SparkSession, source_root: str, destination_root: str) -> None:
-    stores = Stores()
-    one = spark.sql("SELECT 1 AS one")
-    target = one.select(map_destination(F.lit(source_root), source_root, destination_root)).first()[0]
-    if source_root in (destination_root, target):
+    folder = source_root.rpartition("/")[0]
+    if source_root == destination_root or folder == destination_root.removesuffix("/"):
         raise ValueError(f"{source_root} would be copied onto itself")
     speculating = spark.conf.get("spark.speculation", "false") == "true"
-    if speculating and not stores.at(destination_root)[0].replaces_atomically:
+    if speculating and not Stores().at(destination_root)[0].replaces_atomically:
         raise ValueError("set spark.speculation=false: two attempts at one file could remove each other's copy")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +19,16 @@ def default_filesystem(spark: SparkSession) -> tuple[str, str]:
     return filesystem.getUri().toString(), filesystem.getWorkingDirectory().toUri().getPath()
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """One path in the spelling that all tables use."""
+def qualified(spark: SparkSession, *paths: str) -> list[str]:
+    """Paths in the spelling that all tables use."""
     default_fs, working_dir = default_filesystem(spark)
-    one = spark.sql("SELECT 1 AS one")
-    return one.select(qualify_path(F.lit(path), default_fs, working_dir).alias("uri")).first()["uri"]
+    columns = [qualify_path(F.lit(path), default_fs, working_dir) for path in paths]
+    return list(spark.range(0, 1, 1, 1).select(columns).first())
+
+
+def side_by_side(spark: SparkSession, *steps: Callable) -> list:
+    """Run steps that do not depend on each other at once; their results in order.
+    Each step's jobs share the cluster, so one step's last tasks leave no idle cores."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [step.result() for step in running]

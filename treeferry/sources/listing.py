@@ -125,7 +125,11 @@ def walk_tree(spark: SparkSession, uri: str, num_tasks: int | None = None) -> Tr
     spreads the open directories evenly over its tasks. ``num_tasks`` is the least
     number of tasks for a round that has as many directories.
     """
-    root = qualified(spark, uri)
+    return walk_root(spark, qualified(spark, uri)[0], num_tasks)
+
+
+def walk_root(spark: SparkSession, root: str, num_tasks: int | None = None) -> TreeListing:
+    """``walk_tree`` for a root that is spelled as in the tables."""
     store, path = Stores().at(root)
     found = store.status(path)
     if found is None:
