@@ -7,7 +7,7 @@ plain strings in the same spelling.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ EXCLUDE_PATTERNS = (
     r".*/_SUCCESS.*",
 )
 
-_SCHEME = r"^([^/:]+):"
-_AUTHORITY = r"^//([^/]*)"
+# Scheme, authority and path of a URI; the first two may be missing.
+_URI = r"(?s)^(?:([^/:]+):)?(?://(?=.)([^/]*))?(.*)$"
 _NEEDS_NORMALISING = r"//|(^|/)\.{1,2}(/|$)"
 
 
@@ -38,14 +38,14 @@ def _after(text: Column, characters: Column | int) -> Column:
     return F.substr(text, start)
 
 
-def _parts(uri: Column) -> tuple[Column, Column, Column, Column]:
-    """Scheme ('' if none), whether ``//`` follows it, authority, and the rest."""
-    scheme = F.regexp_extract(uri, _SCHEME, 1)
-    rest = F.when(scheme == "", uri).otherwise(_after(uri, F.length(scheme) + 1))
-    has_authority = rest.rlike(r"^//.")
-    authority = F.when(has_authority, F.regexp_extract(rest, _AUTHORITY, 1)).otherwise(F.lit(""))
-    path = F.when(has_authority, _after(rest, F.length(authority) + 2)).otherwise(rest)
-    return scheme, has_authority, authority, path
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(uri: Column) -> tuple[Column, Column, Column]:
+    """Scheme, authority and path; '' where one is missing."""
+    return tuple(F.regexp_extract(uri, _URI, group) for group in (1, 2, 3))
 
 
 def _normal_path(path: Column) -> Column:
@@ -57,11 +57,17 @@ def _normal_path(path: Column) -> Column:
             F.slice(kept, 1, F.size(kept) - 1)
         )
 
-    segments = F.filter(F.split(path, "/"), lambda part: (part != "") & (part != "."))
-    folded = F.aggregate(segments, F.array().cast("array<string>"), keep)
-    return F.when(
-        path.rlike(_NEEDS_NORMALISING), F.concat(F.lit("/"), F.array_join(folded, "/"))
-    ).otherwise(F.when(path == "/", path).otherwise(F.regexp_replace(path, "/$", "")))
+    def folded(path: Column) -> Column:
+        segments = F.filter(F.split(path, "/"), lambda part: (part != "") & (part != "."))
+        kept = F.aggregate(segments, F.array().cast("array<string>"), keep)
+        return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+    return _bind(
+        path,
+        lambda path: F.when(path.rlike(_NEEDS_NORMALISING), folded(path))
+        .when(path == "/", path)
+        .otherwise(F.regexp_replace(path, "/$", "")),
+    )
 
 
 def _raise(message: Column) -> Column:
@@ -78,15 +84,15 @@ def qualify_path(path: Column | str, default_fs: str, working_dir: str) -> Colum
     default_scheme, _, rest = default_fs.partition("://")
     default_authority = rest.partition("/")[0]
 
-    scheme, has_authority, authority, tail = _parts(path)
+    scheme, authority, tail = _parts(path)
     full_scheme = F.when(scheme == "", F.lit(default_scheme)).otherwise(scheme)
     full_authority = F.when(
-        (authority == "") & (full_scheme == default_scheme), F.lit(default_authority)
+        (authority == "") & ((scheme == "") | (scheme == default_scheme)), F.lit(default_authority)
     ).otherwise(authority)
     absolute = (
         F.when(tail.startswith("/"), tail)
-        .when((tail == "") & has_authority, F.lit("/"))
-        .when(tail == "", _raise(F.lit("a path must not be empty")))
+        .when((tail == "") & (authority != ""), F.lit("/"))
+        .when(tail == "", _raise(F.concat(F.lit("no path: "), path)))
         .when(scheme == "", F.concat(F.lit(working_dir + "/"), tail))
         .otherwise(_raise(F.concat(F.lit("relative path after a scheme: "), path)))
     )
@@ -133,24 +139,23 @@ def uri_is_child(parent: Column | str, child: Column | str) -> Column:
     """Whether ``child`` is ``parent`` or lies below it, by whole path segments and
     within one scheme and authority. Both need a scheme and an absolute path."""
     parent, child = _column(parent), _column(child)
-    p_scheme, _, p_authority, p_path = _parts(parent)
-    c_scheme, _, c_authority, c_path = _parts(child)
-    p_normal, c_normal = _normal_path(p_path), _normal_path(c_path)
-    only_parent_ends_in_slash = p_path.endswith("/") & ~c_path.endswith("/") & (p_normal != "/")
-    prefix = F.when(p_normal == "/", p_normal).otherwise(F.concat(p_normal, F.lit("/")))
-    inside = ((p_normal == c_normal) & ~only_parent_ends_in_slash) | c_normal.startswith(prefix)
-    both = F.concat_ws(" and ", parent, child)
-    return (
-        F.when(
-            (p_scheme == "") | (c_scheme == ""),
-            F.raise_error(F.concat(F.lit("no scheme: "), both)).cast("boolean"),
-        )
-        .when(
-            ~p_path.startswith("/") | ~c_path.startswith("/"),
-            F.raise_error(F.concat(F.lit("no absolute path: "), both)).cast("boolean"),
+
+    def spelled(uri: Column) -> Column:
+        scheme, authority, path = _parts(uri)
+        return (
+            F.when(scheme == "", _raise(F.concat(F.lit("no scheme: "), uri)))
+            .when(~path.startswith("/"), _raise(F.concat(F.lit("no absolute path: "), uri)))
+            .otherwise(F.concat(F.lower(scheme), F.lit("://"), authority, _normal_path(path)))
         )
-        .otherwise((F.lower(p_scheme) == F.lower(c_scheme)) & (p_authority == c_authority) & inside)
-    )
+
+    def inside(uris: Column) -> Column:
+        outer, inner = uris["parent"], uris["child"]
+        prefix = F.when(outer.endswith("/"), outer).otherwise(F.concat(outer, F.lit("/")))
+        # "a/" contains what is below a, but not a itself.
+        below_only = parent.endswith("/") & ~child.endswith("/") & ~outer.endswith("/")
+        return inner.startswith(prefix) | ((inner == outer) & ~below_only)
+
+    return _bind(F.struct(spelled(parent).alias("parent"), spelled(child).alias("child")), inside)
 
 
 def classify_file_type(

@@ -68,6 +68,7 @@ def balance_by_bytes(
     rows: int | None = None,
     cost: Column | None = None,
     order: tuple[str, ...] = ("destination",),
+    least_buckets: int = 1,
 ) -> DataFrame:
     """Add ``partition, batch`` so that each batch holds about ``bytes_per_task``.
 
@@ -77,7 +78,7 @@ def balance_by_bytes(
     its share by less than its last row. ``cost`` (default ``len``) is a row's weight.
     """
     rows = copies.count() if rows is None else rows
-    buckets = max(1, -(-rows // ROWS_PER_BUCKET))
+    buckets = max(least_buckets, -(-rows // ROWS_PER_BUCKET))
     weight = F.col("len") if cost is None else cost
     ordered = Window.partitionBy("partition").orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
