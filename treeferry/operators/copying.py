@@ -92,11 +92,24 @@ def _make_directory(stores: Stores, attempt: int, row: dict) -> dict:
     return {"outcome": "dir_created"}
 
 
+def _level_groups(levels: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Levels (depth, directories) that run as one job: a large one alone, small ones
+    together while one task can do them."""
+    groups: list[list[tuple[int, int]]] = []
+    for level in levels:
+        if groups and sum(count for _, count in groups[-1]) + level[1] <= CALLS_PER_TASK:
+            groups[-1].append(level)
+        else:
+            groups.append([level])
+    return groups
+
+
 def create_directories(directories: DataFrame) -> DataFrame:
     """Create the directories of ``source, destination``, parents before children, and
     report on each. A directory whose parent is missing fails.
 
-    One job per depth, over that depth's directories only; the depths are few.
+    One job per depth, over that depth's directories only; depths with few directories
+    share a job of one task that goes through them in order.
     """
     spark = directories.sparkSession
     todo = written(
@@ -107,9 +120,11 @@ def create_directories(directories: DataFrame) -> DataFrame:
     )
     levels = todo.groupBy("depth").count().orderBy("depth").collect()
     report = new_folder(spark, "directories-report")
-    for depth, count in levels:
-        level = todo.where(F.col("depth") == depth).repartition(-(-count // CALLS_PER_TASK))
-        _run_once(level, _make_directory, f"{report}/depth={depth}", REPORT_SCHEMA)
+    for group in _level_groups([tuple(level) for level in levels]):
+        first, last = group[0][0], group[-1][0]
+        tasks = -(-sum(count for _, count in group) // CALLS_PER_TASK)
+        some = todo.where(F.col("depth").between(first, last)).repartition(tasks)
+        _run_once(some.sortWithinPartitions("depth"), _make_directory, f"{report}/depth={first}", REPORT_SCHEMA)
     return read_table(spark, report, REPORT_SCHEMA) if levels else spark.createDataFrame([], REPORT_SCHEMA)
 
 
