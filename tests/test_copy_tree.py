@@ -211,9 +211,8 @@ def test_finished_ranges_may_be_finished_again(tmp_path):
         "destination": f"file://{tmp_path}/f", "temp_path": f"file://{tmp_path}/.temp",
         "range_error": None, "bytes": 3, "file_len": 3, "action": "copy",
     }
-    stores = copying.Stores()
     for _ in range(2):
-        assert copying._finish_ranges(stores, 1, row)["outcome"] == "copied"
+        assert copying._finish_ranges(copying.Task(1), row)["outcome"] == "copied"
     assert os.listdir(tmp_path) == ["f"] and (tmp_path / "f").read_bytes() == b"abc"
 
 
@@ -225,6 +224,41 @@ def test_leftover_temporary_files_do_not_matter(spark, roots):
     assert (target / "data" / "f").read_bytes() == b"new"
 
 
+@pytest.mark.parametrize("retried", [False, True])
+def test_a_repeated_task_removes_what_its_lost_attempt_left(roots, retried):
+    source, target = roots
+    fill(source, {"f": b"new"})
+    fill(target, {".treeferry.7.f": b"mine", ".treeferry.8.g": b"another task's", "f": b"old"})
+    row = {
+        "source": f"file://{source}/f", "destination": f"file://{target}/f", "file_type": "file",
+        "len": 3, "range_start": None,
+    }
+    result = copying._copy_part(4096)(copying.Task(9, retried), row)
+    assert result["outcome"] == "replaced" and (target / "f").read_bytes() == b"new"
+    left = {".treeferry.8.g", "f"} | (set() if retried else {".treeferry.7.f"})
+    assert set(os.listdir(target)) == left
+
+
+def test_repeats_in_a_plan_are_copied_once(spark, roots):
+    source, target = roots
+    fill(source, {"f": b"x", "g": b"y"})
+    plan = plan_of(spark, source, target, {"f": 1, "g": 1})
+    many = plan.join(spark.range(300).where("id > 0"), F.col("source").endswith("f") | (F.col("id") == 1))
+    assert outcomes(tf.execute_copy(many.drop("id"), 1 << 20)) == {"copied": 2}
+
+
+def test_only_the_roots_own_place_is_listed(spark, roots, monkeypatch):
+    from treeferry.plans import copy_tree as job
+
+    source, target = roots
+    fill(source, {"f": b"x"})
+    fill(target, {"unrelated/f": b"y"})
+    listed, real = [], job.walk_root
+    monkeypatch.setattr(job, "walk_root", lambda spark, uri, *a, **k: listed.append(uri) or real(spark, uri, *a, **k))
+    tf.copy_tree(spark, str(source), str(target))
+    assert sorted(listed) == [f"file://{source}", f"file://{target}/data"]
+
+
 def test_create_directories(spark, roots, monkeypatch):
     monkeypatch.setattr(copying, "CALLS_PER_TASK", 4)
     _, target = roots

@@ -107,7 +107,9 @@ def below(root: str) -> str:
 def parent_of(uri: Column | str) -> Column:
     """The URI one level up; the filesystem root is its own parent."""
     uri = _column(uri)
-    return F.regexp_replace(F.regexp_replace(uri, r"(?<!/)/[^/]*$", ""), r"^([^/:]+://[^/]*)$", "$1/")
+    name = F.length(F.substring_index(uri, "/", -1))
+    slash = F.when(depth_of(uri) > 3, 1).otherwise(0)  # the root's own slash stays
+    return F.substr(uri, F.lit(1), F.length(uri) - name - slash)
 
 
 def depth_of(uri: Column | str) -> Column:
@@ -116,6 +118,13 @@ def depth_of(uri: Column | str) -> Column:
     return F.length(uri) - F.length(F.translate(uri, "/", ""))
 
 
+def destination_of_root(source_root: str, destination_root: str) -> str:
+    """Where the source root itself goes."""
+    if source_root.endswith("/"):
+        return destination_root
+    return below(destination_root) + source_root.rpartition("/")[2]
+
+
 def map_destination(uri: Column | str, source_root: str, destination_root: str) -> Column:
     """Where an entry of the source tree goes: below the destination, keeping the
     source root's own name (``/x/data/a`` -> ``<destination>/data/a``).
@@ -124,13 +133,11 @@ def map_destination(uri: Column | str, source_root: str, destination_root: str)
     outside the source root is an error.
     """
     uri = _column(uri)
-    whole_filesystem = source_root.endswith("/")
-    kept_from = len(source_root.removesuffix("/") if whole_filesystem else source_root.rpartition("/")[0])
+    kept_from = len(source_root.removesuffix("/") if source_root.endswith("/") else source_root.rpartition("/")[0])
     mapped = F.concat(F.lit(destination_root.removesuffix("/")), _after(uri, kept_from))
-    at_root = F.lit(destination_root) if whole_filesystem else mapped
     return (
         F.when(uri.startswith(below(source_root)) & (uri != source_root), mapped)
-        .when(uri == source_root, at_root)
+        .when(uri == source_root, F.lit(destination_of_root(source_root, destination_root)))
         .when(uri.isNotNull(), _raise(F.concat(uri, F.lit(" is not below " + source_root))))
     )
 

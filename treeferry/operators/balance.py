@@ -83,11 +83,11 @@ def balance_by_bytes(
     ordered = Window.partitionBy("partition").orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = F.floor(F.coalesce(F.sum(weight).over(earlier), F.lit(0)) / bytes_per_task)
     next_batch = F.when(F.col("cut") > F.lag("cut").over(ordered), 1).otherwise(0)
     return (
         copies.withColumn("partition", bucket_of(F.concat_ws("\n", *order), buckets))
-        .withColumn("cut", cut)
+        .withColumn("cut", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+        .withColumn("cut", F.expr(f"cut div {int(bytes_per_task)}"))
         # Numbered without gaps: a row of several shares leaves no empty batches behind it.
         .withColumn("next", next_batch)
         .withColumn("batch", F.sum("next").over(so_far).cast("int"))
@@ -95,13 +95,17 @@ def balance_by_bytes(
     )
 
 
-def spread_over_tasks(batches: DataFrame, num_tasks: int | None = None) -> tuple[DataFrame, int]:
+def spread_over_tasks(
+    batches: DataFrame, num_tasks: int | None = None, only_batches: int | None = None
+) -> tuple[DataFrame, int]:
     """Number written batches through and route every row to its batch's task; with
-    ``num_tasks``, the batches are dealt to that many tasks."""
-    offsets = written(batch_partition_offsets(batch_index(batches)), "offsets")
-    tasks = task_count(offsets)
-    assigned = assign_batch_partition(batches, offsets)
+    ``num_tasks``, the batches are dealt to that many tasks. ``only_batches`` is the
+    number of batches where all are in one partition: their numbers serve as they are."""
+    if only_batches is not None:
+        tasks, assigned = only_batches, batches.withColumn("task", F.col("batch"))
+    else:
+        offsets = written(batch_partition_offsets(batch_index(batches)), "offsets")
+        tasks, assigned = task_count(offsets), assign_batch_partition(batches, offsets)
     if num_tasks and num_tasks < tasks:
-        tasks = num_tasks
-        assigned = assigned.withColumn("task", F.col("task") % num_tasks)
+        tasks, assigned = num_tasks, assigned.withColumn("task", F.col("task") % num_tasks)
     return route_batches(assigned, tasks), tasks

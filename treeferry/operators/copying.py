@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from treeferry.functions.paths import DIRECTORY, FILE, depth_of
 from treeferry.operators.balance import balance_by_bytes, spread_over_tasks
 from treeferry.operators.reporting import REPORT_SCHEMA
 from treeferry.scratch import new_folder, read_table, written
+from treeferry.session import speculates
 from treeferry.storage import Stores, copy_bytes, split_parent
 
 BUFFER_BYTES = 8 << 20
@@ -40,11 +42,39 @@ class CopyFailed(RuntimeError):
         self.report = report
 
 
-def _report_task(act: Callable[[Stores, int, dict], dict], schema: pa.Schema) -> Callable[[Iterator], Iterator]:
+class Task:
+    """What the rows of one task share: stores, the attempt's id, and what an earlier
+    attempt at the same task may have left behind."""
+
+    def __init__(self, attempt: int, retried: bool = False):
+        self.at = Stores().at
+        self.attempt = attempt
+        self.retried = retried
+        self._leftovers: dict[str, dict[str, list[str]]] = {}
+
+    def remove_leftovers(self, store, folder: str, name: str) -> None:
+        """In a repeated task, remove temporary files that a lost attempt left for this
+        file. No other task writes it; each folder is read once."""
+        if not self.retried:
+            return
+        if folder not in self._leftovers:
+            found = self._leftovers.setdefault(folder, {})
+            for entry, _, _ in store.scan(folder):
+                if match := re.fullmatch(rf"\.{TEMP_PREFIX}\.\d+\.(.*)", entry, re.DOTALL):
+                    found.setdefault(match[1], []).append(entry)
+        for entry in self._leftovers[folder].pop(name, []):
+            store.remove_file(f"{folder.removesuffix('/')}/{entry}")
+
+
+Act = Callable[[Task, dict], dict]
+
+
+def _report_task(act: Act, schema: pa.Schema, may_repeat: bool) -> Callable[[Iterator], Iterator]:
     """A task that calls ``act`` for each row and yields the report rows it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stores, attempt = Stores(), TaskContext.get().taskAttemptId()
+        context = TaskContext.get()
+        task = Task(context.taskAttemptId(), retried=may_repeat and context.attemptNumber() > 0)
 
         def report_row(row: dict) -> dict:
             base = {
@@ -52,12 +82,12 @@ def _report_task(act: Callable[[Stores, int, dict], dict], schema: pa.Schema) ->
                 "destination": row["destination"],
                 "file_type": row.get("file_type"),
                 "temp_path": row.get("temp_path"),
-                "task_attempt_id": attempt,
+                "task_attempt_id": task.attempt,
             }
             if row.get("range_start") is not None:
                 base |= {"file_len": row["file_len"], "action": row["action"]}
             try:
-                return base | act(stores, attempt, row)
+                return base | act(task, row)
             except Exception as error:
                 return base | {"outcome": "failed", "error": f"{type(error).__name__}: {error}"}
 
@@ -69,17 +99,19 @@ def _report_task(act: Callable[[Stores, int, dict], dict], schema: pa.Schema) ->
     return run
 
 
-def _run_once(todo: DataFrame, act: Callable[[Stores, int, dict], dict], path: str, schema: str) -> DataFrame:
+def _run_once(todo: DataFrame, act: Act, path: str, schema: str) -> DataFrame:
     """Act on every row of ``todo`` in one job and read the report that it wrote, so
     that further actions on the report do not act on the filesystem again."""
     spark = todo.sparkSession
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    todo.mapInArrow(_report_task(act, arrow), schema).write.parquet(path)
+    # Two attempts at once, which only speculation starts, must not clean up each other's files.
+    one_at_a_time = not speculates(spark)
+    todo.mapInArrow(_report_task(act, arrow, one_at_a_time), schema).write.parquet(path)
     return read_table(spark, path, schema)
 
 
-def _make_directory(stores: Stores, attempt: int, row: dict) -> dict:
-    store, path = stores.at(row["destination"])
+def _make_directory(task: Task, row: dict) -> dict:
+    store, path = task.at(row["destination"])
     if store.status(path):
         return {"outcome": "dir_exists"}
     parent = split_parent(path)[0]
@@ -128,8 +160,8 @@ def create_directories(directories: DataFrame) -> DataFrame:
     return read_table(spark, report, REPORT_SCHEMA) if levels else spark.createDataFrame([], REPORT_SCHEMA)
 
 
-def _delete(stores: Stores, attempt: int, row: dict) -> dict:
-    store, path = stores.at(row["destination"])
+def _delete(task: Task, row: dict) -> dict:
+    store, path = task.at(row["destination"])
     if not store.status(path):
         return {"outcome": "absent"}
     try:
@@ -169,16 +201,17 @@ def _temp_beside(uri: str, marker: str) -> str:
     return f"{folder}/.{TEMP_PREFIX}.{marker}.{name}"
 
 
-def _copy_file(buffer_bytes: int) -> Callable[[Stores, int, dict], dict]:
+def _copy_file(buffer_bytes: int) -> Act:
     """Copy one whole file through a temporary name in the destination's directory."""
 
-    def act(stores: Stores, attempt: int, row: dict) -> dict:
+    def act(task: Task, row: dict) -> dict:
         if row["file_type"] != FILE:
             raise ValueError(f"{row['source']} is neither a file nor a directory")
-        source_store, source_path = stores.at(row["source"])
-        store, path = stores.at(row["destination"])
-        temp_path = _temp_beside(row["destination"], str(attempt))
-        _, temp = stores.at(temp_path)
+        source_store, source_path = task.at(row["source"])
+        store, path = task.at(row["destination"])
+        temp_path = _temp_beside(row["destination"], str(task.attempt))
+        _, temp = task.at(temp_path)
+        task.remove_leftovers(store, *split_parent(path))
         existing = _existing_file(store, path)
         unfinished = False
         try:
@@ -195,15 +228,15 @@ def _copy_file(buffer_bytes: int) -> Callable[[Stores, int, dict], dict]:
     return act
 
 
-def _copy_part(buffer_bytes: int) -> Callable[[Stores, int, dict], dict]:
+def _copy_part(buffer_bytes: int) -> Act:
     """Copy a whole file, or one range of a large file into its shared temporary file."""
     whole = _copy_file(buffer_bytes)
 
-    def act(stores: Stores, attempt: int, row: dict) -> dict:
+    def act(task: Task, row: dict) -> dict:
         if row["range_start"] is None:
-            return whole(stores, attempt, row)
-        source_store, source_path = stores.at(row["source"])
-        store, temp = stores.at(row["temp_path"])
+            return whole(task, row)
+        source_store, source_path = task.at(row["source"])
+        store, temp = task.at(row["temp_path"])
         found = source_store.status(source_path)
         if not found or found[1] != row["file_len"]:
             raise OSError(f"the source has {found and found[1]} bytes, but was listed with {row['file_len']}")
@@ -215,10 +248,10 @@ def _copy_part(buffer_bytes: int) -> Callable[[Stores, int, dict], dict]:
     return act
 
 
-def _finish_ranges(stores: Stores, attempt: int, row: dict) -> dict:
+def _finish_ranges(task: Task, row: dict) -> dict:
     """Put a file in place whose ranges are all written, or remove what there is."""
-    store, path = stores.at(row["destination"])
-    _, temp = stores.at(row["temp_path"])
+    store, path = task.at(row["destination"])
+    _, temp = task.at(row["temp_path"])
     replacing = row["action"] == "replace"
     try:
         if row["range_error"] or row["bytes"] != row["file_len"]:
@@ -254,10 +287,12 @@ def _in_ranges(files: DataFrame, range_bytes: int, run: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Batches:
-    """Written copy work: rows with ``partition, batch``, and whether any is a range."""
+    """Written copy work: rows with ``partition, batch``, whether any is a range, and
+    how many batches there are if they are all in one partition."""
 
     rows: DataFrame
     has_ranges: bool
+    only_batches: int | None
 
 
 def plan_batches(
@@ -273,15 +308,19 @@ def plan_batches(
     )
     cost = F.col("len") + FILE_COST_BYTES
     balanced = balance_by_bytes(parts, bytes_per_task, rows, cost, order=("destination", "range_start"))
-    batches = written(balanced.observe(seen, F.count("range_start").alias("ranges")), "batches")
-    return Batches(batches, seen.get["ranges"] > 0)
+    counts = (F.count("range_start"), F.max("partition"), F.max("batch"))
+    names = ("ranges", "last_partition", "last_batch")
+    batches = written(balanced.observe(seen, *(c.alias(n) for c, n in zip(counts, names))), "batches")
+    ranges, last_partition, last_batch = (seen.get[name] for name in names)
+    only_batches = None if last_partition else (last_batch or 0) + 1
+    return Batches(batches, ranges > 0, only_batches)
 
 
 def copy_batches(batches: Batches, num_tasks: int | None = None, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
     """Copy written batches, one task each, and report on every file. With ``num_tasks``
     the batches are dealt to that many tasks."""
     spark = batches.rows.sparkSession
-    routed, _ = spread_over_tasks(batches.rows, num_tasks)
+    routed, _ = spread_over_tasks(batches.rows, num_tasks, batches.only_batches)
     stage = _run_once(routed, _copy_part(buffer_bytes), new_folder(spark, "copy-stage"), STAGE_SCHEMA)
     columns = StructType.fromDDL(REPORT_SCHEMA).names
     if not batches.has_ranges:
@@ -304,6 +343,8 @@ def execute_copy(
     range_bytes: int = RANGE_BYTES,
     buffer_bytes: int = BUFFER_BYTES,
 ) -> DataFrame:
-    """Copy the files of a plan and report on each. Their directories have to exist."""
-    batches = plan_batches(files, bytes_per_task, rows, range_bytes)
+    """Copy the files of a plan, each once, and report on each. Their directories have
+    to exist."""
+    once = files.select("source", "destination", "file_type", "len", "action").distinct()
+    batches = plan_batches(once, bytes_per_task, rows, range_bytes)
     return copy_batches(batches, num_tasks, buffer_bytes)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeferry.functions.paths import exclude_paths, is_file, map_destination
+from treeferry.functions.paths import destination_of_root, exclude_paths, is_file, map_destination
 from treeferry.operators.copying import (
     BUFFER_BYTES,
     FILE_COST_BYTES,
@@ -19,7 +19,7 @@ from treeferry.operators.copying import (
     plan_batches,
 )
 from treeferry.operators.planning import copy_plan, directories_of
-from treeferry.session import qualified, side_by_side
+from treeferry.session import qualified, side_by_side, speculates
 from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
 from treeferry.storage import Stores, split_parent
@@ -58,23 +58,26 @@ def copy_tree(
     _check_roots(spark, source_root, destination_root)
     if create_destination:
         _make_root(destination_root)
+    _check_exists(destination_root)
 
+    # Only entries below the copied root's own place can be replaced, whatever else the
+    # destination holds.
+    target_root = destination_of_root(source_root, destination_root)
     listing, present = side_by_side(
         spark,
         lambda: walk_root(spark, source_root, listing_tasks),
-        lambda: walk_root(spark, destination_root, listing_tasks),
+        lambda: walk_root(spark, target_root, listing_tasks, must_exist=False),
     )
     entries = exclude_paths(listing.entries, exclude)
     manifest = to_source_manifest(entries, source_root, destination_root)
 
     def planned() -> Batches | None:
-        total = entries.where(is_file()).agg(F.count("*").alias("files"), F.sum("len").alias("bytes")).first()
-        if not total["files"]:
+        if not listing.files:
             return None
-        weight = total["bytes"] + total["files"] * FILE_COST_BYTES
+        weight = listing.bytes + listing.files * FILE_COST_BYTES
         share = bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism)
         plan = copy_plan(manifest, to_destination_manifest(present.entries))
-        return plan_batches(plan.where(is_file()), share, total["files"], range_bytes)
+        return plan_batches(plan.where(is_file()), share, listing.files, range_bytes)
 
     made, batches = side_by_side(
         spark,
@@ -104,14 +107,18 @@ def bytes_per_task(weight: int, num_tasks: int | None, cores: int) -> int:
 
 
 def _check_roots(spark: SparkSession, source_root: str, destination_root: str) -> None:
-    folder = source_root.rpartition("/")[0]
-    if source_root == destination_root or folder == destination_root.removesuffix("/"):
+    if source_root in (destination_root, destination_of_root(source_root, destination_root)):
         raise ValueError(f"{source_root} would be copied onto itself")
-    speculating = spark.conf.get("spark.speculation", "false") == "true"
-    if speculating and not Stores().at(destination_root)[0].replaces_atomically:
+    if speculates(spark) and not Stores().at(destination_root)[0].replaces_atomically:
         raise ValueError("set spark.speculation=false: two attempts at one file could remove each other's copy")
 
 
+def _check_exists(uri: str) -> None:
+    store, path = Stores().at(uri)
+    if store.status(path) is None:
+        raise FileNotFoundError(f"{uri} does not exist")
+
+
 def _make_root(uri: str) -> None:
     store, path = Stores().at(uri)
     missing = []

@@ -11,14 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_own_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where unset."""
-    folder = spark.conf.get(SETTING, None)
+    """The session's checkpoint folder, which all executors reach. Only where none is
+    set, as in tests on one machine, a temporary folder of this process."""
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="treeferry-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set(SETTING, folder)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="treeferry-")
+            atexit.register(shutil.rmtree, _own_folders[application], ignore_errors=True)
+        folder = _own_folders[application]
     return folder.rstrip("/")
 
 

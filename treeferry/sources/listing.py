@@ -97,10 +97,13 @@ def _walk(seconds: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 @dataclass(frozen=True)
 class TreeListing:
-    """A written listing: its entries, and the places that could not be read."""
+    """A written listing: its entries, and the places that could not be read. ``files``
+    and ``bytes`` were counted on the way; a repeated task may count twice."""
 
     root: str
     rows: DataFrame
+    files: int
+    bytes: int
 
     @property
     def entries(self) -> DataFrame:
@@ -128,10 +131,15 @@ def walk_tree(spark: SparkSession, uri: str, num_tasks: int | None = None) -> Tr
     return walk_root(spark, qualified(spark, uri)[0], num_tasks)
 
 
-def walk_root(spark: SparkSession, root: str, num_tasks: int | None = None) -> TreeListing:
-    """``walk_tree`` for a root that is spelled as in the tables."""
+def walk_root(
+    spark: SparkSession, root: str, num_tasks: int | None = None, must_exist: bool = True
+) -> TreeListing:
+    """``walk_tree`` for a root that is spelled as in the tables; if it need not
+    exist, a missing one has no entries."""
     store, path = Stores().at(root)
     found = store.status(path)
+    if found is None and not must_exist:
+        return TreeListing(root, spark.createDataFrame([], WALK_SCHEMA), 0, 0)
     if found is None:
         raise FileNotFoundError(f"{root} does not exist")
     kind, length = found
@@ -143,10 +151,10 @@ def walk_root(spark: SparkSession, root: str, num_tasks: int | None = None) -> T
         [F.lit(columns[field.name]).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(WALK_SCHEMA)]
     )
     if kind == FILE:
-        return TreeListing(root, seed)
+        return TreeListing(root, seed, 1, length)
 
     table = new_folder(spark, "listing")
-    frontier, tasks, number = seed.select("uri", "depth"), 1, 0
+    frontier, tasks, number, files, size = seed.select("uri", "depth"), 1, 0, 0, 0
     least_tasks = num_tasks or spark.sparkContext.defaultParallelism
     while tasks:
         seconds = ROUND_SECONDS if number else FIRST_ROUND_SECONDS
@@ -154,9 +162,15 @@ def walk_root(spark: SparkSession, root: str, num_tasks: int | None = None) -> T
         if number == 0:
             rows = seed.unionByName(rows)
         seen = Observation()
-        rows = rows.observe(seen, F.count_if(F.col("kind") == PENDING).alias("pending"))
+        is_file = (F.col("kind") == ENTRY) & (F.col("file_type") == FILE)
+        rows = rows.observe(
+            seen,
+            F.count_if(F.col("kind") == PENDING).alias("pending"),
+            F.count_if(is_file).alias("files"),
+            F.coalesce(F.sum(F.when(is_file, F.col("len"))), F.lit(0)).alias("bytes"),
+        )
         rows.write.parquet(f"{table}/round={number}")
-        pending = seen.get["pending"]
+        pending, files, size = seen.get["pending"], files + seen.get["files"], size + seen.get["bytes"]
         frontier = (
             read_table(spark, f"{table}/round={number}", WALK_SCHEMA)
             .where(F.col("kind") == PENDING)
@@ -166,7 +180,7 @@ def walk_root(spark: SparkSession, root: str, num_tasks: int | None = None) -> T
         if tasks:
             frontier = frontier.repartition(tasks)
         number += 1
-    return TreeListing(root, read_table(spark, table, WALK_SCHEMA))
+    return TreeListing(root, read_table(spark, table, WALK_SCHEMA), files, size)
 
 
 def list_tree(spark: SparkSession, uri: str, num_tasks: int | None = None) -> DataFrame:

@@ -189,7 +189,9 @@ def copy_bytes(source, target, buffer_bytes: int, limit: int | None = None) -> i
             if moved:
                 written += moved
                 continue
-            in_kernel = False  # end of file, or a filesystem that has to be read
+            if written:
+                break
+            in_kernel = False  # an empty file, or one whose filesystem has to be read
         chunk = source.read(wanted)
         if not chunk:
             break
