@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import treeferry as tf
 from treeferry.functions.paths import depth_of, parent_of
+from treeferry.session import qualify
 
 
 def values(spark, texts, column):
@@ -59,10 +60,29 @@ def test_qualify(spark):
     assert values(spark, list(cases), tf.qualify_path("t", "hdfs://nn:1", "/user/u")) == list(cases.values())
 
 
+PATHS = st.text("ab/.:% ", min_size=1, max_size=12) | st.builds(
+    "".join, st.tuples(st.sampled_from(["hdfs:", "file:", "s3a:", ""]), st.sampled_from(["//h", "//", ""]), st.text("ab/.", max_size=8))
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(PATHS, min_size=5, max_size=40))
+def test_driver_and_column_qualify_alike(spark, paths):
+    expected = {}
+    for path in paths:
+        try:
+            expected[path] = qualify(path, "hdfs://nn:1", "/user/u")
+        except ValueError:
+            pass
+    assert values(spark, list(expected), tf.qualify_path("t", "hdfs://nn:1", "/user/u")) == list(expected.values())
+
+
 @pytest.mark.parametrize("path, message", [("", "no path"), ("hdfs:x/y", "relative path")])
 def test_qualify_errors(spark, path, message):
     with pytest.raises(Exception, match=message):
         values(spark, [path], tf.qualify_path("t", "hdfs://nn:1", "/user/u"))
+    with pytest.raises(ValueError, match=message):
+        qualify(path, "hdfs://nn:1", "/user/u")
 
 
 @pytest.mark.parametrize(

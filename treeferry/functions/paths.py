@@ -24,7 +24,7 @@ EXCLUDE_PATTERNS = (
 )
 
 # Scheme, authority and path of a URI; the first two may be missing.
-_URI = r"(?s)^(?:([^/:]+):)?(?://(?=.)([^/]*))?(.*)$"
+URI_PATTERN = r"(?s)^(?:([^/:]+):)?(?://(?=.)([^/]*))?(.*)$"
 _NEEDS_NORMALISING = r"//|(^|/)\.{1,2}(/|$)"
 
 
@@ -45,7 +45,7 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _parts(uri: Column) -> tuple[Column, Column, Column]:
     """Scheme, authority and path; '' where one is missing."""
-    return tuple(F.regexp_extract(uri, _URI, group) for group in (1, 2, 3))
+    return tuple(F.regexp_extract(uri, URI_PATTERN, group) for group in (1, 2, 3))
 
 
 def _normal_path(path: Column) -> Column:

@@ -138,18 +138,17 @@ def _level_groups(levels: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 
 def create_directories(directories: DataFrame) -> DataFrame:
     """Create the directories of ``source, destination``, parents before children, and
-    report on each. A directory whose parent is missing fails.
+    report on each. A directory whose parent is missing fails."""
+    depth = depth_of("destination").alias("depth")
+    return create_levels(written(directories.select("source", "destination", depth), "directories"))
 
-    One job per depth, over that depth's directories only; depths with few directories
-    share a job of one task that goes through them in order.
-    """
+
+def create_levels(directories: DataFrame) -> DataFrame:
+    """``create_directories`` for a written table with ``depth``: one job per depth, over
+    that depth's directories only; depths with few directories share a job of one task
+    that goes through them in order."""
     spark = directories.sparkSession
-    todo = written(
-        directories.select(
-            "source", "destination", F.lit(DIRECTORY).alias("file_type"), depth_of("destination").alias("depth")
-        ),
-        "directories",
-    )
+    todo = directories.select("source", "destination", F.lit(DIRECTORY).alias("file_type"), "depth")
     levels = todo.groupBy("depth").count().orderBy("depth").collect()
     report = new_folder(spark, "directories-report")
     for group in _level_groups([tuple(level) for level in levels]):

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeferry.functions.paths import destination_of_root, exclude_paths, is_file, map_destination
+from treeferry.functions.paths import destination_of_root, exclude_paths, is_directory, is_file, map_destination
 from treeferry.operators.copying import (
     BUFFER_BYTES,
     FILE_COST_BYTES,
@@ -16,6 +16,7 @@ from treeferry.operators.copying import (
     CopyFailed,
     copy_batches,
     create_directories,
+    create_levels,
     plan_batches,
 )
 from treeferry.operators.planning import copy_plan, directories_of
@@ -68,6 +69,7 @@ def copy_tree(
         lambda: walk_root(spark, source_root, listing_tasks),
         lambda: walk_root(spark, target_root, listing_tasks, must_exist=False),
     )
+    exclude = tuple(exclude)
     entries = exclude_paths(listing.entries, exclude)
     manifest = to_source_manifest(entries, source_root, destination_root)
 
@@ -79,12 +81,13 @@ def copy_tree(
         plan = copy_plan(manifest, to_destination_manifest(present.entries))
         return plan_batches(plan.where(is_file()), share, listing.files, range_bytes)
 
-    made, batches = side_by_side(
-        spark,
-        lambda: create_directories(directories_of(manifest, source_root, destination_root)),
-        planned,
-    )
-    report = made.unionByName(_listing_failures(listing, source_root, destination_root)).unionByName(
+    def made() -> DataFrame:
+        if exclude:  # a kept file may have lost the entry of its directory
+            return create_directories(directories_of(manifest, source_root, destination_root))
+        return create_levels(manifest.where(is_directory()))
+
+    directories, batches = side_by_side(spark, made, planned)
+    report = directories.unionByName(_listing_failures(listing, source_root, destination_root)).unionByName(
         _destination_failures(present)
     )
     if batches:

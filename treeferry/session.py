@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from treeferry.functions.paths import qualify_path
+from treeferry.functions.paths import URI_PATTERN
 
 
 def default_filesystem(spark: SparkSession) -> tuple[str, str]:
@@ -19,12 +19,31 @@ def default_filesystem(spark: SparkSession) -> tuple[str, str]:
     return filesystem.getUri().toString(), filesystem.getWorkingDirectory().toUri().getPath()
 
 
+def qualify(path: str, default_fs: str, working_dir: str) -> str:
+    """``qualify_path`` of one path on the driver, where a Spark job would be a waste."""
+    default_scheme, _, rest = default_fs.partition("://")
+    scheme, authority, tail = (part or "" for part in re.match(URI_PATTERN, path).groups())
+    if not tail.startswith("/"):
+        if not tail and not authority:
+            raise ValueError(f"no path: {path!r}")
+        if tail and scheme:
+            raise ValueError(f"relative path after a scheme: {path}")
+        tail = f"{working_dir}/{tail}" if tail else "/"
+    if not authority and scheme in ("", default_scheme):
+        authority = rest.partition("/")[0]
+    kept: list[str] = []
+    for part in tail.split("/"):
+        if part == ".." and kept and kept[-1] != "..":
+            kept.pop()
+        elif part not in ("", "."):
+            kept.append(part)
+    return f"{scheme or default_scheme}://{authority}/{'/'.join(kept)}"
+
+
 def qualified(spark: SparkSession, *paths: str) -> list[str]:
     """Paths in the spelling that all tables use."""
     default_fs, working_dir = default_filesystem(spark)
-    every = F.array(*[F.lit(path) for path in paths])
-    uris = F.transform(every, lambda path: qualify_path(path, default_fs, working_dir))
-    return spark.sql("VALUES (1)").select(uris).first()[0]  # folded, so no job runs
+    return [qualify(path, default_fs, working_dir) for path in paths]
 
 
 def speculates(spark: SparkSession) -> bool:

@@ -11,12 +11,14 @@ from treeferry.sources.listing import walk_root, walk_tree
 
 
 def to_source_manifest(entries: DataFrame, source_root: str, destination_root: str) -> DataFrame:
-    """Map a listing of ``source_root``: ``source, destination, len, file_type``."""
+    """Map a listing of ``source_root``: ``source, destination, len, file_type``, and
+    ``depth`` if the listing has it."""
     return entries.select(
         F.col("uri").alias("source"),
         map_destination("uri", source_root, destination_root).alias("destination"),
         "len",
         "file_type",
+        *({"depth"} & set(entries.columns)),
     )
 
 
@@ -35,7 +37,7 @@ def source_manifest(
     spark: SparkSession, source: str, destination: str, num_tasks: int | None = None
 ) -> DataFrame:
     """List ``source`` and map every entry to its place below ``destination``: ``source,
-    destination, len, file_type, dependent_folders``."""
+    destination, len, file_type, depth, dependent_folders``."""
     source_root, destination_root = qualified(spark, source, destination)
     listing = walk_root(spark, source_root, num_tasks)
     manifest = to_source_manifest(listing.entries, source_root, destination_root)
