@@ -20,6 +20,7 @@ from treeferry.operators.copying import (
     plan_batches,
 )
 from treeferry.operators.planning import copy_plan, directories_of
+from treeferry.scratch import written
 from treeferry.session import qualified, side_by_side, speculates
 from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
@@ -28,6 +29,7 @@ from treeferry.storage import Stores, split_parent
 TASKS_PER_CORE = 4
 LEAST_BYTES_PER_TASK = 8 << 20
 MOST_BYTES_PER_TASK = 4 << 30
+SMALL_LISTING = 1_000_000
 
 
 def copy_tree(
@@ -84,7 +86,9 @@ def copy_tree(
     def made() -> DataFrame:
         if exclude:  # a kept file may have lost the entry of its directory
             return create_directories(directories_of(manifest, source_root, destination_root))
-        return create_levels(manifest.where(is_directory()))
+        folders = manifest.where(is_directory())
+        # Each level scans this; in a large listing the directories are a small part.
+        return create_levels(written(folders, "directories") if listing.files > SMALL_LISTING else folders)
 
     directories, batches = side_by_side(spark, made, planned)
     report = directories.unionByName(_listing_failures(listing, source_root, destination_root)).unionByName(
