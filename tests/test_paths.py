@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import treeferry as tf
-from treeferry.functions.paths import depth_of, parent_of
+from treeferry.functions.paths import depth_of, folder_of
 from treeferry.session import qualify
 
 
@@ -151,7 +151,7 @@ def test_mapping_agrees_with_plain_string_work(spark, trees):
     root, target = "hdfs://h/lake/raw", "hdfs://k/backup"
     uris = [root + "/" + "/".join(names) for names in trees]
     assert values(spark, uris, tf.map_destination("t", root, target)) == [target + u[len("hdfs://h/lake"):] for u in uris]
-    assert values(spark, uris, parent_of("t")) == [u.rpartition("/")[0] for u in uris]
+    assert values(spark, uris, folder_of("t")) == [u[: u.rindex("/") + 1] for u in uris]
     assert values(spark, uris, depth_of("t")) == [u.count("/") for u in uris]
     ancestors = values(spark, uris, F.transform(tf.ancestor_dependencies("t", root), lambda a: a["uri"]))
     assert ancestors == [["/".join([root, *names[:i]]) for i in range(len(names))] for names in trees]

@@ -77,6 +77,14 @@ def test_expand_then_distinct(spark):
     assert folders == {(ROOT + p, TARGET + "/data" + p) for p in ("", "/a", "/a/b")}
 
 
+def test_directories_of_a_whole_filesystem(spark):
+    entries = [("hdfs://a/", 0, "directory"), ("hdfs://a/f", 1, "file"), ("hdfs://a/d/e/g", 1, "file")]
+    manifest = tf.to_source_manifest(spark.createDataFrame(entries, ENTRY), "hdfs://a/", "hdfs://b/t")
+    for rows in (manifest, manifest.where(tf.is_file())):
+        found = {tuple(r) for r in tf.directories_of(rows, "hdfs://a/", "hdfs://b/t").collect()}
+        assert found == {("hdfs://a/", "hdfs://b/t"), ("hdfs://a/d", "hdfs://b/t/d"), ("hdfs://a/d/e", "hdfs://b/t/d/e")}
+
+
 def test_directories_of_a_single_file(spark):
     manifest = tf.to_source_manifest(spark.createDataFrame([(ROOT, 5, "file")], ENTRY), ROOT, TARGET)
     assert tf.directories_of(manifest, ROOT, TARGET).count() == 0

@@ -104,18 +104,16 @@ def below(root: str) -> str:
     return root.removesuffix("/") + "/"
 
 
-def parent_of(uri: Column | str) -> Column:
-    """The URI one level up; the filesystem root is its own parent."""
+def folder_of(uri: Column | str) -> Column:
+    """The part of a URI up to its last slash, with it."""
     uri = _column(uri)
-    name = F.length(F.substring_index(uri, "/", -1))
-    slash = F.when(depth_of(uri) > 3, 1).otherwise(0)  # the root's own slash stays
-    return F.substr(uri, F.lit(1), F.length(uri) - name - slash)
+    return F.substr(uri, F.lit(1), F.length(uri) - F.length(F.substring_index(uri, "/", -1)))
 
 
 def depth_of(uri: Column | str) -> Column:
     """How many slashes a URI has: larger for deeper entries of one filesystem."""
     uri = _column(uri)
-    return F.length(uri) - F.length(F.translate(uri, "/", ""))
+    return F.length(uri) - F.length(F.replace(uri, F.lit("/"), F.lit("")))
 
 
 def destination_of_root(source_root: str, destination_root: str) -> str:
@@ -190,19 +188,20 @@ def ancestor_dependencies(uri: Column | str, root: str) -> Column:
     ``array<struct<uri, len, file_type>>``; empty for the root itself."""
     uri = _column(uri)
     prefix = below(root)
-    names = F.split(_after(uri, len(prefix)), "/")
-
-    def folder(level: Column) -> Column:
-        path = F.concat(F.lit(prefix), F.array_join(F.slice(names, 1, level), "/"))
-        return F.struct(
-            F.when(level == 0, F.lit(root)).otherwise(path).alias("uri"),
-            F.lit(0).cast("bigint").alias("len"),
-            F.lit(DIRECTORY).alias("file_type"),
-        )
 
-    chain = F.transform(F.sequence(F.lit(0), F.size(names) - 1), folder)
+    def folders(names: Column) -> Column:
+        def folder(level: Column) -> Column:
+            path = F.concat(F.lit(prefix), F.array_join(F.slice(names, 1, level), "/"))
+            return F.struct(
+                F.when(level == 0, F.lit(root)).otherwise(path).alias("uri"),
+                F.lit(0).cast("bigint").alias("len"),
+                F.lit(DIRECTORY).alias("file_type"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), F.size(names) - 1), folder)
+
     none = F.array().cast("array<struct<uri:string,len:bigint,file_type:string>>")
-    return F.when(uri == root, none).otherwise(chain)
+    return F.when(uri == root, none).otherwise(_bind(F.split(_after(uri, len(prefix)), "/"), folders))
 
 
 def dependent_copies(ancestors: Column | str, source_root: str, destination_root: str) -> Column:

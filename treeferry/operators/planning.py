@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from treeferry.functions.paths import (
     DIRECTORY,
     ancestor_dependencies,
+    below,
+    folder_of,
     is_directory,
     map_destination,
-    parent_of,
 )
 
 
@@ -93,10 +94,15 @@ def directories_of(plan: DataFrame, source_root: str, destination_root: str) ->
     expanding every file: the direct parents are made distinct first, and only those
     few are expanded to their ancestors.
     """
-    deepest = F.when(is_directory(), F.col("source")).when(
-        F.col("source") != source_root, parent_of("source")
+    source, prefix = F.col("source"), below(source_root)
+    folder = (
+        F.when(source == source_root, F.lit(prefix))
+        .when(is_directory(), F.concat(source, F.lit("/")))
+        .otherwise(folder_of(source))
     )
-    leaves = plan.select(deepest.alias("uri")).where(F.col("uri").isNotNull()).distinct()
+    folders = plan.where(is_directory() | (source != source_root)).select(folder.alias("folder")).distinct()
+    without_slash = F.substr("folder", F.lit(1), F.length("folder") - 1)
+    leaves = folders.select(F.when(F.col("folder") == prefix, F.lit(source_root)).otherwise(without_slash).alias("uri"))
     ancestors = F.transform(ancestor_dependencies("uri", source_root), lambda a: a["uri"])
     chain = leaves.select(F.explode(F.concat(ancestors, F.array("uri"))).alias("source"))
     return chain.distinct().select(
