@@ -24,7 +24,7 @@ from treeferry.scratch import written
 from treeferry.session import qualified, side_by_side, speculates
 from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
-from treeferry.storage import Stores, split_parent
+from treeferry.storage import Stores, make_directories
 
 TASKS_PER_CORE = 4
 LEAST_BYTES_PER_TASK = 8 << 20
@@ -60,7 +60,7 @@ def copy_tree(
     source_root, destination_root = qualified(spark, source, destination)
     _check_roots(spark, source_root, destination_root)
     if create_destination:
-        _make_root(destination_root)
+        make_directories(destination_root)
     _check_exists(destination_root)
 
     # Only entries below the copied root's own place can be replaced, whatever else the
@@ -126,16 +126,6 @@ def _check_exists(uri: str) -> None:
         raise FileNotFoundError(f"{uri} does not exist")
 
 
-def _make_root(uri: str) -> None:
-    store, path = Stores().at(uri)
-    missing = []
-    while not store.status(path) and path != "/":
-        missing.append(path)
-        path = split_parent(path)[0]
-    for path in reversed(missing):
-        store.make_directory(path)
-
-
 def _failures(errors: DataFrame, source: Column, destination: Column) -> DataFrame:
     return errors.select(
         source.cast("string").alias("source"),

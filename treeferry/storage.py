@@ -165,6 +165,17 @@ class Stores:
         return ArrowStore(opened), base.rstrip("/")
 
 
+def make_directories(uri: str) -> None:
+    """Make a directory and the parents that it lacks, from the driver."""
+    store, path = Stores().at(uri)
+    missing = []
+    while path != "/" and not store.status(path):
+        missing.append(path)
+        path = split_parent(path)[0]
+    for path in reversed(missing):
+        store.make_directory(path)
+
+
 def split_parent(path: str) -> tuple[str, str]:
     parent, _, name = path.rpartition("/")
     return parent or "/", name

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import treeferry as tf
 from treeferry.scratch import new_folder
 from treeferry.session import qualified
-from treeferry.storage import Stores
+from treeferry.storage import Stores, make_directories
 
 SOURCE_ROOT = "hdfs://nn1:8020/lake/raw"
 DESTINATION_ROOT = "hdfs://nn2:8020/backup"
@@ -81,11 +81,7 @@ def full_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_root(spark: SparkSession, name: str) -> str:
     """An empty directory in the shared folder."""
     root = qualified(spark, new_folder(spark, name))[0]
-    store, path = Stores().at(root)
-    parent = path.rpartition("/")[0]
-    if not store.status(parent):
-        store.make_directory(parent)
-    store.make_directory(path)
+    make_directories(root)
     return root
 
 
@@ -125,8 +121,7 @@ def document_tree(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trees:
         root = new_root(spark, "documents")
-        store, path = Stores().at(root + "/raw")
-        store.make_directory(path)
+        make_directories(root + "/raw")
         write_documents(table(spark, sf_dir, "documents"), root + "/raw")
         _trees[key] = root + "/raw"
     return _trees[key]

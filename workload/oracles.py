@@ -106,23 +106,23 @@ TABLES = (
 
 ORACLES: dict[str, str] = {
     "qualify_path": """
-WITH spelled AS (
-  SELECT doc_id, CASE doc_id % 6
-     WHEN 0 THEN concat(lang, '//', source, '/doc_', doc_id)
-     WHEN 1 THEN concat('/lake/./', lang, '/../', lang, '/', source, '/doc_', doc_id, '/')
-     WHEN 2 THEN concat('hdfs://nn2:8020/', lang, '/', source, '/doc ', doc_id)
-     WHEN 3 THEN concat('hdfs:///', lang, '/', source, '/doc_', doc_id)
-     WHEN 4 THEN concat('s3a://', source, '/', lang, '//doc%20', doc_id, '//')
-     ELSE concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id) END AS path, lang, source
-  FROM documents)
-SELECT doc_id, path, CASE doc_id % 6
-     WHEN 0 THEN concat('hdfs://nn1:8020/user/etl/', lang, '/', source, '/doc_', doc_id)
-     WHEN 1 THEN concat('hdfs://nn1:8020/lake/', lang, '/', source, '/doc_', doc_id)
-     WHEN 2 THEN path
-     WHEN 3 THEN concat('hdfs://nn1:8020', substr(path, 8))
-     WHEN 4 THEN concat('s3a://', source, '/', lang, '/doc%20', doc_id)
-     ELSE concat('file:///', lang, '/', source, '/doc:', doc_id) END AS uri
-FROM spelled""",
+SELECT doc_id, concat(lang, '//', source, '/doc_', doc_id) AS path,
+       concat('hdfs://nn1:8020/user/etl/', lang, '/', source, '/doc_', doc_id) AS uri FROM documents
+UNION ALL
+SELECT doc_id, concat('/lake/./', lang, '/../', lang, '/', source, '/doc_', doc_id, '/'),
+       concat('hdfs://nn1:8020/lake/', lang, '/', source, '/doc_', doc_id) FROM documents
+UNION ALL
+SELECT doc_id, concat('hdfs://nn2:8020/', lang, '/', source, '/doc ', doc_id),
+       concat('hdfs://nn2:8020/', lang, '/', source, '/doc ', doc_id) FROM documents
+UNION ALL
+SELECT doc_id, concat('hdfs:///', lang, '/', source, '/doc_', doc_id),
+       concat('hdfs://nn1:8020/', lang, '/', source, '/doc_', doc_id) FROM documents
+UNION ALL
+SELECT doc_id, concat('s3a://', source, '/', lang, '//doc%20', doc_id, '//'),
+       concat('s3a://', source, '/', lang, '/doc%20', doc_id) FROM documents
+UNION ALL
+SELECT doc_id, concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id),
+       concat('file:///', lang, '/', source, '/doc:', doc_id) FROM documents""",
     "map_destination": f"WITH {MAPPED} SELECT source AS uri, len, file_type, destination FROM mapped",
     "uri_is_child": """
 WITH cleaned AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS uri FROM pages),
@@ -147,11 +147,10 @@ WITH {CHAIN} SELECT uri, position, concat('hdfs://nn1:8020/lake/', folder) AS so
                     concat('hdfs://nn2:8020/backup/', folder) AS destination FROM chain""",
     "exclude_paths": """
 WITH marked AS (
-  SELECT doc_id, concat('hdfs://nn1:8020/out/', lang, '/', CASE doc_id % 8
-             WHEN 0 THEN '_temporary/0/task' WHEN 1 THEN '_SUCCESS' WHEN 2 THEN '_committed_7'
-             WHEN 3 THEN '_started_7' WHEN 4 THEN 'x_temporary/part' WHEN 5 THEN '_temporary'
-             WHEN 6 THEN '_temporary_copy/part' ELSE 'part' END,
-             CASE WHEN doc_id % 8 = 5 THEN '' ELSE concat('-', doc_id) END) AS uri FROM documents)
+  SELECT doc_id, concat('hdfs://nn1:8020/out/', lang, '/', source, '/', name, doc_id) AS uri
+  FROM documents, (VALUES ('_temporary/0/task-'), ('_SUCCESS-'), ('_committed_'), ('_started_'), ('x_temporary/part-'),
+                          ('_temporary_copy/part-'), ('part-')) AS names(name)
+  UNION ALL SELECT doc_id, concat('hdfs://nn1:8020/out/', lang, '/', source, '/', doc_id, '/_temporary') FROM documents)
 SELECT doc_id, uri FROM marked
 WHERE NOT (regexp_full_match(uri, '.*/_temporary($|/.*)') OR regexp_full_match(uri, '.*/_committed.*')
         OR regexp_full_match(uri, '.*/_started.*') OR regexp_full_match(uri, '.*/_SUCCESS.*'))""",
@@ -231,3 +230,6 @@ FROM copied GROUP BY file_type, outcome""",
         f"SELECT '{each}' AS table_name, count(*) AS rows FROM {each}" for each in TABLES
     ),
 } | {f"copy_tree_readback_{each}": f"SELECT * FROM {each}" for each in TABLES}
+ORACLES["copy_tree_readback_embeddings"] = """
+SELECT vec_id, label, CAST(unnest(range(len(embedding))) AS INTEGER) AS position, CAST(unnest(embedding) AS DOUBLE) AS value
+FROM embeddings"""

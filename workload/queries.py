@@ -25,17 +25,18 @@ LEAST_BUCKETS = 8
 
 
 def qualify_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paths as users write them: relative, with dots, without scheme or authority."""
+    """Every document's path in the ways that users write it: relative, with dots,
+    without scheme or authority."""
     spelled = F.expr(
-        """CASE doc_id % 6
-             WHEN 0 THEN concat(lang, '//', source, '/doc_', doc_id)
-             WHEN 1 THEN concat('/lake/./', lang, '/../', lang, '/', source, '/doc_', doc_id, '/')
-             WHEN 2 THEN concat('hdfs://nn2:8020/', lang, '/', source, '/doc ', doc_id)
-             WHEN 3 THEN concat('hdfs:///', lang, '/', source, '/doc_', doc_id)
-             WHEN 4 THEN concat('s3a://', source, '/', lang, '//doc%20', doc_id, '//')
-             ELSE concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id) END"""
+        """array(
+             concat(lang, '//', source, '/doc_', doc_id),
+             concat('/lake/./', lang, '/../', lang, '/', source, '/doc_', doc_id, '/'),
+             concat('hdfs://nn2:8020/', lang, '/', source, '/doc ', doc_id),
+             concat('hdfs:///', lang, '/', source, '/doc_', doc_id),
+             concat('s3a://', source, '/', lang, '//doc%20', doc_id, '//'),
+             concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id))"""
     )
-    documents = table(spark, sf_dir, "documents").select("doc_id", spelled.alias("path"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.explode(spelled).alias("path"))
     return documents.withColumn("uri", tf.qualify_path("path", "hdfs://nn1:8020", "/user/etl"))
 
 
@@ -98,15 +99,17 @@ def dependent_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exclude_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as outputs of jobs, next to marker files and look-alikes of them."""
+    """Every document as the output of a job, next to marker files and look-alikes."""
     marked = F.expr(
-        """concat('hdfs://nn1:8020/out/', lang, '/', CASE doc_id % 8
-             WHEN 0 THEN '_temporary/0/task' WHEN 1 THEN '_SUCCESS' WHEN 2 THEN '_committed_7'
-             WHEN 3 THEN '_started_7' WHEN 4 THEN 'x_temporary/part' WHEN 5 THEN '_temporary'
-             WHEN 6 THEN '_temporary_copy/part' ELSE 'part' END,
-             CASE WHEN doc_id % 8 = 5 THEN '' ELSE concat('-', doc_id) END)"""
+        """transform(
+             array('_temporary/0/task-', '_SUCCESS-', '_committed_', '_started_', 'x_temporary/part-',
+                   '_temporary_copy/part-', 'part-'),
+             name -> concat('hdfs://nn1:8020/out/', lang, '/', source, '/', name, doc_id))"""
     )
-    return tf.exclude_paths(table(spark, sf_dir, "documents").select("doc_id", marked.alias("uri")))
+    folder = F.expr("concat('hdfs://nn1:8020/out/', lang, '/', source, '/', doc_id, '/_temporary')")
+    documents = table(spark, sf_dir, "documents")
+    uris = documents.select("doc_id", F.explode(F.array_append(marked, folder)).alias("uri"))
+    return tf.exclude_paths(uris)
 
 
 # --- manifests, plans and summaries
@@ -309,7 +312,11 @@ def _readback(each: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table's file as the root of a copy; all its rows, read from the copy."""
     root = inputs.new_root(spark, each)
     tf.copy_tree(spark, f"{sf_dir}/{each}.parquet", root, on_error="fail")
-    return spark.read.parquet(f"{root}/{each}.parquet")
+    copied = spark.read.parquet(f"{root}/{each}.parquet")
+    if each == "embeddings":
+        copied = copied.select("vec_id", "label", F.posexplode("embedding").alias("position", "value"))
+        copied = copied.withColumn("value", F.col("value").cast("double"))
+    return copied
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
