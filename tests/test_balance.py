@@ -92,3 +92,15 @@ def test_a_small_index_is_broadcast_and_the_rows_stay_put(spark):
     keys = spark.range(1_000_000).select((F.col("id") % 100).cast("int").alias("partition"), F.lit(1).alias("batch"))
     plan = tf.assign_batch_partition(keys, offsets)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_many_rows_get_more_shuffle_partitions(spark, monkeypatch):
+    from treeferry import session
+
+    copies = files(spark, range(600))
+    usual = tf.balance_by_bytes(copies, 5000, 600, least_buckets=40)
+    monkeypatch.setattr(session, "ROWS_PER_SHUFFLE_PARTITION", 40)
+    spread = tf.balance_by_bytes(copies, 5000, 600, least_buckets=40)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(partition" in plan and ", 15)" in plan
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, usual.collect()))

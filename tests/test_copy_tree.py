@@ -62,6 +62,17 @@ def test_whole_tree(spark, roots, num_tasks):
         assert len({r["task_attempt_id"] for r in rows}) <= num_tasks
 
 
+def test_many_files_get_more_shuffle_partitions(spark, roots, monkeypatch):
+    from treeferry import session
+
+    monkeypatch.setattr(session, "ROWS_PER_SHUFFLE_PARTITION", 1)
+    source, target = roots
+    fill(source, FILES)
+    fill(target, {"data/question?#mark": b"old"})
+    assert outcomes(tf.copy_tree(spark, str(source), str(target)))["replaced"] == 1
+    assert tree(target / "data") == tree(source)
+
+
 def test_again_replaces_every_file_and_keeps_others(spark, roots):
     source, target = roots
     fill(source, FILES)
@@ -247,6 +258,36 @@ def test_repeats_in_a_plan_are_copied_once(spark, roots):
     assert outcomes(tf.execute_copy(many.drop("id"), 1 << 20)) == {"copied": 2}
 
 
+def test_speculation_needs_an_atomic_replace(spark, roots, monkeypatch):
+    from pyarrow.fs import LocalFileSystem
+
+    from treeferry.plans import copy_tree as job
+    from treeferry.storage import ArrowStore, Stores
+
+    source, target = roots
+    fill(source, {"f": b"x"})
+    monkeypatch.setattr(job, "speculates", lambda spark: True)
+    tf.copy_tree(spark, str(source), str(target))
+    monkeypatch.setattr(Stores, "at", lambda self, uri: (ArrowStore(LocalFileSystem()), uri.removeprefix("file://")))
+    with pytest.raises(ValueError, match="speculation"):
+        tf.copy_tree(spark, str(source), str(target))
+
+
+def test_through_pyarrow_filesystems(spark, roots, monkeypatch):
+    """The whole job with the store that serves HDFS and object stores."""
+    from pyarrow.fs import LocalFileSystem
+
+    from treeferry.storage import ArrowStore, Stores
+
+    monkeypatch.setattr(Stores, "at", lambda self, uri: (ArrowStore(LocalFileSystem()), uri.removeprefix("file://")))
+    source, target = roots
+    fill(source, FILES)
+    fill(target, {"data/a/_SUCCESS": b"old"})
+    found = outcomes(tf.copy_tree(spark, str(source), str(target)))
+    assert found == {"copied": len(FILES) - 1, "replaced": 1, "dir_created": 7, "dir_exists": 2}
+    assert tree(target / "data") == tree(source)
+
+
 def test_only_the_roots_own_place_is_listed(spark, roots, monkeypatch):
     from treeferry.plans import copy_tree as job
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeferry.scratch import written
+from treeferry.session import spread_by
 
 ROWS_PER_BUCKET = 100_000
 
@@ -84,8 +85,9 @@ def balance_by_bytes(
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     next_batch = F.when(F.col("cut") > F.lag("cut").over(ordered), 1).otherwise(0)
+    bucketed = copies.withColumn("partition", bucket_of(F.concat_ws("\n", *order), buckets))
     return (
-        copies.withColumn("partition", bucket_of(F.concat_ws("\n", *order), buckets))
+        spread_by(bucketed, "partition", rows)
         .withColumn("cut", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
         .withColumn("cut", F.expr(f"cut div {int(bytes_per_task)}"))
         # Numbered without gaps: a row of several shares leaves no empty batches behind it.

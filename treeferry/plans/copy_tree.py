@@ -21,13 +21,14 @@ from treeferry.operators.copying import (
 )
 from treeferry.operators.planning import copy_plan, directories_of
 from treeferry.scratch import written
-from treeferry.session import qualified, side_by_side, speculates
+from treeferry.session import qualified, side_by_side, speculates, spread_by
 from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
 from treeferry.storage import Stores, make_directories
 
-TASKS_PER_CORE = 4
-LEAST_BYTES_PER_TASK = 8 << 20
+# A task costs some tenths of a second besides its work, so small copies get few tasks.
+TASKS_PER_CORE = 2
+LEAST_BYTES_PER_TASK = 64 << 20
 MOST_BYTES_PER_TASK = 4 << 30
 SMALL_LISTING = 1_000_000
 
@@ -80,7 +81,8 @@ def copy_tree(
             return None
         weight = listing.bytes + listing.files * FILE_COST_BYTES
         share = bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism)
-        plan = copy_plan(manifest, to_destination_manifest(present.entries))
+        keyed = spread_by(manifest, "destination", listing.files)
+        plan = copy_plan(keyed, to_destination_manifest(present.entries))
         return plan_batches(plan.where(is_file()), share, listing.files, range_bytes)
 
     def made() -> DataFrame:
@@ -91,17 +93,20 @@ def copy_tree(
         return create_levels(written(folders, "directories") if listing.files > SMALL_LISTING else folders)
 
     directories, batches = side_by_side(spark, made, planned)
-    report = directories.unionByName(_listing_failures(listing, source_root, destination_root)).unionByName(
-        _destination_failures(present)
-    )
+    report = directories
+    if listing.failures:
+        report = report.unionByName(_listing_failures(listing, source_root, destination_root))
+    if present.failures:
+        report = report.unionByName(_destination_failures(present))
     if batches:
         report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes))
 
     if on_error == "fail":
         failed = report.where(F.col("outcome") == "failed")
-        if first := failed.select("destination", "error").take(3):
-            examples = "; ".join(f"{row['destination']}: {row['error']}" for row in first)
-            raise CopyFailed(f"{failed.count()} entries were not copied, such as {examples}", report)
+        first = F.min(F.struct("destination", "error"))
+        count, example = failed.agg(F.count("*"), first).first()
+        if count:
+            raise CopyFailed(f"{count} entries were not copied, such as {example[0]}: {example[1]}", report)
     return report
 
 

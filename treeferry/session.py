@@ -7,10 +7,12 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from treeferry.functions.paths import URI_PATTERN
 
+ROWS_PER_SHUFFLE_PARTITION = 1_000_000
+
 
 def default_filesystem(spark: SparkSession) -> tuple[str, str]:
     """URI and working directory of the session's default filesystem."""
@@ -50,6 +52,14 @@ def speculates(spark: SparkSession) -> bool:
     return spark.conf.get("spark.speculation", "false").lower() == "true"
 
 
+def spread_by(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """Partition by ``key``, ahead of a join or window on it, where the session's number
+    of shuffle partitions would give partitions too large for a task's memory."""
+    wanted = -(-rows // ROWS_PER_SHUFFLE_PARTITION)
+    usual = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(wanted, key) if wanted > usual else frame
+
+
 def side_by_side(spark: SparkSession, *steps: Callable) -> list:
     """Run steps that do not depend on each other at once; their results in order.
     Each step's jobs share the cluster, so one step's last tasks leave no idle cores."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -97,13 +97,14 @@ def _walk(seconds: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 @dataclass(frozen=True)
 class TreeListing:
-    """A written listing: its entries, and the places that could not be read. ``files``
-    and ``bytes`` were counted on the way; a repeated task may count twice."""
+    """A written listing: its entries, and the places that could not be read. The
+    numbers were counted on the way; a repeated task may count twice."""
 
     root: str
     rows: DataFrame
-    files: int
-    bytes: int
+    files: int = 0
+    bytes: int = 0
+    failures: int = 0
 
     @property
     def entries(self) -> DataFrame:
@@ -138,11 +139,9 @@ def walk_root(
     exist, a missing one has no entries."""
     store, path = Stores().at(root)
     found = store.status(path)
-    if found is None and not must_exist:
-        return TreeListing(root, spark.createDataFrame([], WALK_SCHEMA), 0, 0)
-    if found is None:
+    if found is None and must_exist:
         raise FileNotFoundError(f"{root} does not exist")
-    kind, length = found
+    kind, length = found or (DIRECTORY, 0)
     if kind not in (FILE, DIRECTORY):
         raise ValueError(f"{root} is neither a file nor a directory")
 
@@ -150,11 +149,13 @@ def walk_root(
     seed = spark.range(0, 1, 1, 1).select(
         [F.lit(columns[field.name]).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(WALK_SCHEMA)]
     )
+    if found is None:
+        return TreeListing(root, seed.where(F.lit(False)))  # known to be empty when planning
     if kind == FILE:
         return TreeListing(root, seed, 1, length)
 
     table = new_folder(spark, "listing")
-    frontier, tasks, number, files, size = seed.select("uri", "depth"), 1, 0, 0, 0
+    frontier, tasks, number, counts = seed.select("uri", "depth"), 1, 0, Counter()
     least_tasks = num_tasks or spark.sparkContext.defaultParallelism
     while tasks:
         seconds = ROUND_SECONDS if number else FIRST_ROUND_SECONDS
@@ -166,11 +167,13 @@ def walk_root(
         rows = rows.observe(
             seen,
             F.count_if(F.col("kind") == PENDING).alias("pending"),
+            F.count_if(F.col("kind") == FAILED).alias("failures"),
             F.count_if(is_file).alias("files"),
             F.coalesce(F.sum(F.when(is_file, F.col("len"))), F.lit(0)).alias("bytes"),
         )
         rows.write.parquet(f"{table}/round={number}")
-        pending, files, size = seen.get["pending"], files + seen.get["files"], size + seen.get["bytes"]
+        counts.update({name: count for name, count in seen.get.items() if name != "pending"})
+        pending = seen.get["pending"]
         frontier = (
             read_table(spark, f"{table}/round={number}", WALK_SCHEMA)
             .where(F.col("kind") == PENDING)
@@ -180,7 +183,7 @@ def walk_root(
         if tasks:
             frontier = frontier.repartition(tasks)
         number += 1
-    return TreeListing(root, read_table(spark, table, WALK_SCHEMA), files, size)
+    return TreeListing(root, read_table(spark, table, WALK_SCHEMA), **counts)
 
 
 def list_tree(spark: SparkSession, uri: str, num_tasks: int | None = None) -> DataFrame:

@@ -109,7 +109,7 @@ def write_documents(documents: DataFrame, root: str) -> None:
     if not made.where(F.col("outcome") == "failed").isEmpty():
         raise OSError(f"could not make the folders below {root}")
     files = documents.select(document_uri(root).alias("uri"), "text")
-    spread = files.repartition(documents.sparkSession.sparkContext.defaultParallelism * 4)
+    spread = files.repartition(documents.sparkSession.sparkContext.defaultParallelism)
     spread.mapInArrow(_write_files, "files bigint").agg(F.sum("files")).collect()
 
 
