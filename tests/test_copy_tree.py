@@ -222,8 +222,10 @@ def test_finished_ranges_may_be_finished_again(tmp_path):
         "destination": f"file://{tmp_path}/f", "temp_path": f"file://{tmp_path}/.temp",
         "range_error": None, "bytes": 3, "file_len": 3, "action": "copy",
     }
-    for _ in range(2):
-        assert copying._finish_ranges(copying.Task(1), row)["outcome"] == "copied"
+    assert copying._finish_ranges(copying.Task(1), row)["outcome"] == "copied"
+    assert copying._finish_ranges(copying.Task(2, repeated=True), row)["outcome"] == "copied"
+    with pytest.raises(OSError):
+        copying._finish_ranges(copying.Task(3), row)
     assert os.listdir(tmp_path) == ["f"] and (tmp_path / "f").read_bytes() == b"abc"
 
 
@@ -235,6 +237,21 @@ def test_leftover_temporary_files_do_not_matter(spark, roots):
     assert (target / "data" / "f").read_bytes() == b"new"
 
 
+def test_two_attempts_at_the_same_time(roots):
+    source, target = roots
+    fill(source, {"f": b"new"})
+    row = {
+        "source": f"file://{source}/f", "destination": f"file://{target}/f", "file_type": "file",
+        "len": 3, "range_start": None,
+    }
+    first, second = (copying.Task(n, repeated=n > 1, speculative=True) for n in (1, 2))
+    fill(target, {".treeferry.1.f": b"ne"})  # the first attempt is under way
+    assert copying._copy_part(4096)(second, row)["outcome"] == "copied"
+    assert (target / ".treeferry.1.f").exists() and (target / "f").read_bytes() == b"new"
+    copying._put_in_place(first, copying.Stores().at("file:///")[0], f"{target}/.treeferry.1.f", f"{target}/f", 2, False)
+    assert os.listdir(target) == ["f"]
+
+
 @pytest.mark.parametrize("retried", [False, True])
 def test_a_repeated_task_removes_what_its_lost_attempt_left(roots, retried):
     source, target = roots

@@ -43,19 +43,20 @@ class CopyFailed(RuntimeError):
 
 
 class Task:
-    """What the rows of one task share: stores, the attempt's id, and what an earlier
-    attempt at the same task may have left behind."""
+    """What the rows of one task share: stores, the attempt's id, whether the task was
+    tried before, and whether another attempt may run at the same time."""
 
-    def __init__(self, attempt: int, retried: bool = False):
+    def __init__(self, attempt: int, repeated: bool = False, speculative: bool = False):
         self.at = Stores().at
         self.attempt = attempt
-        self.retried = retried
+        self.repeated = repeated
+        self.speculative = speculative
         self._leftovers: dict[str, dict[str, list[str]]] = {}
 
     def remove_leftovers(self, store, folder: str, name: str) -> None:
         """In a repeated task, remove temporary files that a lost attempt left for this
         file. No other task writes it; each folder is read once."""
-        if not self.retried:
+        if self.speculative or not self.repeated:
             return
         if folder not in self._leftovers:
             found = self._leftovers.setdefault(folder, {})
@@ -69,12 +70,12 @@ class Task:
 Act = Callable[[Task, dict], dict]
 
 
-def _report_task(act: Act, schema: pa.Schema, may_repeat: bool) -> Callable[[Iterator], Iterator]:
+def _report_task(act: Act, schema: pa.Schema, speculative: bool) -> Callable[[Iterator], Iterator]:
     """A task that calls ``act`` for each row and yields the report rows it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        task = Task(context.taskAttemptId(), retried=may_repeat and context.attemptNumber() > 0)
+        task = Task(context.taskAttemptId(), context.attemptNumber() > 0, speculative)
 
         def report_row(row: dict) -> dict:
             base = {
@@ -104,9 +105,7 @@ def _run_once(todo: DataFrame, act: Act, path: str, schema: str) -> DataFrame:
     that further actions on the report do not act on the filesystem again."""
     spark = todo.sparkSession
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    # Two attempts at once, which only speculation starts, must not clean up each other's files.
-    one_at_a_time = not speculates(spark)
-    todo.mapInArrow(_report_task(act, arrow, one_at_a_time), schema).write.parquet(path)
+    todo.mapInArrow(_report_task(act, arrow, speculates(spark)), schema).write.parquet(path)
     return read_table(spark, path, schema)
 
 
@@ -188,11 +187,12 @@ def _existing_file(store, path: str) -> bool:
     return found is not None
 
 
-def _put_in_place(store, temp: str, path: str, expected: int, existing: bool) -> None:
-    length = store.status(temp)[1]
-    if length != expected:
-        raise OSError(f"wrote {length} bytes, but the source was listed with {expected}")
-    store.rename(temp, path, replace=existing)
+def _put_in_place(task: Task, store, temp: str, path: str, expected: int, existing: bool) -> None:
+    found = store.status(temp)
+    if not found or found[1] != expected:
+        raise OSError(f"wrote {found and found[1]} bytes, but the source was listed with {expected}")
+    # A second attempt at the same time may have put the same bytes there just now.
+    store.rename(temp, path, replace=existing or task.speculative)
 
 
 def _temp_beside(uri: str, marker: str) -> str:
@@ -217,7 +217,7 @@ def _copy_file(buffer_bytes: int) -> Act:
             with source_store.open_input(source_path) as reader, store.open_new(temp) as writer:
                 unfinished = True
                 count = copy_bytes(reader, writer, buffer_bytes)
-            _put_in_place(store, temp, path, row["len"], existing)
+            _put_in_place(task, store, temp, path, row["len"], existing)
             unfinished = False
         finally:
             if unfinished and store.status(temp):
@@ -256,10 +256,11 @@ def _finish_ranges(task: Task, row: dict) -> dict:
         if row["range_error"] or row["bytes"] != row["file_len"]:
             raise OSError(row["range_error"] or f"wrote {row['bytes']} of {row['file_len']} bytes")
         existing = _existing_file(store, path)
-        done_before = existing and not store.status(temp) and store.status(path)[1] == row["file_len"]
-        if not done_before:  # else an earlier attempt of this task got this far
+        other_attempt = task.repeated or task.speculative
+        done = other_attempt and existing and not store.status(temp) and store.status(path)[1] == row["file_len"]
+        if not done:  # else another attempt at this task got this far
             replacing = existing
-            _put_in_place(store, temp, path, row["file_len"], existing)
+            _put_in_place(task, store, temp, path, row["file_len"], existing)
     except Exception:
         if store.status(temp):
             store.remove_file(temp)
