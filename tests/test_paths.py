@@ -14,14 +14,14 @@ def values(spark, texts, column):
 
 
 def test_golden_mapping(spark):
-    root = "hdfs://h:8020/user/duli/data"
-    target = "hdfs://h:8020/user/duli/data2"
+    root = "hdfs://h:8020/user/etl/data"
+    target = "hdfs://h:8020/user/etl/data2"
     found = values(
         spark,
-        [root, root + "/ip_info.dat", root + "/ip_info2.dat"],
+        [root, root + "/info.dat", root + "/info2.dat"],
         tf.map_destination("t", root, target),
     )
-    assert found == [target + "/data", target + "/data/ip_info.dat", target + "/data/ip_info2.dat"]
+    assert found == [target + "/data", target + "/data/info.dat", target + "/data/info2.dat"]
 
 
 @pytest.mark.parametrize(

@@ -3,13 +3,13 @@ from pyspark.sql import functions as F
 
 import treeferry as tf
 
-ROOT, TARGET = "hdfs://h:8020/user/duli/data", "hdfs://h:8020/user/duli/data2"
+ROOT, TARGET = "hdfs://h:8020/user/etl/data", "hdfs://h:8020/user/etl/data2"
 ENTRY = "uri string, len bigint, file_type string"
 
 
 @pytest.fixture(scope="module")
 def source(spark):
-    entries = [(ROOT, 0, "directory"), (ROOT + "/ip_info.dat", 14488255, "file"), (ROOT + "/ip_info2.dat", 14488255, "file")]
+    entries = [(ROOT, 0, "directory"), (ROOT + "/info.dat", 14488255, "file"), (ROOT + "/info2.dat", 14488255, "file")]
     return tf.to_source_manifest(spark.createDataFrame(entries, ENTRY), ROOT, TARGET)
 
 
@@ -18,8 +18,8 @@ def destination(spark):
     entries = [
         (TARGET, 0, "directory"),
         (TARGET + "/data", 0, "directory"),
-        (TARGET + "/data/ip_info.dat", 14488255, "file"),
-        (TARGET + "/data/ip_info2.dat", 7, "file"),
+        (TARGET + "/data/info.dat", 14488255, "file"),
+        (TARGET + "/data/info2.dat", 7, "file"),
     ]
     return tf.to_destination_manifest(spark.createDataFrame(entries, ENTRY))
 
@@ -29,10 +29,10 @@ def test_golden_comparison(source, destination):
     assert {path: r["status"] for path, r in rows.items()} == {
         "": "destination_only",
         "/data": "both",
-        "/data/ip_info.dat": "both",
-        "/data/ip_info2.dat": "both",
+        "/data/info.dat": "both",
+        "/data/info2.dat": "both",
     }
-    assert rows[""]["source"] is None and rows["/data/ip_info2.dat"]["dest_len"] == 7
+    assert rows[""]["source"] is None and rows["/data/info2.dat"]["dest_len"] == 7
 
 
 def test_golden_plan(source, destination):
@@ -45,8 +45,8 @@ def test_golden_plan(source, destination):
     folder = [(ROOT, TARGET + "/data")]
     assert found == {
         "": (TARGET + "/data", "keep", []),
-        "/ip_info.dat": (TARGET + "/data/ip_info.dat", "replace", folder),
-        "/ip_info2.dat": (TARGET + "/data/ip_info2.dat", "replace", folder),
+        "/info.dat": (TARGET + "/data/info.dat", "replace", folder),
+        "/info2.dat": (TARGET + "/data/info2.dat", "replace", folder),
     }
 
 
@@ -92,7 +92,7 @@ def test_directories_of_a_single_file(spark):
 
 def test_verify_lengths(source, destination):
     rows = {r["destination"].rpartition("/")[2]: r["same_length"] for r in tf.verify_lengths(source, destination).collect()}
-    assert rows == {"ip_info.dat": True, "ip_info2.dat": False}
+    assert rows == {"info.dat": True, "info2.dat": False}
 
 
 def test_summary(source):

@@ -148,9 +148,9 @@ def create_levels(directories: DataFrame) -> DataFrame:
     that goes through them in order."""
     spark = directories.sparkSession
     todo = directories.select("source", "destination", F.lit(DIRECTORY).alias("file_type"), "depth")
-    levels = todo.groupBy("depth").count().orderBy("depth").collect()
+    levels = sorted(tuple(level) for level in todo.groupBy("depth").count().collect())
     report = new_folder(spark, "directories-report")
-    for group in _level_groups([tuple(level) for level in levels]):
+    for group in _level_groups(levels):
         first, last = group[0][0], group[-1][0]
         tasks = -(-sum(count for _, count in group) // CALLS_PER_TASK)
         some = todo.where(F.col("depth").between(first, last)).repartition(tasks)
