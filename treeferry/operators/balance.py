@@ -71,7 +71,8 @@ def balance_by_bytes(
     order: tuple[str, ...] = ("destination",),
     least_buckets: int = 1,
 ) -> DataFrame:
-    """Add ``partition, batch`` so that each batch holds about ``bytes_per_task``.
+    """Add ``partition, batch`` so that each batch holds about ``bytes_per_task``. Rows
+    are distinct in ``order``, as they are in a plan.
 
     Rows are spread over buckets by hash; inside a bucket a running sum of bytes is
     cut at every multiple of ``bytes_per_task``. The number of buckets grows with

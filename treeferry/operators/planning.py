@@ -111,7 +111,8 @@ def directories_of(plan: DataFrame, source_root: str, destination_root: str) ->
 
 
 def verify_lengths(source: DataFrame, destination: DataFrame) -> DataFrame:
-    """The files present on both sides with their lengths and whether these agree."""
+    """The files present on both sides with their lengths and whether these agree.
+    Directories are dropped before the join, and ancestors are not part of it."""
     left = source.where(~is_directory()).select("source", "destination", "len")
     right = destination.where(~is_directory()).select(
         F.col("uri").alias("destination"), F.col("len").alias("dest_len")

@@ -126,8 +126,8 @@ SELECT doc_id, concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id),
     "map_destination": f"WITH {MAPPED} SELECT source AS uri, len, file_type, destination FROM mapped",
     "uri_is_child": """
 WITH cleaned AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS uri FROM pages),
-p AS (SELECT page_id, uri, regexp_extract(uri, '^[a-z]+://[^/]+/[^/]+', 0) AS section FROM cleaned)
-SELECT page_id,
+p AS (SELECT page_id, uri, regexp_extract(uri, '^[a-z]+://[^/]+/[^/]+', 0) AS section FROM cleaned),
+r AS (SELECT page_id,
        uri = section OR starts_with(uri, concat(section, '/')) AS in_section,
        starts_with(uri, concat(section, '/')) AS in_section_slash,
        FALSE AS section_in_slash,
@@ -136,7 +136,9 @@ SELECT page_id,
        starts_with(uri, concat(substr(section, 1, length(section) - 1), '/')) AS in_shorter,
        FALSE AS in_other_scheme,
        rtrim(uri, '/') = section AND NOT ends_with(uri, '/') AS section_in_page
-FROM p""",
+FROM p)
+SELECT page_id, pair, is_child FROM r UNPIVOT (is_child FOR pair IN (
+  in_section, in_section_slash, section_in_slash, slash_in_section, in_longer, in_shorter, in_other_scheme, section_in_page))""",
     "classify_file_type": f"""
 WITH {SOURCE} SELECT uri, file_type, file_type = 'directory' AS is_directory, file_type = 'file' AS is_file FROM src""",
     "ancestor_dependencies": f"""

@@ -54,17 +54,23 @@ def uri_is_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     longer, slash = F.concat("section", F.lit("x")), F.concat("section", F.lit("/"))
     other = F.regexp_replace("section", "^https?:", "ftp:")
     shorter = F.expr("substr(section, 1, length(section) - 1)")
-    return pages.select(
-        "page_id",
-        tf.uri_is_child("section", "uri").alias("in_section"),
-        tf.uri_is_child(slash, "uri").alias("in_section_slash"),
-        tf.uri_is_child(slash, "section").alias("section_in_slash"),
-        tf.uri_is_child("section", slash).alias("slash_in_section"),
-        tf.uri_is_child(longer, "uri").alias("in_longer"),
-        tf.uri_is_child(shorter, "uri").alias("in_shorter"),
-        tf.uri_is_child(other, "uri").alias("in_other_scheme"),
-        tf.uri_is_child("uri", "section").alias("section_in_page"),
-    )
+    section, uri = F.col("section"), F.col("uri")
+    pairs = {
+        "in_section": (section, uri),
+        "in_section_slash": (slash, uri),
+        "section_in_slash": (slash, section),
+        "slash_in_section": (section, slash),
+        "in_longer": (longer, uri),
+        "in_shorter": (shorter, uri),
+        "in_other_scheme": (other, uri),
+        "section_in_page": (uri, section),
+    }
+    every = [
+        F.struct(F.lit(name).alias("pair"), parent.alias("parent"), child.alias("child"))
+        for name, (parent, child) in pairs.items()
+    ]
+    paired = pages.select("page_id", F.inline(F.array(every)))
+    return paired.select("page_id", "pair", tf.uri_is_child("parent", "child").alias("is_child"))
 
 
 def classify_file_type(spark: SparkSession, sf_dir: str) -> DataFrame:
