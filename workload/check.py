@@ -27,7 +27,7 @@ def compare(spark: SparkSession, sf_dir: str, name: str) -> tuple[bool, int, int
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         view = os.path.basename(path).removesuffix(".parquet")
         connection.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{path}')")
-    wanted = connection.execute(ORACLES[name]).to_arrow_table()
+    wanted = connection.sql(ORACLES[name]).to_arrow_table()
     got = QUERIES[name](spark, sf_dir).toArrow()
     same = sorted(got.column_names) == sorted(wanted.column_names) and rows_of(got) == rows_of(wanted)
     return same, got.num_rows, wanted.num_rows
