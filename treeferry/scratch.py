@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
 import uuid
 
@@ -11,19 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
-_own_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which all executors reach. Only where none is
-    set, as in tests on one machine, a temporary folder of this process."""
+    """The session's checkpoint folder, which all executors reach.
+
+    On a cluster the setting is required: a folder of the driver's machine would be
+    another one on each executor. Only in local mode, where there is one machine, an
+    unset setting is set here, once for the session, to a new temporary folder.
+    """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        application = spark.sparkContext.applicationId
-        if application not in _own_folders:
-            _own_folders[application] = tempfile.mkdtemp(prefix="treeferry-")
-            atexit.register(shutil.rmtree, _own_folders[application], ignore_errors=True)
-        folder = _own_folders[application]
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {SETTING} to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="treeferry-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
