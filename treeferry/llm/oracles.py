@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from treeferry.llm import license_scan, quality_rules, url_filter
+from treeferry.llm import exact_dedup, license_scan, quality_rules, url_filter
 
 ORACLES: dict[str, str] = {
     "op5_license_scan": license_scan.ORACLE,
+    "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
