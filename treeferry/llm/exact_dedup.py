@@ -23,6 +23,9 @@ PRIME = 2**126 - 137
 #: Texts up to this length are hashed where they are read, longer ones in pieces of it.
 PIECE_BYTES = 1 << 20
 
+#: A suspected group's texts are dealt over so many tasks for their comparison.
+SALTS = 16
+
 KEY = ["n_bytes", "fingerprint"]
 FOUND = "doc_id long, n_bytes long, fingerprint binary, text_sha256 string"
 
@@ -127,13 +130,16 @@ def classes(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES)
         whole = long.join(_prints(pieces), ["text_sha256", "n_bytes"])
         found = written(found.where("fingerprint IS NOT NULL").unionByName(whole), "combined")
 
-    groups = found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # A table of its own, and salted: so the texts of a large group meet it in many tasks.
+    suspects = written(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suspects")
+    suspects = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     texts = bodies.mapInArrow(lambda batches: _hashed(batches, piece_bytes, True), f"{FOUND}, own binary")
-    chunks = texts.where("own IS NOT NULL").select(*KEY, F.lit(0).alias("piece"), "own")
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
+    chunks = texts.where("own IS NOT NULL").select(*KEY, salt, F.lit(0).alias("piece"), "own")
     if pieces is not None:
         prints = found.select("text_sha256", *KEY).distinct()
-        chunks = chunks.unionByName(pieces.join(prints, ["text_sha256", "n_bytes"]).select(*chunks.columns))
-    compared = chunks.join(groups, KEY).groupBy(*KEY, "piece").agg((F.min("own") == F.max("own")).alias("same"))
+        chunks = chunks.unionByName(pieces.join(prints, ["text_sha256", "n_bytes"]).select(*KEY, salt, "piece", "own"))
+    compared = chunks.join(suspects, [*KEY, "salt"]).groupBy(*KEY, "piece").agg((F.min("own") == F.max("own")).alias("same"))
     differing = written(compared.where("NOT same").select(*KEY).distinct(), "differing")
     marked = found.join(differing.withColumn("differs", F.lit(True)), KEY, "left")
     return marked.withColumn("digest", F.when(F.col("differs"), F.col("text_sha256"))).drop("differs")
@@ -153,7 +159,7 @@ def deduplicate(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BY
     key = [*KEY, F.coalesce("digest", F.lit("")).alias("digest")]
     rows = rows.select("doc_id", "row_id", "text_sha256", *key)
     order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "row_id")
-    groups = rows.groupBy(*KEY, "digest").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(rows.groupBy(*KEY, "digest").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return rows.join(groups, [*KEY, "digest"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeferry.llm import exact_dedup, license_scan, quality_rules, url_filter
+from treeferry.llm import exact_dedup, license_scan, packing, quality_rules, token_planes, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end=1)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_planes.round_trip(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end=2)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -30,8 +38,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_planes": op7_token_planes,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
 }
