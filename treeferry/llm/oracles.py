@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from treeferry.llm import exact_dedup, license_scan, quality_rules, url_filter
+from treeferry.llm import exact_dedup, license_scan, mixing, quality_rules, url_filter, warc_zstd
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
+    "op10_warc": warc_zstd.ORACLE,
 }

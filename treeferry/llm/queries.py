@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeferry.llm import exact_dedup, license_scan, packing, quality_rules, token_planes, url_filter
+from treeferry.llm import exact_dedup, license_scan, mixing, packing, quality_rules, token_planes, url_filter, warc_zstd
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end=1)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, sf_dir, "documents"))
 
@@ -37,11 +41,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.read_archives(warc_zstd.write_archives(table(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_mixing": op3_mixing,
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_planes": op7_token_planes,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc": op10_warc,
 }
