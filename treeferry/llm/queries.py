@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeferry.llm import exact_dedup, license_scan, mixing, packing, quality_rules, token_planes, url_filter, warc_zstd
+from treeferry.llm import exact_dedup, license_scan, mixing, packing, quality_classifier, quality_rules, token_planes, url_filter, warc_zstd
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end=1)
 
@@ -46,6 +50,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op5_license_scan": op5_license_scan,
