@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeferry.llm import exact_dedup, license_scan, mixing, packing, quality_classifier, quality_rules, token_planes, url_filter, warc_zstd
+from treeferry.llm import (
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_planes,
+    url_filter,
+    warc_zstd,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +36,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, sf_dir, "documents"))
 
@@ -53,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_planes": op7_token_planes,
