@@ -132,7 +132,7 @@ def classes(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES)
 
     # A table of its own, and salted: so the texts of a large group meet it in many tasks.
     suspects = written(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suspects")
-    suspects = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    suspects = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     texts = bodies.mapInArrow(lambda batches: _hashed(batches, piece_bytes, True), f"{FOUND}, own binary")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
     chunks = texts.where("own IS NOT NULL").select(*KEY, salt, F.lit(0).alias("piece"), "own")
