@@ -1,0 +1,201 @@
+"""Quality rules, licence scans, URL rules and mixing: SQL, plain versions and odd rows."""
+
+import os
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import SF_DIR
+from treeferry.llm import license_scan, mixing, quality_rules, url_filter
+from treeferry.llm.oracles import ORACLES
+from treeferry.llm.queries import QUERIES
+from workload.check import rows_of
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the supplied tables")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "pages", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
+    wanted = connection.sql(ORACLES[name]).to_arrow_table()
+    got = QUERIES[name](spark, SF_DIR).toArrow()
+    assert sorted(got.column_names) == sorted(wanted.column_names)
+    assert rows_of(got) == rows_of(wanted)
+
+
+def plain_measures(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    lines = [line for line in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+TEXTS = [
+    None, "", " \n\t", "one", "a b c d e", "a b c d e a b c d e", "x " * 40, "a b c d e f " * 3 + "tail", "l\nl\nl\n\nm", "é😀 ß\x0bz\x85y ##$|<>",
+    "a\x00b c", "same line\nsame line\r\nsame line", "w " * 30000, "x" * 100000, "a b c d e z a b c d e", "q w e r t q w e r t q w e r t",
+]
+
+
+def test_measurements(make_docs):
+    found = {r.doc_id: r for r in quality_rules.verdicts(make_docs(list(enumerate(TEXTS)))).collect()}
+    for i, text in enumerate(TEXTS):
+        r = found[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_measures(text), text
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def test_policies_and_ablation(make_docs):
+    texts = ["few"] * 3 + ["x " * 40] * 2 + ["a b c d e f g h i j k"] * 4
+    entries = quality_rules.apply_policies(quality_rules.ledger(make_docs(list(enumerate(texts)))))
+    assert {c for c in entries.columns if c.startswith("kept_")} == {"kept_base-1", "kept_strict-1"}
+    assert entries.where("`kept_base-1`").count() == 4
+    found = {r.rule: (r.fails, r.alone, r.rejected) for r in quality_rules.ablation(entries, quality_rules.BASE).collect()}
+    assert found == {"too_few_words": (3, 3, 5), "repeated_windows": (2, 2, 5)}
+    strict = {r.rule: (r.fails, r.alone) for r in quality_rules.ablation(entries, quality_rules.STRICT).collect()}
+    assert strict["repeated_windows"] == (2, 0)  # words of one letter fail word_length as well
+    assert strict["word_length"] == (6, 4)
+
+
+def test_ledger_of_nothing(make_docs):
+    assert quality_rules.verdicts(make_docs([])).count() == 0
+
+
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL ANYONE BE LIABLE."""
+BSD2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+)
+BSD3 = BSD2 + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        (None, ""),
+        ("", ""),
+        ("We licensed nothing. The software is old.", ""),
+        ("some | table\nReleased under the MIT License.\nmore", "MIT"),
+        ("words " * 3000 + ".\nLicensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        (MIT, "MIT"),
+        (BSD2, "BSD-2-Clause"),
+        (BSD3, "BSD-3-Clause"),
+        (BSD3 + "\nunknown one.\n" * 9 + "Licensed under the Apache License, Version 2.0.", "BSD-3-Clause,Apache-2.0"),
+        ("# SPDX-License-Identifier: Apache-2.0\nimport os", "Apache-2.0"),
+        # out of order, or too far apart
+        ("\n".join(reversed(BSD2.split("\n"))), ""),
+        (BSD2.split("\n")[0] + "\n" + "unknown one.\n" * 9 + BSD2.split("\n", 1)[1], ""),
+    ],
+)
+def test_licences(make_docs, text, wanted):
+    row = license_scan.scan_licences(make_docs([(1, text)])).first()
+    text = re.sub(r"(?m)^\d\. ", "", text or "")
+    unnumbered = license_scan.scan_licences(make_docs([(1, text)])).first()
+    assert wanted in (row.licences, unnumbered.licences)
+
+
+def test_licensed_rows(make_docs):
+    docs = make_docs([(1, "Released under the MIT License."), (2, "Licensed under CC BY-NC 4.0."), (None, "Released under the MIT License."), (3, "x")])
+    assert Counter(r.doc_id for r in license_scan.licensed_rows(docs, ["MIT", "GPL-3.0"]).collect()) == {1: 1, None: 1}
+    assert license_scan.scan_licences(make_docs([])).count() == 0
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://Example.ORG/es/x?y#z", "http://example.org/es", "https://a.example.org/en/123", "http://notexample.org/es/",
+    "http://x.org", "http://x.org/", "http://x.org?q=/", "ftp://com/fr/", "http://a.com/FR/", "http://a.com/de/p/fr/", "http://a.b.com:80/de/",
+    "http://x.net/login", "http://x.net/LOGIN-now", "http://x.net/loginx", "http://casino.x.net/", "x://y://example.org/es/", "http://ÄB.org/\n/p", "http://org/a",
+]
+
+
+def plain_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), path
+
+
+def plain_verdict(host, path):
+    fits = []
+    for name, verdict in (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")):
+        own, _, rest = name.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith("/" + rest):
+            fits.append((len(name), name, verdict))
+    if fits:
+        return max(fits)[1:]
+    words = re.split("[^a-z0-9]+", (host + path).lower())
+    return None, "block" if {"login", "casino"} & set(words) else "allow"
+
+
+def test_urls(spark):
+    rows = [(i, u, "h") for i, u in enumerate(URLS)] + [(3, URLS[4], "h"), (None, URLS[4], "h")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string")
+    found = url_filter.judge_urls(pages).collect()
+    wanted = Counter()
+    for i, url, _ in rows:
+        host, path = plain_url(url)
+        rule, verdict = plain_verdict(host, path)
+        wanted[(i, host, path, rule, verdict)] += 1
+    assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in found) == wanted
+    assert url_filter.judge_urls(pages.where("false")).count() == 0
+
+
+def test_rules_are_filed_by_their_rarest_token():
+    files = url_filter._filed(url_filter.SITE_RULES, {"org": 90, "com": 70, "example": 100, "es": 3, "en": 200, "fr": 4, "de": 5})
+    assert {t: [r.name for r in rules] for t, rules in files.items()} == {
+        "org": ["org/", "example.org/en/1"], "es": ["example.org/es/"], "fr": ["com/fr/"], "de": ["com/de/"],
+    }
+    with pytest.raises(ValueError):
+        url_filter.judge_urls(None, [url_filter.SITE_RULES[0]] * (url_filter.MOST_RULES + 1))
+
+
+def test_a_rule_without_tokens(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/a//b"), (2, "http://x.net/a/b")], "page_id long, url string")
+    rules = [url_filter.Rule("slashes", "//", "block", (), 1)]
+    assert [r.verdict for r in url_filter.judge_urls(pages, rules).orderBy("page_id").collect()] == ["block", "allow"]
+
+
+def test_raking_meets_the_targets():
+    cells = {(s, l, t): n for n, (s, l, t) in enumerate(((s, l, t) for s in ("src0", "*") for l in ("en", "de", "*") for t in ("legal", "*")), 5)}
+    targets = {"source": {"src0": 0.4}, "lang": {"en": 0.5, "de": 0.3}, "topic": {"legal": 0.1}}
+    raked = mixing.rake(cells, targets)
+    for at, d in enumerate(mixing.DIMENSIONS):
+        sums = defaultdict(float)
+        for cell, weight in raked.items():
+            sums[cell[at]] += weight
+        assert all(abs(sums[k] - v) < 1e-6 for k, v in mixing.shares(targets[d]).items())
+    odds = mixing.probabilities(cells, targets)
+    assert max(odds.values()) == 1 and min(odds.values()) > 0
+    with pytest.raises(ValueError):
+        mixing.shares({"a": 0.7, "b": 0.7})
+
+
+def test_mixing_odd_rows(spark, make_docs):
+    docs = make_docs([(1, "one two"), (2, None), (3, ""), (None, "a b c"), (1, "one two")]).withColumn("tokens", F.lit("clash"))
+    docs = docs.unionByName(docs.limit(1).withColumns({"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")}))
+    found = mixing.mix(docs).collect()
+    assert len(found) == 6 and all(0 <= r.probability <= 1 for r in found)
+    assert mixing.mix(make_docs([])).count() == 0 and mixing.keep_drawn(make_docs([])).count() == 0
+    empty = mixing.mix(make_docs([(1, None), (2, "")])).collect()
+    assert [r.selected for r in empty] == [False, False]

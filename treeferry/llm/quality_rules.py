@@ -145,7 +145,7 @@ def rejected_by(policy: Policy, failed: Column | None = None) -> Column:
 
 def apply_policies(entries: DataFrame, policies: Mapping[str, Policy] = POLICIES) -> DataFrame:
     """A ledger with one boolean column ``kept_<version>`` for each policy."""
-    return entries.select("*", *(~rejected_by(p).alias(f"kept_{name}") for name, p in policies.items()))
+    return entries.select("*", *((~rejected_by(p)).alias(f"kept_{name}") for name, p in policies.items()))
 
 
 def ablation(entries: DataFrame, policy: Policy) -> DataFrame:
