@@ -191,7 +191,7 @@ def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     keyed = rows.mapInArrow(lambda batches: _with_digest(batches, at), schema)
     once = keyed.dropDuplicates(["own_digest", id_name])
     same: Column = once["own_digest"].eqNullSafe(kept["kept_digest"]) & once[id_name].cast("long").eqNullSafe(kept["kept_id"])
-    return once.join(kept, same, "left_semi").select(*names).toDF(*docs.columns)
+    return once.join(kept.hint("merge"), same, "left_semi").select(*names).toDF(*docs.columns)
 
 
 ORACLE = """

@@ -181,7 +181,7 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     banded = nodes.select("node", F.explode("bands").alias("hash"))
     shared = banded.groupBy("hash").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     shared = written(shared, "shared-bands")
-    return banded.join(shared, "hash").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
+    return banded.join(shared, "hash").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
 
 
 def comparisons(nodes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
@@ -379,15 +379,15 @@ def join_similar(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     its group's size.
     """
     signed, nodes = _nodes(docs, similarity, recall, text)
-    found = written(components(candidate_links(nodes)), "candidates")
-    placed = written(comparisons(nodes, found, similarity), "comparisons")
+    found = components(candidate_links(nodes))
+    placed = comparisons(nodes, found, similarity)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
     keyed = rows.mapInArrow(
         lambda batches: (b.select(["own_id", "text_key", "words"]) for b in _keyed(batches, 1, True)),
         "own_id long, text_key binary, words binary",
     )
-    texts = keyed.join(placed.withColumnRenamed("text_key", "node_key"), (F.col("text_key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("rep")))
+    texts = keyed.join(placed.withColumnRenamed("text_key", "node_key").hint("merge"), (F.col("text_key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("rep")))
     texts = texts.select("component", F.explode("tasks").alias("task"), "side", "node", "n_copies", "words")
     links = written(compared(texts, similarity), "links")
 
@@ -399,7 +399,7 @@ def join_similar(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         "named",
     )
     least = written(named.groupBy("component").agg(F.min("rep").alias("class_id")), "classes")
-    result = written(named.join(least, "component").select("text_key", "class_id", "n_links", "component"), "result")
+    result = named.join(least, "component").select("text_key", "class_id", "n_links", "component")
     return signed.select("doc_id", "text_key").join(result, "text_key").select("doc_id", "class_id", "n_links", "text_key", "component")
 
 
@@ -415,4 +415,4 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text"
     schema = T.StructType([*rows.schema.fields, T.StructField("text_key", T.BinaryType())])
     once = rows.mapInArrow(lambda batches: _keyed(batches, at, False), schema).dropDuplicates(["text_key", id_name])
     same = (F.col("text_key") == F.col("kept_key")) & F.col(id_name).cast("long").eqNullSafe(F.col("kept_id"))
-    return once.join(kept, same, "left_semi").select(*names).toDF(*docs.columns)
+    return once.join(kept.hint("merge"), same, "left_semi").select(*names).toDF(*docs.columns)
