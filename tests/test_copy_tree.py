@@ -1,5 +1,6 @@
 import hashlib
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def test_whole_tree(spark, roots, num_tasks):
     assert sum(r["bytes"] for r in rows) == sum(map(len, FILES.values()))
     for r in rows:
         folder, _, name = r["destination"].rpartition("/")
-        assert r["temp_path"] == f"{folder}/.treeferry.{r['task_attempt_id']}.{name}"
+        assert re.fullmatch(re.escape(folder) + r"/\.treeferry-[0-9a-f]{32}\.0", r["temp_path"]) and name
     if num_tasks:
         assert len({r["task_attempt_id"] for r in rows}) <= num_tasks
 
@@ -138,7 +139,9 @@ def test_a_file_where_a_directory_must_go(spark, roots):
     fill(source, {"d/f": b"x"})
     fill(target, {"data/d": b"a file"})
     report = tf.copy_tree(spark, str(source), str(target))
-    assert outcomes(report) == {"dir_exists": 2, "failed": 1}
+    assert outcomes(report) == {"dir_exists": 1, "failed": 2}
+    errors = {os.path.basename(r["destination"]): r["error"] for r in report.where("outcome = 'failed'").collect()}
+    assert "is a file" in errors["d"]
     assert (target / "data" / "d").read_bytes() == b"a file"
 
 
@@ -209,7 +212,7 @@ def test_one_large_file_is_spread_over_tasks(spark, roots):
     fill(source, {"huge": b"x" * 900_000, **{f"f{i}": b"y" * 10_000 for i in range(90)}})
     lengths = {name: os.path.getsize(source / name) for name in os.listdir(source)}
     batches = copying.plan_batches(plan_of(spark, source, target, lengths), 5 << 20, range_bytes=50_000)
-    assert batches.has_ranges
+    assert batches.cut_files == 1
     per_batch = batches.rows.groupBy("partition", "batch").agg(F.sum("len").alias("bytes"), F.count("*").alias("n"))
     assert max(r["n"] for r in per_batch.collect()) <= 6
     assert batches.rows.agg(F.sum("len")).first()[0] == sum(lengths.values())
@@ -217,56 +220,143 @@ def test_one_large_file_is_spread_over_tasks(spark, roots):
 
 def test_finished_ranges_may_be_finished_again(tmp_path):
     """A second attempt after the rename finds the file in place and no temporary."""
-    (tmp_path / ".temp").write_bytes(b"abc")
+    (tmp_path / ".temp").write_bytes(b"abc, and more of a longer one")
     row = {
         "destination": f"file://{tmp_path}/f", "temp_path": f"file://{tmp_path}/.temp",
         "range_error": None, "bytes": 3, "file_len": 3, "action": "copy",
     }
     assert copying._finish_ranges(copying.Task(1), row)["outcome"] == "copied"
-    assert copying._finish_ranges(copying.Task(2, repeated=True), row)["outcome"] == "copied"
+    assert copying._finish_ranges(copying.Task(2, 1), row)["outcome"] == "copied"
     with pytest.raises(OSError):
         copying._finish_ranges(copying.Task(3), row)
     assert os.listdir(tmp_path) == ["f"] and (tmp_path / "f").read_bytes() == b"abc"
 
 
-def test_leftover_temporary_files_do_not_matter(spark, roots):
-    source, target = roots
-    fill(source, {"f": b"new"})
-    fill(target, {"data/.treeferry.999999.f": b"left by a lost executor"})
-    assert outcomes(tf.copy_tree(spark, str(source), str(target)))["copied"] == 1
-    assert (target / "data" / "f").read_bytes() == b"new"
+def one_file(source, target, action="copy"):
+    return {
+        "source": f"file://{source}/f", "destination": f"file://{target}/f", "file_type": "file", "len": 3, "range_start": None,
+        "temp_path": f"file://{target}/.treeferry-x", "action": action,
+    }
 
 
 def test_two_attempts_at_the_same_time(roots):
     source, target = roots
     fill(source, {"f": b"new"})
-    row = {
-        "source": f"file://{source}/f", "destination": f"file://{target}/f", "file_type": "file",
-        "len": 3, "range_start": None,
-    }
-    first, second = (copying.Task(n, repeated=n > 1, speculative=True) for n in (1, 2))
-    fill(target, {".treeferry.1.f": b"ne"})  # the first attempt is under way
-    assert copying._copy_part(4096)(second, row)["outcome"] == "copied"
-    assert (target / ".treeferry.1.f").exists() and (target / "f").read_bytes() == b"new"
-    copying._put_in_place(first, copying.Stores().at("file:///")[0], f"{target}/.treeferry.1.f", f"{target}/f", 2, False)
-    assert os.listdir(target) == ["f"]
+    fill(target, {".treeferry-x.0": b"ne"})  # the first attempt is under way
+    second = copying.Task(2, 1, speculative=True)
+    assert copying._copy_part(4096)(second, one_file(source, target))["outcome"] == "copied"
+    assert (target / ".treeferry-x.0").exists() and (target / "f").read_bytes() == b"new"
 
 
-@pytest.mark.parametrize("retried", [False, True])
-def test_a_repeated_task_removes_what_its_lost_attempt_left(roots, retried):
+@pytest.mark.parametrize("number", [0, 2])
+def test_a_repeated_task_removes_what_its_lost_attempts_left(roots, number):
     source, target = roots
     fill(source, {"f": b"new"})
-    fill(target, {".treeferry.7.f": b"mine", ".treeferry.8.g": b"another task's", "f": b"old"})
-    row = {
-        "source": f"file://{source}/f", "destination": f"file://{target}/f", "file_type": "file",
-        "len": 3, "range_start": None,
-    }
-    result = copying._copy_part(4096)(copying.Task(9, retried), row)
+    fill(target, {".treeferry-x.0": b"mine, and longer", ".treeferry-x.1": b"mine", ".treeferry-y.0": b"another's", "f": b"old"})
+    result = copying._copy_part(4096)(copying.Task(9, number), one_file(source, target, "replace"))
     assert result["outcome"] == "replaced" and (target / "f").read_bytes() == b"new"
-    left = {".treeferry.8.g", "f"} | (set() if retried else {".treeferry.7.f"})
+    left = {".treeferry-y.0", "f"} | (set() if number else {".treeferry-x.1"})
     assert set(os.listdir(target)) == left
 
 
+@pytest.mark.parametrize("range_bytes", [1 << 30, 1000])
+def test_a_run_takes_over_what_one_of_its_id_left(spark, roots, range_bytes):
+    source, target = roots
+    fill(source, {"f": b"n" * 2500})
+    uri = f"file://{target}/data/f"
+    name = spark.range(1).select(copying.temp_uri(F.lit(uri), "run")).first()[0].removeprefix("file://")
+    fill(target, {"data/other": b""})
+    for left in (name, name + ".0"):
+        with open(left, "wb") as file:
+            file.write(b"left by an application that broke off" * 999)
+    report = tf.copy_tree(spark, str(source), str(target), run_id="run", range_bytes=range_bytes)
+    assert outcomes(report) == {"copied": 1, "dir_exists": 1}
+    assert (target / "data" / "f").read_bytes() == b"n" * 2500
+    # of the names of both kinds of copy, the one that was used is gone
+    assert len(os.listdir(target / "data")) == 3
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 30, 1000])
+def test_the_longest_names(spark, roots, range_bytes):
+    source, target = roots
+    names = ["x" * 255, "y" * 220, "\u00e9" * 127]
+    fill(source, {name: name.encode() * 9 for name in names})
+    assert outcomes(tf.copy_tree(spark, str(source), str(target), range_bytes=range_bytes)) == {"copied": 3, "dir_created": 1}
+    assert tree(target / "data") == tree(source)
+
+
+def test_many_cut_files_are_finished_by_several_tasks(spark, roots):
+    source, target = roots
+    fill(source, {f"f{i}": b"x" * 20 for i in range(600)})
+    report = tf.copy_tree(spark, str(source), str(target), range_bytes=10).where("outcome = 'copied'")
+    tasks = [r["count"] for r in report.groupBy("task_attempt_id").count().collect()]
+    assert sum(tasks) == 600 and len(tasks) > 1 and max(tasks) <= 256
+
+
+def test_a_destination_inside_the_source(spark, roots):
+    source, _ = roots
+    (source / "backup" / "deep").mkdir(parents=True)
+    (source.parent / "data2").mkdir()
+    for inside in ("backup", "backup/deep"):
+        with pytest.raises(ValueError, match="into itself"):
+            tf.copy_tree(spark, str(source), str(source / inside))
+    tf.copy_tree(spark, str(source), str(source.parent / "data2"))
+
+
+def test_links_are_reported(spark, roots):
+    source, target = roots
+    fill(source, {"f": b"x", "d/g": b"y"})
+    os.symlink(source / "f", source / "to_file")
+    os.symlink(source, source / "d" / "to_root")
+    os.symlink(source / "gone", source / "dangling")
+    report = tf.copy_tree(spark, str(source), str(target), on_error="fail")
+    assert outcomes(report) == {"copied": 2, "dir_created": 2, "skipped": 3}
+    skipped = {os.path.basename(r["destination"]): r["file_type"] for r in report.where("outcome = 'skipped'").collect()}
+    assert skipped == {"to_file": "link", "to_root": "link", "dangling": "link"}
+
+
+def test_an_excluded_directory_is_not_read(spark, roots):
+    source, target = roots
+    fill(source, {"kept": b"x", "no/deep/f": b"y", "also/kept": b"z"})
+    os.mkfifo(source / "pipe")
+    report = tf.copy_tree(spark, str(source), str(target), exclude=[".*/no", ".*/pipe"], on_error="fail")
+    assert outcomes(report) == {"copied": 2, "dir_created": 2}
+    listed = tf.walk_tree(spark, str(source), exclude=[".*/no"]).rows
+    assert listed.where("uri LIKE '%/no%'").isEmpty()
+
+
+def test_filesystem_settings_reach_the_tasks(spark, roots, monkeypatch):
+    from treeferry.storage import LocalStore, Stores
+
+    @staticmethod
+    def opened(scheme, authority, options):
+        if options.get("token") != f"for {authority}":
+            raise PermissionError(f"no settings for {authority}")
+        return LocalStore(), ""
+
+    monkeypatch.setattr(Stores, "_open", opened)
+    source, target = roots
+    fill(source, {"f": b"x", "d/g": b"y"})
+    options = {"source_options": {"token": "for a"}, "destination_options": {"token": "for b"}}
+    report = tf.copy_tree(spark, f"test://a{source}", f"test://b{target}", **options)
+    assert outcomes(report) == {"copied": 2, "dir_created": 2} and tree(target / "data") == tree(source)
+    with pytest.raises(PermissionError):
+        tf.copy_tree(spark, f"test://a{source}", f"test://b{target}")
+
+
+def test_stores_whose_files_appear_when_closed(spark, roots, monkeypatch):
+    from pyarrow.fs import LocalFileSystem
+
+    from treeferry import storage
+
+    monkeypatch.setattr(storage, "OBJECT_STORES", ("local",))
+    monkeypatch.setattr(storage.Stores, "_open", staticmethod(lambda *_: (storage.ArrowStore(LocalFileSystem()), "")))
+    source, target = roots
+    fill(source, {"f": b"x", "d/g": b"y"})
+    report = tf.copy_tree(spark, f"test://a{source}", f"test://b{target}", on_error="fail")
+    assert tree(target / "data") == tree(source) and report.where("temp_path IS NOT NULL").isEmpty()
+
+
 def test_repeats_in_a_plan_are_copied_once(spark, roots):
     source, target = roots
     fill(source, {"f": b"x", "g": b"y"})
@@ -338,14 +428,30 @@ def test_levels_that_share_a_job(monkeypatch):
 
 def test_delete_paths(spark, roots):
     _, target = roots
-    fill(target, {"d/e/f": b"x", "g": b"y", "kept": b"z"})
-    rows = spark.createDataFrame([(f"file://{target}/{p}",) for p in ("d", "g", "none")], "uri string")
+    fill(target, {"d/e/f": b"x", "d/e2/f": b"x", "g": b"y", "kept": b"z", "dd/kept": b"z"})
+    os.symlink(target / "kept", target / "d" / "link")
+    os.symlink(target / "dd", target / "link")
+    os.mkfifo(target / "d" / "pipe")
+    (target / "d" / "empty").mkdir()
+    asked = ("d", "g", "none", "d/e", "d/e/f", "d", "link", "d/none")
+    rows = spark.createDataFrame([(f"file://{target}/{p}",) for p in asked], "uri string")
     report = tf.delete_paths(rows)
-    found = {os.path.basename(r["destination"]): r["outcome"] for r in report.collect()}
-    assert found == {"d": "deleted", "g": "deleted", "none": "absent"}
-    assert os.listdir(target) == ["kept"]
+    found = sorted((os.path.basename(r["destination"]), r["outcome"]) for r in report.collect())
+    assert found == [("d", "deleted"), ("g", "deleted"), ("link", "deleted"), ("none", "absent")]
+    assert sorted(os.listdir(target)) == ["dd", "kept"] and os.listdir(target / "dd") == ["kept"]
     (target / "g").write_bytes(b"back")
-    assert report.count() == 3 and (target / "g").exists()
+    assert report.count() == 4 and (target / "g").exists()
+
+
+def test_delete_a_large_tree_in_several_tasks(spark, roots, monkeypatch):
+    _, target = roots
+    monkeypatch.setattr(copying, "CALLS_PER_TASK", 20)
+    fill(target, {f"t/d{i % 7}/f{i}": b"" for i in range(100)})
+    tasks = []
+    real = copying._run_once
+    monkeypatch.setattr(copying, "_run_once", lambda todo, *a: tasks.append(todo.rdd.getNumPartitions()) or real(todo, *a))
+    report = tf.delete_paths(spark.createDataFrame([(f"file://{target}/t",)], "uri string"))
+    assert outcomes(report) == {"deleted": 1} and os.listdir(target) == [] and max(tasks) == 5
 
 
 def test_relative_paths_start_at_the_working_directory(spark, roots, monkeypatch):

@@ -50,11 +50,19 @@ def test_directories(store, tmp_path):
     with pytest.raises(FileExistsError):
         store.make_directory(path)
     write(tmp_path / "d" / "f", b"x")
-    store.remove_tree(path)
+    with pytest.raises(OSError):
+        store.remove_directory(path)
+    store.remove_file(path + "/f")
+    store.remove_directory(path)
     assert store.status(path) is None
-    write(tmp_path / "f", b"x")
-    store.remove_tree(str(tmp_path / "f"))
-    assert store.status(str(tmp_path / "f")) is None
+
+
+def test_open_fresh(store, tmp_path):
+    write(tmp_path / "f", b"longer than what follows")
+    for _ in range(2):
+        with store.open_fresh(str(tmp_path / "f")) as file:
+            file.write(b"new")
+        assert (tmp_path / "f").read_bytes() == b"new"
 
 
 def test_ranges_of_one_file(tmp_path):

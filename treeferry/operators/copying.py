@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import re
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from treeferry.functions.paths import DIRECTORY, FILE, depth_of
+from treeferry.functions.paths import DIRECTORY, FILE, depth_of, folder_of
 from treeferry.operators.balance import balance_by_bytes, spread_over_tasks
 from treeferry.operators.reporting import REPORT_SCHEMA
 from treeferry.scratch import new_folder, read_table, written
 from treeferry.session import speculates
+from treeferry.sources.listing import ENTRY, PENDING, walk_below
 from treeferry.storage import Stores, copy_bytes, split_parent
 
 BUFFER_BYTES = 8 << 20
@@ -26,7 +27,7 @@ BUFFER_BYTES = 8 << 20
 FILE_COST_BYTES = 1 << 20
 # Larger files are copied in ranges by several tasks, where the target can be written so.
 RANGE_BYTES = 1 << 30
-TEMP_PREFIX = "treeferry"
+TEMP_PREFIX = ".treeferry-"
 # Directories or deletions per task.
 CALLS_PER_TASK = 256
 
@@ -43,39 +44,37 @@ class CopyFailed(RuntimeError):
 
 
 class Task:
-    """What the rows of one task share: stores, the attempt's id, whether the task was
-    tried before, and whether another attempt may run at the same time."""
+    """What the rows of one task share: stores, the attempt's id, which attempt at the task
+    it is, and whether another one may run at the same time."""
 
-    def __init__(self, attempt: int, repeated: bool = False, speculative: bool = False):
-        self.at = Stores().at
+    def __init__(self, attempt: int, number: int = 0, speculative: bool = False, options: dict | None = None):
+        self.at = Stores(options).at
         self.attempt = attempt
-        self.repeated = repeated
+        self.number = number
         self.speculative = speculative
-        self._leftovers: dict[str, dict[str, list[str]]] = {}
-
-    def remove_leftovers(self, store, folder: str, name: str) -> None:
-        """In a repeated task, remove temporary files that a lost attempt left for this
-        file. No other task writes it; each folder is read once."""
-        if self.speculative or not self.repeated:
-            return
-        if folder not in self._leftovers:
-            found = self._leftovers.setdefault(folder, {})
-            for entry, _, _ in store.scan(folder):
-                if match := re.fullmatch(rf"\.{TEMP_PREFIX}\.\d+\.(.*)", entry, re.DOTALL):
-                    found.setdefault(match[1], []).append(entry)
-        for entry in self._leftovers[folder].pop(name, []):
-            store.remove_file(f"{folder.removesuffix('/')}/{entry}")
+
+    def own_name(self, temp: str) -> str:
+        """The name of this attempt's temporary file. A lost attempt that is still writing
+        has another, so it cannot spoil this one's."""
+        return f"{temp}.{self.number}"
+
+    def remove_leftovers(self, store, temp: str) -> None:
+        """Remove what earlier attempts at this task left, by their names."""
+        for number in range(0 if self.speculative else self.number):
+            name = f"{temp}.{number}"
+            if store.status(name):
+                store.remove_file(name)
 
 
 Act = Callable[[Task, dict], dict]
 
 
-def _report_task(act: Act, schema: pa.Schema, speculative: bool) -> Callable[[Iterator], Iterator]:
+def _report_task(act: Act, schema: pa.Schema, speculative: bool, options: dict | None) -> Callable[[Iterator], Iterator]:
     """A task that calls ``act`` for each row and yields the report rows it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        task = Task(context.taskAttemptId(), context.attemptNumber() > 0, speculative)
+        task = Task(context.taskAttemptId(), context.attemptNumber(), speculative, options)
 
         def report_row(row: dict) -> dict:
             base = {
@@ -100,18 +99,20 @@ def _report_task(act: Act, schema: pa.Schema, speculative: bool) -> Callable[[It
     return run
 
 
-def _run_once(todo: DataFrame, act: Act, path: str, schema: str) -> DataFrame:
+def _run_once(todo: DataFrame, act: Act, path: str, schema: str, options: dict | None = None) -> DataFrame:
     """Act on every row of ``todo`` in one job and read the report that it wrote, so
     that further actions on the report do not act on the filesystem again."""
     spark = todo.sparkSession
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    todo.mapInArrow(_report_task(act, arrow, speculates(spark)), schema).write.parquet(path)
+    todo.mapInArrow(_report_task(act, arrow, speculates(spark), options), schema).write.parquet(path)
     return read_table(spark, path, schema)
 
 
 def _make_directory(task: Task, row: dict) -> dict:
     store, path = task.at(row["destination"])
-    if store.status(path):
+    if found := store.status(path):
+        if found[0] != DIRECTORY:
+            raise NotADirectoryError(f"{path} is a {found[0]}")
         return {"outcome": "dir_exists"}
     parent = split_parent(path)[0]
     if not store.status(parent):
@@ -135,114 +136,153 @@ def _level_groups(levels: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return groups
 
 
-def create_directories(directories: DataFrame) -> DataFrame:
+def create_directories(directories: DataFrame, options: dict | None = None) -> DataFrame:
     """Create the directories of ``source, destination``, parents before children, and
-    report on each. A directory whose parent is missing fails."""
+    report on each. A directory fails whose parent is missing, or where a file is."""
     depth = depth_of("destination").alias("depth")
-    return create_levels(written(directories.select("source", "destination", depth), "directories"))
+    return create_levels(written(directories.select("source", "destination", depth), "directories"), options)
 
 
-def create_levels(directories: DataFrame) -> DataFrame:
+def create_levels(directories: DataFrame, options: dict | None = None) -> DataFrame:
     """``create_directories`` for a written table with ``depth``: one job per depth, over
     that depth's directories only; depths with few directories share a job of one task
     that goes through them in order."""
     spark = directories.sparkSession
     todo = directories.select("source", "destination", F.lit(DIRECTORY).alias("file_type"), "depth")
-    levels = sorted(tuple(level) for level in todo.groupBy("depth").count().collect())
+    return _by_levels(todo, _make_directory, options) or spark.createDataFrame([], REPORT_SCHEMA)
+
+
+def _by_levels(todo: DataFrame, act: Act, options: dict | None, deepest_first: bool = False) -> DataFrame | None:
+    """Act on rows with ``depth``, one depth after the other; None without any row."""
+    spark = todo.sparkSession
+    levels = sorted((tuple(level) for level in todo.groupBy("depth").count().collect()), reverse=deepest_first)
     report = new_folder(spark, "directories-report")
     for group in _level_groups(levels):
-        first, last = group[0][0], group[-1][0]
+        depths = [depth for depth, _ in group]
         tasks = -(-sum(count for _, count in group) // CALLS_PER_TASK)
-        some = todo.where(F.col("depth").between(first, last)).repartition(tasks)
-        _run_once(some.sortWithinPartitions("depth"), _make_directory, f"{report}/depth={first}", REPORT_SCHEMA)
-    return read_table(spark, report, REPORT_SCHEMA) if levels else spark.createDataFrame([], REPORT_SCHEMA)
+        some = todo.where(F.col("depth").between(min(depths), max(depths))).repartition(tasks)
+        order = F.desc("depth") if deepest_first else F.asc("depth")
+        _run_once(some.sortWithinPartitions(order), act, f"{report}/depth={depths[0]}", REPORT_SCHEMA, options)
+    return read_table(spark, report, REPORT_SCHEMA) if levels else None
 
 
-def _delete(task: Task, row: dict) -> dict:
+def _look(task: Task, row: dict) -> dict:
     store, path = task.at(row["destination"])
-    if not store.status(path):
-        return {"outcome": "absent"}
-    try:
-        store.remove_tree(path)
-    except Exception:
-        if not store.status(path):
-            return {"outcome": "absent"}
-        raise
-    return {"outcome": "deleted"}
-
+    if store.is_link(path):
+        return {"outcome": FILE}
+    found = store.status(path)
+    return {"outcome": "absent" if not found else DIRECTORY if found[0] == DIRECTORY else FILE}
 
-def delete_paths(uris: DataFrame) -> DataFrame:
-    """Delete the files and whole directories of ``uri`` and report on each. A path
-    that does not exist is no error."""
-    todo = written(uris.select(F.col("uri").alias("destination")), "deletions")
-    tasks = max(1, -(-todo.count() // CALLS_PER_TASK))
-    path = new_folder(uris.sparkSession, "delete-report")
-    return _run_once(todo.repartition(tasks), _delete, path, REPORT_SCHEMA)
 
+def _remove(of_store: str) -> Act:
+    def act(task: Task, row: dict) -> dict:
+        store, path = task.at(row["destination"])
+        with contextlib.suppress(FileNotFoundError):  # a lost attempt at this task was faster
+            getattr(store, of_store)(path)
+        return {"outcome": "deleted"}
 
-def _existing_file(store, path: str) -> bool:
-    found = store.status(path)
-    if found and found[0] == DIRECTORY:
-        raise IsADirectoryError(f"{path} is a directory")
-    return found is not None
+    return act
 
 
-def _put_in_place(task: Task, store, temp: str, path: str, expected: int, existing: bool) -> None:
-    found = store.status(temp)
+def _outermost(uris: DataFrame) -> DataFrame:
+    """The distinct URIs that are not below another one of them."""
+    distinct = uris.select("uri").distinct()
+    parts = F.split("uri", "/")
+    above = F.transform(F.sequence(F.lit(4), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    chain = distinct.where(F.size(parts) > 4).select("uri", F.explode(above).alias("above"))
+    nested = chain.join(distinct.select(F.col("uri").alias("above")), "above", "left_semi")
+    return distinct.join(nested.select("uri").distinct(), "uri", "left_anti")
+
+
+def delete_paths(uris: DataFrame, options: dict | None = None) -> DataFrame:
+    """Delete the files and whole directories of ``uri`` and report on each. A path that
+    does not exist is no error. A URI that repeats, or is below another one, has no row of
+    its own: the outer one's stands for it.
+
+    Trees are listed first, their files deleted in batches that share the work, and their
+    directories by depth, the deepest first; links are deleted and not followed.
+    """
+    spark = uris.sparkSession
+    asked = written(_outermost(uris).select(F.col("uri").alias("destination")), "deletions")
+
+    def in_batches(rows: DataFrame, act: Act, name: str) -> DataFrame:
+        tasks = max(1, -(-rows.count() // CALLS_PER_TASK))
+        return _run_once(rows.repartition(tasks), act, new_folder(spark, name), REPORT_SCHEMA, options)
+
+    seen = in_batches(asked, _look, "delete-look")
+    trees = seen.where(F.col("outcome") == DIRECTORY).select(F.col("destination").alias("uri"))
+    below = walk_below(spark, trees, options).rows.where(F.col("kind") != PENDING)
+    is_folder = (F.col("kind") == ENTRY) & (F.col("file_type") == DIRECTORY)
+    unread = (F.col("kind") != ENTRY) & (F.col("file_type") == DIRECTORY)  # its removal will tell
+    leaves = below.where(~is_folder & ~unread).select(F.col("uri").alias("destination"))
+    files = in_batches(seen.where(F.col("outcome") == FILE).select("destination").unionByName(leaves), _remove("remove_file"), "delete-files")
+
+    folders = trees.unionByName(below.where(is_folder).select("uri")).select(F.col("uri").alias("destination"), depth_of("uri").alias("depth"))
+    report = files.unionByName(seen.where(F.col("outcome").isin("absent", "failed")))
+    emptied = _by_levels(written(folders, "folders"), _remove("remove_directory"), options, deepest_first=True)
+    if emptied is not None:
+        report = report.unionByName(emptied)
+    return report.join(asked, "destination", "left_semi").select(*StructType.fromDDL(REPORT_SCHEMA).names)
+
+
+def _checked(store, path: str, expected: int) -> None:
+    found = store.status(path)
     if not found or found[1] != expected:
         raise OSError(f"wrote {found and found[1]} bytes, but the source was listed with {expected}")
-    # A second attempt at the same time may have put the same bytes there just now.
-    store.rename(temp, path, replace=existing or task.speculative)
-
 
-def _temp_beside(uri: str, marker: str) -> str:
-    folder, _, name = uri.rpartition("/")
-    return f"{folder}/.{TEMP_PREFIX}.{marker}.{name}"
 
+def _outcome(row: dict) -> str:
+    return "replaced" if row["action"] == "replace" else "copied"
 
-def _copy_file(buffer_bytes: int) -> Act:
-    """Copy one whole file through a temporary name in the destination's directory."""
 
-    def act(task: Task, row: dict) -> dict:
-        if row["file_type"] != FILE:
-            raise ValueError(f"{row['source']} is neither a file nor a directory")
-        source_store, source_path = task.at(row["source"])
-        store, path = task.at(row["destination"])
-        temp_path = _temp_beside(row["destination"], str(task.attempt))
-        _, temp = task.at(temp_path)
-        task.remove_leftovers(store, *split_parent(path))
-        existing = _existing_file(store, path)
+def _copy_file(task: Task, row: dict, buffer_bytes: int) -> dict:
+    """Copy one whole file through a temporary name in the destination's directory, or
+    straight to its own where a file is seen only once it is whole."""
+    source_store, source_path = task.at(row["source"])
+    store, path = task.at(row["destination"])
+    if store.appears_when_closed:
+        with source_store.open_input(source_path) as reader, store.open_fresh(path) as writer:
+            count = copy_bytes(reader, writer, buffer_bytes)
+        _checked(store, path, row["len"])
+        return {"outcome": _outcome(row), "bytes": count, "temp_path": None}
+    task.remove_leftovers(store, task.at(row["temp_path"])[1])
+    temp_path = task.own_name(row["temp_path"])
+    _, temp = task.at(temp_path)
+    unfinished = False
+    try:
+        with source_store.open_input(source_path) as reader, store.open_fresh(temp) as writer:
+            unfinished = True
+            count = copy_bytes(reader, writer, buffer_bytes)
+        _checked(store, temp, row["len"])
+        store.rename(temp, path, replace=True)
         unfinished = False
-        try:
-            with source_store.open_input(source_path) as reader, store.open_new(temp) as writer:
-                unfinished = True
-                count = copy_bytes(reader, writer, buffer_bytes)
-            _put_in_place(task, store, temp, path, row["len"], existing)
-            unfinished = False
-        finally:
-            if unfinished and store.status(temp):
-                store.remove_file(temp)
-        return {"outcome": "replaced" if existing else "copied", "bytes": count, "temp_path": temp_path}
+    finally:
+        if unfinished and store.status(temp):
+            store.remove_file(temp)
+    return {"outcome": _outcome(row), "bytes": count, "temp_path": temp_path}
 
-    return act
 
+def _copy_range(task: Task, row: dict, buffer_bytes: int) -> dict:
+    """Copy one range of a large file into the temporary file that its ranges share."""
+    source_store, source_path = task.at(row["source"])
+    store, temp = task.at(row["temp_path"])
+    found = source_store.status(source_path)
+    if not found or found[1] != row["file_len"]:
+        raise OSError(f"the source has {found and found[1]} bytes, but was listed with {row['file_len']}")
+    start = row["range_start"]
+    with source_store.open_input(source_path, start) as reader, store.open_range(temp, start) as writer:
+        count = copy_bytes(reader, writer, buffer_bytes, limit=row["len"])
+    return {"outcome": "range", "bytes": count}
 
-def _copy_part(buffer_bytes: int) -> Act:
-    """Copy a whole file, or one range of a large file into its shared temporary file."""
-    whole = _copy_file(buffer_bytes)
 
+def _copy_part(buffer_bytes: int) -> Act:
     def act(task: Task, row: dict) -> dict:
-        if row["range_start"] is None:
-            return whole(task, row)
-        source_store, source_path = task.at(row["source"])
-        store, temp = task.at(row["temp_path"])
-        found = source_store.status(source_path)
-        if not found or found[1] != row["file_len"]:
-            raise OSError(f"the source has {found and found[1]} bytes, but was listed with {row['file_len']}")
-        start = row["range_start"]
-        with source_store.open_input(source_path, start) as reader, store.open_range(temp, start) as writer:
-            count = copy_bytes(reader, writer, buffer_bytes, limit=row["len"])
-        return {"outcome": "range", "bytes": count}
+        if row["file_type"] != FILE:
+            raise ValueError(f"{row['source']} is neither a file nor a directory")
+        if row["action"] == "conflict":
+            raise IsADirectoryError(f"{row['destination']} is a directory")
+        copy = _copy_file if row["range_start"] is None else _copy_range
+        return copy(task, row, buffer_bytes)
 
     return act
 
@@ -251,86 +291,101 @@ def _finish_ranges(task: Task, row: dict) -> dict:
     """Put a file in place whose ranges are all written, or remove what there is."""
     store, path = task.at(row["destination"])
     _, temp = task.at(row["temp_path"])
-    replacing = row["action"] == "replace"
     try:
         if row["range_error"] or row["bytes"] != row["file_len"]:
             raise OSError(row["range_error"] or f"wrote {row['bytes']} of {row['file_len']} bytes")
-        existing = _existing_file(store, path)
-        other_attempt = task.repeated or task.speculative
-        done = other_attempt and existing and not store.status(temp) and store.status(path)[1] == row["file_len"]
-        if not done:  # else another attempt at this task got this far
-            replacing = existing
-            _put_in_place(task, store, temp, path, row["file_len"], existing)
+        found = store.status(temp)
+        another = task.number or task.speculative
+        if found or not another or store.status(path) != (FILE, row["file_len"]):  # else an earlier attempt got this far
+            if found and found[1] > row["file_len"]:  # of a longer file, left by an earlier run
+                store.truncate(temp, row["file_len"])
+            _checked(store, temp, row["file_len"])
+            store.rename(temp, path, replace=True)
     except Exception:
         if store.status(temp):
             store.remove_file(temp)
         raise
-    return {"outcome": "replaced" if replacing else "copied", "bytes": row["bytes"]}
+    return {"outcome": _outcome(row), "bytes": row["bytes"]}
+
 
+def temp_uri(destination: Column, run_id: str) -> Column:
+    """The temporary name of a destination in a run: beside it, and of one length whatever
+    the file's own name, so every legal name can be copied."""
+    return F.concat(folder_of(destination), F.lit(TEMP_PREFIX), F.md5(F.concat(F.lit(run_id + "\n"), destination).cast("binary")))
 
-def _in_ranges(files: DataFrame, range_bytes: int, run: str) -> DataFrame:
+
+def _in_ranges(files: DataFrame, range_bytes: int, run_id: str) -> DataFrame:
     """One row per range of the files above ``range_bytes``, where the destination can
     be written in ranges; all other files stay one row, with no ``range_start``."""
-    large = (F.col("len") > range_bytes) & F.col("destination").startswith("file://")
+    splits = (F.col("file_type") == FILE) & (F.col("action") != "conflict")
+    large = splits & (F.col("len") > range_bytes) & F.col("destination").startswith("file://")
     size = F.lit(range_bytes).cast("bigint")
     starts = F.when(large, F.sequence(F.lit(0).cast("bigint"), F.col("len") - 1, size)).otherwise(
         F.array(F.lit(None).cast("bigint"))
     )
-    temp = F.regexp_replace("destination", r"/([^/]*)$", rf"/.{TEMP_PREFIX}.{run}.$1")
     return (
         files.withColumn("range_start", F.explode(starts))
         .withColumn("file_len", F.col("len"))
-        .withColumn("temp_path", F.when(large, temp))
+        .withColumn("temp_path", temp_uri(F.col("destination"), run_id))
         .withColumn("len", F.when(large, F.least(size, F.col("len") - F.col("range_start"))).otherwise(F.col("len")))
     )
 
 
 @dataclass(frozen=True)
 class Batches:
-    """Written copy work: rows with ``partition, batch``, whether any is a range, and
-    how many batches there are if they are all in one partition."""
+    """Written copy work: rows with ``partition, batch``, how many files are cut into
+    ranges, and how many batches there are if they are all in one partition."""
 
     rows: DataFrame
-    has_ranges: bool
+    cut_files: int
     only_batches: int | None
 
 
 def plan_batches(
-    files: DataFrame, bytes_per_task: int, rows: int | None = None, range_bytes: int = RANGE_BYTES
+    files: DataFrame,
+    bytes_per_task: int,
+    rows: int | None = None,
+    range_bytes: int = RANGE_BYTES,
+    run_id: str | None = None,
 ) -> Batches:
     """Cut the files of a plan (``source, destination, file_type, len, action``) into
     batches of about ``bytes_per_task``, so that neither many small files nor a few
     large ones end up together. Files above ``range_bytes`` are cut into ranges first.
-    ``rows`` is the number of files, if known."""
+    ``rows`` is the number of files, if known. ``run_id`` marks the temporary names; a
+    run with that of an earlier one takes over what that left."""
     seen = Observation()
     parts = _in_ranges(
-        files.select("source", "destination", "file_type", "len", "action"), range_bytes, uuid.uuid4().hex
+        files.select("source", "destination", "file_type", "len", "action"), range_bytes, run_id or uuid.uuid4().hex
     )
     cost = F.col("len") + FILE_COST_BYTES
     balanced = balance_by_bytes(parts, bytes_per_task, rows, cost, order=("destination", "range_start"))
-    counts = (F.count("range_start"), F.max("partition"), F.max("batch"))
-    names = ("ranges", "last_partition", "last_batch")
+    counts = (F.count_if(F.col("range_start") == 0), F.max("partition"), F.max("batch"))
+    names = ("cut_files", "last_partition", "last_batch")
     batches = written(balanced.observe(seen, *(c.alias(n) for c, n in zip(counts, names))), "batches")
-    ranges, last_partition, last_batch = (seen.get[name] for name in names)
+    cut_files, last_partition, last_batch = (seen.get[name] for name in names)
     only_batches = None if last_partition else (last_batch or 0) + 1
-    return Batches(batches, ranges > 0, only_batches)
+    return Batches(batches, cut_files, only_batches)
 
 
-def copy_batches(batches: Batches, num_tasks: int | None = None, buffer_bytes: int = BUFFER_BYTES) -> DataFrame:
+def copy_batches(
+    batches: Batches, num_tasks: int | None = None, buffer_bytes: int = BUFFER_BYTES, options: dict | None = None
+) -> DataFrame:
     """Copy written batches, one task each, and report on every file. With ``num_tasks``
     the batches are dealt to that many tasks."""
     spark = batches.rows.sparkSession
     routed, _ = spread_over_tasks(batches.rows, num_tasks, batches.only_batches)
-    stage = _run_once(routed, _copy_part(buffer_bytes), new_folder(spark, "copy-stage"), STAGE_SCHEMA)
+    stage = _run_once(routed, _copy_part(buffer_bytes), new_folder(spark, "copy-stage"), STAGE_SCHEMA, options)
     columns = StructType.fromDDL(REPORT_SCHEMA).names
-    if not batches.has_ranges:
+    if not batches.cut_files:
         return stage.select(columns)
 
     cut_files = stage.where(F.col("file_len").isNotNull()).groupBy(
         "source", "destination", "file_type", "temp_path", "file_len", "action"
     )
     to_finish = cut_files.agg(F.sum("bytes").alias("bytes"), F.max("error").alias("range_error"))
-    finished = _run_once(to_finish, _finish_ranges, new_folder(spark, "ranges-report"), REPORT_SCHEMA)
+    # An explicit count: adaptive execution would merge these few bytes, and so all renames.
+    to_finish = to_finish.repartition(-(-batches.cut_files // CALLS_PER_TASK))
+    finished = _run_once(to_finish, _finish_ranges, new_folder(spark, "ranges-report"), REPORT_SCHEMA, options)
     return stage.where(F.col("file_len").isNull()).select(columns).unionByName(finished)
 
 
@@ -342,9 +397,12 @@ def execute_copy(
     num_tasks: int | None = None,
     range_bytes: int = RANGE_BYTES,
     buffer_bytes: int = BUFFER_BYTES,
+    run_id: str | None = None,
+    options: dict | None = None,
 ) -> DataFrame:
     """Copy the files of a plan, each once, and report on each. Their directories have
-    to exist."""
+    to exist. ``action`` says what is expected in a file's place: nothing (``copy``), a file
+    (``replace``), or what forbids the copy (``conflict``)."""
     once = files.select("source", "destination", "file_type", "len", "action").distinct()
-    batches = plan_batches(once, bytes_per_task, rows, range_bytes)
-    return copy_batches(batches, num_tasks, buffer_bytes)
+    batches = plan_batches(once, bytes_per_task, rows, range_bytes, run_id)
+    return copy_batches(batches, num_tasks, buffer_bytes, options)

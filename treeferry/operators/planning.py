@@ -34,6 +34,7 @@ def compare_manifests(source: DataFrame, destination: DataFrame) -> DataFrame:
         F.coalesce("file_type", "dest_type").alias("file_type"),
         "len",
         "dest_len",
+        "dest_type",
         F.when(F.col("dest_uri").isNull(), "source_only")
         .when(F.col("source").isNull(), "destination_only")
         .otherwise("both")
@@ -43,21 +44,25 @@ def compare_manifests(source: DataFrame, destination: DataFrame) -> DataFrame:
 
 def copy_plan(source: DataFrame, destination: DataFrame) -> DataFrame:
     """What to do for every source entry: ``source, destination, len, file_type,
-    dest_len, action``.
+    dest_len, dest_type, action``.
 
-    Every source entry stays: an existing file is replaced whatever its length, and
+    A directory where a file must go, or the reverse, is a ``conflict``: nothing is done
+    there. Every source entry stays: an existing file is replaced whatever its length, and
     nothing at the destination is removed. Catalyst turns the full outer comparison
     and the filter into a left outer join.
     """
     kept = compare_manifests(source, destination).where(F.col("source").isNotNull())
     present = F.col("status") == "both"
+    conflict = present & ((F.col("dest_type") == DIRECTORY) != is_directory())
     return kept.select(
         "source",
         "destination",
         "len",
         "file_type",
         "dest_len",
-        F.when(is_directory(), F.when(present, "keep").otherwise("create"))
+        "dest_type",
+        F.when(conflict, "conflict")
+        .when(is_directory(), F.when(present, "keep").otherwise("create"))
         .otherwise(F.when(present, "replace").otherwise("copy"))
         .alias("action"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeferry.functions.paths import destination_of_root, exclude_paths, is_directory, is_file, map_destination
+from treeferry.functions.paths import below, destination_of_root, is_directory, is_file, map_destination
 from treeferry.operators.copying import (
     BUFFER_BYTES,
     FILE_COST_BYTES,
@@ -15,22 +15,20 @@ from treeferry.operators.copying import (
     Batches,
     CopyFailed,
     copy_batches,
-    create_directories,
     create_levels,
     plan_batches,
 )
-from treeferry.operators.planning import copy_plan, directories_of
+from treeferry.operators.planning import copy_plan
 from treeferry.scratch import written
 from treeferry.session import qualified, side_by_side, speculates, spread_by
 from treeferry.sources.listing import TreeListing, walk_root
 from treeferry.sources.manifests import to_destination_manifest, to_source_manifest
-from treeferry.storage import Stores, make_directories
+from treeferry.storage import Stores, make_directories, root_of
 
 # A task costs some tenths of a second besides its work, so small copies get few tasks.
 TASKS_PER_CORE = 2
 LEAST_BYTES_PER_TASK = 64 << 20
 MOST_BYTES_PER_TASK = 4 << 30
-SMALL_LISTING = 1_000_000
 
 
 def copy_tree(
@@ -45,6 +43,9 @@ def copy_tree(
     exclude: Iterable[str] = (),
     range_bytes: int = RANGE_BYTES,
     buffer_bytes: int = BUFFER_BYTES,
+    run_id: str | None = None,
+    source_options: dict[str, str] | None = None,
+    destination_options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Copy the tree at ``source`` below ``destination``, under the source's own name,
     and return the report: one row per file and directory.
@@ -54,52 +55,56 @@ def copy_tree(
     ``num_tasks`` bounds the copy tasks (default: by bytes and cores), ``listing_tasks``
     is the least for listing. ``on_error='fail'`` raises ``CopyFailed`` at the end if an
     entry failed, ``'collect'`` only reports it. ``exclude`` holds full-match patterns
-    of URIs to leave out.
+    (Python syntax) of source URIs to leave out; a directory that matches is left out with
+    everything below it. Symbolic links are not followed and reported as ``skipped``.
+    ``source_options`` and ``destination_options`` are settings of the two filesystems,
+    such as an endpoint or a user, as ``pyarrow.fs`` takes them in a URI. A run with the
+    ``run_id`` of one that broke off takes over its temporary files.
     """
     if on_error not in ("collect", "fail"):
         raise ValueError("on_error must be 'collect' or 'fail'")
     source_root, destination_root = qualified(spark, source, destination)
-    _check_roots(spark, source_root, destination_root)
+    options = {root_of(source_root): source_options or {}}
+    options[root_of(destination_root)] = options.get(root_of(destination_root), {}) | (destination_options or {})
+    _check_roots(spark, source_root, destination_root, options)
     if create_destination:
-        make_directories(destination_root)
-    _check_exists(destination_root)
+        make_directories(destination_root, options)
+    _check_exists(destination_root, options)
 
     # Only entries below the copied root's own place can be replaced, whatever else the
     # destination holds.
     target_root = destination_of_root(source_root, destination_root)
     listing, present = side_by_side(
         spark,
-        lambda: walk_root(spark, source_root, listing_tasks),
-        lambda: walk_root(spark, target_root, listing_tasks, must_exist=False),
+        lambda: walk_root(spark, source_root, listing_tasks, exclude=tuple(exclude), options=options),
+        lambda: walk_root(spark, target_root, listing_tasks, must_exist=False, options=options),
     )
-    exclude = tuple(exclude)
-    entries = exclude_paths(listing.entries, exclude)
-    manifest = to_source_manifest(entries, source_root, destination_root)
+    manifest = to_source_manifest(listing.entries, source_root, destination_root)
 
     def planned() -> Batches | None:
         if not listing.files:
             return None
         weight = listing.bytes + listing.files * FILE_COST_BYTES
         share = bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism)
-        keyed = spread_by(manifest, "destination", listing.files)
+        # Without anything to compare with there is no join, and no shuffle to prepare for.
+        keyed = spread_by(manifest, "destination", listing.files) if present.exists else manifest
         plan = copy_plan(keyed, to_destination_manifest(present.entries))
-        return plan_batches(plan.where(is_file()), share, listing.files, range_bytes)
+        return plan_batches(plan.where(is_file()), share, listing.files, range_bytes, run_id)
 
     def made() -> DataFrame:
-        if exclude:  # a kept file may have lost the entry of its directory
-            return create_directories(directories_of(manifest, source_root, destination_root))
-        folders = manifest.where(is_directory())
-        # Each level scans this; in a large listing the directories are a small part.
-        return create_levels(written(folders, "directories") if listing.files > SMALL_LISTING else folders)
+        # Each level scans this table; in a large listing the directories are a small part.
+        return create_levels(written(manifest.where(is_directory()), "directories"), options)
 
     directories, batches = side_by_side(spark, made, planned)
     report = directories
     if listing.failures:
         report = report.unionByName(_listing_failures(listing, source_root, destination_root))
+    if listing.links:
+        report = report.unionByName(_skipped_links(listing, source_root, destination_root))
     if present.failures:
         report = report.unionByName(_destination_failures(present))
     if batches:
-        report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes))
+        report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes, options))
 
     if on_error == "fail":
         failed = report.where(F.col("outcome") == "failed")
@@ -118,25 +123,27 @@ def bytes_per_task(weight: int, num_tasks: int | None, cores: int) -> int:
     return min(max(share, LEAST_BYTES_PER_TASK), MOST_BYTES_PER_TASK)
 
 
-def _check_roots(spark: SparkSession, source_root: str, destination_root: str) -> None:
+def _check_roots(spark: SparkSession, source_root: str, destination_root: str, options: dict) -> None:
     if source_root in (destination_root, destination_of_root(source_root, destination_root)):
         raise ValueError(f"{source_root} would be copied onto itself")
-    if speculates(spark) and not Stores().at(destination_root)[0].replaces_atomically:
+    if destination_root.startswith(below(source_root)):
+        raise ValueError(f"{destination_root} is inside {source_root}, which would be copied into itself")
+    if speculates(spark) and not Stores(options).at(destination_root)[0].replaces_atomically:
         raise ValueError("set spark.speculation=false: two attempts at one file could remove each other's copy")
 
 
-def _check_exists(uri: str) -> None:
-    store, path = Stores().at(uri)
+def _check_exists(uri: str, options: dict) -> None:
+    store, path = Stores(options).at(uri)
     if store.status(path) is None:
         raise FileNotFoundError(f"{uri} does not exist")
 
 
-def _failures(errors: DataFrame, source: Column, destination: Column) -> DataFrame:
+def _failures(errors: DataFrame, source: Column, destination: Column, outcome: str = "failed") -> DataFrame:
     return errors.select(
         source.cast("string").alias("source"),
         destination.alias("destination"),
         "file_type",
-        F.lit("failed").alias("outcome"),
+        F.lit(outcome).alias("outcome"),
         F.lit(None).cast("bigint").alias("bytes"),
         F.lit(None).cast("string").alias("temp_path"),
         "error",
@@ -150,5 +157,10 @@ def _listing_failures(listing: TreeListing, source_root: str, destination_root:
     return _failures(listing.errors, F.col("uri"), target)
 
 
+def _skipped_links(listing: TreeListing, source_root: str, destination_root: str) -> DataFrame:
+    target = map_destination("uri", source_root, destination_root)
+    return _failures(listing.skipped, F.col("uri"), target, "skipped")
+
+
 def _destination_failures(listing: TreeListing) -> DataFrame:
     return _failures(listing.errors, F.lit(None), F.col("uri"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections import Counter, deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -25,8 +26,10 @@ ROUND_SECONDS = 20.0
 DIRECTORIES_PER_TASK = 1024
 ROWS_PER_BATCH = 10_000
 
-# ``kind``: an entry of the tree, a directory that failed, or one left for the next round.
-ENTRY, FAILED, PENDING = "entry", "failed", "pending"
+# ``kind``: an entry of the tree, one that cannot be copied or read, a symbolic link, or a
+# directory left for the next round.
+ENTRY, FAILED, SKIPPED, PENDING = "entry", "failed", "skipped", "pending"
+LINK = "link"
 WALK_SCHEMA = "kind string, uri string, len bigint, file_type string, depth int, error string"
 
 
@@ -39,9 +42,17 @@ def _text(name: str) -> tuple[str, str | None]:
         return shown, "the name is not valid UTF-8"
 
 
-def _walk(seconds: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def any_of(patterns: Iterable[str]) -> str | None:
+    """One pattern for all, or None for none."""
+    return "|".join(f"(?:{pattern})" for pattern in patterns) or None
+
+
+def _walk(
+    seconds: float, exclude: str | None = None, options: dict[str, dict[str, str]] | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task that reads its directories, then what it finds below them, breadth
-    first. Directories beyond its share, or its time, go to the next round."""
+    first. Directories beyond its share, or its time, go to the next round. What matches
+    ``exclude`` makes no row, and a directory that does is not read."""
     schema = pa.schema(
         [
             ("kind", pa.string()),
@@ -59,6 +70,11 @@ def _walk(seconds: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             store, path = stores.at(uri)
             for name, kind, length in store.scan(path):
                 name, problem = _text(name)
+                if exclude and re.fullmatch(exclude, prefix + name):
+                    continue
+                if kind == LINK and not problem:
+                    yield SKIPPED, prefix + name, None, kind, depth + 1, None
+                    continue
                 if kind not in (FILE, DIRECTORY):
                     problem = "neither a file nor a directory"
                 if problem:
@@ -79,7 +95,7 @@ def _walk(seconds: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found_rows() -> Iterator[tuple]:
-            stores, todo, until, done = Stores(), deque(), time.monotonic() + seconds, 0
+            stores, todo, until, done = Stores(options), deque(), time.monotonic() + seconds, 0
             for batch in batches:
                 todo.extend(zip(batch.column("uri").to_pylist(), batch.column("depth").to_pylist()))
             while todo and (done == 0 or (done < DIRECTORIES_PER_TASK and time.monotonic() < until)):
@@ -105,6 +121,8 @@ class TreeListing:
     files: int = 0
     bytes: int = 0
     failures: int = 0
+    links: int = 0
+    exists: bool = True
 
     @property
     def entries(self) -> DataFrame:
@@ -116,28 +134,42 @@ class TreeListing:
         """``uri, file_type, error`` of what is missing from ``entries``."""
         return self.rows.where(F.col("kind") == FAILED).select("uri", "file_type", "error")
 
+    @property
+    def skipped(self) -> DataFrame:
+        """``uri, file_type, error`` of symbolic links, which are not followed."""
+        return self.rows.where(F.col("kind") == SKIPPED).select("uri", "file_type", "error")
+
     def ancestors(self) -> Column:
         return ancestor_dependencies("uri", self.root)
 
 
-def walk_tree(spark: SparkSession, uri: str, num_tasks: int | None = None) -> TreeListing:
+def walk_tree(
+    spark: SparkSession, uri: str, num_tasks: int | None = None, exclude: Iterable[str] = ()
+) -> TreeListing:
     """List everything at and below ``uri``: files and directories, hidden and empty
-    ones too, without symbolic links. A missing root is an error before any job.
+    ones too; symbolic links are listed apart and not followed. A missing root is an error
+    before any job. ``exclude`` holds full-match patterns (Python syntax) of URIs to leave
+    out; a directory that matches is left out with everything below it. The root stays.
 
     Each round is one job over the directories not read yet. It ends with a table in
     the shared folder, so a lost executor repeats single tasks, and the next round
     spreads the open directories evenly over its tasks. ``num_tasks`` is the least
     number of tasks for a round that has as many directories.
     """
-    return walk_root(spark, qualified(spark, uri)[0], num_tasks)
+    return walk_root(spark, qualified(spark, uri)[0], num_tasks, exclude=exclude)
 
 
 def walk_root(
-    spark: SparkSession, root: str, num_tasks: int | None = None, must_exist: bool = True
+    spark: SparkSession,
+    root: str,
+    num_tasks: int | None = None,
+    must_exist: bool = True,
+    exclude: Iterable[str] = (),
+    options: dict[str, dict[str, str]] | None = None,
 ) -> TreeListing:
     """``walk_tree`` for a root that is spelled as in the tables; if it need not
     exist, a missing one has no entries."""
-    store, path = Stores().at(root)
+    store, path = Stores(options).at(root)
     found = store.status(path)
     if found is None and must_exist:
         raise FileNotFoundError(f"{root} does not exist")
@@ -150,17 +182,44 @@ def walk_root(
         [F.lit(columns[field.name]).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(WALK_SCHEMA)]
     )
     if found is None:
-        return TreeListing(root, seed.where(F.lit(False)))  # known to be empty when planning
+        return TreeListing(root, seed.where(F.lit(False)), exists=False)  # known to be empty when planning
     if kind == FILE:
         return TreeListing(root, seed, 1, length)
 
+    return _walk_rounds(spark, root, seed, num_tasks, any_of(exclude), options)
+
+
+def walk_below(
+    spark: SparkSession, directories: DataFrame, options: dict[str, dict[str, str]] | None = None
+) -> TreeListing:
+    """Everything below the directories ``uri``, none of which is below another, without
+    themselves. They are read by as many tasks as there are rows for."""
+    frontier = directories.select("uri", F.lit(0).alias("depth"))
+    return _walk_rounds(spark, "", None, None, None, options, frontier)
+
+
+def _walk_rounds(
+    spark: SparkSession,
+    root: str,
+    seed: DataFrame | None,
+    num_tasks: int | None,
+    exclude: str | None,
+    options: dict[str, dict[str, str]] | None,
+    frontier: DataFrame | None = None,
+) -> TreeListing:
     table = new_folder(spark, "listing")
-    frontier, tasks, number, counts = seed.select("uri", "depth"), 1, 0, Counter()
+    number, counts = 0, Counter()
     least_tasks = num_tasks or spark.sparkContext.defaultParallelism
+    tasks = 1
+    if frontier is None:
+        frontier = seed.select("uri", "depth")
+    else:
+        tasks = max(1, min(frontier.count(), least_tasks))
+        frontier = frontier.repartition(tasks)
     while tasks:
         seconds = ROUND_SECONDS if number else FIRST_ROUND_SECONDS
-        rows = frontier.mapInArrow(_walk(seconds), WALK_SCHEMA)
-        if number == 0:
+        rows = frontier.mapInArrow(_walk(seconds, exclude, options), WALK_SCHEMA)
+        if number == 0 and seed is not None:
             rows = seed.unionByName(rows)
         seen = Observation()
         is_file = (F.col("kind") == ENTRY) & (F.col("file_type") == FILE)
@@ -168,6 +227,7 @@ def walk_root(
             seen,
             F.count_if(F.col("kind") == PENDING).alias("pending"),
             F.count_if(F.col("kind") == FAILED).alias("failures"),
+            F.count_if(F.col("kind") == SKIPPED).alias("links"),
             F.count_if(is_file).alias("files"),
             F.coalesce(F.sum(F.when(is_file, F.col("len"))), F.lit(0)).alias("bytes"),
         )

@@ -6,20 +6,23 @@ store and a path; one is made per task, so clients are shared inside a task.
 
 from __future__ import annotations
 
+import contextlib
 import os
-import shutil
 import stat
 from collections.abc import Iterator
+from urllib.parse import urlencode
 
 # Scheme spellings of Hadoop connectors that pyarrow names differently.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# pyarrow's names of filesystems whose files appear when they are closed.
+OBJECT_STORES = ("s3", "gcs", "abfs")
 
 
 class LocalStore:
     """``file:`` trees, such as a mount that all executors share."""
 
     replaces_atomically = True
-    writes_ranges = True
+    appears_when_closed = False
 
     def status(self, path: str) -> tuple[str, int] | None:
         """(``file`` | ``directory`` | ``other``, length), or None where nothing is."""
@@ -32,13 +35,13 @@ class LocalStore:
         return ("file" if stat.S_ISREG(found.st_mode) else "other"), found.st_size
 
     def scan(self, path: str) -> Iterator[tuple[str, str, int]]:
-        """(name, type, length) of each direct entry, as the directory is read.
-        Symbolic links are left out, which also rules out cycles."""
+        """(name, type, length) of each direct entry, as the directory is read. A symbolic
+        link is of type ``link`` and never followed, which also rules out cycles."""
         with os.scandir(path) as entries:
             for entry in entries:
                 if entry.is_symlink():
-                    continue
-                if entry.is_dir(follow_symlinks=False):
+                    yield entry.name, "link", 0
+                elif entry.is_dir(follow_symlinks=False):
                     yield entry.name, "directory", 0
                 elif entry.is_file(follow_symlinks=False):
                     yield entry.name, "file", entry.stat(follow_symlinks=False).st_size
@@ -56,6 +59,15 @@ class LocalStore:
     def open_new(self, path: str):
         return open(path, "xb", buffering=0)
 
+    def open_fresh(self, path: str):
+        """Open a temporary file, in place of what may have been left under its name."""
+        with contextlib.suppress(FileNotFoundError):
+            os.remove(path)
+        return self.open_new(path)
+
+    def truncate(self, path: str, length: int) -> None:
+        os.truncate(path, length)
+
     def open_range(self, path: str, offset: int):
         """Open for writing from ``offset`` on, next to writers of other ranges."""
         file = os.fdopen(os.open(path, os.O_CREAT | os.O_WRONLY, 0o666), "wb", buffering=0)
@@ -71,21 +83,23 @@ class LocalStore:
     def remove_file(self, path: str) -> None:
         os.remove(path)
 
-    def remove_tree(self, path: str) -> None:
-        if os.path.isdir(path) and not os.path.islink(path):
-            shutil.rmtree(path)
-        else:
-            os.remove(path)
+    def remove_directory(self, path: str) -> None:
+        """Remove a directory that is empty."""
+        os.rmdir(path)
+
+    def is_link(self, path: str) -> bool:
+        return os.path.islink(path)
 
 
 class ArrowStore:
     """Any filesystem that pyarrow reaches: HDFS and the object stores."""
 
     replaces_atomically = False
-    writes_ranges = False
 
     def __init__(self, filesystem):
         self.filesystem = filesystem
+        # A rename is a second write there, and a file is seen only once it is whole.
+        self.appears_when_closed = filesystem.type_name in OBJECT_STORES
 
     @staticmethod
     def _kind(info) -> str:
@@ -122,8 +136,11 @@ class ArrowStore:
             raise FileExistsError(f"{path} already exists")
         return self.filesystem.open_output_stream(path, compression=None)
 
+    def open_fresh(self, path: str):
+        return self.filesystem.open_output_stream(path, compression=None)
+
     def rename(self, path: str, target: str, replace: bool) -> None:
-        if replace:
+        if replace and self.status(target):
             self.filesystem.delete_file(target)
         if self.status(target):
             raise FileExistsError(f"{target} already exists")
@@ -132,18 +149,31 @@ class ArrowStore:
     def remove_file(self, path: str) -> None:
         self.filesystem.delete_file(path)
 
-    def remove_tree(self, path: str) -> None:
-        found = self.status(path)
-        if found and found[0] == "directory":
-            self.filesystem.delete_dir(path)
-        else:
-            self.filesystem.delete_file(path)
+    def remove_directory(self, path: str) -> None:
+        """Remove a directory that is empty."""
+        if next(self.scan(path), None):
+            raise OSError(f"{path} is not empty")
+        self.filesystem.delete_dir(path)
+
+    def is_link(self, path: str) -> bool:
+        return False
+
+
+def root_of(uri: str) -> str:
+    """``scheme://authority`` of a URI."""
+    scheme, _, rest = uri.partition("://")
+    return f"{scheme}://{rest.partition('/')[0]}"
 
 
 class Stores:
-    """Stores by scheme and authority, for ``scheme://authority/path`` URIs."""
+    """Stores by scheme and authority, for ``scheme://authority/path`` URIs.
+
+    ``options``: by scheme and authority, the settings that ``pyarrow.fs`` takes in a URI,
+    such as ``{"s3://bucket": {"endpoint_override": "host:9000", "region": "x"}}``.
+    """
 
-    def __init__(self):
+    def __init__(self, options: dict[str, dict[str, str]] | None = None):
+        self._options = options or {}
         self._opened: dict[str, tuple[object, str]] = {}
 
     def at(self, uri: str) -> tuple[object, str]:
@@ -151,23 +181,24 @@ class Stores:
         authority, slash, path = rest.partition("/")
         root = f"{scheme}://{authority}"
         if root not in self._opened:
-            self._opened[root] = self._open(scheme, authority)
+            self._opened[root] = self._open(scheme, authority, self._options.get(root, {}))
         store, base = self._opened[root]
         return store, base + slash + path
 
     @staticmethod
-    def _open(scheme: str, authority: str) -> tuple[object, str]:
+    def _open(scheme: str, authority: str, options: dict[str, str]) -> tuple[object, str]:
         if scheme == "file":
             return LocalStore(), ""
         from pyarrow.fs import FileSystem
 
-        opened, base = FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{authority}/")
+        settings = "?" + urlencode(options) if options else ""
+        opened, base = FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{authority}/{settings}")
         return ArrowStore(opened), base.rstrip("/")
 
 
-def make_directories(uri: str) -> None:
+def make_directories(uri: str, options: dict[str, dict[str, str]] | None = None) -> None:
     """Make a directory and the parents that it lacks, from the driver."""
-    store, path = Stores().at(uri)
+    store, path = Stores(options).at(uri)
     missing = []
     while path != "/" and not store.status(path):
         missing.append(path)

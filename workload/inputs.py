@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +52,16 @@ def source_entries(spark: SparkSession, sf_dir: str, root: str = SOURCE_ROOT, le
 
 def destination_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A destination that has the labelled documents already, the toxic ones with a
-    wrong length, and some files that the source lacks."""
+    wrong length and the toxic bad ones as directories, a file where the folder of source
+    ``src0`` must go, and some files that the source lacks."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     root = DESTINATION_ROOT + "/raw"
     copied = documents.join(labels, "doc_id").select(
-        document_uri(root).alias("uri"), (F.col("n_chars") + F.col("toxic")).alias("len"), F.lit("file").alias("file_type")
+        document_uri(root).alias("uri"), (F.col("n_chars") + F.col("toxic")).alias("len"),
+        F.when((F.col("toxic") == 1) & (F.col("quality") == 0), "directory").otherwise("file").alias("file_type"),
+    )
+    in_the_way = documents.where(F.col("source") == "src0").select(
+        F.concat_ws("/", F.lit(root), "lang", "source").alias("uri"), F.lit(3).cast("bigint").alias("len"), F.lit("file").alias("file_type")
     )
     old = labels.where(F.col("quality") == 0).select(
         F.concat(F.lit(DESTINATION_ROOT + "/old/part_"), F.col("doc_id").cast("string")).alias("uri"),
@@ -62,7 +69,7 @@ def destination_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("file").alias("file_type"),
     )
     folders = _folders(documents, F.lit(DESTINATION_ROOT), F.lit(root), F.concat_ws("/", F.lit(root), "lang"))
-    return copied.unionByName(old).unionByName(folders)
+    return copied.unionByName(old).unionByName(folders).unionByName(in_the_way.distinct())
 
 
 def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +92,27 @@ def new_root(spark: SparkSession, name: str) -> str:
     return root
 
 
+def write_files(files: DataFrame) -> None:
+    """Make real files of ``uri, text``, in folders that exist."""
+    spread = files.select("uri", "text").repartition(files.sparkSession.sparkContext.defaultParallelism)
+    spread.mapInArrow(_write_files, "files bigint").agg(F.sum("files")).collect()
+
+
+def write_links(links: DataFrame) -> None:
+    """Make symbolic links ``uri`` to ``text``, on a local mount."""
+
+    def write(batches):
+        for batch in batches:
+            for uri, text in zip(batch.column("uri").to_pylist(), batch.column("text").to_pylist()):
+                path = Stores().at(uri)[1]
+                if os.path.lexists(path):
+                    os.remove(path)
+                os.symlink(text, path)
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    links.select("uri", "text").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 def _write_files(batches):
     """Write ``text`` to each ``uri``, whatever an earlier attempt left there."""
     stores = Stores()
@@ -108,9 +136,7 @@ def write_documents(documents: DataFrame, root: str) -> None:
     made = tf.create_directories(folders.select(F.lit(None).cast("string").alias("source"), F.col("uri").alias("destination")))
     if not made.where(F.col("outcome") == "failed").isEmpty():
         raise OSError(f"could not make the folders below {root}")
-    files = documents.select(document_uri(root).alias("uri"), "text")
-    spread = files.repartition(documents.sparkSession.sparkContext.defaultParallelism)
-    spread.mapInArrow(_write_files, "files bigint").agg(F.sum("files")).collect()
+    write_files(documents.select(document_uri(root).alias("uri"), "text"))
 
 
 _trees: dict[tuple[str, str], str] = {}

@@ -21,7 +21,9 @@ BOTH = (
     + """,
 dst AS (
   SELECT concat('hdfs://nn2:8020/backup/raw/', d.lang, '/', d.source, '/doc_', CAST(d.doc_id AS VARCHAR), '.txt') AS uri,
-         d.n_chars + l.toxic AS len, 'file' AS file_type FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+         d.n_chars + l.toxic AS len, CASE WHEN l.toxic = 1 AND l.quality = 0 THEN 'directory' ELSE 'file' END AS file_type
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  UNION ALL SELECT DISTINCT concat('hdfs://nn2:8020/backup/raw/', lang, '/', source), CAST(3 AS BIGINT), 'file' FROM documents WHERE source = 'src0'
   UNION ALL SELECT concat('hdfs://nn2:8020/backup/old/part_', CAST(doc_id AS VARCHAR)), CAST(7 AS BIGINT), 'file'
     FROM labels WHERE quality = 0
   UNION ALL SELECT DISTINCT concat('hdfs://nn2:8020/backup/raw/', lang), CAST(0 AS BIGINT), 'directory' FROM documents
@@ -125,8 +127,7 @@ SELECT doc_id, concat('file:/', lang, '/x/y/../../', source, '/doc:', doc_id),
        concat('file:///', lang, '/', source, '/doc:', doc_id) FROM documents""",
     "map_destination": f"WITH {MAPPED} SELECT source AS uri, len, file_type, destination FROM mapped",
     "uri_is_child": """
-WITH cleaned AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS uri FROM pages),
-p AS (SELECT page_id, uri, regexp_extract(uri, '^[a-z]+://[^/]+/[^/]+', 0) AS section FROM cleaned),
+WITH p AS (SELECT page_id, url AS uri, regexp_extract(url, '^[a-z]+://[^/]+/[^/]+', 0) AS section FROM pages),
 r AS (SELECT page_id,
        uri = section OR starts_with(uri, concat(section, '/')) AS in_section,
        starts_with(uri, concat(section, '/')) AS in_section_slash,
@@ -159,13 +160,14 @@ WHERE NOT (regexp_full_match(uri, '.*/_temporary($|/.*)') OR regexp_full_match(u
     "compare_manifests": f"""
 WITH {BOTH}
 SELECT m.source, coalesce(m.destination, d.uri) AS destination, coalesce(m.file_type, d.file_type) AS file_type,
-       m.len, d.len AS dest_len,
+       m.len, d.len AS dest_len, d.file_type AS dest_type,
        CASE WHEN d.uri IS NULL THEN 'source_only' WHEN m.source IS NULL THEN 'destination_only' ELSE 'both' END AS status
 FROM mapped m FULL OUTER JOIN dst d ON m.destination = d.uri""",
     "copy_plan": f"""
 WITH {BOTH}
-SELECT m.source, m.destination, m.len, m.file_type, d.len AS dest_len,
-       CASE WHEN m.file_type = 'directory' THEN CASE WHEN d.uri IS NULL THEN 'create' ELSE 'keep' END
+SELECT m.source, m.destination, m.len, m.file_type, d.len AS dest_len, d.file_type AS dest_type,
+       CASE WHEN d.file_type <> m.file_type THEN 'conflict'
+            WHEN m.file_type = 'directory' THEN CASE WHEN d.uri IS NULL THEN 'create' ELSE 'keep' END
             ELSE CASE WHEN d.uri IS NULL THEN 'copy' ELSE 'replace' END END AS action
 FROM mapped m LEFT JOIN dst d ON m.destination = d.uri""",
     "expand_copies": f"WITH {EXPANDED} SELECT source, destination, file_type, len, position FROM expanded",
@@ -214,14 +216,32 @@ made AS (
   UNION SELECT concat('/', s) FROM days)
 SELECT path, 'directory' AS file_type, 'dir_created' AS outcome FROM made
 UNION ALL SELECT DISTINCT '', 'directory', 'dir_exists' FROM orders
-UNION ALL SELECT DISTINCT concat('/none/', o_orderpriority), 'directory', 'failed' FROM orders""",
+UNION ALL SELECT DISTINCT concat('/none/', o_orderpriority), 'directory', 'failed' FROM orders
+UNION ALL SELECT DISTINCT concat('/file ', o_orderpriority), 'directory', 'failed' FROM orders""",
     "delete_paths": """
 WITH files AS (
-  SELECT d.doc_id, l.doc_id AS labelled,
+  SELECT d.doc_id, l.doc_id AS labelled, d.lang, d.source,
          concat('/', d.lang, '/', d.source, '/doc_', CAST(d.doc_id AS VARCHAR), '.txt') AS path
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-SELECT path, CASE WHEN labelled IS NULL THEN 'left' ELSE 'deleted' END AS outcome FROM files
-UNION ALL SELECT concat(path, '.none'), 'absent' FROM files WHERE labelled IS NOT NULL""",
+SELECT path, 'deleted' AS outcome FROM files WHERE labelled IS NOT NULL AND source <> 'src0'
+UNION ALL SELECT path, 'left' FROM files WHERE labelled IS NULL AND source <> 'src0'
+UNION ALL SELECT DISTINCT concat('/', lang, '/src0'), 'deleted' FROM files WHERE source = 'src0'
+UNION ALL SELECT concat(path, '.none'), 'absent' FROM files WHERE labelled IS NOT NULL AND source <> 'src0'""",
+    "copy_long_names": """
+SELECT doc_id, kind, text FROM documents, (VALUES ('whole'), ('ranges')) AS kinds(kind)""",
+    "copy_over_leftovers": """
+SELECT doc_id, kind, text FROM documents, (VALUES ('whole'), ('ranges')) AS kinds(kind)""",
+    "copy_tree_excluding": """
+SELECT doc_id, name, text FROM documents, (VALUES ('part-'), ('x_temporary-')) AS names(name)""",
+    "copy_tree_with_links": f"""
+WITH {TREE}
+SELECT concat('/raw', path) AS path, file_type, CASE WHEN file_type = 'file' THEN 'copied' ELSE 'dir_created' END AS outcome FROM tree
+UNION ALL SELECT concat('/raw', path, '.link'), 'link', 'skipped' FROM tree WHERE file_type = 'file'""",
+    "execute_copy": """
+SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 'failed' ELSE 'copied' END AS outcome,
+       CASE WHEN l.quality = 0 THEN NULL ELSE CAST(strlen(text) AS BIGINT) END AS bytes,
+       CASE WHEN l.quality = 0 THEN NULL ELSE d.text END AS text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "copy_report": f"WITH {COPIED} SELECT path, file_type, outcome, bytes, CAST(NULL AS VARCHAR) AS error FROM copied",
     "report_summary": f"""
 WITH {COPIED}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import treeferry as tf
 from treeferry.operators.balance import task_count
+from treeferry.operators.copying import temp_uri
 from treeferry.scratch import written
 from workload import inputs
 from workload.inputs import DESTINATION_ROOT, SOURCE_ROOT, relative_to, table
@@ -49,7 +50,7 @@ def map_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def uri_is_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages against their own section, look-alikes of it, and another protocol."""
-    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "[?#].*$", "").alias("uri"))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("uri"))
     pages = pages.withColumn("section", F.regexp_extract("uri", "^[a-z]+://[^/]+/[^/]+", 0))
     longer, slash = F.concat("section", F.lit("x")), F.concat("section", F.lit("/"))
     other = F.regexp_replace("section", "^https?:", "ftp:")
@@ -234,7 +235,8 @@ def destination_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def create_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder per order date and priority below existing, missing and absent parents."""
+    """A folder per order date and priority below existing, missing and absent parents,
+    and where files are."""
     root = inputs.new_root(spark, "directories")
     orders = table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy/MM/dd")
@@ -246,19 +248,24 @@ def create_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     orphans = orders.select(
         F.concat(F.lit(root + "/none/"), F.col("o_orderpriority")).alias("source")
     ).distinct().withColumn("destination", F.col("source"))
-    report = tf.create_directories(folders.unionByName(orphans))
+    blocked = orders.select(F.concat(F.lit(root + "/file "), F.col("o_orderpriority")).alias("uri")).distinct()
+    inputs.write_files(blocked.withColumn("text", F.lit("in the way")))
+    blocked = blocked.select(F.col("uri").alias("source"), F.col("uri").alias("destination"))
+    report = tf.create_directories(folders.unionByName(orphans).unionByName(blocked))
     return report.select(relative_to("destination", root).alias("path"), "file_type", "outcome")
 
 
 def delete_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delete the labelled documents' files, and as many that never were; then list."""
+    """Delete the labelled documents' files, each asked for twice, as many that never were,
+    and the whole folders of source ``src0``, labelled documents in them too; then list."""
     root = inputs.new_root(spark, "deleted")
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     inputs.write_documents(documents.select("doc_id", "lang", "source", "text"), root)
     labelled = documents.join(labels, "doc_id")
     there = labelled.select(inputs.document_uri(root).alias("uri"))
     absent = labelled.select(F.concat(inputs.document_uri(root), F.lit(".none")).alias("uri"))
-    report = tf.delete_paths(there.unionByName(absent))
+    folders = documents.where("source = 'src0'").select(F.concat_ws("/", F.lit(root), "lang", "source").alias("uri"))
+    report = tf.delete_paths(there.unionByName(there).unionByName(absent).unionByName(folders))
     left = tf.list_tree(spark, root).where(tf.is_file())
     return report.select(relative_to("destination", root).alias("path"), "outcome").unionByName(
         left.select(relative_to("uri", root).alias("path"), F.lit("left").alias("outcome"))
@@ -297,6 +304,102 @@ def copy_tree_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(doc_id.alias("doc_id"), F.col("value").alias("text"))
 
 
+def _texts_by_id(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """``doc_id`` (the first group of ``pattern`` in the URI), ``uri``, ``text`` of the files."""
+    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
+    uri = F.input_file_name()
+    doc_id = F.regexp_extract(uri, pattern, 1).try_cast("bigint")
+    return texts.select(doc_id.alias("doc_id"), uri.alias("uri"), F.col("value").alias("text"))
+
+
+def _long_named(spark: SparkSession, sf_dir: str) -> str:
+    """A directory with every document under a name of 255 bytes."""
+    root = inputs.new_root(spark, "long") + "/names"
+    inputs.make_directories(root)
+    documents = table(spark, sf_dir, "documents")
+    name = F.rpad(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit("_")), 255, "x")
+    inputs.write_files(documents.select(F.concat(F.lit(root + "/"), name).alias("uri"), "text"))
+    return root
+
+
+def _copied_both_ways(spark: SparkSession, source: str, prepare=None) -> DataFrame:
+    """The files of ``source`` from a copy of whole files and from one in ranges."""
+    found = []
+    for kind, range_bytes in (("whole", 1 << 30), ("ranges", 1000)):
+        root = inputs.new_root(spark, kind)
+        if prepare:
+            prepare(root)
+        tf.copy_tree(spark, source, root, on_error="fail", range_bytes=range_bytes, run_id="again")
+        texts = _texts_by_id(spark, root, r"doc_(\d+)[^/]*$")
+        found.append(texts.select("doc_id", F.lit(kind).alias("kind"), "text"))
+    return found[0].unionByName(found[1])
+
+
+def copy_long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the longest legal name, whole and in ranges."""
+    return _copied_both_ways(spark, _long_named(spark, sf_dir))
+
+
+def copy_over_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, over longer leftovers at the names that first attempts take."""
+    source = inputs.document_tree(spark, sf_dir)
+    entries = tf.list_tree(spark, source)
+
+    def prepare(root: str) -> None:
+        folders = tf.to_source_manifest(entries.where(tf.is_directory()), source, root)
+        tf.create_directories(folders)
+        temp = temp_uri(tf.map_destination("uri", source, root), "again")
+        left = entries.where(tf.is_file()).select(F.explode(F.array(temp, F.concat(temp, F.lit(".0")))).alias("uri"))
+        inputs.write_files(left.withColumn("text", F.lit("left over " * 5000)))
+
+    # Names of the other kind of copy stay; they have no doc_id.
+    return _copied_both_ways(spark, source, prepare).where("doc_id IS NOT NULL")
+
+
+def copy_tree_excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the output of a job, next to marker files and folders."""
+    root, target = inputs.new_root(spark, "marked") + "/out", inputs.new_root(spark, "unmarked")
+    inputs.make_directories(root + "/_temporary/0")
+    names = ("part-", "x_temporary-", "_SUCCESS-", "_committed_", "_started_", "_temporary/0/task-")
+    documents = table(spark, sf_dir, "documents")
+    named = documents.select("doc_id", "text", F.explode(F.array(*map(F.lit, names))).alias("name"))
+    inputs.write_files(named.select(F.concat(F.lit(root + "/"), "name", "doc_id").alias("uri"), "text"))
+    tf.copy_tree(spark, root, target, on_error="fail", exclude=tf.EXCLUDE_PATTERNS)
+    texts = _texts_by_id(spark, target, r"-(\d+)$")
+    return texts.select("doc_id", F.regexp_extract("uri", r"([^/]+-)\d+$", 1).alias("name"), "text")
+
+
+def copy_tree_with_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a link beside it; the links are reported, not followed."""
+    source, root = inputs.new_root(spark, "linked") + "/raw", inputs.new_root(spark, "unlinked")
+    inputs.make_directories(source)
+    documents = table(spark, sf_dir, "documents")
+    inputs.write_documents(documents, source)
+    uri = inputs.document_uri(source)
+    inputs.write_links(documents.select(F.concat(uri, F.lit(".link")).alias("uri"), F.substring_index(uri, "/", -1).alias("text")))
+    report = tf.copy_tree(spark, source, root, on_error="fail")
+    return report.select(relative_to("destination", root).alias("path"), "file_type", "outcome")
+
+
+def execute_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's file by a plan that tells a wrong length for the bad ones, which
+    fail; with the report the texts of the copies."""
+    source, root = inputs.document_tree(spark, sf_dir), inputs.new_root(spark, "executed")
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    wrong = F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0))
+    files = documents.join(labels, "doc_id", "left").select(
+        inputs.document_uri(source).alias("source"),
+        F.concat(F.lit(root + "/doc_"), F.col("doc_id").cast("string")).alias("destination"),
+        F.lit("file").alias("file_type"),
+        (F.octet_length("text") + wrong).cast("bigint").alias("len"),
+        F.lit("copy").alias("action"),
+    )
+    report = tf.execute_copy(files, 1 << 20)
+    texts = _texts_by_id(spark, root, r"doc_(\d+)$").select("doc_id", "text")
+    own_id = F.regexp_extract("destination", r"doc_(\d+)$", 1).cast("bigint")
+    return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "left")
+
+
 def copy_tree_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the folder of all tables; rows of each, read from the copy."""
     root = inputs.new_root(spark, "tables")
@@ -355,6 +458,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         copy_report,
         report_summary,
         copy_tree_in_ranges,
+        copy_long_names,
+        copy_over_leftovers,
+        copy_tree_excluding,
+        copy_tree_with_links,
+        execute_copy,
         copy_tree_readback,
     )
 } | {f"copy_tree_readback_{each}": partial(_readback, each) for each in TABLES}
