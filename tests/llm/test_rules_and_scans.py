@@ -53,11 +53,11 @@ def test_measurements(make_docs):
 def test_policies_and_ablation(make_docs):
     texts = ["few"] * 3 + ["x " * 40] * 2 + ["a b c d e f g h i j k"] * 4
     entries = quality_rules.apply_policies(quality_rules.ledger(make_docs(list(enumerate(texts)))))
-    assert {c for c in entries.columns if c.startswith("kept_")} == {"kept_base-1", "kept_strict-1"}
+    assert {c for c in entries.columns if c.startswith("kept_")} == {"kept_base-1", "kept_strict-1", "kept_strict-2"}
     assert entries.where("`kept_base-1`").count() == 4
     found = {r.rule: (r.fails, r.alone, r.rejected) for r in quality_rules.ablation(entries, quality_rules.BASE).collect()}
     assert found == {"too_few_words": (3, 3, 5), "repeated_windows": (2, 2, 5)}
-    strict = {r.rule: (r.fails, r.alone) for r in quality_rules.ablation(entries, quality_rules.STRICT).collect()}
+    strict = {r.rule: (r.fails, r.alone) for r in quality_rules.ablation(entries, quality_rules.EVERY_RULE).collect()}
     assert strict["repeated_windows"] == (2, 0)  # words of one letter fail word_length as well
     assert strict["word_length"] == (6, 4)
 
