@@ -140,10 +140,10 @@ class ArrowStore:
         return self.filesystem.open_output_stream(path, compression=None)
 
     def rename(self, path: str, target: str, replace: bool) -> None:
-        if replace and self.status(target):
-            self.filesystem.delete_file(target)
         if self.status(target):
-            raise FileExistsError(f"{target} already exists")
+            if not replace:
+                raise FileExistsError(f"{target} already exists")
+            self.filesystem.delete_file(target)
         self.filesystem.move(path, target)
 
     def remove_file(self, path: str) -> None:
