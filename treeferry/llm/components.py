@@ -50,8 +50,13 @@ def _contracted(edges: DataFrame) -> DataFrame:
 
 
 def _least(pairs: DataFrame) -> DataFrame:
-    """``u, v, least``: each pair with the least ``v`` of its ``u``."""
-    return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("least")), "u")
+    """``u, v, least``: each pair with the least ``v`` of its ``u``.
+
+    The join's key is another one than the aggregation's, so both its sides are dealt anew
+    for it. Such a join is one whose large keys, the centres of stars, Spark can split.
+    """
+    least = pairs.groupBy("u").agg(F.min("v").alias("least")).select((-F.col("u")).alias("minus"), "least")
+    return pairs.withColumn("minus", -F.col("u")).join(least, "minus").drop("minus")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
