@@ -199,3 +199,21 @@ def test_mixing_odd_rows(spark, make_docs):
     assert mixing.mix(make_docs([])).count() == 0 and mixing.keep_drawn(make_docs([])).count() == 0
     empty = mixing.mix(make_docs([(1, None), (2, "")])).collect()
     assert [r.selected for r in empty] == [False, False]
+
+
+def test_one_stray_row_does_not_set_the_sample(spark, make_docs):
+    """A null-language row, or a small cell, once shrank the sample to a few rows."""
+    texts = {"legal": "licensed " * 9, "contact": "a@b " * 9, "tabular": "|x| " * 9, "other": "words " * 9}
+    rows = [(i, texts["legal" if i % 20 == 0 else "contact" if i % 10 == 1 else "tabular" if i % 20 == 2 else "other"]) for i in range(2000)]
+    docs = make_docs(rows).withColumns({
+        "lang": F.when(F.col("doc_id") % 3 > 0, "en").otherwise(F.element_at(F.array(*map(F.lit, ("de", "fr", "es"))), (F.col("doc_id") % 7 % 3 + 1).cast("int"))),
+        "source": F.concat(F.lit("src"), (F.col("doc_id") % 4).cast("string")),
+    })
+    for own in (docs, docs.unionByName(make_docs([(9999, "one stray")]).withColumn("lang", F.lit(None).cast("string")))):
+        found = mixing.mix(own).cache()
+        whole, held = found.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("probability"))).first()
+        assert abs(held / whole - mixing.SAMPLE) < 1e-5
+        assert found.where("probability > 1").count() == 0
+        by = {r.lang: r.held / held for r in found.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability")).alias("held")).collect()}
+        assert all(abs(by[k] - v / sum(mixing.LANGUAGES.values())) < 1e-3 for k, v in mixing.LANGUAGES.items())
+        assert 800 < found.where("selected").count() < 1200

@@ -1,14 +1,19 @@
 """Mixing of sources to target weights by iterative proportional fitting.
 
-The tokens of all documents are summed by source, language and topic. Raking multiplies the
-cells until the sums of each dimension are at their targets; a document's probability is the
-factor of its cell over the largest factor, so the expected mix is the target and no larger
-sample could have it. Documents are drawn by a hash of their id, alike in every run.
+The tokens of all documents are summed by source, language and topic. A sample is to hold a
+stated share of them. A cell's probability is the product of a factor for each of its
+categories, at most 1, and raking moves the factors until the expected sums of each dimension
+are at their targets. A category with fewer tokens than its target is taken whole, and the
+others share what it leaves. Documents are drawn by a hash of their id, alike in every run.
+
+``mix_to_largest`` is the form that the SQL of ``op3_mixing`` defines: probabilities are
+factors over the largest factor, and all sources without a target are one category.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +33,10 @@ TOPIC_RULES = (
     ("tabular", r"\|[^|\n]*\|"),
 )
 ITERATIONS = 100
+#: Share of all tokens that a sample holds, where its categories have so many.
+SAMPLE = 0.5
+#: Raking ends when no sum is further from its target than this share of the sample.
+CLOSE = 1e-6
 #: Cells are bounded by the targets, never by the data; more targets than this are refused.
 MOST_CELLS = 100_000
 
@@ -105,7 +114,7 @@ def cell_probabilities(rows: DataFrame, targets: Mapping[str, Mapping[str, float
     return rows.sparkSession.createDataFrame([(*cell, p) for cell, p in sorted(found.items())], schema)
 
 
-def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1) -> DataFrame:
+def mix_to_largest(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, the categories ``source``, ``lang``, ``topic``,
     ``tokens``, ``probability`` (9 digits) and ``selected``.
 
@@ -122,17 +131,186 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, s
     )
 
 
-def keep_drawn(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1) -> DataFrame:
+def filled(goals: Mapping[str, float], tokens: Mapping[str, float], size: float) -> dict[str, float]:
+    """``size`` divided in proportion to ``goals``, no part above its ``tokens``."""
+    whole: set[str] = set()
+    while True:
+        rest = sum(share for k, share in goals.items() if k not in whole)
+        left = size - sum(tokens[k] for k in whole)
+        more = {k for k, share in goals.items() if k not in whole and share > 0 and left * share >= tokens[k] * rest}
+        if not more:
+            return {k: tokens[k] if k in whole else left * share / rest if rest else 0.0 for k, share in goals.items()}
+        whole |= more
+
+
+def fitted(tokens: list[float], factors: list[float], goal: float) -> list[float]:
+    """``min(1, a * factor)`` of each cell, with the ``a`` at which they hold ``goal`` tokens."""
+    if goal <= 0:
+        return [0.0] * len(tokens)
+    order = sorted(range(len(tokens)), key=lambda i: -factors[i])
+    left, rest = goal, sum(t * f for t, f in zip(tokens, factors, strict=True))
+    for i in order:
+        if left * factors[i] <= rest:
+            return [min(1.0, left / rest * f) for f in factors]
+        left, rest = left - tokens[i], rest - tokens[i] * factors[i]
+        if left <= 0 or rest <= 0:
+            break
+    return [1.0] * len(tokens)
+
+
+def _fit_each(table: DataFrame, factors: list[float], level: float | None, own: bool = False) -> DataFrame:
+    """A source's cells fitted to its goal, the lesser of its tokens and ``level`` times its
+    share (its tokens for None). With ``own``, ``source`` and ``odds`` by cell, else the
+    expected tokens by ``cell``, a few rows from each task."""
+
+    def fit(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        sums: dict[int, float] = {}
+        for batch in batches:
+            sources, odds = [], []
+            for source, share, cells in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                cells = [(c["cell"], float(c["tokens"])) for c in cells if factors[c["cell"]] > 0]
+                tokens = [n for _, n in cells]
+                goal = sum(tokens) if level is None else min(sum(tokens), level * share)
+                found = fitted(tokens, [factors[cell] for cell, _ in cells], goal if share > 0 else 0.0)
+                for (cell, n), p in zip(cells, found, strict=True):
+                    sums[cell] = sums.get(cell, 0.0) + n * p
+                sources.append(source)
+                odds.append([(cell, p) for (cell, _), p in zip(cells, found, strict=True)])
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(sources, pa.string()), pa.array(odds, pa.map_(pa.int32(), pa.float64()))], names=["source", "odds"])
+        if not own:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(list(sums.values()), pa.float64())], names=["cell", "tokens"])
+
+    return table.select("source", "share", "cells").mapInArrow(fit, "source string, odds map<int,double>" if own else "cell int, tokens double")
+
+
+def _by_cell(fits: DataFrame, cells: int) -> list[float]:
+    parts: list[list[float]] = [[] for _ in range(cells)]
+    for row in fits.collect():
+        parts[row["cell"]].append(row["tokens"])
+    return [math.fsum(part) for part in parts]
+
+
+def _shared(table: DataFrame, targets: Mapping[str, float]) -> DataFrame:
+    """``table`` with the target ``share`` of each source."""
+    told = shares(targets)
+    share = F.lit(told[OTHER])
+    for name, own in targets.items():
+        share = F.when(F.col("source") == name, F.lit(own)).otherwise(share)
+    return table.withColumn("share", share.cast("double"))
+
+
+def _level(table: DataFrame, size: float) -> float:
+    """The level at which the sources' goals sum to ``size``: those with fewer tokens than
+    ``level * share`` are whole. From below, each step counts more of them whole."""
+    live = table.where("share > 0 AND live > 0")
+    level = 0.0
+    for _ in range(ITERATIONS):
+        whole = F.col("live") <= F.lit(level) * F.col("share")
+        row = live.agg(F.sum(F.when(whole, F.col("live")).otherwise(0.0)).alias("tokens"), F.sum(F.when(whole, 0.0).otherwise(F.col("share"))).alias("share")).first()
+        if not row["share"]:
+            break
+        step = (size - row["tokens"]) / row["share"]
+        if step <= level * (1 + 1e-12):
+            break
+        level = step
+    return level
+
+
+def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sample: float) -> DataFrame:
+    """A table of ``source`` and ``odds``, the probability by cell of language and topic.
+
+    Sources are rows of a table and never come to the driver; the cells that do are as many
+    as there are pairs of language and topic targets. Each round fits every source by itself
+    under the factors of languages and topics, and moves these by the sums found.
+    """
+    if not 0 < sample <= 1:
+        raise ValueError("a sample is a share of the tokens, above 0 and at most 1")
+    goals = [shares(targets[d]) for d in DIMENSIONS[1:]]
+    pairs = [(lang, topic) for lang in goals[0] for topic in goals[1]]
+    if len(pairs) > MOST_CELLS:
+        raise ValueError(f"{len(pairs)} cells; at most {MOST_CELLS}")
+    factors = [1.0 if goals[0][lang] > 0 and goals[1][topic] > 0 else 0.0 for lang, topic in pairs]
+    dead = [cell for cell, factor in enumerate(factors) if not factor]
+    sums = rows.groupBy("source", "cell").agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
+    alive = F.when(~F.col("cell").isin(dead), F.col("tokens")).otherwise(0) if dead else F.col("tokens")
+    table = sums.groupBy("source").agg(
+        F.collect_list(F.struct("cell", "tokens")).alias("cells"),
+        F.sum("tokens").cast("double").alias("tokens"), F.sum(alive).cast("double").alias("live"),
+    )
+    table = _shared(written(table, "sources"), targets["source"])
+    whole = _by_cell(_fit_each(table, factors, None), len(pairs))
+    size = min(sample * (table.agg(F.sum("tokens")).first()[0] or 0.0), math.fsum(whole))
+    level = _level(table, size) if size else 0.0
+    wanted = []
+    for at, own in enumerate(goals):
+        held: dict[str, float] = {}
+        for pair, n in zip(pairs, whole, strict=True):
+            held[pair[at]] = held.get(pair[at], 0.0) + n
+        wanted.append(filled({k: own[k] for k, n in held.items() if n}, {k: n for k, n in held.items() if n}, size))
+    for _ in range(ITERATIONS if size else 0):
+        found = _by_cell(_fit_each(table, factors, level), len(pairs))
+        moved, off = list(found), 0.0
+        for again in range(20):
+            for at, goal in enumerate(wanted):
+                by: dict[str, float] = {}
+                for pair, n in zip(pairs, moved, strict=True):
+                    by[pair[at]] = by.get(pair[at], 0.0) + n
+                if not again:
+                    now = {k: math.fsum(n for pair, n in zip(pairs, found, strict=True) if pair[at] == k) for k in goal}
+                    off = max(off, *(abs(now[k] - goal[k]) for k in goal))
+                moved = [n * goal[pair[at]] / by[pair[at]] if by[pair[at]] else 0.0 for pair, n in zip(pairs, moved, strict=True)]
+        if off <= CLOSE * size:
+            break
+        # Bounds, for targets that no sample of this size can have together.
+        factors = [min(1e12, max(1e-12, f * m / n)) if n and m else f for f, m, n in zip(factors, moved, found, strict=True)]
+    return written(_fit_each(table, factors, level, own=True), "odds")
+
+
+def categories(docs: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> list[Column]:
+    """``measured``, and the ``cell`` of the row's language and topic."""
+    source, lang, topic, tokens = measured(docs, targets)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    cell = F.lit(0)
+    for d, value in (("lang", docs["lang"]), ("topic", topic_of(text))):
+        names = list(targets[d])
+        place = F.array_position(F.array(*map(F.lit, names)), F.coalesce(value, F.lit(OTHER))) if names else F.lit(0)
+        cell = cell * (len(names) + 1) + F.when(place > 0, place - 1).otherwise(len(names))
+    return [source, lang, topic, tokens, cell.cast("int").alias("cell")]
+
+
+def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1, sample: float = SAMPLE) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, the categories ``source``, ``lang``, ``topic``,
+    ``tokens``, ``probability`` (9 digits) and ``selected``. The selected rows are expected
+    to hold ``sample`` of all tokens.
+
+    A null source or language is another category. Texts without words weigh nothing; they
+    are drawn as others of their cell, or never where it has no tokens. Rows of one id are
+    drawn alike; a null id is drawn by its text.
+    """
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = written(docs.select(docs["doc_id"], *categories(docs, targets), draw(docs["doc_id"], text, seed).alias("drawn")), "measured")
+    odds = sample_odds(rows, targets, sample)
+    p = F.coalesce(F.element_at("odds", F.col("cell")), F.lit(0.0))
+    return rows.join(odds, "source", "left").select(
+        "doc_id", *DIMENSIONS, "tokens", F.round(p, 9).alias("probability"), (F.col("drawn") < p).alias("selected")
+    )
+
+
+def keep_drawn(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1, sample: float = SAMPLE) -> DataFrame:
     """The drawn rows of ``docs``, with all their columns."""
-    cells = F.broadcast(cell_probabilities(docs.select(*measured(docs, targets)), targets))
+    odds = sample_odds(docs.select(*categories(docs, targets)), targets, sample)
     whole = F.struct(*(docs[f"`{name}`"] for name in docs.columns)).alias("own_row")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    rows = docs.select(whole, *measured(docs, targets)[:-1], draw(docs["doc_id"], text, seed).alias("drawn"))
-    return rows.join(cells, list(DIMENSIONS)).where(F.col("drawn") < F.col("probability")).select("own_row.*")
+    source, *_, cell = categories(docs, targets)
+    rows = docs.select(whole, source, cell, draw(docs["doc_id"], text, seed).alias("drawn"))
+    return rows.join(odds, "source").where(F.col("drawn") < F.element_at("odds", F.col("cell"))).select("own_row.*")
 
 
 def sql_mix(table: str = "documents", seed: int = 1) -> str:
-    """The same in DuckDB SQL over a table, as ``WITH`` parts that end in ``mixed``."""
+    """``mix_to_largest`` in DuckDB SQL over a table, as ``WITH`` parts that end in ``mixed``."""
     case = lambda d: f"CASE WHEN {d} IN ({', '.join(repr(k) for k in TARGETS[d])}) THEN {d} ELSE '*' END AS {d}"
     topics = " ".join(f"WHEN regexp_matches(t, '{pattern}') THEN '{topic}'" for topic, pattern in TOPIC_RULES)
     goals = ", ".join(f"({d!r}, {k!r}, CAST({v!r} AS DOUBLE))" for d in DIMENSIONS for k, v in shares(TARGETS[d]).items())

@@ -33,6 +33,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_to_largest(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
@@ -75,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op3_mixing_sample": op3_mixing_sample,
 }
