@@ -217,3 +217,19 @@ def test_one_stray_row_does_not_set_the_sample(spark, make_docs):
         by = {r.lang: r.held / held for r in found.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability")).alias("held")).collect()}
         assert all(abs(by[k] - v / sum(mixing.LANGUAGES.values())) < 1e-3 for k, v in mixing.LANGUAGES.items())
         assert 800 < found.where("selected").count() < 1200
+
+
+def test_every_source_is_mixed(make_docs):
+    """Sources without a target were one category, and nothing was done where none is src0."""
+    n = F.col("doc_id")
+    docs = make_docs([(i, f"some words of {i}") for i in range(3000)])
+    docs = docs.withColumn("source", F.when(n % 10 < 6, "big").when(n % 10 < 9, "mid").otherwise(None))
+    found = mixing.mix(docs, {"source": {}, "lang": {"en": 1.0}, "topic": {}}, sample=0.2).cache()
+    held = {r.source: r.held for r in found.groupBy("source").agg(F.sum(F.col("tokens") * F.col("probability")).alias("held")).collect()}
+    whole = sum(n**0.5 for n in (6, 3, 1))
+    assert set(held) == {"big", "mid", "*"}
+    for source, tokens in (("big", 6), ("mid", 3), ("*", 1)):
+        assert abs(held[source] / sum(held.values()) - tokens**0.5 / whole) < 1e-4
+    named = mixing.mix(docs, {"source": {"mid": 0.5}, "lang": {}, "topic": {}}, sample=0.2)
+    held = {r.source: r.held for r in named.groupBy("source").agg(F.sum(F.col("tokens") * F.col("probability")).alias("held")).collect()}
+    assert abs(held["mid"] / sum(held.values()) - 0.5) < 1e-4 and held["big"] > held["*"]

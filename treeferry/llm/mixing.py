@@ -33,10 +33,13 @@ TOPIC_RULES = (
     ("tabular", r"\|[^|\n]*\|"),
 )
 ITERATIONS = 100
+#: Sources without a target share what the targets leave in proportion to this power of their
+#: tokens: 1 leaves their proportions, 0 makes them equal.
+SOURCE_POWER = 0.5
 #: Share of all tokens that a sample holds, where its categories have so many.
 SAMPLE = 0.5
 #: Raking ends when no sum is further from its target than this share of the sample.
-CLOSE = 1e-6
+CLOSE = 1e-5
 #: Cells are bounded by the targets, never by the data; more targets than this are refused.
 MOST_CELLS = 100_000
 
@@ -193,10 +196,11 @@ def _by_cell(fits: DataFrame, cells: int) -> list[float]:
     return [math.fsum(part) for part in parts]
 
 
-def _shared(table: DataFrame, targets: Mapping[str, float]) -> DataFrame:
-    """``table`` with the target ``share`` of each source."""
-    told = shares(targets)
-    share = F.lit(told[OTHER])
+def _shared(table: DataFrame, targets: Mapping[str, float], power: float) -> DataFrame:
+    """``table`` with the target ``share`` of each source: its own, or its part of the remainder."""
+    others = table.where(~F.col("source").isin(list(targets))) if targets else table
+    whole = others.agg(F.sum(F.pow("live", F.lit(power)))).first()[0] or 1.0
+    share = F.lit(max(0.0, 1.0 - sum(targets.values()))) * F.pow("live", F.lit(power)) / F.lit(whole)
     for name, own in targets.items():
         share = F.when(F.col("source") == name, F.lit(own)).otherwise(share)
     return table.withColumn("share", share.cast("double"))
@@ -219,7 +223,7 @@ def _level(table: DataFrame, size: float) -> float:
     return level
 
 
-def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sample: float) -> DataFrame:
+def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sample: float, power: float = SOURCE_POWER) -> DataFrame:
     """A table of ``source`` and ``odds``, the probability by cell of language and topic.
 
     Sources are rows of a table and never come to the driver; the cells that do are as many
@@ -240,7 +244,7 @@ def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sam
         F.collect_list(F.struct("cell", "tokens")).alias("cells"),
         F.sum("tokens").cast("double").alias("tokens"), F.sum(alive).cast("double").alias("live"),
     )
-    table = _shared(written(table, "sources"), targets["source"])
+    table = _shared(written(table, "sources"), targets["source"], power)
     whole = _by_cell(_fit_each(table, factors, None), len(pairs))
     size = min(sample * (table.agg(F.sum("tokens")).first()[0] or 0.0), math.fsum(whole))
     level = _level(table, size) if size else 0.0
@@ -270,8 +274,9 @@ def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sam
 
 
 def categories(docs: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> list[Column]:
-    """``measured``, and the ``cell`` of the row's language and topic."""
-    source, lang, topic, tokens = measured(docs, targets)
+    """``measured`` with each source by its own name, and the ``cell`` of language and topic."""
+    _, lang, topic, tokens = measured(docs, targets)
+    source = F.coalesce(docs["source"].cast("string"), F.lit(OTHER)).alias("source")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     cell = F.lit(0)
     for d, value in (("lang", docs["lang"]), ("topic", topic_of(text))):
@@ -286,9 +291,10 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, s
     ``tokens``, ``probability`` (9 digits) and ``selected``. The selected rows are expected
     to hold ``sample`` of all tokens.
 
-    A null source or language is another category. Texts without words weigh nothing; they
-    are drawn as others of their cell, or never where it has no tokens. Rows of one id are
-    drawn alike; a null id is drawn by its text.
+    Every source is a category of its own; null ones are one more, ``*``. A null language is
+    another one. Texts without words weigh nothing; they are drawn as others of their cell,
+    or never where it has no tokens. Rows of one id are drawn alike; a null id is drawn by
+    its text.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = written(docs.select(docs["doc_id"], *categories(docs, targets), draw(docs["doc_id"], text, seed).alias("drawn")), "measured")
