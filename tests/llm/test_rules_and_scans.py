@@ -233,3 +233,13 @@ def test_every_source_is_mixed(make_docs):
     named = mixing.mix(docs, {"source": {"mid": 0.5}, "lang": {}, "topic": {}}, sample=0.2)
     held = {r.source: r.held for r in named.groupBy("source").agg(F.sum(F.col("tokens") * F.col("probability")).alias("held")).collect()}
     assert abs(held["mid"] / sum(held.values()) - 0.5) < 1e-4 and held["big"] > held["*"]
+
+
+def test_mixed_layouts_keep_every_licence(make_docs):
+    """One line as a notice, and another licence wrapped: each was found by one cut alone."""
+    notice = "Licensed under the Apache License, Version 2.0\nCopyright someone\n\n"
+    wrapped_bsd3 = BSD3.replace("may be used to", "may be used\nto").replace("1. ", "").replace("2. ", "").replace("3. ", "")
+    texts = [notice + MIT, MIT + "\n\n" + notice, notice + wrapped_bsd3, "\n".join(["SPDX-License-Identifier: MIT", "import os", notice])]
+    found = {r.doc_id: r for r in license_scan.scan_licences(make_docs(list(enumerate(texts)))).collect()}
+    assert [found[i].licences for i in range(4)] == ["MIT,Apache-2.0", "MIT,Apache-2.0", "BSD-3-Clause,Apache-2.0", "Apache-2.0,MIT"]
+    assert found[0].sentences == ";apache-notice;mit-grant;mit-keep;mit-warranty;" and found[0].n_sentences == 4

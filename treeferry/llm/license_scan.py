@@ -1,7 +1,7 @@
 """Licences recognised by their sentences.
 
 A text is cut into sentences, and each is normalised and looked up among known licence
-sentences. The identifiers found, in the order of the text, form a sequence; ordered rules
+sentences, or else each of its lines. The identifiers found, in the order of the text, form a sequence; ordered rules
 name the licence whose sequence of identifiers stands in it.
 """
 
@@ -61,13 +61,15 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("GPL-3.0", ("spdx-gpl3",)),
 )
 
+FOUND = "array<struct<line:int,sentence:int,whole:boolean,id:string>>"
 #: So many unknown sentences may stand between two of one licence, such as holders' names.
 GAP = 2
 #: Every known sentence contains one of these, so texts without them need no cutting.
 ANCHORS = ("licen", "permission", "software", "redistribution", "without warranty")
 _ANCHORED = "(?i)" + "|".join(ANCHORS)
 #: A sentence ends at one of these marks before white space or the text's end. Some texts
-#: break lines inside sentences and others have a sentence a line, so both are tried.
+#: break lines inside sentences and others have a sentence a line. Every cut by sentence is
+#: one by line as well, so a sentence that is not known as a whole is looked up line by line.
 BY_SENTENCE, BY_LINE = r"[.!?;]+(?:\s+|$)|\n[ \t\r]*\n", r"[.!?;]+(?:\s+|$)|\n"
 
 
@@ -89,20 +91,36 @@ def _normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
-def _sequence(text: Column, cut: str, index: LiteralIndex) -> Column:
-    """The known identifiers of a text with their positions among its sentences."""
-    sentences = F.filter(F.transform(F.split(text, cut), _normalised), lambda s: s != "")
-    found = F.transform(sentences, lambda s, i: F.struct(i.alias("at"), F.get(index.find(s), F.lit(0))["id"].alias("id")))
-    return F.filter(found, lambda x: x["id"].isNotNull())
+def _sequence(text: Column, index: LiteralIndex) -> Column:
+    """The known identifiers of a text in order: whole sentences, and lines of sentences
+    that are not known. ``sentence`` and ``line`` are places among those of the text."""
+    id_of = lambda s: F.get(index.find(s), F.lit(0))["id"]
+    unit = lambda j, whole, id: F.struct(j.alias("sentence"), whole.alias("whole"), id.alias("id"))
+
+    def lines(own: Column, j: Column) -> Column:
+        parts = F.filter(F.transform(F.split(own, r"\n"), _normalised), lambda s: s != "")
+        return F.transform(parts, lambda s: unit(j, F.lit(False), id_of(s)))
+
+    def units(s: Column, j: Column) -> Column:
+        whole = F.array(unit(j, F.lit(True), s["id"]))
+        return F.when(s["id"].isNull() & F.contains(s["own"], F.lit("\n")), lines(s["own"], j)).otherwise(whole)
+
+    sentences = F.transform(F.split(text, BY_SENTENCE), lambda s: F.struct(s.alias("own"), _normalised(s).alias("plain")))
+    known = F.transform(F.filter(sentences, lambda s: s["plain"] != ""), lambda s: F.struct(s["own"].alias("own"), id_of(s["plain"]).alias("id")))
+    placed = F.transform(F.flatten(F.transform(known, units)), lambda x, i: F.struct(i.alias("line"), x["sentence"].alias("sentence"), x["whole"].alias("whole"), x["id"].alias("id")))
+    return F.filter(placed, lambda x: x["id"].isNotNull())
 
 
 def _joined(found: Column) -> Column:
-    """``;a;b;|;c;``: identifiers in order, with a bar where the gap is too wide."""
+    """``;a;b;|;c;``: identifiers in order, with a bar where the gap is too wide. It is
+    counted in sentences between two whole ones, and else in lines."""
+
+    def wide(x: Column, before: Column) -> Column:
+        return F.when(x["whole"] & before["whole"], x["sentence"] - before["sentence"]).otherwise(x["line"] - before["line"]) > GAP + 1
+
     parts = F.transform(
         found,
-        lambda x, j: F.concat(
-            F.when(x["at"] - F.get(found, j - 1)["at"] > GAP + 1, F.lit("|;")).otherwise(""), x["id"], F.lit(";")
-        ),
+        lambda x, j: F.concat(F.when(wide(x, F.get(found, j - 1)), F.lit("|;")).otherwise(""), x["id"], F.lit(";")),
     )
     return F.concat(F.lit(";"), F.array_join(parts, ""))
 
@@ -118,13 +136,8 @@ def scan_licences(docs: DataFrame, text: str = "text", rules: Sequence[tuple[str
     """
     index = LiteralIndex({s: [{"id": i}] for s, i in (known or _known()).items()}, "id:string")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    none = F.lit(None).cast("array<struct<at:int,id:string>>")
-
-    def sequences(own: Column) -> Column:
-        by_line, by_sentence = _sequence(own, BY_LINE, index), _sequence(own, BY_SENTENCE, index)
-        return let(by_line, lambda a: let(by_sentence, lambda b: F.when(F.size(b) > F.size(a), b).otherwise(a)))
-
-    found = docs.select("doc_id", F.when(body.rlike(_ANCHORED), let(body, sequences)).otherwise(none).alias("found"))
+    none = F.lit(None).cast(FOUND)
+    found = docs.select("doc_id", F.when(body.rlike(_ANCHORED), let(body, lambda own: _sequence(own, index))).otherwise(none).alias("found"))
     some = found.select("doc_id", "found", F.coalesce(_joined(F.col("found")), F.lit("")).alias("sentences"))
     steps = F.from_json(
         F.lit("[" + ",".join(f'{{"name":"{name}","ids":";{";".join(ids)};"}}' for name, ids in rules) + "]"),
@@ -144,7 +157,7 @@ def scan_licences(docs: DataFrame, text: str = "text", rules: Sequence[tuple[str
         "doc_id",
         "sentences",
         F.when(F.col("sentences") == "", F.lit("")).otherwise(names).alias("licences"),
-        F.greatest(F.size(F.coalesce("found", F.array().cast("array<struct<at:int,id:string>>"))), F.lit(0)).alias("n_sentences"),
+        F.greatest(F.size(F.coalesce("found", F.array().cast(FOUND))), F.lit(0)).alias("n_sentences"),
     )
 
 
