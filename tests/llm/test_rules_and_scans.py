@@ -243,3 +243,17 @@ def test_mixed_layouts_keep_every_licence(make_docs):
     found = {r.doc_id: r for r in license_scan.scan_licences(make_docs(list(enumerate(texts)))).collect()}
     assert [found[i].licences for i in range(4)] == ["MIT,Apache-2.0", "MIT,Apache-2.0", "BSD-3-Clause,Apache-2.0", "Apache-2.0,MIT"]
     assert found[0].sentences == ";apache-notice;mit-grant;mit-keep;mit-warranty;" and found[0].n_sentences == 4
+
+
+def test_each_known_sentence_alone_is_found(make_docs):
+    """gpl-hope had no anchor, and callers' own sentences were dropped for want of one."""
+    known = license_scan._known()
+    keys = list(known)
+    docs = make_docs([(i, f"first words.\n\n{key.upper()}.\n\nlast words") for i, key in enumerate(keys)])
+    found = {r.doc_id: (r.sentences, r.n_sentences) for r in license_scan.scan_licences(docs).collect()}
+    assert found == {i: (f";{known[key]};", 1) for i, key in enumerate(keys)}
+    words = {w for key in keys for w in key.split()}
+    assert set(license_scan.anchors(keys)) <= words and len(license_scan.anchors(keys)) < len(keys)
+    own = make_docs([(1, "Take it, it is yours!"), (2, "Take nothing."), (3, "The a b.")])
+    rows = license_scan.scan_licences(own, rules=[("Gift", ("gift",))], known={"take it it is yours": "gift", "the a b": "other"}).collect()
+    assert {r.doc_id: (r.licences, r.n_sentences) for r in rows} == {1: ("Gift", 1), 2: ("", 0), 3: ("", 1)}

@@ -8,7 +8,8 @@ name the licence whose sequence of identifiers stands in it.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,9 +65,8 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 FOUND = "array<struct<line:int,sentence:int,whole:boolean,id:string>>"
 #: So many unknown sentences may stand between two of one licence, such as holders' names.
 GAP = 2
-#: Every known sentence contains one of these, so texts without them need no cutting.
-ANCHORS = ("licen", "permission", "software", "redistribution", "without warranty")
-_ANCHORED = "(?i)" + "|".join(ANCHORS)
+#: Words of a known sentence shorter than this are anchors only where it has no longer one.
+ANCHOR_LETTERS = 6
 #: A sentence ends at one of these marks before white space or the text's end. Some texts
 #: break lines inside sentences and others have a sentence a line. Every cut by sentence is
 #: one by line as well, so a sentence that is not known as a whole is looked up line by line.
@@ -87,6 +87,20 @@ def _known() -> dict[str, str]:
     return known
 
 
+def anchors(known: Iterable[str]) -> list[str]:
+    """Words such that every known sentence contains one, so texts without them need no
+    cutting: always the word in most of the sentences that have none yet."""
+    left = {key: set(re.findall("[a-z0-9]+", key)) for key in known}
+    left = {key: {w for w in words if len(w) >= ANCHOR_LETTERS} or {max(words, key=lambda w: (len(w), w))} for key, words in left.items() if words}
+    found = []
+    while left:
+        counts = Counter(word for words in left.values() for word in words)
+        best = max(counts, key=lambda w: (counts[w], len(w), w))
+        found.append(best)
+        left = {key: words for key, words in left.items() if best not in words}
+    return found
+
+
 def _normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
@@ -134,10 +148,13 @@ def scan_licences(docs: DataFrame, text: str = "text", rules: Sequence[tuple[str
     where it is read; only ``doc_id`` and the text are used, so repeated rows, null ids
     and extra columns of any name make no difference.
     """
-    index = LiteralIndex({s: [{"id": i}] for s, i in (known or _known()).items()}, "id:string")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    known = known or _known()
+    index = LiteralIndex({s: [{"id": i}] for s, i in known.items()}, "id:string")
+    # Lower-cased as the sentences will be.
+    anchored = F.lower(body).rlike("|".join(anchors(known)) or r"(?!)")
     none = F.lit(None).cast(FOUND)
-    found = docs.select("doc_id", F.when(body.rlike(_ANCHORED), let(body, lambda own: _sequence(own, index))).otherwise(none).alias("found"))
+    found = docs.select("doc_id", F.when(anchored, let(body, lambda own: _sequence(own, index))).otherwise(none).alias("found"))
     some = found.select("doc_id", "found", F.coalesce(_joined(F.col("found")), F.lit("")).alias("sentences"))
     steps = F.from_json(
         F.lit("[" + ",".join(f'{{"name":"{name}","ids":";{";".join(ids)};"}}' for name, ids in rules) + "]"),
