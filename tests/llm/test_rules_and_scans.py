@@ -257,3 +257,23 @@ def test_each_known_sentence_alone_is_found(make_docs):
     own = make_docs([(1, "Take it, it is yours!"), (2, "Take nothing."), (3, "The a b.")])
     rows = license_scan.scan_licences(own, rules=[("Gift", ("gift",))], known={"take it it is yours": "gift", "the a b": "other"}).collect()
     assert {r.doc_id: (r.licences, r.n_sentences) for r in rows} == {1: ("Gift", 1), 2: ("", 0), 3: ("", 1)}
+
+
+def test_other_common_licences(make_docs):
+    gpl2 = "This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {}General Public License\nas published by the Free Software Foundation; either version {}\nof the License, or (at your option) any later version."
+    texts = {
+        gpl2.format("", "2"): "GPL-2.0",
+        gpl2.format("Lesser ", "2.1"): "LGPL-2.1",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "AGPL-3.0",
+        "# This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy": "MPL-2.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "ISC",
+        "Licensed under CC0 1.0.": "CC0-1.0",
+        "This work is licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "// SPDX-License-Identifier: LGPL-3.0-or-later\nint x": "LGPL-3.0",
+    }
+    found = {r.doc_id: r.licences for r in license_scan.scan_licences(make_docs(list(enumerate(texts)))).collect()}
+    assert list(texts.values()) == [found[i] for i in range(len(texts))]
+    assert {i for _, ids in license_scan.RULES for i in ids} <= set(license_scan.SENTENCES)
+    keys = {(license_scan.normalised(re.split(license_scan.BY_SENTENCE, v)[0]), i) for i, vs in license_scan.SENTENCES.items() for v in vs}
+    assert len(license_scan._known()) == len(keys)

@@ -40,7 +40,32 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "spdx-mit": ("SPDX-License-Identifier: MIT",),
     "spdx-apache": ("SPDX-License-Identifier: Apache-2.0",),
     "spdx-gpl3": ("SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0"),
-}
+    "gpl2-notice": ("This work is licensed under the GNU General Public License, version 2", "Licensed under the GNU General Public License, version 2"),
+    "gpl-terms": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",),
+    "gpl2-only": ("you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",),
+    "lgpl-terms": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",),
+    "later-2": ("either version 2 of the License, or (at your option) any later version",),
+    "later-21": ("either version 2.1 of the License, or (at your option) any later version",),
+    "lgpl21-notice": ("This work is licensed under the GNU Lesser General Public License, version 2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
+    "lgpl3-notice": ("This work is licensed under the GNU Lesser General Public License, version 3", "Licensed under the GNU Lesser General Public License, version 3"),
+    "lgpl3-free": tuple(f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version" for what in ("program", "library")),
+    "agpl3-free": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",),
+    "agpl3-notice": ("This work is licensed under the GNU Affero General Public License, version 3", "Licensed under the GNU Affero General Public License, version 3"),
+    "mpl2-file": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "mpl2-notice": ("Licensed under the Mozilla Public License, Version 2.0", "Released under the Mozilla Public License, Version 2.0"),
+    "isc-grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    "isc-notice": ("Released under the ISC License", "Licensed under the ISC License"),
+    "cc0-notice": ("Licensed under CC0 1.0", "This work is licensed under CC0 1.0", "Released under CC0 1.0", "This work is dedicated to the public domain under CC0 1.0"),
+    "by-sa4-notice": ("Licensed under CC BY-SA 4.0", "This work is licensed under CC BY-SA 4.0"),
+    "unlicense-free": ("This is free and unencumbered software released into the public domain",),
+    "unlicense-notice": ("Released under the Unlicense", "Licensed under the Unlicense"),
+} | {
+    f"spdx-{name.lower()}": tuple(f"SPDX-License-Identifier: {name}{end}" for end in ends)
+    for name, ends in {
+        "GPL-2.0": ("", "-only", "-or-later", "+"), "LGPL-2.1": ("", "-only", "-or-later", "+"), "LGPL-3.0": ("", "-only", "-or-later", "+"), "AGPL-3.0": ("", "-only", "-or-later", "+"),
+        "MPL-2.0": ("",), "ISC": ("",), "CC0-1.0": ("",), "CC-BY-SA-4.0": ("",), "CC-BY-4.0": ("",), "CC-BY-NC-4.0": ("",), "Unlicense": ("",), "BSD-2-Clause": ("",), "BSD-3-Clause": ("",),
+    }.items()
+}
 
 #: (licence, sequence of sentence identifiers), tried in this order. What a rule has
 #: matched is used up, so a longer rule comes before those that are part of it.
@@ -60,6 +85,25 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("spdx-mit",)),
     ("Apache-2.0", ("spdx-apache",)),
     ("GPL-3.0", ("spdx-gpl3",)),
+    ("GPL-2.0", ("gpl-terms", "later-2", "gpl-hope")),
+    ("GPL-2.0", ("gpl-terms", "later-2")),
+    ("GPL-2.0", ("gpl2-only",)),
+    ("LGPL-2.1", ("lgpl-terms", "later-21")),
+    ("LGPL-3.0", ("lgpl3-free",)),
+    ("AGPL-3.0", ("agpl3-free",)),
+    ("MPL-2.0", ("mpl2-file",)),
+    ("ISC", ("isc-grant",)),
+    ("Unlicense", ("unlicense-free",)),
+    ("GPL-2.0", ("gpl2-notice",)),
+    ("LGPL-2.1", ("lgpl21-notice",)),
+    ("LGPL-3.0", ("lgpl3-notice",)),
+    ("AGPL-3.0", ("agpl3-notice",)),
+    ("MPL-2.0", ("mpl2-notice",)),
+    ("ISC", ("isc-notice",)),
+    ("CC0-1.0", ("cc0-notice",)),
+    ("CC-BY-SA-4.0", ("by-sa4-notice",)),
+    ("Unlicense", ("unlicense-notice",)),
+    *((name, (f"spdx-{name.lower()}",)) for name in ("GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0", "CC-BY-SA-4.0", "CC-BY-4.0", "CC-BY-NC-4.0", "Unlicense", "BSD-2-Clause", "BSD-3-Clause")),
 )
 
 FOUND = "array<struct<line:int,sentence:int,whole:boolean,id:string>>"
