@@ -136,3 +136,12 @@ def test_extra_columns_that_clash(spark, make_docs):
     docs = make_docs(ROWS).withColumn("size", F.lit("x")).withColumnsRenamed({"lang": "tie", "source": "own_group"})
     assert packing.pack_documents(docs, BYTES, end=1).count() == packing.pack_documents(make_docs(ROWS), BYTES, end=1).count()
     assert token_planes.round_trip(docs, WORDS, end=2).count() == len(ROWS)
+
+
+def test_few_long_texts_are_several_groups(make_docs):
+    """Groups were counted by documents, so one of many pieces was a single group."""
+    found = packing.pack_documents(make_docs([(1, "some words " * 3000)]), BYTES, end=1, room=8, group_documents=100)
+    pieces = found.count()
+    groups = {r.group: r.pieces for r in found.groupBy(F.shiftright("sequence_id", 32).alias("group")).agg(F.count("*").alias("pieces")).collect()}
+    assert pieces > 700 and sum(groups.values()) == pieces
+    assert len(groups) == -(-pieces // 100) and max(groups.values()) < 200

@@ -1,6 +1,6 @@
 """Packing of documents into sequences by first-fit decreasing.
 
-Documents are dealt at random into groups of bounded size, and each group is packed by
+Their pieces are dealt at random into groups of bounded size, and each group is packed by
 itself: pieces in descending length go to the first sequence with room, which a tournament
 tree over the sequences' free room finds in logarithmic time.
 """
@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeferry.llm.token_ids import encoded
+from treeferry.scratch import written
 
 SEQUENCE_TOKENS = 2048
-#: Documents of a group, on average. Larger groups pad less; one is packed in one task.
+#: Pieces of a group, on average; a short document is one piece. Larger groups pad less; one
+#: is packed in one task.
 GROUP_DOCUMENTS = 8192
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -117,8 +119,10 @@ def pack_documents(
     Null and empty texts are their end id alone. A null ``doc_id`` stays null, and rows that
     repeat are packed each. An empty table gives no piece. Other columns are not read.
     """
-    n_groups = max(1, -(-docs.count() // group_documents))
-    return assign_sequences(token_pieces(docs, tokenizer, end, room, with_ids), n_groups, room)
+    # Written, so that texts are encoded once for the count and the packing.
+    pieces = written(token_pieces(docs, tokenizer, end, room, with_ids), "pieces")
+    n_groups = max(1, -(-pieces.count() // group_documents))
+    return assign_sequences(pieces, n_groups, room)
 
 
 def sequences(pieces: DataFrame, pad: int, room: int = SEQUENCE_TOKENS) -> DataFrame:
