@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as driver
 from workload.check import compare
 from workload.oracles import ORACLES
-from workload.queries import QUERIES
+from workload.queries import QUERIES, checked_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,3 +26,12 @@ def test_query_agrees_with_sql(spark, name):
 def test_entry(spark):
     report = driver.entry(spark)
     assert report.where("outcome = 'copied'").count() == 14
+
+
+def test_readback_compares_rows(spark):
+    """A row count alone let wrong values pass."""
+    rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "i long, t string")
+    assert checked_rows(rows.orderBy("t"), rows, "t").collect() == [("t", 3)]
+    for other in ([(1, "b"), (2, None), (2, None)], [(1, "a"), (2, None), (2, "a")]):
+        with pytest.raises(Exception, match="other rows"):
+            checked_rows(spark.createDataFrame(other, rows.schema), rows, "t").collect()

@@ -400,15 +400,28 @@ def execute_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "left")
 
 
+def digest_of(rows: DataFrame) -> DataFrame:
+    """``rows`` counted, with an order-free ``digest`` over all their columns."""
+    columns = [F.col(f"`{name}`") for name in rows.columns]
+    own = F.xxhash64(*columns, *(column.isNull() for column in columns))
+    return rows.agg(F.count("*").alias("rows"), F.sum(own.cast("decimal(20,0)")).alias("digest"))
+
+
+def checked_rows(copied: DataFrame, source: DataFrame, each: str) -> DataFrame:
+    """``table_name`` and ``rows`` of a copy; fails where its rows are not those of the source."""
+    wanted = digest_of(source).select(F.col("rows").alias("own_rows"), F.col("digest").alias("own_digest"))
+    same = (F.col("rows") == F.col("own_rows")) & F.col("digest").eqNullSafe(F.col("own_digest"))
+    wrong = F.raise_error(F.lit(f"the copy of {each} has other rows")).cast("bigint")
+    return digest_of(copied).crossJoin(wanted).select(F.lit(each).alias("table_name"), F.when(same, F.col("rows")).otherwise(wrong).alias("rows"))
+
+
 def copy_tree_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copy the folder of all tables; rows of each, read from the copy."""
+    """Copy the folder of all tables; rows of each, read from the copy and held against the source."""
     root = inputs.new_root(spark, "tables")
     tf.copy_tree(spark, sf_dir, root, on_error="fail")
     name = sf_dir.rstrip("/").rpartition("/")[2]
     counts = [
-        spark.read.parquet(f"{root}/{name}/{each}.parquet").agg(F.count("*").alias("rows")).select(
-            F.lit(each).alias("table_name"), "rows"
-        )
+        checked_rows(spark.read.parquet(f"{root}/{name}/{each}.parquet"), spark.read.parquet(f"{sf_dir}/{each}.parquet"), each)
         for each in TABLES
     ]
     result = counts[0]
