@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeferry.llm import exact_dedup, license_scan, mixing, quality_rules, url_filter, warc_zstd
+from treeferry.llm import conversation_repair, exact_dedup, license_scan, mixing, quality_rules, url_filter, warc_zstd
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
@@ -11,4 +11,5 @@ ORACLES: dict[str, str] = {
     "op8_url_filter": url_filter.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
     "op10_warc": warc_zstd.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from treeferry.llm import (
+    conversation_repair,
     exact_dedup,
     jaccard_join,
     license_scan,
@@ -68,6 +69,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.read_archives(warc_zstd.write_archives(table(spark, sf_dir, "pages")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
     "op3_mixing_sample": op3_mixing_sample,
+    "op11_conversation_repair": op11_conversation_repair,
 }
