@@ -17,6 +17,7 @@ from treeferry.llm import (
     quality_rules,
     token_planes,
     url_filter,
+    vector_search,
     warc_zstd,
 )
 
@@ -73,6 +74,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search_hundredths(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_packing": op2_packing,
@@ -86,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op3_mixing_sample": op3_mixing_sample,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_vector_search": op13_vector_search,
 }
