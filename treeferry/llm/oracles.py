@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treeferry.llm import conversation_repair, exact_dedup, license_scan, mixing, quality_rules, url_filter, warc_zstd
+from treeferry.llm import conversation_repair, exact_dedup, license_scan, mixing, quality_rules, spelling_variants, url_filter, warc_zstd
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
@@ -12,4 +12,5 @@ ORACLES: dict[str, str] = {
     "op9_quality_rules": quality_rules.ORACLE,
     "op10_warc": warc_zstd.ORACLE,
     "op11_conversation_repair": conversation_repair.ORACLE,
+    "op12_spelling_variants": spelling_variants.ORACLE,
 }

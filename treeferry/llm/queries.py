@@ -15,6 +15,7 @@ from treeferry.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    spelling_variants,
     token_planes,
     url_filter,
     vector_search,
@@ -74,6 +75,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search_hundredths(table(spark, sf_dir, "embeddings"))
 
@@ -91,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op3_mixing_sample": op3_mixing_sample,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_vector_search": op13_vector_search,
 }
