@@ -35,6 +35,7 @@ from treeferry.operators.copying import (  # noqa: E402
     create_directories,
     delete_paths,
     execute_copy,
+    recover_copies,
 )
 from treeferry.operators.planning import (  # noqa: E402
     compare_manifests,
@@ -87,6 +88,7 @@ __all__ = [
     "manifest_summary",
     "map_destination",
     "qualify_path",
+    "recover_copies",
     "report_summary",
     "route_batches",
     "source_manifest",

@@ -9,13 +9,14 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from treeferry.functions.paths import DIRECTORY, FILE, depth_of, folder_of
 from treeferry.operators.balance import balance_by_bytes, spread_over_tasks
+from treeferry.operators.ledger import DoneWriter, Ledger, attempts_of, finish_or_undo
 from treeferry.operators.reporting import REPORT_SCHEMA
 from treeferry.scratch import new_folder, read_table, written
 from treeferry.session import speculates
@@ -69,12 +70,16 @@ class Task:
 Act = Callable[[Task, dict], dict]
 
 
-def _report_task(act: Act, schema: pa.Schema, speculative: bool, options: dict | None) -> Callable[[Iterator], Iterator]:
-    """A task that calls ``act`` for each row and yields the report rows it returns."""
+def _report_task(
+    act: Act, schema: pa.Schema, speculative: bool, options: dict | None, done_folder: str | None = None
+) -> Callable[[Iterator], Iterator]:
+    """A task that calls ``act`` for each row and yields the report rows it returns. What it
+    has put in place goes to the ledger's ``done_folder`` meanwhile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         task = Task(context.taskAttemptId(), context.attemptNumber(), speculative, options)
+        done = DoneWriter(task.at, done_folder) if done_folder else None
 
         def report_row(row: dict) -> dict:
             base = {
@@ -87,24 +92,31 @@ def _report_task(act: Act, schema: pa.Schema, speculative: bool, options: dict |
             if row.get("range_start") is not None:
                 base |= {"file_len": row["file_len"], "action": row["action"]}
             try:
-                return base | act(task, row)
+                result = base | act(task, row)
             except Exception as error:
                 return base | {"outcome": "failed", "error": f"{type(error).__name__}: {error}"}
+            if done and result["outcome"] in ("copied", "replaced", "finished"):
+                done.add({"source": row["source"], "destination": row["destination"], "len": row["file_len"], "outcome": _outcome(row), "bytes": result["bytes"]})
+            return result
 
         for batch in batches:
             rows = [report_row(row) for row in batch.to_pylist()]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        if done:
+            done.flush()
 
     return run
 
 
-def _run_once(todo: DataFrame, act: Act, path: str, schema: str, options: dict | None = None) -> DataFrame:
+def _run_once(
+    todo: DataFrame, act: Act, path: str, schema: str, options: dict | None = None, done_folder: str | None = None
+) -> DataFrame:
     """Act on every row of ``todo`` in one job and read the report that it wrote, so
     that further actions on the report do not act on the filesystem again."""
     spark = todo.sparkSession
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    todo.mapInArrow(_report_task(act, arrow, speculates(spark), options), schema).write.parquet(path)
+    todo.mapInArrow(_report_task(act, arrow, speculates(spark), options, done_folder), schema).write.parquet(path)
     return read_table(spark, path, schema)
 
 
@@ -225,26 +237,37 @@ def delete_paths(uris: DataFrame, options: dict | None = None) -> DataFrame:
     return report.join(asked, "destination", "left_semi").select(*StructType.fromDDL(REPORT_SCHEMA).names)
 
 
-def _checked(store, path: str, expected: int) -> None:
+def _checked(store, path: str, expected: int, did: str = "wrote") -> None:
     found = store.status(path)
     if not found or found[1] != expected:
-        raise OSError(f"wrote {found and found[1]} bytes, but the source was listed with {expected}")
+        raise OSError(f"{did} {found and found[1]} bytes, but the source was listed with {expected}")
 
 
 def _outcome(row: dict) -> str:
     return "replaced" if row["action"] == "replace" else "copied"
 
 
-def _copy_file(task: Task, row: dict, buffer_bytes: int) -> dict:
-    """Copy one whole file through a temporary name in the destination's directory, or
-    straight to its own where a file is seen only once it is whole."""
+def _copy_directly(task: Task, row: dict, buffer_bytes: int) -> dict:
+    """Write a file under its own name at once. A read that fails half-way leaves a part in the
+    place of what was there."""
     source_store, source_path = task.at(row["source"])
     store, path = task.at(row["destination"])
-    if store.appears_when_closed:
-        with source_store.open_input(source_path) as reader, store.open_fresh(path) as writer:
-            count = copy_bytes(reader, writer, buffer_bytes)
-        _checked(store, path, row["len"])
-        return {"outcome": _outcome(row), "bytes": count, "temp_path": None}
+    _checked(source_store, source_path, row["len"], "has")
+    with source_store.open_input(source_path) as reader, store.open_fresh(path) as writer:
+        count = copy_bytes(reader, writer, buffer_bytes)
+    _checked(store, path, row["len"])
+    return {"outcome": _outcome(row), "bytes": count, "temp_path": None}
+
+
+def _copy_file(task: Task, row: dict, buffer_bytes: int, direct_writes: bool = False) -> dict:
+    """Copy one whole file through a temporary name in the destination's directory. What was
+    there is replaced once the new file has the length that was listed, not before."""
+    source_store, source_path = task.at(row["source"])
+    store, path = task.at(row["destination"])
+    if store.largest_move is not None and row["len"] > store.largest_move:
+        if not direct_writes:
+            raise OSError(f"{row['len']} bytes are more than {store.largest_move}, the most that can be moved into place there")
+        return _copy_directly(task, row, buffer_bytes)
     task.remove_leftovers(store, task.at(row["temp_path"])[1])
     temp_path = task.own_name(row["temp_path"])
     _, temp = task.at(temp_path)
@@ -275,14 +298,15 @@ def _copy_range(task: Task, row: dict, buffer_bytes: int) -> dict:
     return {"outcome": "range", "bytes": count}
 
 
-def _copy_part(buffer_bytes: int) -> Act:
+def _copy_part(buffer_bytes: int, direct_writes: bool = False) -> Act:
     def act(task: Task, row: dict) -> dict:
         if row["file_type"] != FILE:
             raise ValueError(f"{row['source']} is neither a file nor a directory")
         if row["action"] == "conflict":
             raise IsADirectoryError(f"{row['destination']} is a directory")
-        copy = _copy_file if row["range_start"] is None else _copy_range
-        return copy(task, row, buffer_bytes)
+        if row["range_start"] is None:
+            return _copy_file(task, row, buffer_bytes, direct_writes)
+        return _copy_range(task, row, buffer_bytes)
 
     return act
 
@@ -347,12 +371,14 @@ def plan_batches(
     rows: int | None = None,
     range_bytes: int = RANGE_BYTES,
     run_id: str | None = None,
+    ledger: Ledger | None = None,
 ) -> Batches:
     """Cut the files of a plan (``source, destination, file_type, len, action``) into
     batches of about ``bytes_per_task``, so that neither many small files nor a few
     large ones end up together. Files above ``range_bytes`` are cut into ranges first.
     ``rows`` is the number of files, if known. ``run_id`` marks the temporary names; a
-    run with that of an earlier one takes over what that left."""
+    run with that of an earlier one takes over what that left. A ``ledger`` keeps the batches
+    as what is meant to be done."""
     seen = Observation()
     parts = _in_ranges(
         files.select("source", "destination", "file_type", "len", "action"), range_bytes, run_id or uuid.uuid4().hex
@@ -361,20 +387,26 @@ def plan_batches(
     balanced = balance_by_bytes(parts, bytes_per_task, rows, cost, order=("destination", "range_start"))
     counts = (F.count_if(F.col("range_start") == 0), F.max("partition"), F.max("batch"))
     names = ("cut_files", "last_partition", "last_batch")
-    batches = written(balanced.observe(seen, *(c.alias(n) for c, n in zip(counts, names))), "batches")
+    batches = written(balanced.observe(seen, *(c.alias(n) for c, n in zip(counts, names))), "batches", ledger and ledger.new_intents())
     cut_files, last_partition, last_batch = (seen.get[name] for name in names)
     only_batches = None if last_partition else (last_batch or 0) + 1
     return Batches(batches, cut_files, only_batches)
 
 
 def copy_batches(
-    batches: Batches, num_tasks: int | None = None, buffer_bytes: int = BUFFER_BYTES, options: dict | None = None
+    batches: Batches,
+    num_tasks: int | None = None,
+    buffer_bytes: int = BUFFER_BYTES,
+    options: dict | None = None,
+    direct_writes: bool = False,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Copy written batches, one task each, and report on every file. With ``num_tasks``
-    the batches are dealt to that many tasks."""
+    the batches are dealt to that many tasks. A ``ledger`` hears of each finished copy."""
     spark = batches.rows.sparkSession
+    done = ledger and ledger.done_folder
     routed, _ = spread_over_tasks(batches.rows, num_tasks, batches.only_batches)
-    stage = _run_once(routed, _copy_part(buffer_bytes), new_folder(spark, "copy-stage"), STAGE_SCHEMA, options)
+    stage = _run_once(routed, _copy_part(buffer_bytes, direct_writes), new_folder(spark, "copy-stage"), STAGE_SCHEMA, options, done)
     columns = StructType.fromDDL(REPORT_SCHEMA).names
     if not batches.cut_files:
         return stage.select(columns)
@@ -385,7 +417,7 @@ def copy_batches(
     to_finish = cut_files.agg(F.sum("bytes").alias("bytes"), F.max("error").alias("range_error"))
     # An explicit count: adaptive execution would merge these few bytes, and so all renames.
     to_finish = to_finish.repartition(-(-batches.cut_files // CALLS_PER_TASK))
-    finished = _run_once(to_finish, _finish_ranges, new_folder(spark, "ranges-report"), REPORT_SCHEMA, options)
+    finished = _run_once(to_finish, _finish_ranges, new_folder(spark, "ranges-report"), REPORT_SCHEMA, options, done)
     return stage.where(F.col("file_len").isNull()).select(columns).unionByName(finished)
 
 
@@ -399,10 +431,37 @@ def execute_copy(
     buffer_bytes: int = BUFFER_BYTES,
     run_id: str | None = None,
     options: dict | None = None,
+    direct_writes: bool = False,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Copy the files of a plan, each once, and report on each. Their directories have
     to exist. ``action`` says what is expected in a file's place: nothing (``copy``), a file
-    (``replace``), or what forbids the copy (``conflict``)."""
+    (``replace``), or what forbids the copy (``conflict``). ``ledger`` is a folder that keeps
+    what the run means to do and has done, for ``recover_copies``."""
+    kept = Ledger.of(files.sparkSession, ledger, run_id or "", options) if ledger else None
     once = files.select("source", "destination", "file_type", "len", "action").distinct()
-    batches = plan_batches(once, bytes_per_task, rows, range_bytes, run_id)
-    return copy_batches(batches, num_tasks, buffer_bytes, options)
+    batches = plan_batches(once, bytes_per_task, rows, range_bytes, run_id, kept)
+    return copy_batches(batches, num_tasks, buffer_bytes, options, direct_writes, kept)
+
+
+def recover(spark: SparkSession, ledger: Ledger) -> DataFrame | None:
+    """``recover_copies`` for an opened ledger; None where nothing was meant to be done."""
+    if not ledger.has_intents():
+        return None
+    done = ledger.done(spark).select("destination", F.col("len").alias("file_len"))
+    parts = ledger.intents(spark).where(F.col("file_type") == FILE)
+    each = parts.groupBy("source", "destination", "file_type", "action", "file_len", "temp_path").agg(F.min("range_start").alias("range_start"))
+    todo = written(each.join(done, ["destination", "file_len"], "left_anti"), "intents")
+    tasks = max(1, -(-todo.count() // CALLS_PER_TASK))
+    act = finish_or_undo(attempts_of(spark))
+    return _run_once(todo.repartition(tasks), act, new_folder(spark, "recovery"), REPORT_SCHEMA, ledger.options, ledger.done_folder)
+
+
+def recover_copies(spark: SparkSession, ledger: str, run_id: str, options: dict | None = None) -> DataFrame:
+    """Finish or undo what a run that broke off left between temporary files and their places,
+    and report on each file that it meant to copy and is not known to have finished:
+    ``finished`` (the whole file waited and nothing was in its place, where a store deletes
+    before it renames), ``undone`` (temporary files are removed, the place is as it was),
+    ``untouched``, or ``failed``. No run with that id may be at work."""
+    found = recover(spark, Ledger.of(spark, ledger, run_id, options))
+    return spark.createDataFrame([], REPORT_SCHEMA) if found is None else found

@@ -9,7 +9,7 @@ REPORT_SCHEMA = (
     "source string, destination string, file_type string, outcome string, bytes bigint, "
     "temp_path string, error string, task_attempt_id bigint"
 )
-OUTCOMES = ("dir_exists", "dir_created", "copied", "replaced", "deleted", "absent", "skipped", "failed")
+OUTCOMES = ("dir_exists", "dir_created", "copied", "replaced", "deleted", "absent", "skipped", "failed", "finished", "undone", "untouched")
 
 
 def manifest_summary(manifest: DataFrame) -> DataFrame:

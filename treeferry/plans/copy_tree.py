@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeferry.functions.paths import below, destination_of_root, is_directory, is_file, map_destination
+from treeferry.functions.paths import FILE, below, destination_of_root, is_directory, is_file, map_destination
 from treeferry.operators.copying import (
     BUFFER_BYTES,
     FILE_COST_BYTES,
@@ -17,7 +17,9 @@ from treeferry.operators.copying import (
     copy_batches,
     create_levels,
     plan_batches,
+    recover,
 )
+from treeferry.operators.ledger import Ledger
 from treeferry.operators.planning import copy_plan
 from treeferry.scratch import written
 from treeferry.session import qualified, side_by_side, speculates, spread_by
@@ -46,6 +48,8 @@ def copy_tree(
     run_id: str | None = None,
     source_options: dict[str, str] | None = None,
     destination_options: dict[str, str] | None = None,
+    direct_writes: bool = False,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Copy the tree at ``source`` below ``destination``, under the source's own name,
     and return the report: one row per file and directory.
@@ -60,6 +64,16 @@ def copy_tree(
     ``source_options`` and ``destination_options`` are settings of the two filesystems,
     such as an endpoint or a user, as ``pyarrow.fs`` takes them in a URI. A run with the
     ``run_id`` of one that broke off takes over its temporary files.
+
+    A file is replaced once its copy is whole under another name; a failure leaves the old one.
+    Where a file is too large for the store to move (5 GiB on S3) its row fails.
+    ``direct_writes`` writes such a file under its own name at once: if that breaks off, what
+    was there is lost.
+
+    ``ledger`` is a folder that keeps, for the ``run_id``, what the run means to do and each
+    finished copy. A run with the id of one that broke off goes on: it finishes or undoes what
+    was left (``recover_copies``) and copies what is not finished or has changed since. Its
+    report covers all; what was finished before has its outcome of then and no task.
     """
     if on_error not in ("collect", "fail"):
         raise ValueError("on_error must be 'collect' or 'fail'")
@@ -67,10 +81,13 @@ def copy_tree(
     options = {root_of(source_root): source_options or {}}
     options[root_of(destination_root)] = options.get(root_of(destination_root), {}) | (destination_options or {})
     _check_roots(spark, source_root, destination_root, options)
+    kept = Ledger.of(spark, ledger, run_id or "", options) if ledger else None
     if create_destination:
         make_directories(destination_root, options)
     _check_exists(destination_root, options)
 
+    if kept:
+        recover(spark, kept)
     # Only entries below the copied root's own place can be replaced, whatever else the
     # destination holds.
     target_root = destination_of_root(source_root, destination_root)
@@ -81,6 +98,8 @@ def copy_tree(
     )
     manifest = to_source_manifest(listing.entries, source_root, destination_root)
 
+    finished: list[DataFrame] = []
+
     def planned() -> Batches | None:
         if not listing.files:
             return None
@@ -88,8 +107,12 @@ def copy_tree(
         share = bytes_per_task(weight, num_tasks, spark.sparkContext.defaultParallelism)
         # Without anything to compare with there is no join, and no shuffle to prepare for.
         keyed = spread_by(manifest, "destination", listing.files) if present.exists else manifest
-        plan = copy_plan(keyed, to_destination_manifest(present.entries))
-        return plan_batches(plan.where(is_file()), share, listing.files, range_bytes, run_id)
+        plan = copy_plan(keyed, to_destination_manifest(present.entries)).where(is_file())
+        if kept:
+            plan = written(_marked_done(plan, kept.done(spark)), "plan")
+            finished.append(_finished(plan))
+            plan = plan.where("NOT done")
+        return plan_batches(plan, share, listing.files, range_bytes, run_id, kept)
 
     def made() -> DataFrame:
         # Each level scans this table; in a large listing the directories are a small part.
@@ -103,8 +126,10 @@ def copy_tree(
         report = report.unionByName(_skipped_links(listing, source_root, destination_root))
     if present.failures:
         report = report.unionByName(_destination_failures(present))
+    for rows in finished:
+        report = report.unionByName(rows)
     if batches:
-        report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes, options))
+        report = report.unionByName(copy_batches(batches, num_tasks, buffer_bytes, options, direct_writes, kept))
 
     if on_error == "fail":
         failed = report.where(F.col("outcome") == "failed")
@@ -123,6 +148,28 @@ def bytes_per_task(weight: int, num_tasks: int | None, cores: int) -> int:
     return min(max(share, LEAST_BYTES_PER_TASK), MOST_BYTES_PER_TASK)
 
 
+def _marked_done(plan: DataFrame, done: DataFrame) -> DataFrame:
+    """The plan with ``done``: whether the ledger has the copy, of the length that the source
+    has now, and it is still there."""
+    before = done.withColumnsRenamed({"outcome": "was", "bytes": "was_bytes"})
+    there = (F.col("dest_type") == FILE) & (F.col("dest_len") == F.col("len"))
+    joined = plan.join(before, ["source", "destination", "len"], "left")
+    return joined.withColumn("done", F.coalesce(F.col("was").isNotNull() & there, F.lit(False)))
+
+
+def _finished(plan: DataFrame) -> DataFrame:
+    return plan.where("done").select(
+        "source",
+        "destination",
+        "file_type",
+        F.col("was").alias("outcome"),
+        F.col("was_bytes").alias("bytes"),
+        F.lit(None).cast("string").alias("temp_path"),
+        F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("bigint").alias("task_attempt_id"),
+    )
+
+
 def _check_roots(spark: SparkSession, source_root: str, destination_root: str, options: dict) -> None:
     if source_root in (destination_root, destination_of_root(source_root, destination_root)):
         raise ValueError(f"{source_root} would be copied onto itself")

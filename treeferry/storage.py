@@ -14,8 +14,10 @@ from urllib.parse import urlencode
 
 # Scheme spellings of Hadoop connectors that pyarrow names differently.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
-# pyarrow's names of filesystems whose files appear when they are closed.
+# pyarrow's names of filesystems whose files appear when they are closed, and
+# the bytes of a file that one server-side copy, and so a move, can take there.
 OBJECT_STORES = ("s3", "gcs", "abfs")
+LARGEST_MOVES = {"s3": 5 << 30}
 
 
 class LocalStore:
@@ -23,6 +25,7 @@ class LocalStore:
 
     replaces_atomically = True
     appears_when_closed = False
+    largest_move: int | None = None
 
     def status(self, path: str) -> tuple[str, int] | None:
         """(``file`` | ``directory`` | ``other``, length), or None where nothing is."""
@@ -92,14 +95,17 @@ class LocalStore:
 
 
 class ArrowStore:
-    """Any filesystem that pyarrow reaches: HDFS and the object stores."""
+    """Any filesystem that pyarrow reaches: HDFS and the object stores.
 
-    replaces_atomically = False
+    In an object store a file is seen once its writer is closed, also when that is because a
+    read failed, and a move is a copy inside the store that takes the target's place whole.
+    """
 
     def __init__(self, filesystem):
         self.filesystem = filesystem
-        # A rename is a second write there, and a file is seen only once it is whole.
         self.appears_when_closed = filesystem.type_name in OBJECT_STORES
+        self.replaces_atomically = self.appears_when_closed
+        self.largest_move = LARGEST_MOVES.get(filesystem.type_name)
 
     @staticmethod
     def _kind(info) -> str:
@@ -140,7 +146,9 @@ class ArrowStore:
         return self.filesystem.open_output_stream(path, compression=None)
 
     def rename(self, path: str, target: str, replace: bool) -> None:
-        if self.status(target):
+        """Put a finished file in place. Where a move cannot replace, the target is absent for
+        a moment; ``recover_copies`` finishes what a crash leaves then."""
+        if not (replace and self.replaces_atomically) and self.status(target):
             if not replace:
                 raise FileExistsError(f"{target} already exists")
             self.filesystem.delete_file(target)
@@ -169,10 +177,12 @@ class Stores:
     """Stores by scheme and authority, for ``scheme://authority/path`` URIs.
 
     ``options``: by scheme and authority, the settings that ``pyarrow.fs`` takes in a URI,
-    such as ``{"s3://bucket": {"endpoint_override": "host:9000", "region": "x"}}``.
+    such as ``{"s3://bucket": {"endpoint_override": "host:9000", "region": "x"}}``. For a
+    filesystem that pyarrow does not know, the setting ``store`` is a function that returns an
+    object with the methods of ``LocalStore``; it is called in the tasks.
     """
 
-    def __init__(self, options: dict[str, dict[str, str]] | None = None):
+    def __init__(self, options: dict[str, dict] | None = None):
         self._options = options or {}
         self._opened: dict[str, tuple[object, str]] = {}
 
@@ -187,12 +197,21 @@ class Stores:
 
     @staticmethod
     def _open(scheme: str, authority: str, options: dict[str, str]) -> tuple[object, str]:
+        if options.get("store"):
+            return options["store"](), ""
         if scheme == "file":
             return LocalStore(), ""
         from pyarrow.fs import FileSystem
 
         settings = "?" + urlencode(options) if options else ""
-        opened, base = FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}://{authority}/{settings}")
+        root = f"{ARROW_SCHEMES.get(scheme, scheme)}://{authority}/"
+        try:
+            opened, base = FileSystem.from_uri(root + settings)
+        except Exception as error:  # its text may hold the settings, and with them secrets
+            told = str(error).replace(root + settings, root)
+            for secret in filter(None, map(str, options.values())):
+                told = told.replace(secret, "***").replace(urlencode({"": secret})[1:], "***")
+            raise OSError(f"cannot open {root}: {told}") from None
         return ArrowStore(opened), base.rstrip("/")
 
 

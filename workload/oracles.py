@@ -241,6 +241,19 @@ UNION ALL SELECT concat('/raw', path, '.link'), 'link', 'skipped' FROM tree WHER
 SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 'failed' ELSE 'copied' END AS outcome,
        CASE WHEN l.quality = 0 THEN NULL ELSE CAST(strlen(text) AS BIGINT) END AS bytes,
        CASE WHEN l.quality = 0 THEN NULL ELSE d.text END AS text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "copy_failing_replacements": """
+SELECT d.doc_id, CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'failed' ELSE 'replaced' END AS outcome,
+       CASE WHEN l.toxic = 1 OR l.quality = 0 THEN concat('older ', d.text) ELSE d.text END AS text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "recover_copies": """
+SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'finished' WHEN l.doc_id IS NULL THEN 'untouched' ELSE 'undone' END AS outcome,
+       CASE WHEN l.toxic = 1 THEN CAST(strlen(d.text) AS BIGINT) END AS bytes,
+       CASE WHEN l.toxic = 1 THEN d.text WHEN l.doc_id IS NOT NULL THEN concat('older ', d.text) END AS text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "continue_copy": """
+SELECT d.doc_id, 'copied' AS outcome, CAST(strlen(d.text) AS BIGINT) AS bytes,
+       CASE WHEN l.toxic = 1 OR l.quality = 0 THEN d.text ELSE translate(d.text, 'aeiou', 'AEIOU') END AS text
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "copy_report": f"WITH {COPIED} SELECT path, file_type, outcome, bytes, CAST(NULL AS VARCHAR) AS error FROM copied",
     "report_summary": f"""

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 import treeferry as tf
 from treeferry.operators.balance import task_count
-from treeferry.operators.copying import temp_uri
+from treeferry.operators.copying import plan_batches, temp_uri
+from treeferry.operators.ledger import Ledger
 from treeferry.scratch import written
 from workload import inputs
 from workload.inputs import DESTINATION_ROOT, SOURCE_ROOT, relative_to, table
+from workload.standin import HealedStandIn, ObjectStandIn
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -400,6 +402,75 @@ def execute_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "left")
 
 
+def _fated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the name of their file: toxic ones cannot be read to their end, bad ones
+    change after they are listed."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fate = F.when(F.col("toxic") == 1, "broken").when(F.col("quality") == 0, "changed").otherwise("doc")
+    named = documents.join(labels, "doc_id", "left").select("doc_id", "text", fate.alias("fate"))
+    return named.withColumn("name", F.concat_ws("_", "fate", F.col("doc_id").cast("string")))
+
+
+def _fated_tree(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+    """A source folder of such files, an empty root, and the documents."""
+    source, root = inputs.new_root(spark, "fated") + "/raw", inputs.new_root(spark, "failing")
+    inputs.make_directories(source)
+    documents = _fated(spark, sf_dir)
+    inputs.write_files(documents.select(F.concat(F.lit(source + "/"), "name").alias("uri"), "text"))
+    return source, root, documents
+
+
+def copy_failing_replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document over an older copy, in a store whose files appear when they are closed;
+    reads that break and lengths that are wrong leave the older copy."""
+    source, root, documents = _fated_tree(spark, sf_dir)
+    inputs.make_directories(root + "/raw")
+    older = F.concat(F.lit("older "), "text").alias("text")
+    inputs.write_files(documents.select(F.concat(F.lit(root + "/raw/"), "name").alias("uri"), older))
+    store = {"store": ObjectStandIn}
+    report = tf.copy_tree(spark, source, root, source_options=store, destination_options=store)
+    own_id = F.regexp_extract("destination", r"_(\d+)$", 1).try_cast("bigint")
+    texts = _texts_by_id(spark, root, r"_(\d+)$").select("doc_id", "text")
+    return report.where(tf.is_file()).select(own_id.alias("doc_id"), "outcome").join(texts, "doc_id", "full")
+
+
+def recover_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a run left it that broke off: the toxic ones whole under a temporary
+    name with nothing in their place, the bad ones half, the other labelled ones whole, both
+    beside an older copy, and the rest not begun."""
+    root, ledger, run_id = inputs.new_root(spark, "recovered"), inputs.new_root(spark, "ledger"), "broke-off"
+    documents = _fated(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    target = F.concat(F.lit(root + "/"), "name")
+    files = documents.select(
+        F.concat(F.lit("file:///source/"), "name").alias("source"), target.alias("destination"), F.lit("file").alias("file_type"),
+        F.octet_length("text").cast("bigint").alias("len"), F.lit("replace").alias("action"),
+    )
+    plan_batches(files, 1 << 20, run_id=run_id, ledger=Ledger.of(spark, ledger, run_id))
+    begun = documents.where("quality IS NOT NULL")
+    part = F.when(F.col("fate") == "changed", F.substring("text", 1, 3)).otherwise(F.col("text"))
+    inputs.write_files(begun.select(F.concat(temp_uri(target, run_id), F.lit(".0")).alias("uri"), part.alias("text")))
+    there = begun.where("fate <> 'broken'")
+    inputs.write_files(there.select(target.alias("uri"), F.concat(F.lit("older "), "text").alias("text")))
+    report = tf.recover_copies(spark, ledger, run_id)
+    own_id = F.regexp_extract("destination", r"_(\d+)$", 1).try_cast("bigint")
+    texts = _texts_by_id(spark, root, r"_(\d+)$").select("doc_id", "text")
+    return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "full")
+
+
+def continue_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document by a run that went on where one had failed: what was copied then has
+    been marked meanwhile, and is not copied again."""
+    source, root, documents = _fated_tree(spark, sf_dir)
+    ledger = {"run_id": "goes-on", "ledger": inputs.new_root(spark, "ledger")}
+    tf.copy_tree(spark, source, root, source_options={"store": ObjectStandIn}, **ledger)
+    done = documents.where("fate = 'doc'")
+    inputs.write_files(done.select(F.concat(F.lit(root + "/raw/"), "name").alias("uri"), F.translate("text", "aeiou", "AEIOU").alias("text")))
+    report = tf.copy_tree(spark, source, root, source_options={"store": HealedStandIn}, on_error="fail", **ledger)
+    own_id = F.regexp_extract("destination", r"_(\d+)$", 1).try_cast("bigint")
+    texts = _texts_by_id(spark, root, r"_(\d+)$").select("doc_id", "text")
+    return report.where(tf.is_file()).select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "full")
+
+
 def digest_of(rows: DataFrame) -> DataFrame:
     """``rows`` counted, with an order-free ``digest`` over all their columns."""
     columns = [F.col(f"`{name}`") for name in rows.columns]
@@ -476,6 +547,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         copy_tree_excluding,
         copy_tree_with_links,
         execute_copy,
+        copy_failing_replacements,
+        recover_copies,
+        continue_copy,
         copy_tree_readback,
     )
 } | {f"copy_tree_readback_{each}": partial(_readback, each) for each in TABLES}
