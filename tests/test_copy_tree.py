@@ -468,3 +468,21 @@ def test_report_summary(spark, roots):
     fill(source, {"f": b"abc", "g": b"de"})
     summary = tf.report_summary(tf.copy_tree(spark, str(source), str(target)))
     assert {tuple(r) for r in summary.collect()} == {("file", "copied", 2, 5), ("directory", "dir_created", 1, 0)}
+
+
+def test_a_deletion_tells_what_stood_in_its_way(spark, roots, monkeypatch):
+    from treeferry.storage import LocalStore
+
+    class Stuck(LocalStore):
+        def remove_file(self, path):
+            if path.endswith("stuck"):
+                raise PermissionError(f"cannot remove {path}")
+            super().remove_file(path)
+
+    source, _ = roots
+    fill(source, {"tree/a/b/stuck": b"x", "tree/a/fine": b"y", "other/z": b"z"})
+    uris = spark.createDataFrame([(f"file://{source}/tree",), (f"file://{source}/other",)], "uri string")
+    report = {r.destination.rpartition("/")[2]: r for r in tf.delete_paths(uris, {"file://": {"store": Stuck}}).collect()}
+    assert report["other"].outcome == "deleted" and report["tree"].outcome == "failed" and len(report) == 2
+    assert "below it" in report["tree"].error and "cannot remove" in report["tree"].error
+    assert tree(source) == {"tree": None, "tree/a": None, "tree/a/b": None, "tree/a/b/stuck": tree(source)["tree/a/b/stuck"]}

@@ -67,8 +67,13 @@ def test_what_cannot_be_listed_is_an_error_row(spark, roots):
     assert errors == {"pipe": "neither a file nor a directory", "bad\ufffd": "the name is not valid UTF-8"}
 
 
+def frontier(uri, depth):
+    nothing = pa.array([None], pa.string())
+    return pa.RecordBatch.from_pydict({"uri": [uri], "depth": pa.array([depth], pa.int32()), "low": nothing, "high": nothing})
+
+
 def test_unreadable_directory_is_an_error_row(tmp_path):
-    batch = pa.RecordBatch.from_pydict({"uri": [f"file://{tmp_path}/gone"], "depth": pa.array([3], pa.int32())})
+    batch = frontier(f"file://{tmp_path}/gone", 3)
     rows = [row for out in listing._walk(1.0)(iter([batch])) for row in out.to_pylist()]
     assert [(r["kind"], r["depth"]) for r in rows] == [("failed", 3)] and "FileNotFoundError" in rows[0]["error"]
 
@@ -104,10 +109,38 @@ def test_a_task_queues_no_more_than_its_share(tmp_path, monkeypatch):
     expected = make_wide_tree(tmp_path)
     entries, todo = [], [(f"file://{tmp_path}", 0)]
     while todo:
-        batch = pa.RecordBatch.from_pydict(
-            {"uri": [todo[0][0]], "depth": pa.array([todo[0][1]], pa.int32())}
-        )
+        batch = frontier(*todo[0])
         out = [row for rows in listing._walk(60.0)(iter([batch])) for row in rows.to_pylist()]
         entries += [row["uri"] for row in out if row["kind"] == "entry"]
         todo = todo[1:] + [(row["uri"], row["depth"]) for row in out if row["kind"] == "pending"]
     assert sorted(entries) == sorted(f"file://{tmp_path}/{path}" for path in expected)
+
+
+def test_a_flat_directory_is_read_in_ranges(spark, tmp_path):
+    """Several tasks read one directory, none of them much more than its share."""
+    names = [f"f{i:05d}" for i in range(6000)] + [f"Ä{i}" for i in range(300)] + ["low", "high", "a" * 255]
+    for name in names:
+        (tmp_path / name).write_bytes(name.encode()[:3])
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "x").write_bytes(b"x")
+    os.mkdir(os.fsencode(tmp_path) + b"/\xff")
+    found = listing.walk_tree(spark, str(tmp_path), entries_per_range=500)
+    rows = [(r.uri.rpartition("/")[2], r.len, r.file_type) for r in found.entries.where("depth = 1").collect()]
+    assert sorted(rows) == sorted([(n, len(n.encode()[:3]), "file") for n in names] + [("sub", 0, "directory")])
+    assert found.entries.count() == len(names) + 3 and found.files == len(names) + 1 and found.failures == 1
+    ranges = found.rows.where("kind = 'pending' AND low IS NOT NULL OR kind = 'pending' AND high IS NOT NULL").collect()
+    assert len(ranges) >= 13
+    shares = [sum((r.low is None or n >= r.low) and (r.high is None or n < r.high) for n in names) for r in ranges]
+    read = [s for s in shares if s <= 501]
+    assert len(read) >= 13 and max(shares) < 2 * 501
+
+
+def test_ranges_cover_everything_once():
+    _ranges = listing._ranges
+    names = [f"{i * 7919 % 10007}" for i in range(10007)]
+    ranges = _ranges(iter(names), None, None, 1000)
+    assert ranges[0][0] is None and ranges[-1][1] is None and [a[1] for a in ranges[:-1]] == [b[0] for b in ranges[1:]]
+    inner = _ranges(iter(names), "3", "5", 100)
+    assert inner[0][0] == "3" and inner[-1][1] == "5"
+    assert _ranges(iter(["a"]), None, None, 1) == [(None, None)]
+    assert _ranges(iter(["\udcff", "\udcfe"]), None, None, 1) == [(None, None)]

@@ -196,12 +196,17 @@ def _remove(of_store: str) -> Act:
     return act
 
 
+def _above(uri: str) -> Column:
+    """The URIs of the directories above a URI, without the root's."""
+    parts = F.split(uri, "/")
+    some = F.transform(F.sequence(F.lit(4), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    return F.when(F.size(parts) > 4, some).otherwise(F.array().cast("array<string>"))
+
+
 def _outermost(uris: DataFrame) -> DataFrame:
     """The distinct URIs that are not below another one of them."""
     distinct = uris.select("uri").distinct()
-    parts = F.split("uri", "/")
-    above = F.transform(F.sequence(F.lit(4), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    chain = distinct.where(F.size(parts) > 4).select("uri", F.explode(above).alias("above"))
+    chain = distinct.select("uri", F.explode(_above("uri")).alias("above"))
     nested = chain.join(distinct.select(F.col("uri").alias("above")), "above", "left_semi")
     return distinct.join(nested.select("uri").distinct(), "uri", "left_anti")
 
@@ -211,6 +216,8 @@ def delete_paths(uris: DataFrame, options: dict | None = None) -> DataFrame:
     does not exist is no error. A URI that repeats, or is below another one, has no row of
     its own: the outer one's stands for it.
 
+    A directory that could not be deleted tells the deepest error below it.
+
     Trees are listed first, their files deleted in batches that share the work, and their
     directories by depth, the deepest first; links are deleted and not followed.
     """
@@ -234,7 +241,15 @@ def delete_paths(uris: DataFrame, options: dict | None = None) -> DataFrame:
     emptied = _by_levels(written(folders, "folders"), _remove("remove_directory"), options, deepest_first=True)
     if emptied is not None:
         report = report.unionByName(emptied)
-    return report.join(asked, "destination", "left_semi").select(*StructType.fromDDL(REPORT_SCHEMA).names)
+    # Kept: listing, deleting and looking are done, and their errors are few.
+    report = written(report.select(*StructType.fromDDL(REPORT_SCHEMA).names), "deletion-report")
+    unlisted = below.where(unread).select(F.col("uri").alias("destination"), "error")
+    failed = report.where(F.col("outcome") == "failed").select("destination", "error")
+    inner = failed.unionByName(unlisted).select(F.explode(_above("destination")).alias("above"), F.struct((-depth_of("destination")).alias("minus"), "destination", "error").alias("inner"))
+    first = inner.groupBy(F.col("above").alias("destination")).agg(F.min("inner").alias("inner"))
+    own = report.join(asked, "destination", "left_semi").join(first, "destination", "left")
+    told = F.concat("error", F.lit("; below it "), F.col("inner.destination"), F.lit(": "), F.col("inner.error"))
+    return own.withColumn("error", F.coalesce(told, "error")).select(*StructType.fromDDL(REPORT_SCHEMA).names)
 
 
 def _checked(store, path: str, expected: int, did: str = "wrote") -> None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import random
 import re
 import time
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql.types import StructType
 from treeferry.functions.paths import DIRECTORY, FILE, ancestor_dependencies
 from treeferry.scratch import new_folder, read_table
 from treeferry.session import qualified
-from treeferry.storage import Stores
+from treeferry.storage import Stores, within
 
 # How long a task reads directories before it leaves the rest to the next round. The
 # first round has one task, so it ends early.
@@ -25,12 +26,17 @@ FIRST_ROUND_SECONDS = 1.0
 ROUND_SECONDS = 20.0
 DIRECTORIES_PER_TASK = 1024
 ROWS_PER_BATCH = 10_000
+# A directory with more entries is read in ranges of names, of about as many each, by several
+# tasks; their bounds are taken from a sample of the names.
+ENTRIES_PER_RANGE = 50_000
+SAMPLED_NAMES = 4096
 
 # ``kind``: an entry of the tree, one that cannot be copied or read, a symbolic link, or a
 # directory left for the next round.
 ENTRY, FAILED, SKIPPED, PENDING = "entry", "failed", "skipped", "pending"
 LINK = "link"
-WALK_SCHEMA = "kind string, uri string, len bigint, file_type string, depth int, error string"
+WALK_SCHEMA = "kind string, uri string, len bigint, file_type string, depth int, error string, low string, high string"
+FRONTIER = ("uri", "depth", "low", "high")
 
 
 def _text(name: str) -> tuple[str, str | None]:
@@ -42,17 +48,37 @@ def _text(name: str) -> tuple[str, str | None]:
         return shown, "the name is not valid UTF-8"
 
 
+def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int) -> list[tuple[str | None, str | None]]:
+    """Ranges of about ``share`` of the ``names`` each, together ``low`` to ``high``. Names pass
+    one by one; a sample of them is kept."""
+    chance, sample, seen = random.Random(0), [], 0
+    for name in names:
+        if not within(name, low, high):
+            continue
+        seen += 1
+        if len(sample) < SAMPLED_NAMES:
+            sample.append(name)
+        elif (at := chance.randrange(seen)) < SAMPLED_NAMES:
+            sample[at] = name
+    sample = sorted(name for name in sample if not _text(name)[1])
+    parts = max(2, -(-seen // share))
+    bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)} - set(sample[:1])) if sample else []
+    edges = [low, *bounds, high]
+    return list(zip(edges, edges[1:]))
+
+
 def any_of(patterns: Iterable[str]) -> str | None:
     """One pattern for all, or None for none."""
     return "|".join(f"(?:{pattern})" for pattern in patterns) or None
 
 
 def _walk(
-    seconds: float, exclude: str | None = None, options: dict[str, dict[str, str]] | None = None
+    seconds: float, exclude: str | None = None, options: dict[str, dict[str, str]] | None = None, share: int = ENTRIES_PER_RANGE
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task that reads its directories, then what it finds below them, breadth
-    first. Directories beyond its share, or its time, go to the next round. What matches
-    ``exclude`` makes no row, and a directory that does is not read."""
+    first. Directories beyond its share, or its time, go to the next round, and so do ranges of
+    names of a directory with more than ``share`` entries. What matches ``exclude`` makes no
+    row, and a directory that does is not read."""
     schema = pa.schema(
         [
             ("kind", pa.string()),
@@ -61,32 +87,43 @@ def _walk(
             ("file_type", pa.string()),
             ("depth", pa.int32()),
             ("error", pa.string()),
+            ("low", pa.string()),
+            ("high", pa.string()),
         ]
     )
+    whole = (None, None)
 
-    def rows_of(stores: Stores, uri: str, depth: int, found: deque) -> Iterator[tuple]:
+    def rows_of(stores: Stores, uri: str, depth: int, low: str | None, high: str | None, found: deque) -> Iterator[tuple]:
         prefix = uri.removesuffix("/") + "/"
         try:
             store, path = stores.at(uri)
-            for name, kind, length in store.scan(path):
+            entries = store.scan(path, low, high)
+            if store.splits_directories:
+                few = list(islice(entries, share + 1))
+                if len(few) > share and len(ranges := _ranges(store.names(path), low, high, share)) > 1:
+                    for bounds in ranges:
+                        yield PENDING, uri, None, DIRECTORY, depth, None, *bounds
+                    return
+                entries = chain(few, entries)
+            for name, kind, length in entries:
                 name, problem = _text(name)
                 if exclude and re.fullmatch(exclude, prefix + name):
                     continue
                 if kind == LINK and not problem:
-                    yield SKIPPED, prefix + name, None, kind, depth + 1, None
+                    yield SKIPPED, prefix + name, None, kind, depth + 1, None, *whole
                     continue
                 if kind not in (FILE, DIRECTORY):
                     problem = "neither a file nor a directory"
                 if problem:
-                    yield FAILED, prefix + name, None, kind, depth + 1, problem
+                    yield FAILED, prefix + name, None, kind, depth + 1, problem, *whole
                     continue
-                yield ENTRY, prefix + name, length, kind, depth + 1, None
+                yield ENTRY, prefix + name, length, kind, depth + 1, None, *whole
                 if kind == DIRECTORY and len(found) < DIRECTORIES_PER_TASK:
-                    found.append((prefix + name, depth + 1))
+                    found.append((prefix + name, depth + 1, *whole))
                 elif kind == DIRECTORY:
-                    yield PENDING, prefix + name, None, kind, depth + 1, None
+                    yield PENDING, prefix + name, None, kind, depth + 1, None, *whole
         except Exception as error:
-            yield FAILED, uri, None, DIRECTORY, depth, f"{type(error).__name__}: {error}"
+            yield FAILED, uri, None, DIRECTORY, depth, f"{type(error).__name__}: {error}", *whole
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -97,12 +134,12 @@ def _walk(
         def found_rows() -> Iterator[tuple]:
             stores, todo, until, done = Stores(options), deque(), time.monotonic() + seconds, 0
             for batch in batches:
-                todo.extend(zip(batch.column("uri").to_pylist(), batch.column("depth").to_pylist()))
+                todo.extend(zip(*(batch.column(name).to_pylist() for name in FRONTIER)))
             while todo and (done == 0 or (done < DIRECTORIES_PER_TASK and time.monotonic() < until)):
                 yield from rows_of(stores, *todo.popleft(), todo)
                 done += 1
-            for uri, depth in todo:
-                yield PENDING, uri, None, DIRECTORY, depth, None
+            for uri, depth, low, high in todo:
+                yield PENDING, uri, None, DIRECTORY, depth, None, low, high
 
         rows = found_rows()
         while part := list(islice(rows, ROWS_PER_BATCH)):
@@ -144,19 +181,24 @@ class TreeListing:
 
 
 def walk_tree(
-    spark: SparkSession, uri: str, num_tasks: int | None = None, exclude: Iterable[str] = ()
+    spark: SparkSession,
+    uri: str,
+    num_tasks: int | None = None,
+    exclude: Iterable[str] = (),
+    entries_per_range: int = ENTRIES_PER_RANGE,
 ) -> TreeListing:
     """List everything at and below ``uri``: files and directories, hidden and empty
     ones too; symbolic links are listed apart and not followed. A missing root is an error
     before any job. ``exclude`` holds full-match patterns (Python syntax) of URIs to leave
     out; a directory that matches is left out with everything below it. The root stays.
 
-    Each round is one job over the directories not read yet. It ends with a table in
+    Each round is one job over the directories not read yet, and over ranges of names of those
+    with very many entries, so one huge directory is read by many tasks. It ends with a table in
     the shared folder, so a lost executor repeats single tasks, and the next round
     spreads the open directories evenly over its tasks. ``num_tasks`` is the least
     number of tasks for a round that has as many directories.
     """
-    return walk_root(spark, qualified(spark, uri)[0], num_tasks, exclude=exclude)
+    return walk_root(spark, qualified(spark, uri)[0], num_tasks, exclude=exclude, entries_per_range=entries_per_range)
 
 
 def walk_root(
@@ -166,6 +208,7 @@ def walk_root(
     must_exist: bool = True,
     exclude: Iterable[str] = (),
     options: dict[str, dict[str, str]] | None = None,
+    entries_per_range: int = ENTRIES_PER_RANGE,
 ) -> TreeListing:
     """``walk_tree`` for a root that is spelled as in the tables; if it need not
     exist, a missing one has no entries."""
@@ -177,7 +220,7 @@ def walk_root(
     if kind not in (FILE, DIRECTORY):
         raise ValueError(f"{root} is neither a file nor a directory")
 
-    columns = dict(kind=ENTRY, uri=root, len=length, file_type=kind, depth=0, error=None)
+    columns = dict(kind=ENTRY, uri=root, len=length, file_type=kind, depth=0, error=None, low=None, high=None)
     seed = spark.range(0, 1, 1, 1).select(
         [F.lit(columns[field.name]).cast(field.dataType).alias(field.name) for field in StructType.fromDDL(WALK_SCHEMA)]
     )
@@ -186,7 +229,7 @@ def walk_root(
     if kind == FILE:
         return TreeListing(root, seed, 1, length)
 
-    return _walk_rounds(spark, root, seed, num_tasks, any_of(exclude), options)
+    return _walk_rounds(spark, root, seed, num_tasks, any_of(exclude), options, entries_per_range=entries_per_range)
 
 
 def walk_below(
@@ -194,7 +237,8 @@ def walk_below(
 ) -> TreeListing:
     """Everything below the directories ``uri``, none of which is below another, without
     themselves. They are read by as many tasks as there are rows for."""
-    frontier = directories.select("uri", F.lit(0).alias("depth"))
+    none = F.lit(None).cast("string")
+    frontier = directories.select("uri", F.lit(0).alias("depth"), none.alias("low"), none.alias("high"))
     return _walk_rounds(spark, "", None, None, None, options, frontier)
 
 
@@ -206,19 +250,20 @@ def _walk_rounds(
     exclude: str | None,
     options: dict[str, dict[str, str]] | None,
     frontier: DataFrame | None = None,
+    entries_per_range: int = ENTRIES_PER_RANGE,
 ) -> TreeListing:
     table = new_folder(spark, "listing")
     number, counts = 0, Counter()
     least_tasks = num_tasks or spark.sparkContext.defaultParallelism
     tasks = 1
     if frontier is None:
-        frontier = seed.select("uri", "depth")
+        frontier = seed.select(*FRONTIER)
     else:
         tasks = max(1, min(frontier.count(), least_tasks))
         frontier = frontier.repartition(tasks)
     while tasks:
         seconds = ROUND_SECONDS if number else FIRST_ROUND_SECONDS
-        rows = frontier.mapInArrow(_walk(seconds, exclude, options), WALK_SCHEMA)
+        rows = frontier.mapInArrow(_walk(seconds, exclude, options, entries_per_range), WALK_SCHEMA)
         if number == 0 and seed is not None:
             rows = seed.unionByName(rows)
         seen = Observation()
@@ -237,7 +282,7 @@ def _walk_rounds(
         frontier = (
             read_table(spark, f"{table}/round={number}", WALK_SCHEMA)
             .where(F.col("kind") == PENDING)
-            .select("uri", "depth")
+            .select(*FRONTIER)
         )
         tasks = min(pending, max(least_tasks, -(-pending // DIRECTORIES_PER_TASK)))
         if tasks:

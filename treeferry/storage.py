@@ -26,6 +26,8 @@ class LocalStore:
     replaces_atomically = True
     appears_when_closed = False
     largest_move: int | None = None
+    #: Whether ``scan`` can read a range of names for less than the whole directory.
+    splits_directories = True
 
     def status(self, path: str) -> tuple[str, int] | None:
         """(``file`` | ``directory`` | ``other``, length), or None where nothing is."""
@@ -37,11 +39,20 @@ class LocalStore:
             return "directory", 0
         return ("file" if stat.S_ISREG(found.st_mode) else "other"), found.st_size
 
-    def scan(self, path: str) -> Iterator[tuple[str, str, int]]:
-        """(name, type, length) of each direct entry, as the directory is read. A symbolic
-        link is of type ``link`` and never followed, which also rules out cycles."""
+    def names(self, path: str) -> Iterator[str]:
+        """The names in a directory as it is read, without asking for anything else."""
         with os.scandir(path) as entries:
             for entry in entries:
+                yield entry.name
+
+    def scan(self, path: str, low: str | None = None, high: str | None = None) -> Iterator[tuple[str, str, int]]:
+        """(name, type, length) of each direct entry, as the directory is read: of those whose
+        name is at least ``low`` and below ``high``. A symbolic link is of type ``link`` and
+        never followed, which also rules out cycles."""
+        with os.scandir(path) as entries:
+            for entry in entries:
+                if not within(entry.name, low, high):
+                    continue
                 if entry.is_symlink():
                     yield entry.name, "link", 0
                 elif entry.is_dir(follow_symlinks=False):
@@ -99,8 +110,11 @@ class ArrowStore:
 
     In an object store a file is seen once its writer is closed, also when that is because a
     read failed, and a move is a copy inside the store that takes the target's place whole.
+    pyarrow lists a directory in one piece and takes no range of names.
     """
 
+    splits_directories = False
+
     def __init__(self, filesystem):
         self.filesystem = filesystem
         self.appears_when_closed = filesystem.type_name in OBJECT_STORES
@@ -119,11 +133,12 @@ class ArrowStore:
             return None
         return self._kind(info), info.size or 0
 
-    def scan(self, path: str) -> Iterator[tuple[str, str, int]]:
+    def scan(self, path: str, low: str | None = None, high: str | None = None) -> Iterator[tuple[str, str, int]]:
         from pyarrow.fs import FileSelector
 
         for info in self.filesystem.get_file_info(FileSelector(path)):
-            yield info.base_name, self._kind(info), info.size or 0
+            if within(info.base_name, low, high):
+                yield info.base_name, self._kind(info), info.size or 0
 
     def make_directory(self, path: str) -> None:
         if self.status(path):
@@ -167,6 +182,10 @@ class ArrowStore:
         return False
 
 
+def within(name: str, low: str | None, high: str | None) -> bool:
+    return (low is None or name >= low) and (high is None or name < high)
+
+
 def root_of(uri: str) -> str:
     """``scheme://authority`` of a URI."""
     scheme, _, rest = uri.partition("://")

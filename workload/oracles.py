@@ -198,6 +198,7 @@ SELECT b.destination, b.len, CAST(o.first_task + b.batch AS INTEGER) AS task,
        CAST(o.first_task + b.batch AS INTEGER) AS landed
 FROM balanced b JOIN offsets o ON b.partition = o.partition""",
     "list_tree": f"WITH {TREE} SELECT path, len, file_type, depth, ancestors FROM tree",
+    "list_flat_directory": "SELECT concat('doc_', CAST(doc_id AS VARCHAR)) AS name, CAST(strlen(text) AS BIGINT) AS len FROM documents",
     "source_manifest": f"""
 WITH {TREE}
 SELECT path, concat('hdfs://nn2:8020/backup/raw', path) AS destination, len, file_type,

@@ -218,6 +218,18 @@ def list_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one directory, read in ranges of about fifty names by several tasks."""
+    root = inputs.new_root(spark, "flat")
+    documents = table(spark, sf_dir, "documents")
+    inputs.write_files(documents.select(F.concat(F.lit(root + "/doc_"), F.col("doc_id").cast("string")).alias("uri"), "text"))
+    listing = tf.walk_tree(spark, root, entries_per_range=50)
+    ranges = listing.rows.where("kind = 'pending' AND (low IS NOT NULL OR high IS NOT NULL)").count()
+    if ranges < listing.files // 50:
+        raise AssertionError(f"{ranges} ranges for {listing.files} files of one directory")
+    return listing.entries.where(tf.is_file()).select(F.substring_index("uri", "/", -1).alias("name"), "len")
+
+
 def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = inputs.document_tree(spark, sf_dir)
     manifest = tf.source_manifest(spark, root, DESTINATION_ROOT, num_tasks=4)
@@ -535,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         balance_by_bytes,
         route_batches,
         list_tree,
+        list_flat_directory,
         source_manifest,
         destination_manifest,
         create_directories,
