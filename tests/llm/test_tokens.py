@@ -33,6 +33,17 @@ def test_ids_are_the_librarys(name):
         assert [t for t, w in zip(texts, wanted, strict=True) if own.encode(t) != pack(w.ids)] == []
 
 
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+@pytest.mark.parametrize("form", ["x{}y", "ab {}", "a{}B {}1.", "\u0301{} {}\t{}a"])
+def test_every_character(name, form):
+    """Letters that only one of two pattern engines knows were cut at different places."""
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000] + list(range(0xE0000, 0xE0200))
+    texts = [form.replace("{}", chr(c)) for c in points]
+    own = TokenIds(tokenizer_path(name))
+    wanted = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [hex(c) for c, t, w in zip(points, texts, wanted, strict=True) if own.encode(t) != pack(w.ids)] == []
+
+
 def test_ids_of_a_full_cache(monkeypatch):
     monkeypatch.setattr("treeferry.llm.token_ids.CACHE_ENTRIES", 3)
     own = TokenIds(tokenizer_path(BYTES))

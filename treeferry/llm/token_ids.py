@@ -24,6 +24,10 @@ CACHED_CHARACTERS = 64
 # White space as both pre-tokenizers know it, and their patterns.
 SPACE = r"\t-\r \x85\xa0  -     　"
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters that this and the library's pattern engine are known to read alike (a test goes
+# through them): Latin letters, and common punctuation. Letters that only one of the two knows
+# would be cut at different places, so parts with any other character go to the library.
+SHARED = re.compile("[\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]*")
 WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -41,7 +45,8 @@ class TokenIds:
     ``path``: a file of the ``tokenizers`` library. The ids are those of its
     ``encode(text, add_special_tokens=False)``. Texts that the cutting rule does not cover
     (special tokens' strings, normal forms that change under composition) and files of
-    another kind go to that method whole.
+    another kind go to that method whole, and so does each part between spaces that has a
+    character outside ``SHARED``.
     """
 
     def __init__(self, path: str):
@@ -67,12 +72,26 @@ class TokenIds:
             # Lower-casing here must be by character, as there: a final sigma depends on its place.
             if "Σ" in text or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
                 return self._whole(text)
-            return self._words(text.lower().replace("\n", " ").split(" "), "")
+            words = text.replace("\n", " ")
+            if _is_shared(text):
+                return self._words(words.lower().split(" "), "")
+            return b"".join([self._words([word.lower()], "") if _is_shared(word) else self._kept_whole(word) for word in words.split(" ")])
         return self._spaced(text)
 
     def _whole(self, text: str) -> bytes:
         return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _kept_whole(self, part: str) -> bytes:
+        """The library's ids of a part that it has to cut itself, kept like others."""
+        ids = self.tokens.get(part)
+        if ids is None:
+            ids = self._whole(part)
+            if len(part) <= CACHED_CHARACTERS:
+                if len(self.tokens) >= CACHE_ENTRIES:
+                    self.tokens.clear()
+                self.tokens[part] = ids
+        return ids
+
     def _words(self, words: list[str], before: str) -> bytes:
         parts = self.parts
         try:
@@ -95,7 +114,11 @@ class TokenIds:
 
     def _part(self, word: str, before: str) -> bytes:
         """The ids of ``before + word``, kept under ``word``."""
-        if word.isalpha():
+        if not _is_shared(word):
+            ids = self._whole(before + word)
+            if not word or word[-1].isspace():
+                return ids
+        elif word.isalpha():
             ids = self._model(before + word)
         elif word[-1:] in (".", ",") and word[:-1].isalpha():
             ids = (self.parts.get(word[:-1]) or self._part(word[:-1], before)) + self._token(word[-1])
@@ -111,6 +134,8 @@ class TokenIds:
         return ids
 
     def _new(self, part: str) -> bytes:
+        if not _is_shared(part):
+            return self._whole(part)
         return b"".join(map(self._token, self.pattern.findall(part)))
 
     def _token(self, token: str) -> bytes:
@@ -128,6 +153,10 @@ class TokenIds:
         return pack([t.id for t in self.tokenizer.model.tokenize(written)])
 
 
+def _is_shared(text: str) -> bool:
+    return text.isascii() or SHARED.fullmatch(text) is not None
+
+
 def pack(ids: Iterable[int]) -> bytes:
     packed = array("I", ids)
     if sys.byteorder == "big":
