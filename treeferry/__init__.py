@@ -51,6 +51,7 @@ from treeferry.operators.reporting import (  # noqa: E402
     report_summary,
 )
 from treeferry.plans.copy_tree import copy_tree  # noqa: E402
+from treeferry.sources.kept import keep_manifest, kept_manifest  # noqa: E402
 from treeferry.sources.listing import list_tree, walk_tree  # noqa: E402
 from treeferry.sources.manifests import (  # noqa: E402
     destination_manifest,
@@ -60,6 +61,8 @@ from treeferry.sources.manifests import (  # noqa: E402
     with_dependencies,
 )
 
+from treeferry.sources.tree_source import scan_tree  # noqa: E402
+
 __all__ = [
     "EXCLUDE_PATTERNS",
     "CopyFailed",
@@ -84,6 +87,8 @@ __all__ = [
     "expand_copies",
     "is_directory",
     "is_file",
+    "keep_manifest",
+    "kept_manifest",
     "list_tree",
     "manifest_summary",
     "map_destination",
@@ -91,6 +96,7 @@ __all__ = [
     "recover_copies",
     "report_summary",
     "route_batches",
+    "scan_tree",
     "source_manifest",
     "to_destination_manifest",
     "to_source_manifest",

@@ -9,6 +9,8 @@ from treeferry.scratch import written
 from treeferry.session import spread_by
 
 ROWS_PER_BUCKET = 100_000
+# Partitions are INT: 2**31 of them end in region 127 of 2**24 each.
+LAST_REGION = 127
 
 
 def batch_index(batches: DataFrame) -> DataFrame:
@@ -20,12 +22,26 @@ def batch_partition_offsets(index: DataFrame) -> DataFrame:
     """Where each partition's batches start when all batches are numbered through:
     ``partition, max_batch, first_task``.
 
-    The window has no partitioning, so one task sees the whole index. It has fewer
-    rows than the job has tasks (each row stands for at least one), which bounds it.
+    A sum over all earlier partitions in three steps, none of which one task does alone:
+    inside ranges of 65,536 partitions, over 256 such ranges, and over what is left, of
+    which there are 256 at most, so their totals are handed on to all later ones.
     """
-    before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum(F.col("max_batch") + 1).over(before), F.lit(0))
-    return index.withColumn("first_task", first.cast("int"))
+    keyed = index.select("*", F.shiftright(F.col("partition").cast("int"), 16).alias("range"))
+    keyed = keyed.withColumn("region", F.shiftright("range", 8))
+    size = F.sum((F.col("max_batch") + 1).cast("bigint"))
+
+    def earlier(name: str, order: str, value: Column) -> Column:
+        return F.coalesce(value.over(Window.partitionBy(name).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    ranges = keyed.groupBy("region", "range").agg(size.alias("total"))
+    before_range = ranges.select(F.col("range"), earlier("region", "range", F.sum("total")).alias("in_region"))
+    regions = ranges.groupBy("region").agg(F.sum("total").alias("total"))
+    later = regions.where(F.col("region") < LAST_REGION).select(F.explode(F.sequence(F.col("region") + 1, F.lit(LAST_REGION))).alias("region"), "total")
+    before_region = later.groupBy("region").agg(F.sum("total").alias("before"))
+    inside = keyed.withColumn("in_range", earlier("range", "partition", size))
+    placed = inside.join(before_range, "range").join(before_region, "region", "left")
+    first = F.col("in_range") + F.col("in_region") + F.coalesce("before", F.lit(0))
+    return placed.select(*index.columns, first.cast("int").alias("first_task"))
 
 
 def task_count(offsets: DataFrame) -> int:
@@ -107,7 +123,7 @@ def spread_over_tasks(
     if only_batches is not None:
         tasks, assigned = only_batches, batches.withColumn("task", F.col("batch"))
     else:
-        offsets = written(batch_partition_offsets(batch_index(batches)), "offsets")
+        offsets = written(batch_partition_offsets(written(batch_index(batches), "index")), "offsets")
         tasks, assigned = task_count(offsets), assign_batch_partition(batches, offsets)
     if num_tasks and num_tasks < tasks:
         tasks, assigned = num_tasks, assigned.withColumn("task", F.col("task") % num_tasks)

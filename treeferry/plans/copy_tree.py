@@ -50,6 +50,7 @@ def copy_tree(
     destination_options: dict[str, str] | None = None,
     direct_writes: bool = False,
     ledger: str | None = None,
+    follow_links: bool = False,
 ) -> DataFrame:
     """Copy the tree at ``source`` below ``destination``, under the source's own name,
     and return the report: one row per file and directory.
@@ -60,7 +61,8 @@ def copy_tree(
     is the least for listing. ``on_error='fail'`` raises ``CopyFailed`` at the end if an
     entry failed, ``'collect'`` only reports it. ``exclude`` holds full-match patterns
     (Python syntax) of source URIs to leave out; a directory that matches is left out with
-    everything below it. Symbolic links are not followed and reported as ``skipped``.
+    everything below it. Symbolic links are reported as ``skipped``, or with ``follow_links``
+    copied as what they lead to, unless that is nothing or a directory that they are in.
     ``source_options`` and ``destination_options`` are settings of the two filesystems,
     such as an endpoint or a user, as ``pyarrow.fs`` takes them in a URI. A run with the
     ``run_id`` of one that broke off takes over its temporary files.
@@ -93,7 +95,7 @@ def copy_tree(
     target_root = destination_of_root(source_root, destination_root)
     listing, present = side_by_side(
         spark,
-        lambda: walk_root(spark, source_root, listing_tasks, exclude=tuple(exclude), options=options),
+        lambda: walk_root(spark, source_root, listing_tasks, exclude=tuple(exclude), options=options, follow_links=follow_links),
         lambda: walk_root(spark, target_root, listing_tasks, must_exist=False, options=options),
     )
     manifest = to_source_manifest(listing.entries, source_root, destination_root)

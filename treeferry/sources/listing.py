@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from treeferry.functions.paths import DIRECTORY, FILE, ancestor_dependencies
 from treeferry.scratch import new_folder, read_table
 from treeferry.session import qualified
-from treeferry.storage import Stores, within
+from treeferry.storage import Stores, escaped_name, within
 
 # How long a task reads directories before it leaves the rest to the next round. The
 # first round has one task, so it ends early.
@@ -39,15 +39,6 @@ WALK_SCHEMA = "kind string, uri string, len bigint, file_type string, depth int,
 FRONTIER = ("uri", "depth", "low", "high")
 
 
-def _text(name: str) -> tuple[str, str | None]:
-    try:
-        name.encode("utf-8")
-        return name, None
-    except UnicodeEncodeError:
-        shown = name.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
-        return shown, "the name is not valid UTF-8"
-
-
 def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int) -> list[tuple[str | None, str | None]]:
     """Ranges of about ``share`` of the ``names`` each, together ``low`` to ``high``. Names pass
     one by one; a sample of them is kept."""
@@ -60,7 +51,7 @@ def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int)
             sample.append(name)
         elif (at := chance.randrange(seen)) < SAMPLED_NAMES:
             sample[at] = name
-    sample = sorted(name for name in sample if not _text(name)[1])
+    sample = sorted(name for name in sample if escaped_name(name) == name)
     parts = max(2, -(-seen // share))
     bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)} - set(sample[:1])) if sample else []
     edges = [low, *bounds, high]
@@ -73,12 +64,13 @@ def any_of(patterns: Iterable[str]) -> str | None:
 
 
 def _walk(
-    seconds: float, exclude: str | None = None, options: dict[str, dict[str, str]] | None = None, share: int = ENTRIES_PER_RANGE
+    seconds: float, exclude: str | None = None, options: dict[str, dict[str, str]] | None = None, share: int = ENTRIES_PER_RANGE, follow_links: bool = False
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task that reads its directories, then what it finds below them, breadth
     first. Directories beyond its share, or its time, go to the next round, and so do ranges of
     names of a directory with more than ``share`` entries. What matches ``exclude`` makes no
-    row, and a directory that does is not read."""
+    row, and a directory that does is not read. Followed links are listed as what they lead
+    to; those that lead to nothing, or back to where they are, stay links."""
     schema = pa.schema(
         [
             ("kind", pa.string()),
@@ -106,15 +98,20 @@ def _walk(
                     return
                 entries = chain(few, entries)
             for name, kind, length in entries:
-                name, problem = _text(name)
+                own, name, problem = name, escaped_name(name), None
                 if exclude and re.fullmatch(exclude, prefix + name):
                     continue
-                if kind == LINK and not problem:
+                if kind == LINK and follow_links:
+                    try:
+                        kind, length = store.follow(f"{path.rstrip('/')}/{own}") or (LINK, 0)
+                    except OSError as error:
+                        yield SKIPPED, prefix + name, None, kind, depth + 1, str(error), *whole
+                        continue
+                if kind == LINK:
                     yield SKIPPED, prefix + name, None, kind, depth + 1, None, *whole
                     continue
                 if kind not in (FILE, DIRECTORY):
                     problem = "neither a file nor a directory"
-                if problem:
                     yield FAILED, prefix + name, None, kind, depth + 1, problem, *whole
                     continue
                 yield ENTRY, prefix + name, length, kind, depth + 1, None, *whole
@@ -186,9 +183,11 @@ def walk_tree(
     num_tasks: int | None = None,
     exclude: Iterable[str] = (),
     entries_per_range: int = ENTRIES_PER_RANGE,
+    follow_links: bool = False,
 ) -> TreeListing:
     """List everything at and below ``uri``: files and directories, hidden and empty
-    ones too; symbolic links are listed apart and not followed. A missing root is an error
+    ones too; symbolic links are listed apart and not followed, or with ``follow_links``
+    listed as what they lead to, unless that is nothing or a directory that they are in. A missing root is an error
     before any job. ``exclude`` holds full-match patterns (Python syntax) of URIs to leave
     out; a directory that matches is left out with everything below it. The root stays.
 
@@ -198,7 +197,7 @@ def walk_tree(
     spreads the open directories evenly over its tasks. ``num_tasks`` is the least
     number of tasks for a round that has as many directories.
     """
-    return walk_root(spark, qualified(spark, uri)[0], num_tasks, exclude=exclude, entries_per_range=entries_per_range)
+    return walk_root(spark, qualified(spark, uri)[0], num_tasks, exclude=exclude, entries_per_range=entries_per_range, follow_links=follow_links)
 
 
 def walk_root(
@@ -209,6 +208,7 @@ def walk_root(
     exclude: Iterable[str] = (),
     options: dict[str, dict[str, str]] | None = None,
     entries_per_range: int = ENTRIES_PER_RANGE,
+    follow_links: bool = False,
 ) -> TreeListing:
     """``walk_tree`` for a root that is spelled as in the tables; if it need not
     exist, a missing one has no entries."""
@@ -229,7 +229,7 @@ def walk_root(
     if kind == FILE:
         return TreeListing(root, seed, 1, length)
 
-    return _walk_rounds(spark, root, seed, num_tasks, any_of(exclude), options, entries_per_range=entries_per_range)
+    return _walk_rounds(spark, root, seed, num_tasks, any_of(exclude), options, entries_per_range=entries_per_range, follow_links=follow_links)
 
 
 def walk_below(
@@ -251,6 +251,7 @@ def _walk_rounds(
     options: dict[str, dict[str, str]] | None,
     frontier: DataFrame | None = None,
     entries_per_range: int = ENTRIES_PER_RANGE,
+    follow_links: bool = False,
 ) -> TreeListing:
     table = new_folder(spark, "listing")
     number, counts = 0, Counter()
@@ -263,7 +264,7 @@ def _walk_rounds(
         frontier = frontier.repartition(tasks)
     while tasks:
         seconds = ROUND_SECONDS if number else FIRST_ROUND_SECONDS
-        rows = frontier.mapInArrow(_walk(seconds, exclude, options, entries_per_range), WALK_SCHEMA)
+        rows = frontier.mapInArrow(_walk(seconds, exclude, options, entries_per_range, follow_links), WALK_SCHEMA)
         if number == 0 and seed is not None:
             rows = seed.unionByName(rows)
         seen = Observation()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import stat
 from collections.abc import Iterator
 from urllib.parse import urlencode
@@ -62,6 +63,24 @@ class LocalStore:
                 else:
                     yield entry.name, "other", 0
 
+    def follow(self, path: str) -> tuple[str, int] | None:
+        """(type, length) of what a symbolic link leads to in the end, or None if that is
+        nothing. A link to a directory that the link is in, by device and inode, is an error."""
+        try:
+            target = os.stat(path)
+        except FileNotFoundError:
+            return None
+        if stat.S_ISDIR(target.st_mode):
+            above = os.path.dirname(path)
+            while True:
+                own = os.stat(above)
+                if (own.st_dev, own.st_ino) == (target.st_dev, target.st_ino):
+                    raise OSError("the link leads back to a directory that it is in")
+                if above == os.path.dirname(above):
+                    break
+                above = os.path.dirname(above)
+        return self.status(path)
+
     def make_directory(self, path: str) -> None:
         os.mkdir(path)
 
@@ -182,6 +201,30 @@ class ArrowStore:
         return False
 
 
+# Marks a byte of a name that is not UTF-8: the mark and two hexadecimal digits. A character of
+# the private range, so real names hardly have it; where one does, its bytes are marked too.
+MARK = "\uf8fe"
+_MARKED = re.compile(f"{MARK}([0-9a-f]{{2}})")
+
+
+def escaped_name(name: str) -> str:
+    """A name as the system gives it, in a form that a table can hold: bytes that are not UTF-8
+    are marked. ``plain_path`` gives the name back."""
+    if name.isascii():
+        return name
+    marked = lambda data: "".join(f"{MARK}{byte:02x}" for byte in data)
+    name = name.replace(MARK, marked(MARK.encode()))
+    return "".join(marked([ord(c) - 0xDC00]) if 0xDC80 <= ord(c) <= 0xDCFF else c for c in name)
+
+
+def plain_path(path: str) -> str:
+    """A path with its marked bytes as the system takes them."""
+    if MARK not in path:
+        return path
+    data = b"".join(bytes.fromhex(part) if i % 2 else part.encode("utf-8", "surrogateescape") for i, part in enumerate(_MARKED.split(path)))
+    return data.decode("utf-8", "surrogateescape")
+
+
 def within(name: str, low: str | None, high: str | None) -> bool:
     return (low is None or name >= low) and (high is None or name < high)
 
@@ -212,7 +255,8 @@ class Stores:
         if root not in self._opened:
             self._opened[root] = self._open(scheme, authority, self._options.get(root, {}))
         store, base = self._opened[root]
-        return store, base + slash + path
+        # Where names are bytes, marked bytes are bytes again; elsewhere a name is text, as marked.
+        return store, plain_path(slash + path) if isinstance(store, LocalStore) else base + slash + path
 
     @staticmethod
     def _open(scheme: str, authority: str, options: dict[str, str]) -> tuple[object, str]:

@@ -128,6 +128,21 @@ def _write_files(batches):
         yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
 
 
+def read_files(files: DataFrame) -> DataFrame:
+    """``uri, text`` of files, also of those whose names Spark's readers cannot hold."""
+
+    def read(batches):
+        stores = Stores()
+        for batch in batches:
+            for uri in batch.column("uri").to_pylist():
+                store, path = stores.at(uri)
+                with store.open_input(path) as file:
+                    text = file.read().decode("utf-8")
+                yield pa.RecordBatch.from_pydict({"uri": [uri], "text": [text]})
+
+    return files.select("uri").mapInArrow(read, "uri string, text string")
+
+
 def write_documents(documents: DataFrame, root: str) -> None:
     """Make real files ``<root>/<lang>/<source>/doc_<id>.txt`` of documents."""
     folders = _folders(

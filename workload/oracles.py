@@ -198,6 +198,21 @@ SELECT b.destination, b.len, CAST(o.first_task + b.batch AS INTEGER) AS task,
        CAST(o.first_task + b.batch AS INTEGER) AS landed
 FROM balanced b JOIN offsets o ON b.partition = o.partition""",
     "list_tree": f"WITH {TREE} SELECT path, len, file_type, depth, ancestors FROM tree",
+    "read_tree_source": f"""
+WITH {TREE}
+SELECT path, len, file_type, depth FROM tree
+WHERE (file_type = 'directory' AND depth <= 2) OR (file_type = 'file' AND depth > 2 AND starts_with(path, '/e'))""",
+    "copy_following_links": """
+WITH doubled AS (SELECT doc_id, source, unnest([lang, concat('copy_', lang)]) AS top FROM documents),
+files AS (SELECT concat('/raw/', top, '/', source, '/doc_', CAST(doc_id AS VARCHAR), '.txt') AS path FROM doubled)
+SELECT path, 'file' AS file_type, 'copied' AS outcome FROM files
+UNION ALL SELECT concat(path, '.link'), 'file', 'copied' FROM files
+UNION ALL SELECT concat(path, '.none'), 'link', 'skipped' FROM files
+UNION ALL SELECT DISTINCT concat('/raw/', top, '/', source, '/up'), 'link', 'skipped' FROM doubled
+UNION ALL SELECT DISTINCT concat('/raw/', top, '/', source), 'directory', 'dir_created' FROM doubled
+UNION ALL SELECT DISTINCT concat('/raw/', top), 'directory', 'dir_created' FROM doubled
+UNION ALL SELECT DISTINCT '/raw', 'directory', 'dir_created' FROM doubled""",
+    "copy_byte_names": "SELECT doc_id, text FROM documents",
     "list_flat_directory": "SELECT concat('doc_', CAST(doc_id AS VARCHAR)) AS name, CAST(strlen(text) AS BIGINT) AS len FROM documents",
     "source_manifest": f"""
 WITH {TREE}
@@ -269,3 +284,4 @@ FROM copied GROUP BY file_type, outcome""",
 ORACLES["copy_tree_readback_embeddings"] = """
 SELECT vec_id, label, CAST(unnest(range(len(embedding))) AS INTEGER) AS position, CAST(unnest(embedding) AS DOUBLE) AS value
 FROM embeddings"""
+ORACLES["compare_kept_manifests"] = ORACLES["compare_manifests"]

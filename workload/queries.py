@@ -13,6 +13,7 @@ from treeferry.operators.balance import task_count
 from treeferry.operators.copying import plan_batches, temp_uri
 from treeferry.operators.ledger import Ledger
 from treeferry.scratch import written
+from treeferry.storage import MARK
 from workload import inputs
 from workload.inputs import DESTINATION_ROOT, SOURCE_ROOT, relative_to, table
 from workload.standin import HealedStandIn, ObjectStandIn
@@ -128,6 +129,19 @@ def compare_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.compare_manifests(inputs.source_table(spark, sf_dir), inputs.destination_table(spark, sf_dir))
 
 
+def compare_kept_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of two manifests that were kept, as a later run opens them; fails where
+    it would move rows."""
+    folder = inputs.new_root(spark, "kept")
+    for name, manifest in (("source", inputs.source_table(spark, sf_dir)), ("destination", inputs.destination_table(spark, sf_dir))):
+        tf.keep_manifest(manifest, f"{folder}/{name}", buckets=8)
+    compared = tf.compare_manifests(tf.kept_manifest(spark, folder + "/source"), tf.kept_manifest(spark, folder + "/destination"))
+    plan = compared._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        raise AssertionError("kept manifests are shuffled again:\n" + plan)
+    return compared
+
+
 def copy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.copy_plan(inputs.source_table(spark, sf_dir), inputs.destination_table(spark, sf_dir))
 
@@ -230,6 +244,21 @@ def list_flat_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.entries.where(tf.is_file()).select(F.substring_index("uri", "/", -1).alias("name"), "len")
 
 
+def read_tree_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of documents as a data source, with filters that the walk takes over."""
+    root = inputs.document_tree(spark, sf_dir)
+    found = []
+    for condition, pushed in (
+        ((F.col("file_type") == "directory") & (F.col("depth") <= 2), "LessThanOrEqual(depth,2)"),
+        (F.col("uri").startswith(root + "/e") & (F.col("file_type") == "file") & (F.col("depth") > 2), "StringStartsWith(uri,"),
+    ):
+        found.append(tf.scan_tree(spark, root, condition))
+        plan = spark._jvm.PythonSQLUtils.explainString(found[-1]._jdf.queryExecution(), "formatted")
+        if pushed not in plan:
+            raise AssertionError(f"{pushed} is not pushed into the walk:\n{plan}")
+    return found[0].unionByName(found[1]).select(relative_to("uri", root).alias("path"), "len", "file_type", "depth")
+
+
 def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = inputs.document_tree(spark, sf_dir)
     manifest = tf.source_manifest(spark, root, DESTINATION_ROOT, num_tasks=4)
@@ -395,6 +424,39 @@ def copy_tree_with_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(relative_to("destination", root).alias("path"), "file_type", "outcome")
 
 
+def copy_following_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, a link to it and one to nothing beside it, links to whole folders, and
+    in each folder one that leads back."""
+    source, root = inputs.new_root(spark, "linked") + "/raw", inputs.new_root(spark, "followed")
+    inputs.make_directories(source)
+    documents = table(spark, sf_dir, "documents")
+    inputs.write_documents(documents, source)
+    uri = inputs.document_uri(source)
+    folders = documents.select("lang", "source").distinct()
+    links = documents.select(F.inline(F.array(
+        F.struct(F.concat(uri, F.lit(".link")).alias("uri"), F.substring_index(uri, "/", -1).alias("text")),
+        F.struct(F.concat(uri, F.lit(".none")).alias("uri"), F.lit("nowhere").alias("text")),
+    )))
+    links = links.unionByName(folders.select(F.concat_ws("/", F.lit(source), "lang", "source", F.lit("up")).alias("uri"), F.lit("..").alias("text")))
+    links = links.unionByName(folders.select(F.concat(F.lit(source + "/copy_"), "lang").alias("uri"), F.col("lang").alias("text")).distinct())
+    inputs.write_links(links)
+    report = tf.copy_tree(spark, source, root, on_error="fail", follow_links=True)
+    return report.select(relative_to("destination", root).alias("path"), "file_type", "outcome")
+
+
+def copy_byte_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under names and folders that are no UTF-8, read from the copy."""
+    source, root = inputs.new_root(spark, "bytes") + "/raw", inputs.new_root(spark, "copied")
+    byte = lambda value: F.lit(f"{MARK}{value:02x}")
+    inputs.make_directories(source + f"/d{MARK}ff")
+    documents = table(spark, sf_dir, "documents")
+    name = F.concat(F.lit(f"{source}/d{MARK}ff/"), byte(0xC3), F.lit("ä"), byte(0x80), F.lit("_"), F.col("doc_id").cast("string"))
+    inputs.write_files(documents.select(name.alias("uri"), "text"))
+    tf.copy_tree(spark, source, root, on_error="fail", range_bytes=5000)
+    files = tf.walk_tree(spark, root).entries.where(tf.is_file())
+    return inputs.read_files(files).select(F.substring_index("uri", "_", -1).cast("bigint").alias("doc_id"), "text")
+
+
 def execute_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's file by a plan that tells a wrong length for the bad ones, which
     fail; with the report the texts of the copies."""
@@ -535,6 +597,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dependent_copies,
         exclude_paths,
         compare_manifests,
+        compare_kept_manifests,
         copy_plan,
         expand_copies,
         distinct_copies,
@@ -548,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         route_batches,
         list_tree,
         list_flat_directory,
+        read_tree_source,
         source_manifest,
         destination_manifest,
         create_directories,
@@ -559,6 +623,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         copy_over_leftovers,
         copy_tree_excluding,
         copy_tree_with_links,
+        copy_following_links,
+        copy_byte_names,
         execute_copy,
         copy_failing_replacements,
         recover_copies,
