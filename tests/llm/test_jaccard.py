@@ -90,10 +90,11 @@ def test_bands_reach_the_recall():
 def test_signatures_estimate_similarity():
     signer = join.Signer(128, 1)
     a, b = varied(2, 5, edits=3)
-    hashes, sizes = signer.sign([join.normalised(a), join.normalised(b)])
+    hashes, signatures, sizes = signer.sign([join.normalised(a), join.normalised(b)])
     x, y = grams(a), grams(b)
     assert sizes == [len(x), len(y)]
     assert abs((hashes[0] == hashes[1]).mean() - len(x & y) / len(x | y)) < 0.15
+    assert abs((signatures[0] == signatures[1]).mean() - len(x & y) / len(x | y)) < 0.15
 
 
 def test_signatures_do_not_depend_on_neighbours():
@@ -125,3 +126,66 @@ def test_keep_one(spark, make_docs):
     classes = {own[0] for own in brute(rows).values() if own[0] is not None}
     assert len(kept) == len(classes) + 1 and repr((None, "no id")) in kept
     assert join.keep_one(make_docs(rows)).columns == make_docs(rows).columns
+
+
+def test_long_texts_are_signed_in_pieces(monkeypatch):
+    signer, chance = join.Signer(18, 5), random.Random(7)
+    for words in (1, 4, 5, 11, 12, 13, 500):
+        text = join.normalised(" ".join(chance.choice("abcdefgh") * chance.randint(1, 5) for _ in range(words)))
+        wanted = signer.sign([text])
+        for piece in (1, 3, 8):
+            monkeypatch.setattr(join, "PIECE_WORDS", piece)
+            assert all(np.array_equal(a, b) for a, b in zip(signer.sign_long(text), wanted, strict=True))
+    long = "Ein Σ langer\u3000Text\n\t mit ÄÖ " * 3000
+    monkeypatch.setattr(join, "HASHED_BYTES", 1000)
+    assert join.normalised(long) == (" ".join(long.lower().split()) + " ").encode()
+    assert join.normalised(" " * 5000) == b"" == join.normalised("")
+
+
+def test_a_template_makes_no_work(spark, make_docs):
+    """Texts that share more than half of their words, but no two are similar: hardly one has a
+    link, so hardly a text is compared."""
+    chance = random.Random(8)
+    word = lambda: "w" + str(chance.randrange(10**9))
+    shared = [word() for _ in range(120)]
+    rows = [(i, " ".join([*shared, *(word() for _ in range(90))])) for i in range(2000)]
+    docs = make_docs(rows)
+    bands, per_band = join.choose_bands()
+    _, nodes = join._nodes(docs, 0.8, 0.999, "text")
+    assert nodes.select(join.F.explode("bands").alias("h")).groupBy("h").count().where("count > 1").count() > 10
+    assert join.candidate_links(nodes, 0.8, bands, per_band).count() == 0
+    assert join.join_similar(docs).where("n_links > 0").isEmpty()
+
+
+def test_candidates_in_blocks(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(join, "BAND_NODES", 7)
+    check(spark, make_docs, list(enumerate(varied(60, 9) + varied(20, 10, edits=40))))
+
+
+def test_recall(spark, make_docs):
+    """Pairs at the similarity itself or a little above it."""
+    chance, rows = random.Random(11), []
+    word = lambda: "w" + str(chance.randrange(10**9))
+    for i in range(600):
+        words = [word() for _ in range(300)]
+        other = list(words)
+        for at in chance.sample(range(6, 294, 6), 6):  # five n-grams each: 266 of 326 stay
+            other[at] = word()
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    wanted = sum(len(grams(a[1]) & grams(b[1])) >= 0.8 * len(grams(a[1]) | grams(b[1])) for a, b in zip(rows[::2], rows[1::2], strict=True))
+    assert wanted == 600
+    assert join.join_similar(make_docs(rows)).where("n_links = 1").count() >= 2 * 0.99 * wanted
+
+
+def test_many_equal_rows(spark, make_docs):
+    rows = [(i % 3 if i % 2 else None, "the same words in all of them " * 4) for i in range(20_000)] + [(7, "others")]
+    found = join.join_similar(make_docs(rows)).groupBy("class_id", "n_links").count().collect()
+    assert sorted(map(tuple, found)) == [(0, 19_999, 20_000), (7, 0, 1)]
+
+
+def test_clashing_columns(spark, make_docs):
+    docs = make_docs([(1, "a b c d e f g"), (2, "a b c d e f g")])
+    for name in ("node", "bands", "hash", "rep", "component", "text_key", "signature", "own_id", "body", "words"):
+        docs = docs.withColumn(name, join.F.lit(1))
+    assert sorted(tuple(r)[:3] for r in join.join_similar(docs).select("doc_id", "class_id", "n_links").collect()) == [(1, 1, 1), (2, 1, 1)]
+    assert join.keep_one(docs).count() == 1 and join.keep_one(docs).columns == docs.columns

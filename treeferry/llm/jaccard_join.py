@@ -1,16 +1,18 @@
 """Documents of similar word n-grams: MinHash bands find them, full n-gram sets decide.
 
-Texts of the same words are one node. Nodes that share a band's hash are candidates; each is
-linked to the least node of its band only, so a band of many nodes makes as many links and
-not all pairs. What the links connect is compared together: every pair inside, on whole
-n-gram sets, in blocks of bounded size that any number of tasks can share. Counts and one
-link a node leave a block, never its pairs.
+Texts of the same words are one node. Nodes that share a band's hash are candidates, and a
+candidate pair is first held against its two signatures, a byte for each hash: what agrees in
+too few of them has no link. What links connect is compared together, on whole n-gram sets,
+in blocks of bounded size that any number of tasks can share. From bands and blocks come
+one link a node and counts, never pairs, and only texts that have a link are moved.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -25,8 +27,15 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
 MOST_HASHES = 128
 #: Nodes and words that one side of a comparison may have.
 BLOCK_NODES, BLOCK_WORDS = 256, 300_000
+#: Standard deviations that the signatures' agreement may be below the similarity, and the
+#: nodes of a band that are held against each other at once.
+DOUBT, BAND_NODES = 3.0, 1024
+#: Bits of the filter that keeps texts without a link where they are, at most.
+MOST_FILTER_BITS = 1 << 26
 #: Bytes of text that are hashed at once.
 HASHED_BYTES = 1 << 20
+#: Words of a piece of a text that is signed in pieces.
+PIECE_WORDS = 200_000
 
 
 def choose_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -42,10 +51,24 @@ def choose_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: i
     return best
 
 
+_SPACE = re.compile(r"\s")
+
+
 def normalised(text: bytes | str) -> bytes:
-    """The words in lower case with a space behind each."""
-    words = (text if isinstance(text, str) else text.decode("utf-8", "replace")).lower().split()
-    return (" ".join(words) + " ").encode() if words else b""
+    """The words in lower case with a space behind each. A long text is taken in pieces that
+    end at white space."""
+    text = text if isinstance(text, str) else text.decode("utf-8", "replace")
+    parts, start = [], 0
+    while start < len(text):
+        end = start + HASHED_BYTES
+        if end < len(text):
+            after = _SPACE.search(text, end)
+            end = after.end() if after else len(text)
+        words = text[start:end].lower().split()
+        if words:
+            parts.append((" ".join(words) + " ").encode("utf-8", "replace"))
+        start = end
+    return b"".join(parts)
 
 
 def text_key(words: bytes) -> bytes:
@@ -96,14 +119,12 @@ class Signer:
         starts = np.concatenate([[0], ends[:-1] + 1])
         return self._mix((sums[ends] - sums[starts]) * down[starts])
 
-    def sign(self, texts: list[bytes]):
-        """(band hashes, number of different n-grams) for texts that all have words. A text
-        of fewer words than an n-gram has one n-gram, of all its words."""
+    def _grams(self, whole, counts):
+        """(hashes, numbers) of the n-grams of texts whose bytes follow each other. A text of
+        fewer words than an n-gram has one n-gram, of all its words."""
         import numpy as np
 
-        whole = np.frombuffer(b"".join(texts), np.uint8)
         words = self._words(whole)
-        counts = np.array([text.count(b" ") for text in texts])
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
         padded = np.concatenate([words, np.zeros(self.n - 1, np.uint64)])
         grams = sum((padded[k : k + len(words)] * self.places[k] for k in range(1, self.n)), words * self.places[0])
@@ -113,26 +134,64 @@ class Signer:
         n_grams = np.maximum(1, counts - self.n + 1)
         begins = np.concatenate([[0], np.cumsum(n_grams)[:-1]])
         at = np.arange(n_grams.sum()) - np.repeat(begins, n_grams) + np.repeat(first, n_grams)
-        grams = self._mix(grams[at])
-        least = np.empty((self.bands * self.rows, len(texts)), np.uint64)
+        return self._mix(grams[at]), begins, n_grams
+
+    def _least(self, grams, begins):
+        """Each hash function's least value over the n-grams of each text."""
+        import numpy as np
+
+        least = np.empty((self.bands * self.rows, len(begins)), np.uint64)
         buffer = np.empty_like(grams)
         for k in range(self.bands * self.rows):
             np.multiply(grams, self.factors[k], out=buffer)
             np.add(buffer, self.terms[k], out=buffer)
             least[k] = np.minimum.reduceat(buffer, begins)
-        shaped = least.reshape(self.bands, self.rows, len(texts))
-        hashes = (self._mix(shaped) * self.mixers[None, :, None]).sum(axis=1, dtype=np.uint64)
+        return least
+
+    def _signed(self, least):
+        """(band hashes, signatures): a row of each for each text; a signature has a byte of
+        every hash function's least value."""
+        import numpy as np
+
+        shaped = self._mix(least.reshape(self.bands, self.rows, -1))
+        hashes = (shaped * self.mixers[None, :, None]).sum(axis=1, dtype=np.uint64)
         hashes = self._mix(hashes + np.arange(self.bands, dtype=np.uint64)[:, None])
+        signatures = (shaped.reshape(self.bands * self.rows, -1) >> np.uint64(56)).astype(np.uint8)
+        return hashes.T.astype(np.int64), np.ascontiguousarray(signatures.T)
+
+    def sign(self, texts: list[bytes]):
+        """(band hashes, signatures, number of different n-grams) for texts that all have words."""
+        import numpy as np
+
+        whole = np.frombuffer(b"".join(texts), np.uint8)
+        grams, begins, n_grams = self._grams(whole, np.array([text.count(b" ") for text in texts]))
         different = [len(np.unique(grams[b : b + n])) for b, n in zip(begins, n_grams, strict=True)]
-        return hashes.T.astype(np.int64), different
+        return *self._signed(self._least(grams, begins)), different
+
+    def sign_long(self, text: bytes):
+        """``sign`` for one long text, by pieces that have the words of an n-gram but one in
+        common. Beside a piece it holds eight bytes for each word and each n-gram."""
+        import numpy as np
+
+        ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+        least, seen = None, []
+        for first in range(0, max(1, len(ends) - self.n + 1), PIECE_WORDS):
+            last = min(first + PIECE_WORDS + self.n - 2, len(ends) - 1)
+            piece = text[ends[first - 1] + 1 if first else 0 : ends[last] + 1]
+            grams, begins, _ = self._grams(np.frombuffer(piece, np.uint8), np.array([last - first + 1]))
+            own = self._least(grams, begins)
+            least = own if least is None else np.minimum(least, own)
+            seen.append(np.unique(grams))
+        return *self._signed(least), [len(np.unique(np.concatenate(seen)))]
 
 
-SIGNED = "doc_id long, text_key binary, n_grams int, n_words int, bands array<long>"
+SIGNED = "doc_id long, text_key binary, n_grams int, n_words int, bands array<long>, signature binary"
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text") -> DataFrame:
     """Per row of ``docs`` its ``doc_id``, ``text_key`` (alike for equal words), ``n_grams``,
-    ``n_words`` and the hashes of its bands."""
+    ``n_words``, the hashes of its bands and its ``signature``. Texts are signed in pieces, so
+    one of 100 MB takes a few times its own size of memory."""
 
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
@@ -141,15 +200,16 @@ def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text") -> Da
         signer = Signer(bands, rows)
         for batch in batches:
             keys, grams, words = [], [], []
-            flat, lengths = [], []
+            flat, lengths, bytes_of = [], [], []
 
-            def flush(block, keys=keys, grams=grams, words=words, flat=flat, lengths=lengths):
+            def flush(block, signed=None, keys=keys, grams=grams, words=words, flat=flat, lengths=lengths, bytes_of=bytes_of):
                 full = [own for own in block if own]
-                hashes, different = signer.sign(full) if full else (np.zeros((0, bands), np.int64), [])
+                hashes, own_bytes, different = signed or (signer.sign(full) if full else (np.zeros((0, bands), np.int64), [], []))
                 flat.append(hashes.reshape(-1))
-                found = iter(different)
+                found, signature = iter(different), iter(own_bytes)
                 for own in block:
                     keys.append(text_key(own))
+                    bytes_of.append(next(signature).tobytes() if own else b"")
                     grams.append(next(found) if own else 0)
                     words.append(own.count(b" "))
                     lengths.append(bands if own else 0)
@@ -157,6 +217,11 @@ def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text") -> Da
             block, size = [], 0
             for value in batch.column(1):
                 own = normalised(value.as_py())
+                if len(own) > 4 * HASHED_BYTES:
+                    flush(block)
+                    flush([own], signer.sign_long(own))
+                    block, size = [], 0
+                    continue
                 block.append(own)
                 size += len(own)
                 if size >= HASHED_BYTES:
@@ -167,21 +232,123 @@ def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(keys, pa.binary()), pa.array(grams, pa.int32()), pa.array(words, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat))), pa.array(bytes_of, pa.binary()),
                 ],
-                names=["doc_id", "text_key", "n_grams", "n_words", "bands"],
+                names=["doc_id", "text_key", "n_grams", "n_words", "bands", "signature"],
             )
 
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long"), body.alias("body")).mapInArrow(sign, SIGNED)
 
 
-def candidate_links(nodes: DataFrame) -> DataFrame:
-    """``u, v``: each node with the least node of every band hash that it shares."""
+def least_agreement(similarity: float, hashes: int, doubt: float = DOUBT) -> float:
+    """The share of equal bytes that two signatures of texts at ``similarity`` reach but for
+    ``doubt`` standard deviations: a pair at 0.8 falls below it once in 700, a more similar one
+    hardly ever, and texts that share less than half of their n-grams hardly ever reach it."""
+    return similarity - doubt * math.sqrt(similarity * (1 - similarity) / hashes)
+
+
+def connected(found):
+    """The number of the least row that each row of a symmetric matrix is connected with."""
+    import numpy as np
+
+    m = len(found)
+    label = np.arange(m)
+    while True:
+        least = np.minimum(label, np.where(found, label[None, :], m).min(axis=1, initial=m))
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def candidate_links(nodes: DataFrame, similarity: float = SIMILARITY, bands: int | None = None, rows: int | None = None) -> DataFrame:
+    """``u, v``: links of the nodes of ``node, bands, signature`` that share a band's hash and
+    whose signatures agree well enough; a node has one at most with each block of a band.
+
+    A band of many nodes is cut into blocks, each pair of which is one small task's work, so
+    neither a template's band nor one of thousands of near copies is any task's alone.
+    """
+    if bands is None or rows is None:
+        bands, rows = choose_bands(similarity)
+    enough = least_agreement(similarity, bands * rows)
     banded = nodes.select("node", F.explode("bands").alias("hash"))
-    shared = banded.groupBy("hash").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    shared = written(shared, "shared-bands")
-    return banded.join(shared, "hash").where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+    sizes = banded.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(banded.join(written(sizes, "shared-bands"), "hash").withColumn("blocks", F.ceil(F.col("n") / BAND_NODES).cast("int")), "band-nodes")
+    # A signature travels once for each band that its node shares, texts do not travel.
+    held = shared.join(nodes.select("node", "signature"), "node")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    each = held.select("hash", "node", "signature", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = each.select("hash", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "signature")
+
+    def link(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def links(key, members):
+            ids = np.array([node for _, node, _ in members], np.int64)
+            order = np.argsort(ids)
+            ids, sides = ids[order], np.array([side for side, _, _ in members])[order]
+            held = np.frombuffer(b"".join(members[i][2] for i in order), np.uint8).reshape(len(ids), -1)
+            step = max(1, (1 << 22) // held.size)
+            near = np.concatenate([(held[k : k + step, None, :] == held[None, :, :]).mean(axis=2, dtype=np.float32) >= enough for k in range(0, len(ids), step)])
+            np.fill_diagonal(near, False)
+            if key[1] != key[2]:
+                near &= sides[:, None] != sides[None, :]
+            label = connected(near)
+            far = label != np.arange(len(ids))
+            return ids[far], ids[label[far]]
+
+        def emit(found):
+            columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
+
+        key, members, found = None, [], []
+        for batch in batches:
+            for hash_, low, high, side, node, signature in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (hash_, low, high) != key:
+                    if len(members) > 1:
+                        found.append(links(key, members))
+                    key, members = (hash_, low, high), []
+                members.append((side, node, signature))
+            if len(found) > 1000:
+                yield emit(found)
+                found = []
+        if len(members) > 1:
+            found.append(links(key, members))
+        if found:
+            yield emit(found)
+
+    key = "hash", "low", "high"
+    found = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(link, "u long, v long")
+    return found.distinct()
+
+
+class IdFilter:
+    """A bit for the hash of each wanted id: never a wrong no, and a yes for few others while
+    ids are fewer than bits. Its size is bounded; when it is full it says yes to all."""
+
+    def __init__(self, ids: DataFrame, name: str):
+        wanted = max(1024, 16 * ids.count())
+        self.bits = min(MOST_FILTER_BITS, 1 << (wanted - 1).bit_length())
+        place = F.crc32(F.col(name).cast("string")) % self.bits
+        words = ids.where(F.col(name).isNotNull()).select((place / 32).cast("long").alias("word"), F.expr(f"shiftleft(1L, cast(crc32(cast({name} as string)) % 32 as int))").alias("bit"))
+        found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.words = self._filled(found, self.bits)
+
+    @staticmethod
+    def _filled(found, bits: int) -> bytes:
+        import numpy as np
+
+        words = np.zeros(bits // 32, "<u4")
+        words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype("<u4")
+        return words.tobytes()
+
+    def keeps(self, own_id: int | None) -> bool:
+        if own_id is None:
+            return True
+        place = zlib.crc32(str(own_id).encode()) % self.bits
+        return bool(self.words[place >> 3] >> (place & 7) & 1)
 
 
 def comparisons(nodes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
@@ -283,14 +450,7 @@ class Comparison:
 
         order = np.argsort(nodes)
         label = np.empty(len(nodes), np.int64)
-        label[order] = np.arange(len(nodes))
-        while True:
-            near = np.where(found, label[None, :], len(nodes)).min(axis=1)
-            least = np.minimum(label, near)
-            least = np.minimum(least, label[order][least] if len(least) else least)
-            if (least == label).all():
-                break
-            label = least
+        label[order] = connected(found[np.ix_(order, order)])
         return found @ weights, nodes[order][label]
 
 
@@ -360,7 +520,7 @@ def _nodes(docs: DataFrame, similarity: float, recall: float, text: str) -> tupl
     least ``doc_id`` as ``rep`` and how many rows have it."""
     signed = written(signatures(docs, *choose_bands(similarity, recall), text), "signatures")
     same = signed.groupBy("text_key", "n_grams", "n_words").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
     )
     return signed, written(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -379,15 +539,23 @@ def join_similar(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     its group's size.
     """
     signed, nodes = _nodes(docs, similarity, recall, text)
-    found = components(candidate_links(nodes))
-    placed = comparisons(nodes, found, similarity)
+    found = components(candidate_links(nodes, similarity, *choose_bands(similarity, recall)))
+    placed = written(comparisons(nodes, found, similarity), "placed")
 
     rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
+    wanted = rows.sparkSession.sparkContext.broadcast(IdFilter(placed, "rep"))
+
+    def only_wanted(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([wanted.value.keeps(own_id) for own_id in batch.column(0).to_pylist()], pa.bool_()))
+
     keyed = rows.mapInArrow(
-        lambda batches: (b.select(["own_id", "text_key", "words"]) for b in _keyed(batches, 1, True)),
+        lambda batches: (b.select(["own_id", "text_key", "words"]) for b in _keyed(only_wanted(batches), 1, True)),
         "own_id long, text_key binary, words binary",
     )
-    texts = keyed.join(placed.withColumnRenamed("text_key", "node_key").hint("merge"), (F.col("text_key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("rep")))
+    texts = keyed.join(placed.withColumnRenamed("text_key", "node_key"), (F.col("text_key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("rep")))
     texts = texts.select("component", F.explode("tasks").alias("task"), "side", "node", "n_copies", "words")
     links = written(compared(texts, similarity), "links")
 
