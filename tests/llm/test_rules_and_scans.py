@@ -1,6 +1,8 @@
 """Quality rules, licence scans, URL rules and mixing: SQL, plain versions and odd rows."""
 
+import math
 import os
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -19,7 +21,7 @@ from workload.check import rows_of
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     wanted = connection.sql(ORACLES[name]).to_arrow_table()
     got = QUERIES[name](spark, SF_DIR).toArrow()
@@ -176,17 +178,67 @@ def test_a_rule_without_tokens(spark):
     assert [r.verdict for r in url_filter.judge_urls(pages, rules).orderBy("page_id").collect()] == ["block", "allow"]
 
 
-def test_raking_meets_the_targets():
-    cells = {(s, l, t): n for n, (s, l, t) in enumerate(((s, l, t) for s in ("src0", "*") for l in ("en", "de", "*") for t in ("legal", "*")), 5)}
-    targets = {"source": {"src0": 0.4}, "lang": {"en": 0.5, "de": 0.3}, "topic": {"legal": 0.1}}
-    raked = mixing.rake(cells, targets)
+def filled_plainly(goals, tokens, size):
+    """Parts of ``size`` in proportion to ``goals``, none above its tokens, by bisection."""
+    low, high = 0.0, 1e15
+    for _ in range(300):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(tokens[k], level * goals[k]) for k in goals) < size else (low, level)
+    return {k: min(tokens[k], high * goals[k]) for k in goals}
+
+
+def mixed_plainly(sums, targets, sample, power=mixing.SOURCE_POWER):
+    """{(source, lang, topic): probability}: each category's factor in turn, by bisection."""
+    cells = sorted(sums)
+    held = [defaultdict(float) for _ in range(3)]
+    for cell in cells:
+        for at in range(3):
+            held[at][cell[at]] += sums[cell]
+    size = sample * sum(sums.values())
+    rest = {k: n**power for k, n in held[0].items() if k not in targets["source"]}
+    left = 1 - sum(targets["source"].values())
+    source = {k: targets["source"].get(k, left * rest.get(k, 0) / (sum(rest.values()) or 1)) for k in held[0]}
+    named = [source, *({k: mixing.shares(targets[d]).get(k, 0) for k in held[at]} for at, d in ((1, "lang"), (2, "topic")))]
+    goals = [filled_plainly(own, held[at], size) for at, own in enumerate(named)]
+    factor = [dict.fromkeys(goal, 1.0) for goal in goals]
+    odds = lambda cell: min(1.0, factor[0][cell[0]] * factor[1][cell[1]] * factor[2][cell[2]])
+    for _ in range(60):
+        for at, goal in enumerate(goals):
+            for k in goal:
+                some = [c for c in cells if c[at] == k]
+                low, high = -40.0, 40.0
+                for _ in range(60):
+                    middle = (low + high) / 2
+                    factor[at][k] = math.exp(middle)
+                    low, high = (middle, high) if sum(sums[c] * odds(c) for c in some) < goal[k] else (low, middle)
+    return {cell: odds(cell) for cell in cells}
+
+
+@pytest.mark.parametrize(("seed", "sample"), [(1, 0.5), (2, 0.2), (3, 0.8)])
+def test_mixing_is_the_plain_one(spark, seed, sample):
+    chance = random.Random(seed)
+    topics = {"legal": "licensed ", "contact": "a@b ", "*": "words "}
+    rows = []
+    for i in range(400):
+        topic = chance.choices(list(topics), (1, 2, 6))[0]
+        rows.append((i, topics[topic] * chance.randint(1, 40), chance.choices(["en", "de", "xx"], (5, 3, 2))[0], chance.choices(["src0", "src1", "src2", "src3"], (2, 9, 4, 1))[0], 0))
+    targets = {"source": {"src0": 0.2}, "lang": {"en": 0.5, "de": 0.3}, "topic": {"legal": 0.15, "contact": 0.2}}
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), targets, sample=sample).collect()
+    sums, odds = defaultdict(int), {}
+    for r in found:
+        sums[r.source, r.lang, r.topic] += r.tokens
+        odds[r.source, r.lang, r.topic] = r.probability
+    assert {r.doc_id: r.tokens for r in found} == {row[0]: len(row[1].split()) for row in rows}
+    wanted = mixed_plainly(sums, targets, sample)
+    assert all(abs(odds[cell] - p) < 2e-3 for cell, p in wanted.items())
+    told = {(r.dimension, r.category): r for r in mixing.report(spark.createDataFrame(found), targets).collect()}
+    assert abs(told["kept", "*"].expected - sample) < 1e-4
     for at, d in enumerate(mixing.DIMENSIONS):
-        sums = defaultdict(float)
-        for cell, weight in raked.items():
-            sums[cell[at]] += weight
-        assert all(abs(sums[k] - v) < 1e-6 for k, v in mixing.shares(targets[d]).items())
-    odds = mixing.probabilities(cells, targets)
-    assert max(odds.values()) == 1 and min(odds.values()) > 0
+        for category in {cell[at] for cell in sums}:
+            held = sum(sums[c] * wanted[c] for c in sums if c[at] == category) / (sample * sum(sums.values()))
+            assert abs(told[d, category].expected - held) < 2e-3
+    assert abs(sum(r.target for r in told.values() if r.dimension == "source") - 1) < 1e-9
+    assert mixing.report(mixing.mix(spark.createDataFrame(rows[:0], "doc_id long, text string, lang string, source string, n_chars long"))).count() == 1
     with pytest.raises(ValueError):
         mixing.shares({"a": 0.7, "b": 0.7})
 

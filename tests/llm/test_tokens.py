@@ -86,9 +86,25 @@ def test_packing(make_docs, rows):
             assert offset == at
             at += length
         assert at <= 2048
+    by_place = {(r.sequence_id, r.offset): r for r in found.collect()}
     for row in packing.sequences(found, pad=0).collect():
         n = row.n_tokens
         assert len(row.ids) == 4 * (n if n & (n - 1) == 0 else 2048)
+        for piece in row.pieces:
+            own = by_place.pop((row.sequence_id, piece.offset))
+            assert (own.doc_id, own.start, own.length) == (piece.doc_id, piece.start, piece.length)
+            assert row.ids[4 * piece.offset : 4 * (piece.offset + piece.length)] == own.ids
+    assert not by_place
+    found.unpersist()
+
+
+def test_equal_rows_are_dealt_over_groups(make_docs):
+    """Rows that repeat, without an id, once fell into one group."""
+    docs = make_docs([(None, "the same few words")] * 20_000)
+    found = packing.pack_documents(docs, BYTES, end=1, group_documents=1000).withColumn("group", F.shiftright("sequence_id", 32)).cache()
+    sizes = [r["count"] for r in found.groupBy("group").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 1300 and sum(sizes) == 20_000
+    assert found.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
     found.unpersist()
 
 

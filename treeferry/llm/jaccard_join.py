@@ -27,6 +27,8 @@ WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
 MOST_HASHES = 128
 #: Nodes and words that one side of a comparison may have.
 BLOCK_NODES, BLOCK_WORDS = 256, 300_000
+#: Rows of comparisons that a task gets, about.
+TASK_ROWS = 256
 #: Standard deviations that the signatures' agreement may be below the similarity, and the
 #: nodes of a band that are held against each other at once.
 DOUBT, BAND_NODES = 3.0, 1024
@@ -174,15 +176,19 @@ class Signer:
         import numpy as np
 
         ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+        ends = ends.astype(np.uint32) if len(text) < 1 << 32 else ends
         least, seen = None, []
         for first in range(0, max(1, len(ends) - self.n + 1), PIECE_WORDS):
             last = min(first + PIECE_WORDS + self.n - 2, len(ends) - 1)
-            piece = text[ends[first - 1] + 1 if first else 0 : ends[last] + 1]
+            piece = text[int(ends[first - 1]) + 1 if first else 0 : int(ends[last]) + 1]
             grams, begins, _ = self._grams(np.frombuffer(piece, np.uint8), np.array([last - first + 1]))
             own = self._least(grams, begins)
             least = own if least is None else np.minimum(least, own)
             seen.append(np.unique(grams))
-        return *self._signed(least), [len(np.unique(np.concatenate(seen)))]
+        whole = np.concatenate(seen)
+        seen.clear()
+        whole.sort()
+        return *self._signed(least), [int(np.count_nonzero(whole[1:] != whole[:-1])) + 1]
 
 
 SIGNED = "doc_id long, text_key binary, n_grams int, n_words int, bands array<long>, signature binary"
@@ -457,9 +463,10 @@ class Comparison:
 COMPARED = "node long, links long, root long"
 
 
-def compared(texts: DataFrame, similarity: float) -> DataFrame:
+def compared(texts: DataFrame, similarity: float, tasks: int) -> DataFrame:
     """``node, links, root`` from ``component, task, side, node, n_copies, words``, for each
-    comparison. A comparison's rows meet in one task, one after the other."""
+    comparison. A comparison's rows meet in one task, one after the other. The number of tasks
+    is given: their work is more than their few bytes would have adaptive execution think."""
 
     def compare(batches: Iterator) -> Iterator:
         import numpy as np
@@ -502,7 +509,7 @@ def compared(texts: DataFrame, similarity: float) -> DataFrame:
             yield emit(results)
 
     rows = texts.select("component", "task", "node", "n_copies", "words", "side")
-    return rows.repartition("component", "task").sortWithinPartitions("component", "task").mapInArrow(compare, COMPARED)
+    return rows.repartition(tasks, "component", "task").sortWithinPartitions("component", "task").mapInArrow(compare, COMPARED)
 
 
 def _keyed(batches: Iterator, at: int, with_words: bool) -> Iterator:
@@ -557,7 +564,9 @@ def join_similar(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     )
     texts = keyed.join(placed.withColumnRenamed("text_key", "node_key"), (F.col("text_key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("rep")))
     texts = texts.select("component", F.explode("tasks").alias("task"), "side", "node", "n_copies", "words")
-    links = written(compared(texts, similarity), "links")
+    sides = placed.agg(F.sum(F.size("tasks"))).first()[0] or 0
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sides // TASK_ROWS))
+    links = written(compared(texts, similarity, tasks), "links")
 
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))

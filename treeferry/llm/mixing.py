@@ -5,9 +5,6 @@ stated share of them. A cell's probability is the product of a factor for each o
 categories, at most 1, and raking moves the factors until the expected sums of each dimension
 are at their targets. A category with fewer tokens than its target is taken whole, and the
 others share what it leaves. Documents are drawn by a hash of their id, alike in every run.
-
-``mix_to_largest`` is the form that the SQL of ``op3_mixing`` defines: probabilities are
-factors over the largest factor, and all sources without a target are one category.
 """
 
 from __future__ import annotations
@@ -70,70 +67,12 @@ def shares(targets: Mapping[str, float]) -> dict[str, float]:
     return {**targets, OTHER: max(0.0, rest)}
 
 
-def rake(cells: Mapping[tuple[str, ...], float], targets: Mapping[str, Mapping[str, float]], iterations: int = ITERATIONS) -> dict[tuple[str, ...], float]:
-    """Cell weights whose sums by each dimension are at the targets, from the cells' tokens.
-    Targets of categories without any tokens are left out and the others scaled up."""
-    weights = {cell: float(tokens) for cell, tokens in cells.items() if tokens > 0}
-    goals = []
-    for at, d in enumerate(DIMENSIONS):
-        present = {cell[at] for cell in weights}
-        own = {category: share for category, share in shares(targets[d]).items() if category in present}
-        whole = sum(own.values()) or 1.0
-        goals.append({category: share / whole for category, share in own.items()})
-    for _ in range(iterations):
-        for at, goal in enumerate(goals):
-            sums: dict[str, float] = {}
-            for cell, weight in sorted(weights.items()):
-                sums[cell[at]] = sums.get(cell[at], 0.0) + weight
-            weights = {cell: weight * goal[cell[at]] / sums[cell[at]] if sums[cell[at]] else 0.0 for cell, weight in weights.items()}
-    return weights
-
-
-def probabilities(cells: Mapping[tuple[str, ...], int], targets: Mapping[str, Mapping[str, float]]) -> dict[tuple[str, ...], float]:
-    """By cell, the probability at which a document of it is drawn."""
-    raked = rake(cells, targets)
-    factors = {cell: weight / cells[cell] for cell, weight in raked.items()}
-    most = max(factors.values(), default=0.0)
-    return {cell: factor / most if most else 0.0 for cell, factor in factors.items()}
-
-
 def draw(ids: Column, text: Column, seed: int) -> Column:
     """A number in [0, 1) by a row's id, or by its text where the id is null."""
     key = F.concat(F.coalesce(ids.cast("string"), F.md5(F.coalesce(text, F.lit("")))), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def cell_probabilities(rows: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
-    """A table of cells with their ``probability``. Its rows, and what comes to the driver,
-    are at most the product of the numbers of targets, whatever the data."""
-    bound = 1
-    for d in DIMENSIONS:
-        bound *= len(targets[d]) + 1
-    if bound > MOST_CELLS:
-        raise ValueError(f"{bound} cells; at most {MOST_CELLS}")
-    sums = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).collect()
-    found = probabilities({tuple(row[d] for d in DIMENSIONS): row["tokens"] for row in sums}, targets)
-    schema = ", ".join(f"{d} string" for d in DIMENSIONS) + ", probability double"
-    return rows.sparkSession.createDataFrame([(*cell, p) for cell, p in sorted(found.items())], schema)
-
-
-def mix_to_largest(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, the categories ``source``, ``lang``, ``topic``,
-    ``tokens``, ``probability`` (9 digits) and ``selected``.
-
-    A null source or language is another category. Texts without words weigh nothing; they
-    are drawn as others of their cell, or never where it has no tokens. Rows of one id are
-    drawn alike; a null id is drawn by its text.
-    """
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    rows = written(docs.select(docs["doc_id"], *measured(docs, targets), draw(docs["doc_id"], text, seed).alias("drawn")), "measured")
-    cells = F.broadcast(cell_probabilities(rows, targets))
-    p = F.coalesce("probability", F.lit(0.0))
-    return rows.join(cells, list(DIMENSIONS), "left").select(
-        "doc_id", *DIMENSIONS, "tokens", F.round(p, 9).alias("probability"), (F.col("drawn") < p).alias("selected")
-    )
-
-
 def filled(goals: Mapping[str, float], tokens: Mapping[str, float], size: float) -> dict[str, float]:
     """``size`` divided in proportion to ``goals``, no part above its ``tokens``."""
     whole: set[str] = set()
@@ -268,7 +207,7 @@ def sample_odds(rows: DataFrame, targets: Mapping[str, Mapping[str, float]], sam
                 moved = [n * goal[pair[at]] / by[pair[at]] if by[pair[at]] else 0.0 for pair, n in zip(pairs, moved, strict=True)]
         if off <= CLOSE * size:
             break
-        # Bounds, for targets that no sample of this size can have together.
+        # Bounds, for targets that no sample of this size can have together; ``report`` tells.
         factors = [min(1e12, max(1e-12, f * m / n)) if n and m else f for f, m, n in zip(factors, moved, found, strict=True)]
     return written(_fit_each(table, factors, level, own=True), "odds")
 
@@ -306,40 +245,45 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, s
 
 
 def keep_drawn(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, seed: int = 1, sample: float = SAMPLE) -> DataFrame:
-    """The drawn rows of ``docs``, with all their columns."""
-    odds = sample_odds(docs.select(*categories(docs, targets)), targets, sample)
+    """The drawn rows of ``docs``, with all their columns. Texts are measured once: the rows
+    are written with what was found."""
     whole = F.struct(*(docs[f"`{name}`"] for name in docs.columns)).alias("own_row")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    source, *_, cell = categories(docs, targets)
-    rows = docs.select(whole, source, cell, draw(docs["doc_id"], text, seed).alias("drawn"))
+    source, _, _, tokens, cell = categories(docs, targets)
+    rows = written(docs.select(whole, source, cell, tokens, draw(docs["doc_id"], text, seed).alias("drawn")), "measured")
+    odds = sample_odds(rows.select("source", "cell", "tokens"), targets, sample)
     return rows.join(odds, "source").where(F.col("drawn") < F.element_at("odds", F.col("cell"))).select("own_row.*")
 
 
-def sql_mix(table: str = "documents", seed: int = 1) -> str:
-    """``mix_to_largest`` in DuckDB SQL over a table, as ``WITH`` parts that end in ``mixed``."""
-    case = lambda d: f"CASE WHEN {d} IN ({', '.join(repr(k) for k in TARGETS[d])}) THEN {d} ELSE '*' END AS {d}"
-    topics = " ".join(f"WHEN regexp_matches(t, '{pattern}') THEN '{topic}'" for topic, pattern in TOPIC_RULES)
-    goals = ", ".join(f"({d!r}, {k!r}, CAST({v!r} AS DOUBLE))" for d in DIMENSIONS for k, v in shares(TARGETS[d]).items())
-    step = "coalesce(w * {d}_share / nullif(sum(w) OVER (PARTITION BY {d}), 0), 0)"
-    inner = "prior"
+def report(mixed: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, power: float = SOURCE_POWER) -> DataFrame:
+    """What a mix does to the shares, from the rows of ``mix``: ``dimension, category, tokens,
+    share`` (of all tokens), ``target``, ``expected`` and ``drawn`` (shares of the sample), and
+    ``off``, the target less what is expected. A row of dimension ``kept`` has the shares of
+    all tokens that are expected and drawn. A category is below its target where it has too
+    few tokens, and is whole then; the others share what it leaves."""
+    held, taken = F.col("tokens") * F.col("probability"), F.when(F.col("selected"), F.col("tokens")).otherwise(0)
+    sums = (F.sum("tokens").alias("tokens"), F.sum(held).alias("expected_tokens"), F.sum(taken).alias("drawn_tokens"))
+    parts = []
     for d in DIMENSIONS:
-        inner = f"(SELECT * REPLACE ({step.format(d=d)} AS w) FROM {inner})"
-    present = " UNION ALL ".join(f"SELECT DISTINCT '{d}' AS d, {d} AS k FROM cells" for d in DIMENSIONS)
-    return rf"""
-texts AS (SELECT *, coalesce(text, '') AS t FROM {table}),
-cats AS (SELECT doc_id, {case("source")}, {case("lang")}, CASE {topics} ELSE '*' END AS topic,
-  CAST(len(list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS tokens,
-  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), md5(t)) || ':{seed}'), 1, 12) AS BIGINT) / CAST({1 << 48} AS DOUBLE) AS drawn FROM texts),
-told(d, k, share) AS (VALUES {goals}),
-cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM cats GROUP BY ALL HAVING sum(tokens) > 0),
-goals AS (SELECT d, k, share / sum(share) OVER (PARTITION BY d) AS share FROM told JOIN ({present}) USING (d, k)),
-raked AS (SELECT 0 AS step, source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, CAST(tokens AS DOUBLE) AS w,
-    s.share AS source_share, l.share AS lang_share, p.share AS topic_share
-  FROM cells JOIN goals s ON s.d = 'source' AND s.k = source JOIN goals l ON l.d = 'lang' AND l.k = lang JOIN goals p ON p.d = 'topic' AND p.k = topic
-  UNION ALL SELECT * FROM (WITH prior AS (SELECT * REPLACE (step + 1 AS step) FROM raked WHERE step < {ITERATIONS}) SELECT * FROM {inner})),
-odds AS (SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS p FROM raked WHERE step = {ITERATIONS}),
-mixed AS (SELECT doc_id, source, lang, topic, tokens, round(coalesce(p, 0), 9) AS probability, drawn < coalesce(p, 0) AS selected
-  FROM cats LEFT JOIN odds USING (source, lang, topic))"""
-
-
-ORACLE = f"WITH RECURSIVE {sql_mix()} SELECT * FROM mixed"
+        own = mixed.groupBy(F.coalesce(F.col(d).cast("string"), F.lit(OTHER)).alias("category")).agg(*sums)
+        if d == "source":
+            own = _shared(own.withColumn("live", F.col("tokens").cast("double")).withColumn("source", F.col("category")), targets[d], power)
+            own = own.drop("live", "source").withColumnRenamed("share", "target")
+        else:
+            goal = F.lit(shares(targets[d])[OTHER])
+            for name, share in targets[d].items():
+                goal = F.when(F.col("category") == name, share).otherwise(goal)
+            own = own.withColumn("target", goal.cast("double"))
+        parts.append(own.select(F.lit(d).alias("dimension"), "category", "tokens", "target", "expected_tokens", "drawn_tokens"))
+    whole = mixed.agg(*sums).select(*(F.coalesce(F.col(c), F.lit(0)).alias(f"all_{c}") for c in ("tokens", "expected_tokens", "drawn_tokens")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).crossJoin(F.broadcast(whole))
+    share = lambda n, of: F.when(F.col(of) > 0, F.col(n) / F.col(of)).otherwise(0.0)
+    named = rows.select(
+        "dimension", "category", F.col("tokens").cast("long").alias("tokens"), share("tokens", "all_tokens").alias("share"), "target",
+        share("expected_tokens", "all_expected_tokens").alias("expected"), share("drawn_tokens", "all_drawn_tokens").alias("drawn"),
+    )
+    kept = whole.select(
+        F.lit("kept").alias("dimension"), F.lit(OTHER).alias("category"), F.col("all_tokens").cast("long").alias("tokens"), F.lit(1.0).alias("share"),
+        F.lit(None).cast("double").alias("target"), share("all_expected_tokens", "all_tokens").alias("expected"), share("all_drawn_tokens", "all_tokens").alias("drawn"),
+    )
+    return named.unionByName(kept).withColumn("off", F.col("target") - F.col("expected"))

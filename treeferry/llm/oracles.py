@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from treeferry.llm import conversation_repair, exact_dedup, license_scan, mixing, quality_rules, spelling_variants, url_filter, warc_zstd
+from treeferry.llm import conversation_repair, exact_dedup, license_scan, quality_rules, spelling_variants, url_filter, warc_zstd
 
 ORACLES: dict[str, str] = {
-    "op3_mixing": mixing.ORACLE,
     "op5_license_scan": license_scan.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,

@@ -91,8 +91,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int, room: int = SEQUENCE
 
 def assign_sequences(pieces: DataFrame, n_groups: int, room: int = SEQUENCE_TOKENS, seed: int = 1) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``. Sequences of a group are numbered from
-    ``group << 32`` on."""
-    names = pieces.columns
+    ``group << 32`` on. Groups are dealt by ``own_number``, a number that no two pieces have and
+    that is written with them: rows that repeat are spread as others are."""
+    names = [name for name in pieces.columns if name != "own_number"]
 
     def pack(table):
         import pyarrow as pa
@@ -105,8 +106,8 @@ def assign_sequences(pieces: DataFrame, n_groups: int, room: int = SEQUENCE_TOKE
         return table.append_column("offset", pa.array([offset for _, offset in placed], pa.int64()))
 
     # Pieces and not documents are dealt, so neither a huge text nor a repeated id fills a group.
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(seed)), F.lit(n_groups)).alias("own_group")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
+    group = F.pmod(F.xxhash64("own_number", F.lit(seed)), F.lit(n_groups)).alias("own_group")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in names) + ", sequence_id long, offset long"
     return pieces.select("*", group).groupBy("own_group").applyInArrow(pack, schema)
 
 
@@ -120,20 +121,23 @@ def pack_documents(
     repeat are packed each. An empty table gives no piece. Other columns are not read.
     """
     # Written, so that texts are encoded once for the count and the packing.
-    pieces = written(token_pieces(docs, tokenizer, end, room, with_ids), "pieces")
+    numbered = token_pieces(docs, tokenizer, end, room, with_ids).withColumn("own_number", F.monotonically_increasing_id())
+    pieces = written(numbered, "pieces")
     n_groups = max(1, -(-pieces.count() // group_documents))
     return assign_sequences(pieces, n_groups, room)
 
 
 def sequences(pieces: DataFrame, pad: int, room: int = SEQUENCE_TOKENS) -> DataFrame:
-    """The sequences themselves, from pieces with their ids: ``sequence_id``, ``n_tokens`` and
-    ``ids``, padded with ``pad`` to ``room`` unless ``n_tokens`` is a power of two."""
-    parts = F.array_sort(F.collect_list(F.struct("offset", F.hex("ids").alias("ids"))))
+    """The sequences themselves, from pieces with their ids: ``sequence_id``, ``n_tokens``,
+    ``ids``, padded with ``pad`` to ``room`` unless ``n_tokens`` is a power of two, and ``pieces``,
+    an array of ``offset, length, doc_id, start`` in order."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "start", F.hex("ids").alias("ids"))))
     joined = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), parts.alias("parts"))
     ids = F.unhex(F.array_join(F.transform("parts", lambda part: part["ids"]), ""))
     filler = F.unhex(F.lit(pad.to_bytes(4, "little").hex()))
     whole = F.col("n_tokens").bitwiseAND(F.col("n_tokens") - 1) == 0
     missing = F.when(whole, F.lit(0)).otherwise(F.lit(room) - F.col("n_tokens")).cast("int")
     return joined.select(
-        "sequence_id", "n_tokens", F.concat(ids, F.unhex(F.repeat(F.hex(filler), missing))).alias("ids")
-    )
+        "sequence_id", "n_tokens", F.concat(ids, F.unhex(F.repeat(F.hex(filler), missing))).alias("ids"),
+        F.transform("parts", lambda part: part.dropFields("ids")).alias("pieces"),
+    )

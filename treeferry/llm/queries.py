@@ -21,6 +21,7 @@ from treeferry.llm import (
     vector_search,
     warc_zstd,
 )
+from treeferry.scratch import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +37,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_to_largest(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-def op3_mixing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+def op3_mixing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept share and marginal errors of that mix."""
+    return mixing.report(written(op3_mixing(spark, sf_dir), "mixed"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
-    "op3_mixing_sample": op3_mixing_sample,
+    "op3_mixing_report": op3_mixing_report,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_vector_search": op13_vector_search,
