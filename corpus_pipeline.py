@@ -28,14 +28,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.keep_one(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics have their target weights."""
-    return mixing.keep_drawn(docs)
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: float = mixing.SAMPLE) -> DataFrame:
+    """Documents drawn so that sources, languages and topics have their target weights; they
+    are expected to hold ``sample`` of the tokens."""
+    return mixing.keep_drawn(docs, sample=sample)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences."""
-    return packing.pack_documents(docs, "byte_bpe_50k.json", end=1)
+    """Padded sequences of token ids, each with the pieces of documents that it holds."""
+    pieces = packing.pack_documents(docs, "byte_bpe_50k.json", end=1, with_ids=True)
+    return packing.sequences(pieces, pad=0)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -50,8 +52,10 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, sample: float = mixing.SAMPLE) -> DataFrame:
+    """The sequences of a corpus, ``sample`` of whose tokens are drawn when sources are mixed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        more = {"sample": sample} if stage is mix else {}
+        docs = written(stage(spark, docs, sf_dir, **more), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
