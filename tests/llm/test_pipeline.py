@@ -43,8 +43,20 @@ def test_stages_one_by_one(spark, documents):
     library = TokenIds(tokenizer_path("byte_bpe_50k.json")).tokenizer
     lengths = {r.doc_id: len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in drawn.collect()}
     found = corpus_pipeline.run(spark, SF_DIR).collect()
-    assert Counter({k: v for k, v in lengths.items()}) == sum((Counter({r.doc_id: r.length}) for r in found), Counter())
-    assert pack([1]) == b"\x01\0\0\0" and all(r.length <= 2048 for r in found)
+    held = Counter()
+    for r in found:
+        n = r.n_tokens
+        assert n <= 2048 and len(r.ids) == 4 * (n if n & (n - 1) == 0 else 2048) and set(r.ids[4 * n :]) <= {0}
+        held.update({p.doc_id: 0 for p in r.pieces})
+        for p in r.pieces:
+            held[p.doc_id] += p.length
+    assert held == lengths
+    # The documents' ids, put together from the sequences.
+    parts = {(p.doc_id, p.start): r.ids[4 * p.offset : 4 * (p.offset + p.length)] for r in found for p in r.pieces}
+    for r in drawn.collect():
+        own = b"".join(parts[key] for key in sorted(k for k in parts if k[0] == r.doc_id))
+        assert own == pack([*library.encode(r.text, add_special_tokens=False).ids, 1])
+    assert sum(r.n_tokens for r in corpus_pipeline.run(spark, SF_DIR, sample=0.9).collect()) > 1.4 * sum(lengths.values())
 
 
 def test_empty_and_odd_documents(spark, make_docs):
@@ -53,7 +65,8 @@ def test_empty_and_odd_documents(spark, make_docs):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, SF_DIR)
             assert out.columns == docs.columns and out.count() <= len(rows), name
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == len(rows)
+        found = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+        assert sum(len(r.pieces) for r in found) == len(rows)
 
 
 def test_registered():
