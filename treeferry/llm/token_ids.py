@@ -149,7 +149,10 @@ class TokenIds:
         return ids
 
     def _model(self, token: str) -> bytes:
-        written = token.encode().decode("latin-1").translate(self.table)
+        if token.isascii() and token.isprintable():
+            written = token.replace(" ", self.table[32])  # the others are themselves
+        else:
+            written = token.encode().decode("latin-1").translate(self.table)
         return pack([t.id for t in self.tokenizer.model.tokenize(written)])
 
 
