@@ -172,3 +172,10 @@ def test_few_long_texts_are_several_groups(make_docs):
     groups = {r.group: r.pieces for r in found.groupBy(F.shiftright("sequence_id", 32).alias("group")).agg(F.count("*").alias("pieces")).collect()}
     assert pieces > 700 and sum(groups.values()) == pieces
     assert len(groups) == -(-pieces // 100) and max(groups.values()) < 200
+
+
+def test_each_file_has_a_task_of_its_own(spark, make_docs):
+    files = token_planes.write_ids(make_docs([(i, f"some words {i}") for i in range(600)]), WORDS, end=2, files=12)
+    found = token_planes.read_ids(spark, files).withColumn("task", F.spark_partition_id())
+    by_task = found.groupBy("task").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).collect()
+    assert len(by_task) == files.count() > 8

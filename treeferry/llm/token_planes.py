@@ -205,11 +205,11 @@ def read_ids(spark: SparkSession, files: DataFrame) -> DataFrame:
     """
     placed, before = [], 0
     for row in sorted(files.collect(), key=lambda row: row["number"]):
-        placed.append((row["uri"], row["n_bytes"], before))
+        placed.append((row["uri"], row["n_bytes"], before, len(placed)))
         before += row["n_ids"]
     if not placed:
         return spark.createDataFrame([], ROWS)
-    tasks = spark.createDataFrame(placed, "uri string, n_bytes long, before long").repartition(len(placed), "uri")
+    tasks = spark.createDataFrame(placed, "uri string, n_bytes long, before long, number int").repartitionById(len(placed), "number")
 
     def read(batches: Iterator) -> Iterator:
         for batch in batches:

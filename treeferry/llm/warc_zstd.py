@@ -214,8 +214,9 @@ def read_archives(files: DataFrame, with_payload: bool = False) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 yield from _batches(read_records(uri), with_payload)
 
-    files = files.select("uri")
-    tasks = files.repartition(max(1, files.count()), "uri")
+    # Numbered by one task, which sees a name for each archive, so that each has a task of its own.
+    named = files.select("uri").coalesce(1).select("uri", F.monotonically_increasing_id().cast("int").alias("number"))
+    tasks = named.repartitionById(max(1, files.count()), "number").select("uri")
     return tasks.mapInArrow(read, ROWS + (", payload binary" if with_payload else ""))
 
 
