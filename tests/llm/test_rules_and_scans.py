@@ -326,6 +326,57 @@ def test_other_common_licences(make_docs):
     }
     found = {r.doc_id: r.licences for r in license_scan.scan_licences(make_docs(list(enumerate(texts)))).collect()}
     assert list(texts.values()) == [found[i] for i in range(len(texts))]
-    assert {i for _, ids in license_scan.RULES for i in ids} <= set(license_scan.SENTENCES)
-    keys = {(license_scan.normalised(re.split(license_scan.BY_SENTENCE, v)[0]), i) for i, vs in license_scan.SENTENCES.items() for v in vs}
-    assert len(license_scan._known()) == len(keys)
+    used = {i for _, ids in license_scan.RULES for i in ids}
+    assert used <= set(license_scan.SENTENCES) | set(license_scan.NAMES)
+    for variant in (v for vs in license_scan.SENTENCES.values() for v in vs):
+        assert len([p for p in re.split(license_scan.BY_SENTENCE, re.sub(license_scan.SHIELD, r"\1\2 \3", variant)) if p]) == 1
+
+
+NAMED = {
+    "SPDX-License-Identifier: MIT OR Apache-2.0": ("MIT,Apache-2.0", "MIT OR Apache-2.0"),
+    "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */\nint x;": ("GPL-2.0", "GPL-2.0-only WITH Linux-syscall-note"),
+    "# SPDX-License-Identifier: BSL-1.0": ("BSL-1.0", "BSL-1.0"),
+    "SPDX-License-Identifier: (MIT OR(ISC AND LGPL-2.1+)) AND Zlib.\r\n": ("MIT,ISC,LGPL-2.1,Zlib", "( MIT OR ( ISC AND LGPL-2.1+ ) ) AND Zlib"),
+    "SPDX-License-Identifier: MIT OR\nSPDX-License-Identifier:MIT*/ OR ISC": ("MIT", "MIT"),
+    "SPDX-License-Identifier: NOASSERTION\nSPDX-License-Identifier:": ("", "NOASSERTION"),
+    "SPDX-License-Identifier: MIT WITH\nSPDX-License-Identifier: ISC and MIT with a-b with c": ("MIT,ISC", "MIT;ISC and MIT with a-b"),
+    "SPDX-License-Identifier: ) MIT": ("", ""),
+    "SPDX-License-Identifier: MIT (see LICENSE)\nReleased under the ISC License.": ("ISC,MIT", "MIT"),
+    "spdx-license-identifier MIT": ("", ""),
+    "This code is licensed under the Apache License 2.0.": ("Apache-2.0", ""),
+    "Distributed under the terms of the MIT License.": ("MIT", ""),
+    "Name: x\nLicense: MIT\nVersion: 3": ("MIT", ""),
+    "This source code is made available under the 3-Clause BSD License": ("BSD-3-Clause", ""),
+    "A file. This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.9. If a copy": ("", ""),
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v.\n2.0. If a copy": ("MPL-2.0", ""),
+    "Licensed under the Mozilla Public License, v. 2.0": ("MPL-2.0", ""),
+    "License agreement of the submitters. We released under the sea.": ("", ""),
+}
+
+
+def test_names_and_expressions(make_docs):
+    found = {r.doc_id: (r.licences, r.expressions) for r in license_scan.scan_licences(make_docs(list(enumerate(NAMED)))).collect()}
+    assert found == dict(enumerate(NAMED.values()))
+
+
+def test_licence_sql_is_the_operator(make_docs):
+    """On layouts and odd rows that the tables do not have."""
+    import duckdb
+    import pyarrow as pa
+
+    notice = "Licensed under the Apache License, Version 2.0\nCopyright someone\n\n"
+    texts = [*NAMED, None, "", "\n\n", MIT, BSD2, BSD3, notice + MIT, MIT + "\n\n" + notice, "a. b.\n\n" + notice + BSD3.replace("may be", "may\nbe")]
+    texts += [("one. " * n).join([BSD2.split("\n")[0] + "\n", *BSD2.split("\n")[1:]]) for n in range(5)] + [("one\n" * n).join(["License: MIT\n", "License: ISC\n"]) for n in range(6)]
+    rows = [(i // 2 if i % 7 else None, text) for i, text in enumerate(texts)] * 2
+    documents = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        wanted = db.sql(license_scan.ORACLE).fetchall()
+        names = [column[0] for column in db.sql(license_scan.ORACLE).description]
+    found = license_scan.scan_licences(make_docs(rows)).select(*names).collect()
+    assert Counter(tuple(r) for r in found) == Counter(wanted) and len(wanted) == len(rows)
+
+
+def test_licences_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "License: MIT", "x", 2, "y")], "doc_id long, text string, sentences string, found int, spdx string")
+    assert [tuple(r) for r in license_scan.scan_licences(docs).collect()] == [(1, ";mit-notice;", "MIT", "", 1)]
