@@ -70,6 +70,35 @@ def test_drop_copies(make_docs):
     assert exact_dedup.drop_copies(make_docs([])).count() == 0 and exact_dedup.deduplicate(make_docs([])).count() == 0
 
 
+def test_only_suspects_move(make_docs, monkeypatch):
+    """Texts that are no other's pass no exchange; a full filter changes nothing."""
+    rows = [(i, f"text {i} " * 50) for i in range(400)] + [(1000 + i, "Copy " * 60) for i in range(3)]
+    docs = make_docs(rows)
+    suspects = exact_dedup.Suspects(docs.where("doc_id >= 1000").limit(1).select("text"), F.col("text"))
+    passing = [text for _, text in rows if suspects.keeps(text.encode())]
+    assert passing.count("Copy " * 60) == 3 and len(passing) < 40
+    wanted = Counter((r[0], r[1]) for r in rows if r[0] < 1000 or r[0] == 1002)
+    assert Counter((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()) == wanted
+    monkeypatch.setattr(exact_dedup, "MOST_FILTER_BITS", 32)
+    assert Counter((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()) == wanted
+
+
+def test_a_group_of_most_rows(spark, make_docs):
+    """20,000 equal rows without an id, and as many with one: no task takes them all in."""
+    docs = make_docs([(None, "same text")] * 20000 + [(i, "Same Text") for i in range(20000)]).repartition(8)
+    found = exact_dedup.deduplicate(docs)
+    assert found.agg(F.count("*"), F.sum(F.col("kept").cast("int")), F.min("keep_id"), F.min("group_size")).first()[:] == (40000, 1, 19999, 40000)
+    assert [(r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()] == [(19999, "Same Text")]
+
+
+def test_copies_beside_clashing_columns(spark):
+    schema = "doc_id int, text string, fingerprint string, own_digest int, body string, c0 string, kept_id int"
+    docs = spark.createDataFrame([(1, "A", "f", 1, "b", "c", 2), (2, "a", None, 2, None, "d", 3), (3, None, "g", 3, "x", None, 4)], schema)
+    assert sorted((r.doc_id, r.keep_id) for r in exact_dedup.deduplicate(docs).collect()) == [(1, 2), (2, 2), (3, 3)]
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
 BODY = "<html>" + "payload " * 30
 PAGES = [
     (5, "http://a/x y\r\nz", BODY), (3, "http://b", BODY), (9, None, BODY), (1, "u", "short"), (2, "u", "short"), (4, "u", None), (6, "u", ""), (None, "u", BODY),

@@ -4,11 +4,15 @@ A text is read as a number in base 256, and its fingerprint is that number modul
 Fingerprints of adjacent pieces combine by shifting the first by the length of the second,
 so the pieces of a huge text can be hashed by different tasks. Texts of equal fingerprint
 and length are then compared piece by piece; a fingerprint alone decides nothing.
+
+Texts that share their fingerprint with no other stay where they are read: a filter of
+bounded size holds the fingerprints of groups, and only texts that pass it move.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -23,8 +27,9 @@ PRIME = 2**126 - 137
 #: Texts up to this length are hashed where they are read, longer ones in pieces of it.
 PIECE_BYTES = 1 << 20
 
-#: A suspected group's texts are dealt over so many tasks for their comparison.
-SALTS = 16
+#: Bits of the filter of suspects, at most: 32 MiB. With more than a thirty-second of that in
+#: suspected groups, more and more texts pass that need not.
+MOST_FILTER_BITS = 1 << 28
 
 KEY = ["n_bytes", "fingerprint"]
 FOUND = "doc_id long, n_bytes long, fingerprint binary, text_sha256 string"
@@ -51,27 +56,66 @@ def packed(value: int) -> bytes:
     return value.to_bytes(16, "big")
 
 
-def _hashed(batches: Iterator, piece_bytes: int, with_text: bool) -> Iterator:
+class Suspects:
+    """A bit for each of some keys of 16 hashed bytes; a yes may be wrong, a no never is.
+
+    ``words`` is a table of ``word, bits``, as long as the filter at most. It is the only
+    thing that comes to the driver.
+    """
+
+    def __init__(self, keys: DataFrame, key: Column):
+        wanted = max(1024, 32 * keys.count())
+        self.bits = min(MOST_FILTER_BITS, 1 << (wanted - 1).bit_length())
+        place = F.crc32(key) % self.bits
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))
+        found = keys.select((place / 32).cast("long").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        self._fill(found.toArrow())
+
+    def _fill(self, found) -> None:
+        import numpy as np
+
+        words = np.zeros(self.bits // 32, "<u4")
+        words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype("<u4")
+        self.words = words.tobytes()
+
+    def keeps(self, key: bytes) -> bool:
+        place = zlib.crc32(key) % self.bits
+        return bool(self.words[place >> 3] >> (place & 7) & 1)
+
+
+def _hashed(batches: Iterator, piece_bytes: int) -> Iterator:
     """Batches of ``doc_id, body`` with the hashes of their normalised bodies. Bodies above
     ``piece_bytes`` get their digest only."""
     import pyarrow as pa
 
     for batch in batches:
-        lengths, prints, digests, texts = [], [], [], []
+        lengths, prints, digests = [], [], []
         for value in batch.column(1):
             own = value.as_buffer().to_pybytes().lower()  # of bytes, this changes A-Z alone
             lengths.append(len(own))
             prints.append(packed(fingerprint(own)) if len(own) <= piece_bytes else None)
             digests.append(hashlib.sha256(own).hexdigest())
-            if with_text:
-                texts.append(own if len(own) <= piece_bytes else None)
-        columns = {
-            "doc_id": batch.column(0), "n_bytes": pa.array(lengths, pa.int64()),
-            "fingerprint": pa.array(prints, pa.binary()), "text_sha256": pa.array(digests, pa.string()),
-        }
-        if with_text:
-            columns["own"] = pa.array(texts, pa.binary())
-        yield pa.RecordBatch.from_pydict(columns)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column(0), "n_bytes": pa.array(lengths, pa.int64()),
+                "fingerprint": pa.array(prints, pa.binary()), "text_sha256": pa.array(digests, pa.string()),
+            }
+        )
+
+
+def _suspected(batches: Iterator, piece_bytes: int, suspects: Suspects) -> Iterator:
+    """The bodies of up to ``piece_bytes`` that may share their fingerprint with another."""
+    import pyarrow as pa
+
+    for batch in batches:
+        rows = []
+        for value in batch.column(0):
+            own = value.as_buffer().to_pybytes().lower()
+            if len(own) <= piece_bytes and suspects.keeps(found := packed(fingerprint(own))):
+                rows.append((len(own), found, own))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], names=[*KEY, "own"]
+        )
 
 
 def _bodies(docs: DataFrame, text: str) -> DataFrame:
@@ -120,9 +164,10 @@ def classes(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES)
     Suspected copies are compared by an aggregation: where the least and the greatest piece
     at each place are equal, all texts of the group are. Each task reduces what it has read
     before it sends anything, so a group that holds a third of all rows is no hot key.
+    A text needs a few times its own length in a task's memory, a long one's pieces move alone.
     """
     bodies = _bodies(docs, text)
-    hashed = bodies.mapInArrow(lambda batches: _hashed(batches, piece_bytes, False), FOUND)
+    hashed = bodies.mapInArrow(lambda batches: _hashed(batches, piece_bytes), FOUND)
     found, pieces = written(hashed.withColumn("row_id", F.monotonically_increasing_id()), "fingerprints"), None
     long = found.where("fingerprint IS NULL").drop("fingerprint")
     if not long.isEmpty():
@@ -130,16 +175,15 @@ def classes(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES)
         whole = long.join(_prints(pieces), ["text_sha256", "n_bytes"])
         found = written(found.where("fingerprint IS NOT NULL").unionByName(whole), "combined")
 
-    # A table of its own, and salted: so the texts of a large group meet it in many tasks.
-    suspects = written(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "suspects")
-    suspects = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
-    texts = bodies.mapInArrow(lambda batches: _hashed(batches, piece_bytes, True), f"{FOUND}, own binary")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
-    chunks = texts.where("own IS NOT NULL").select(*KEY, salt, F.lit(0).alias("piece"), "own")
+    suspects = written(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEY), "suspects")
+    wanted = docs.sparkSession.sparkContext.broadcast(Suspects(suspects, F.col("fingerprint")))
+    texts = bodies.select("body").mapInArrow(lambda batches: _suspected(batches, piece_bytes, wanted.value), "n_bytes long, fingerprint binary, own binary")
+    chunks = texts.select(*KEY, F.lit(0).alias("piece"), "own")
     if pieces is not None:
-        prints = found.select("text_sha256", *KEY).distinct()
-        chunks = chunks.unionByName(pieces.join(prints, ["text_sha256", "n_bytes"]).select(*KEY, salt, "piece", "own"))
-    compared = chunks.join(suspects, [*KEY, "salt"]).groupBy(*KEY, "piece").agg((F.min("own") == F.max("own")).alias("same"))
+        prints = found.join(suspects, KEY, "left_semi").select("text_sha256", *KEY).distinct()
+        chunks = chunks.unionByName(pieces.join(prints, ["text_sha256", "n_bytes"]).select(*KEY, "piece", "own"))
+    # No join before the aggregation: each task sends two texts of a group at most.
+    compared = chunks.groupBy(*KEY, "piece").agg((F.min("own") == F.max("own")).alias("same"))
     differing = written(compared.where("NOT same").select(*KEY).distinct(), "differing")
     marked = found.join(differing.withColumn("differs", F.lit(True)), KEY, "left")
     return marked.withColumn("digest", F.when(F.col("differs"), F.col("text_sha256"))).drop("differs")
@@ -169,29 +213,54 @@ def deduplicate(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BY
     )
 
 
-def _with_digest(batches: Iterator, at: int) -> Iterator:
+def _with_digest(batches: Iterator, at: int, repeated: Suspects, stay: Suspects | None) -> Iterator:
+    """Rows, the last column of which is ``own_id``, with their text's digest: those without
+    copies, or else those with copies that may be the one that stays."""
     import pyarrow as pa
 
     for batch in batches:
-        texts = (value.as_buffer() for value in batch.column(at))
-        digests = [hashlib.sha256(b"" if own is None else own.to_pybytes().lower()).hexdigest() for own in texts]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "own_digest"]
-        )
+        digests, mask = [], []
+        for own_id, value in zip(batch.column(batch.num_columns - 1).to_pylist(), batch.column(at), strict=True):
+            text = value.as_buffer()
+            digest = hashlib.sha256(b"" if text is None else text.to_pybytes().lower()).hexdigest()
+            digests.append(digest)
+            copied = repeated.keeps(digest.encode())
+            mask.append(copied and stay.keeps(f"{'' if own_id is None else own_id}:{digest}".encode()) if stay else not copied)
+        whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "own_digest"])
+        yield whole.filter(pa.array(mask, pa.bool_()))
 
 
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Of rows that repeat both
-    ``doc_id`` and text, one stays."""
-    kept = deduplicate(docs, text).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_digest"))
+    ``doc_id`` and text, one stays. An empty table gives an empty one.
+
+    Rows whose text is no other's are passed on where they are read. Of those with copies
+    only the ones that stay, and few others, are moved.
+    """
+    spark = docs.sparkSession
+    decided = written(deduplicate(docs, text).where("kept").select("doc_id", "text_sha256", "group_size"), "decided")
+    repeated = spark.sparkContext.broadcast(Suspects(decided.where("group_size > 1"), F.col("text_sha256")))
+
+    def also_passing(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([repeated.value.keeps(digest.encode()) for digest in batch.column(1).to_pylist()], pa.bool_()))
+
+    # With the texts that pass though they have no copies: those stay as well.
+    kept = written(decided.mapInArrow(also_passing, decided.schema), "kept")
+    pair = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_sha256"))
+    stay = spark.sparkContext.broadcast(Suspects(kept, pair))
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names)
     at, id_name = docs.columns.index(text), names[docs.columns.index("doc_id")]
+    rows = docs.toDF(*names).withColumn(names[at], F.col(names[at]).cast("string")).withColumn("own_id", F.col(id_name).cast("long"))
     schema = T.StructType([*rows.schema.fields, T.StructField("own_digest", T.StringType())])
-    keyed = rows.mapInArrow(lambda batches: _with_digest(batches, at), schema)
-    once = keyed.dropDuplicates(["own_digest", id_name])
-    same: Column = once["own_digest"].eqNullSafe(kept["kept_digest"]) & once[id_name].cast("long").eqNullSafe(kept["kept_id"])
-    return once.join(kept.hint("merge"), same, "left_semi").select(*names).toDF(*docs.columns)
+
+    alone = rows.mapInArrow(lambda batches: _with_digest(batches, at, repeated.value, None), schema)
+    copies = rows.mapInArrow(lambda batches: _with_digest(batches, at, repeated.value, stay.value), schema)
+    same: Column = (copies["own_digest"] == kept["text_sha256"]) & copies["own_id"].eqNullSafe(kept["doc_id"])
+    chosen = copies.dropDuplicates(["own_digest", "own_id"]).join(kept, same, "left_semi")
+    return alone.unionByName(chosen).select(*names).toDF(*docs.columns)
 
 
 ORACLE = """
