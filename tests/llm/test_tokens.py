@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from treeferry.scratch import written
 from treeferry.llm import packing, token_planes
 from treeferry.llm.token_ids import TokenIds, pack, tokenizer_path
 
@@ -135,7 +136,7 @@ def test_packing_pads_little(documents):
 @pytest.mark.parametrize("plane", ["bit", "byte"])
 @pytest.mark.parametrize("rows", [ROWS, []])
 def test_planes_round_trip(spark, make_docs, plane, rows):
-    files = token_planes.write_ids(make_docs(rows), WORDS, end=2, files=3, plane=plane, block_ids=64)
+    files = token_planes.write_ids(make_docs(rows), WORDS, end=2, tasks=3, plane=plane, block_ids=64)
     found = sorted(token_planes.read_ids(spark, files).collect(), key=lambda r: r.start)
     wanted = sorted(brute(rows, WORDS, 2), key=lambda r: (r[0] is not None, r[0] or 0))
     assert [(r.doc_id, r.ids) for r in found] == [(i, pack(ids)) for i, ids in wanted]
@@ -175,7 +176,30 @@ def test_few_long_texts_are_several_groups(make_docs):
 
 
 def test_each_file_has_a_task_of_its_own(spark, make_docs):
-    files = token_planes.write_ids(make_docs([(i, f"some words {i}") for i in range(600)]), WORDS, end=2, files=12)
+    files = token_planes.write_ids(make_docs([(i, f"some words {i}") for i in range(600)]), WORDS, end=2, tasks=12)
     found = token_planes.read_ids(spark, files).withColumn("task", F.spark_partition_id())
     by_task = found.groupBy("task").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).collect()
     assert len(by_task) == files.count() > 8
+
+
+def test_files_are_closed_by_their_size(spark, make_docs):
+    """One task's documents in several files, none above its bounds by more than a document."""
+    rows = [(i, "some words " * (i % 7) + str(i)) for i in range(500)] + [(None, "long " * 5000)]
+    wanted, at = [], 0
+    for doc_id, ids in brute(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), WORDS, 2):
+        wanted.append((doc_id, at, len(ids), crc(ids)))
+        at += len(ids)
+    for bounds in ({"file_ids": 900}, {"file_docs": 40}):
+        files = token_planes.write_ids(make_docs(rows), WORDS, end=2, tasks=2, **bounds)
+        sizes = files.orderBy("number").collect()
+        assert len(sizes) > 5 and sum(r.n_docs for r in sizes) == 501
+        assert all(r.n_ids < 900 + 40 or r.n_docs == 1 for r in sizes) if "file_ids" in bounds else max(r.n_docs for r in sizes) == 40
+        found = token_planes.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("c"))
+        assert [tuple(r) for r in found.orderBy("start").collect()] == wanted
+
+
+def test_more_tasks_for_larger_inputs(make_docs, monkeypatch):
+    docs = written(make_docs([(i, f"words {i * i} " * 100) for i in range(300)]), "stored")
+    monkeypatch.setattr(token_planes, "TASK_BYTES", 100)
+    files = token_planes.write_ids(docs, WORDS, end=2)
+    assert files.select((F.col("number") / 2**32).cast("int")).distinct().count() > 50

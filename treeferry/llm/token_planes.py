@@ -22,12 +22,17 @@ from treeferry.scratch import written
 
 BLOCK_IDS = 1 << 16
 ZSTD_LEVEL = 3
+#: A file is closed at so many ids (256 MiB before compression) or documents, whatever comes
+#: first; a document is never cut.
+FILE_IDS, FILE_DOCS = 1 << 26, 1 << 20
+#: A writing task gets about so many bytes of the input, as Catalyst estimates it.
+TASK_BYTES = 256 << 20
 # Fixed value: the end of every file.
 MAGIC = b"IDPLANE1"
 TAIL = "<QQ8s"
 TAIL_BYTES = struct.calcsize(TAIL)
 
-FILES = "number int, uri string, n_docs long, n_ids long, n_bytes long"
+FILES = "number long, uri string, n_docs long, n_ids long, n_bytes long"
 ROWS = "doc_id long, start long, n_tokens long, ids binary"
 
 
@@ -65,11 +70,13 @@ class PlaneWriter:
         self.blocks: list[list] = []
         self.doc_ids: list[int | None] = []
         self.counts: list[int] = []
+        self.n_ids = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.doc_ids.append(doc_id)
         self.counts.append(len(ids) // 4)
         self.waiting.append(ids)
+        self.n_ids += len(ids) // 4
         self.n_waiting += len(ids) // 4
         if self.n_waiting >= self.block_ids:
             self._flush(False)
@@ -155,20 +162,30 @@ class PlaneReader:
         self.file.close()
 
 
+def estimated_bytes(frame: DataFrame) -> int:
+    """What Catalyst takes the size of a table to be, without reading it; 0 if it has no idea,
+    which it states as a size beyond an exabyte."""
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def write_ids(
-    docs: DataFrame, tokenizer: str, end: int, files: int | None = None, plane: str = "bit", block_ids: int = BLOCK_IDS
+    docs: DataFrame, tokenizer: str, end: int, tasks: int | None = None, plane: str = "bit", block_ids: int = BLOCK_IDS,
+    file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS,
 ) -> DataFrame:
     """Encode every whole text, append ``end``, and write the ids in ascending ``doc_id``
     order. Returns a table with a row for each file: ``number`` (files in ascending order),
     ``uri``, ``n_docs``, ``n_ids``, ``n_bytes``.
 
-    ``files``: how many at most; by default the session's shuffle partitions. Null texts are
-    empty and have only the end id. Null ids come first; rows of the same id are ordered by
+    ``tasks`` write, each of them a run of files that are closed at ``file_ids`` or
+    ``file_docs``; by default the session's shuffle partitions, and more for an input above
+    ``TASK_BYTES`` for each. A task holds a block of ids, a document and the table of one file's
+    documents. Null texts are empty and have only the end id. Null ids come first; rows of the same id are ordered by
     length, and rows that repeat are written each. An empty table gives no file.
     """
     spark = docs.sparkSession
     folder = new_file_folder(spark, "ids")
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-estimated_bytes(docs.select("doc_id", "text")) // TASK_BYTES))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("size", F.octet_length("text")).withColumn("tie", F.xxhash64("text"))
     order = ["doc_id", "size", "tie"]
@@ -177,23 +194,30 @@ def write_ids(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        writer, number = None, TaskContext.get().partitionId()
+        writer, number = None, TaskContext.get().partitionId() << 32
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            return pa.RecordBatch.from_pydict(
+                {
+                    "number": pa.array([number], pa.int64()), "uri": [writer.file.uri], "n_docs": [len(writer.counts)],
+                    "n_ids": [writer.n_ids], "n_bytes": [writer.file.n_bytes],
+                }
+            )
+
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for doc_id, own in zip(ids, encoded((t.as_py() for t in batch.column(1)), tokenizer, end), strict=True):
                 if writer is None:
                     writer = PlaneWriter(NewFile(folder, ".ids"), plane, block_ids)
                 writer.add(doc_id, own)
+                if writer.n_ids >= file_ids or len(writer.counts) >= file_docs:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "number": pa.array([number], pa.int32()), "uri": [writer.file.uri], "n_docs": [len(writer.counts)],
-                    "n_ids": [sum(writer.counts)], "n_bytes": [writer.file.n_bytes],
-                }
-            )
+            yield closed()
 
-    sorted_rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    sorted_rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "text")
     return written(sorted_rows.mapInArrow(write, FILES), "id-files")
 
 
@@ -201,7 +225,7 @@ def read_ids(spark: SparkSession, files: DataFrame) -> DataFrame:
     """The documents of the files: ``doc_id``, ``start`` (ids before it in all files),
     ``n_tokens``, ``ids`` (little-endian unsigned 32-bit).
 
-    Only the table of files, as long as the writing job had tasks, comes to the driver.
+    Only the table of files comes to the driver: at ``FILE_IDS`` each, 16,000 for 4 TB of ids.
     """
     placed, before = [], 0
     for row in sorted(files.collect(), key=lambda row: row["number"]):
