@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from treeferry.llm import exact_dedup, quality_classifier, warc_zstd
+from treeferry.llm import chosen_rows, exact_dedup, quality_classifier, warc_zstd
 from treeferry.llm.task_files import StoredFile
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -74,12 +74,12 @@ def test_only_suspects_move(make_docs, monkeypatch):
     """Texts that are no other's pass no exchange; a full filter changes nothing."""
     rows = [(i, f"text {i} " * 50) for i in range(400)] + [(1000 + i, "Copy " * 60) for i in range(3)]
     docs = make_docs(rows)
-    suspects = exact_dedup.Suspects(docs.where("doc_id >= 1000").limit(1).select("text"), F.col("text"))
+    suspects = chosen_rows.KeyFilter(docs.where("doc_id >= 1000").limit(1).select("text"), F.col("text"))
     passing = [text for _, text in rows if suspects.keeps(text.encode())]
     assert passing.count("Copy " * 60) == 3 and len(passing) < 40
     wanted = Counter((r[0], r[1]) for r in rows if r[0] < 1000 or r[0] == 1002)
     assert Counter((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()) == wanted
-    monkeypatch.setattr(exact_dedup, "MOST_FILTER_BITS", 32)
+    monkeypatch.setattr(chosen_rows, "MOST_FILTER_BITS", 32)
     assert Counter((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()) == wanted
 
 

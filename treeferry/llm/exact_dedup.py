@@ -12,13 +12,12 @@ bounded size holds the fingerprints of groups, and only texts that pass it move.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from treeferry.llm.chosen_rows import KeyFilter, keep_chosen
 from treeferry.llm.columns import ascii_lower
 from treeferry.scratch import written
 
@@ -27,10 +26,6 @@ PRIME = 2**126 - 137
 #: Texts up to this length are hashed where they are read, longer ones in pieces of it.
 PIECE_BYTES = 1 << 20
 
-#: Bits of the filter of suspects, at most: 32 MiB. With more than a thirty-second of that in
-#: suspected groups, more and more texts pass that need not.
-MOST_FILTER_BITS = 1 << 28
-
 KEY = ["n_bytes", "fingerprint"]
 FOUND = "doc_id long, n_bytes long, fingerprint binary, text_sha256 string"
 
@@ -56,33 +51,6 @@ def packed(value: int) -> bytes:
     return value.to_bytes(16, "big")
 
 
-class Suspects:
-    """A bit for each of some keys of 16 hashed bytes; a yes may be wrong, a no never is.
-
-    ``words`` is a table of ``word, bits``, as long as the filter at most. It is the only
-    thing that comes to the driver.
-    """
-
-    def __init__(self, keys: DataFrame, key: Column):
-        wanted = max(1024, 32 * keys.count())
-        self.bits = min(MOST_FILTER_BITS, 1 << (wanted - 1).bit_length())
-        place = F.crc32(key) % self.bits
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int"))
-        found = keys.select((place / 32).cast("long").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        self._fill(found.toArrow())
-
-    def _fill(self, found) -> None:
-        import numpy as np
-
-        words = np.zeros(self.bits // 32, "<u4")
-        words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype("<u4")
-        self.words = words.tobytes()
-
-    def keeps(self, key: bytes) -> bool:
-        place = zlib.crc32(key) % self.bits
-        return bool(self.words[place >> 3] >> (place & 7) & 1)
-
-
 def _hashed(batches: Iterator, piece_bytes: int) -> Iterator:
     """Batches of ``doc_id, body`` with the hashes of their normalised bodies. Bodies above
     ``piece_bytes`` get their digest only."""
@@ -103,7 +71,7 @@ def _hashed(batches: Iterator, piece_bytes: int) -> Iterator:
         )
 
 
-def _suspected(batches: Iterator, piece_bytes: int, suspects: Suspects) -> Iterator:
+def _suspected(batches: Iterator, piece_bytes: int, suspects: KeyFilter) -> Iterator:
     """The bodies of up to ``piece_bytes`` that may share their fingerprint with another."""
     import pyarrow as pa
 
@@ -176,7 +144,7 @@ def classes(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES)
         found = written(found.where("fingerprint IS NOT NULL").unionByName(whole), "combined")
 
     suspects = written(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEY), "suspects")
-    wanted = docs.sparkSession.sparkContext.broadcast(Suspects(suspects, F.col("fingerprint")))
+    wanted = docs.sparkSession.sparkContext.broadcast(KeyFilter(suspects, F.col("fingerprint")))
     texts = bodies.select("body").mapInArrow(lambda batches: _suspected(batches, piece_bytes, wanted.value), "n_bytes long, fingerprint binary, own binary")
     chunks = texts.select(*KEY, F.lit(0).alias("piece"), "own")
     if pieces is not None:
@@ -213,21 +181,8 @@ def deduplicate(docs: DataFrame, text: str = "text", piece_bytes: int = PIECE_BY
     )
 
 
-def _with_digest(batches: Iterator, at: int, repeated: Suspects, stay: Suspects | None) -> Iterator:
-    """Rows, the last column of which is ``own_id``, with their text's digest: those without
-    copies, or else those with copies that may be the one that stays."""
-    import pyarrow as pa
-
-    for batch in batches:
-        digests, mask = [], []
-        for own_id, value in zip(batch.column(batch.num_columns - 1).to_pylist(), batch.column(at), strict=True):
-            text = value.as_buffer()
-            digest = hashlib.sha256(b"" if text is None else text.to_pybytes().lower()).hexdigest()
-            digests.append(digest)
-            copied = repeated.keeps(digest.encode())
-            mask.append(copied and stay.keeps(f"{'' if own_id is None else own_id}:{digest}".encode()) if stay else not copied)
-        whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "own_digest"])
-        yield whole.filter(pa.array(mask, pa.bool_()))
+def _digest(own: bytes) -> bytes:
+    return hashlib.sha256(own.lower()).digest()
 
 
 def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -237,30 +192,8 @@ def drop_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     Rows whose text is no other's are passed on where they are read. Of those with copies
     only the ones that stay, and few others, are moved.
     """
-    spark = docs.sparkSession
-    decided = written(deduplicate(docs, text).where("kept").select("doc_id", "text_sha256", "group_size"), "decided")
-    repeated = spark.sparkContext.broadcast(Suspects(decided.where("group_size > 1"), F.col("text_sha256")))
-
-    def also_passing(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            yield batch.filter(pa.array([repeated.value.keeps(digest.encode()) for digest in batch.column(1).to_pylist()], pa.bool_()))
-
-    # With the texts that pass though they have no copies: those stay as well.
-    kept = written(decided.mapInArrow(also_passing, decided.schema), "kept")
-    pair = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_sha256"))
-    stay = spark.sparkContext.broadcast(Suspects(kept, pair))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    at, id_name = docs.columns.index(text), names[docs.columns.index("doc_id")]
-    rows = docs.toDF(*names).withColumn(names[at], F.col(names[at]).cast("string")).withColumn("own_id", F.col(id_name).cast("long"))
-    schema = T.StructType([*rows.schema.fields, T.StructField("own_digest", T.StringType())])
-
-    alone = rows.mapInArrow(lambda batches: _with_digest(batches, at, repeated.value, None), schema)
-    copies = rows.mapInArrow(lambda batches: _with_digest(batches, at, repeated.value, stay.value), schema)
-    same: Column = (copies["own_digest"] == kept["text_sha256"]) & copies["own_id"].eqNullSafe(kept["doc_id"])
-    chosen = copies.dropDuplicates(["own_digest", "own_id"]).join(kept, same, "left_semi")
-    return alone.unionByName(chosen).select(*names).toDF(*docs.columns)
+    kept = written(deduplicate(docs, text).where("kept").select("doc_id", F.unhex("text_sha256").alias("key"), "group_size"), "decided")
+    return keep_chosen(docs, _digest, kept, kept.where("group_size > 1").select("key"), text)
 
 
 ORACLE = """

@@ -17,8 +17,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from treeferry.llm.chosen_rows import keep_chosen
 from treeferry.llm.components import components
 from treeferry.scratch import written
 
@@ -583,13 +583,9 @@ def join_similar(docs: DataFrame, similarity: float = SIMILARITY, recall: float
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each class the one with the
     least ``doc_id``, or any one where no row of it has an id."""
-    found = join_similar(docs, similarity, text=text)
+    found = written(join_similar(docs, similarity, text=text), "classes-of-rows")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
-    kept = found.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_key").alias("kept_key"))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names)
-    at, id_name = docs.columns.index(text), names[docs.columns.index("doc_id")]
-    schema = T.StructType([*rows.schema.fields, T.StructField("text_key", T.BinaryType())])
-    once = rows.mapInArrow(lambda batches: _keyed(batches, at, False), schema).dropDuplicates(["text_key", id_name])
-    same = (F.col("text_key") == F.col("kept_key")) & F.col(id_name).cast("long").eqNullSafe(F.col("kept_id"))
-    return once.join(kept.hint("merge"), same, "left_semi").select(*names).toDF(*docs.columns)
+    best = found.groupBy("component").agg(F.min(order).alias("best"))
+    stays = written(best.select("best.doc_id", F.col("best.text_key").alias("key")), "decided")
+    contested = written(found.where("n_links > 0").select(F.col("text_key").alias("key")).distinct(), "contested")
+    return keep_chosen(docs, lambda own: text_key(normalised(own.decode())), stays, contested, text)
