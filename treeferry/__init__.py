@@ -37,6 +37,7 @@ from treeferry.operators.copying import (  # noqa: E402
     execute_copy,
     recover_copies,
 )
+from treeferry.operators.folders import expand_folder_ids, folder_ancestors, folder_dictionary, folder_paths
 from treeferry.operators.planning import (  # noqa: E402
     compare_manifests,
     copy_plan,
@@ -85,6 +86,10 @@ __all__ = [
     "exclude_paths",
     "execute_copy",
     "expand_copies",
+    "expand_folder_ids",
+    "folder_ancestors",
+    "folder_dictionary",
+    "folder_paths",
     "is_directory",
     "is_file",
     "keep_manifest",

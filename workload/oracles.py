@@ -171,6 +171,7 @@ SELECT m.source, m.destination, m.len, m.file_type, d.len AS dest_len, d.file_ty
             ELSE CASE WHEN d.uri IS NULL THEN 'copy' ELSE 'replace' END END AS action
 FROM mapped m LEFT JOIN dst d ON m.destination = d.uri""",
     "expand_copies": f"WITH {EXPANDED} SELECT source, destination, file_type, len, position FROM expanded",
+    "expand_folder_ids": f"WITH {EXPANDED} SELECT source, destination, file_type, len, position FROM expanded",
     "distinct_copies": f"WITH {EXPANDED} SELECT DISTINCT source, destination, file_type, len FROM expanded",
     "directories_of": f"WITH {MAPPED} SELECT source, destination FROM mapped WHERE file_type = 'directory'",
     "verify_lengths": f"""

@@ -150,6 +150,12 @@ def expand_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.expand_copies(inputs.full_plan(spark, sf_dir))
 
 
+def expand_folder_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a plan that names folders by numbers."""
+    folders, rows = tf.folder_dictionary(inputs.source_table(spark, sf_dir), SOURCE_ROOT, DESTINATION_ROOT)
+    return tf.expand_folder_ids(rows, folders, SOURCE_ROOT, DESTINATION_ROOT)
+
+
 def distinct_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.distinct_copies(expand_copies(spark, sf_dir))
 
@@ -600,6 +606,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         compare_kept_manifests,
         copy_plan,
         expand_copies,
+        expand_folder_ids,
         distinct_copies,
         directories_of,
         verify_lengths,
