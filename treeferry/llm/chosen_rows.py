@@ -17,6 +17,8 @@ from treeferry.scratch import written
 #: Bits of a filter, at most: 32 MiB. With keys for more than a thirty-second of them, more and
 #: more rows pass that need not; the result is the same.
 MOST_FILTER_BITS = 1 << 28
+#: Rows that are judged and handed on at once, so that no second copy of a batch is held.
+SLICE_ROWS = 256
 
 
 class KeyFilter:
@@ -81,7 +83,7 @@ def keep_chosen(docs: DataFrame, key_of: Callable[[bytes], bytes], stays: DataFr
     def marked(batches: Iterator, certain: bool) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             *columns, ids, texts = batch.columns
             keys, mask = [], []
             for own_id, value in zip(ids.to_pylist(), texts, strict=True):
@@ -89,8 +91,8 @@ def keep_chosen(docs: DataFrame, key_of: Callable[[bytes], bytes], stays: DataFr
                 key = key_of(b"" if own is None else own.to_pybytes())
                 keys.append(key)
                 mask.append(not shared.value.keeps(key) if certain else shared.value.keeps(key) and chosen.value.keeps(_pair(own_id, key)))
-            whole = pa.RecordBatch.from_arrays([*columns, ids, pa.array(keys, pa.binary())], names=[*batch.schema.names[:-1], "own_key"])
-            yield whole.filter(pa.array(mask, pa.bool_()))
+            keyed = pa.RecordBatch.from_arrays([*columns, ids, pa.array(keys, pa.binary())], names=[*batch.schema.names[:-1], "own_key"])
+            yield keyed.filter(pa.array(mask, pa.bool_()))
 
     certain = rows.mapInArrow(lambda batches: marked(batches, True), schema)
     copies = rows.mapInArrow(lambda batches: marked(batches, False), schema).dropDuplicates(["own_key", "own_id"])
