@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as driver
 from workload.check import compare
 from workload.oracles import ORACLES
-from workload.queries import QUERIES, checked_rows
+from workload.queries import QUERIES, _texts_by_id, checked_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -35,3 +35,13 @@ def test_readback_compares_rows(spark):
     for other in ([(1, "b"), (2, None), (2, None)], [(1, "a"), (2, None), (2, "a")]):
         with pytest.raises(Exception, match="other rows"):
             checked_rows(spark.createDataFrame(other, rows.schema), rows, "t").collect()
+
+
+def test_files_are_read_back_without_a_list_in_the_driver(spark, tmp_path):
+    """Spark's reader held every name in the driver, and had no row for an empty file."""
+    for name, text in {"doc_1.txt": "", "doc_2.txt": "two\nlines", ".doc_3.txt": "hidden", "other": "x"}.items():
+        (tmp_path / name).write_text(text)
+    texts = _texts_by_id(spark, str(tmp_path), r"doc_(\d+)\.txt$")
+    assert sorted(texts.where("doc_id IS NOT NULL").select("doc_id", "text").collect()) == [(1, ""), (2, "two\nlines")]
+    assert texts.where("doc_id IS NULL").select("text").collect() == [("x",)]
+    assert "FileScan text" not in texts._jdf.queryExecution().executedPlan().toString()

@@ -15,6 +15,8 @@ from treeferry.storage import Stores, make_directories
 
 SOURCE_ROOT = "hdfs://nn1:8020/lake/raw"
 DESTINATION_ROOT = "hdfs://nn2:8020/backup"
+# What a task reads at once of files, and how many it reads in all.
+READ_BYTES, READ_ROWS, FILES_PER_TASK = 4 << 20, 1024, 16_384
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,9 +121,7 @@ def _write_files(batches):
     for batch in batches:
         for uri, text in zip(batch.column("uri").to_pylist(), batch.column("text").to_pylist()):
             store, path = stores.at(uri)
-            if store.status(path):
-                store.remove_file(path)
-            with store.open_new(path) as file:
+            with store.open_fresh(path) as file:
                 data = memoryview(text.encode("utf-8"))
                 while len(data):
                     data = data[file.write(data) :]
@@ -129,18 +129,31 @@ def _write_files(batches):
 
 
 def read_files(files: DataFrame) -> DataFrame:
-    """``uri, text`` of files, also of those whose names Spark's readers cannot hold."""
+    """``uri, text`` of files, also of those whose names Spark's readers cannot hold. However few
+    tasks have listed them, all cores read."""
 
     def read(batches):
-        stores = Stores()
+        stores, uris, texts, held = Stores(), [], [], 0
         for batch in batches:
             for uri in batch.column("uri").to_pylist():
                 store, path = stores.at(uri)
                 with store.open_input(path) as file:
-                    text = file.read().decode("utf-8")
-                yield pa.RecordBatch.from_pydict({"uri": [uri], "text": [text]})
-
-    return files.select("uri").mapInArrow(read, "uri string, text string")
+                    texts.append(file.read())
+                uris.append(uri)
+                held += len(texts[-1])
+                if held >= READ_BYTES or len(uris) >= READ_ROWS:
+                    yield _texts_of(uris, texts)
+                    uris, texts, held = [], [], 0
+        if uris:
+            yield _texts_of(uris, texts)
+
+    uris = files.select("uri")
+    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-uris.count() // FILES_PER_TASK))
+    return uris.repartition(tasks).mapInArrow(read, "uri string, text string")
+
+
+def _texts_of(uris: list[str], texts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"uri": uris, "text": pa.array([text.decode("utf-8") for text in texts], pa.string())})
 
 
 def write_documents(documents: DataFrame, root: str) -> None:

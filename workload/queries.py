@@ -348,17 +348,16 @@ def report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def copy_tree_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text from a copy that tasks made in ranges of 1,000 bytes."""
     root, report = _copied_documents(spark, sf_dir, on_error="fail", range_bytes=1000)
-    texts = spark.read.text(root + "/raw", wholetext=True, recursiveFileLookup=True)
-    doc_id = F.regexp_extract(F.input_file_name(), r"doc_(\d+)\.txt$", 1).cast("bigint")
-    return texts.select(doc_id.alias("doc_id"), F.col("value").alias("text"))
+    return _texts_by_id(spark, root + "/raw", r"doc_(\d+)\.txt$").select("doc_id", "text")
 
 
 def _texts_by_id(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """``doc_id`` (the first group of ``pattern`` in the URI), ``uri``, ``text`` of the files."""
-    texts = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-    uri = F.input_file_name()
-    doc_id = F.regexp_extract(uri, pattern, 1).try_cast("bigint")
-    return texts.select(doc_id.alias("doc_id"), uri.alias("uri"), F.col("value").alias("text"))
+    """``doc_id`` (the first group of ``pattern`` in the URI), ``uri``, ``text`` of the files,
+    empty ones too. Tasks list them: Spark's readers would hold every name in the driver. Names
+    that begin with a dot, such as temporary ones, are passed over."""
+    files = tf.walk_tree(spark, root).entries.where(tf.is_file() & ~F.substring_index("uri", "/", -1).startswith("."))
+    doc_id = F.regexp_extract("uri", pattern, 1).try_cast("bigint")
+    return inputs.read_files(files).select(doc_id.alias("doc_id"), "uri", "text")
 
 
 def _long_named(spark: SparkSession, sf_dir: str) -> str:
