@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as driver
 from workload.check import compare
 from workload.oracles import ORACLES
-from workload.queries import QUERIES, _texts_by_id, checked_rows
+from workload.queries import QUERIES, _leftovers, _texts_by_id, checked_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -45,3 +45,13 @@ def test_files_are_read_back_without_a_list_in_the_driver(spark, tmp_path):
     assert sorted(texts.where("doc_id IS NOT NULL").select("doc_id", "text").collect()) == [(1, ""), (2, "two\nlines")]
     assert texts.where("doc_id IS NULL").select("text").collect() == [("x",)]
     assert "FileScan text" not in texts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leftovers_are_longer_than_their_files_and_no_more(spark):
+    """All had 50,000 bytes: less than long documents, and far more than short ones."""
+    lengths = [0, 1, 9, 10, 11, 4000, 70_000]
+    entries = spark.createDataFrame([(f"file:///s/raw/f{n}", n, "file") for n in lengths], "uri string, len bigint, file_type string")
+    rows = _leftovers(entries, "file:///s/raw", "file:///t", "again").collect()
+    assert len({row["uri"] for row in rows}) == 2 * len(lengths)
+    over = sorted(len(row["text"]) - n for row, n in zip(rows, [n for n in lengths for _ in range(2)]))
+    assert over[0] > 0 and over[-1] <= 20
