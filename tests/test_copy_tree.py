@@ -1,6 +1,7 @@
 import hashlib
 import os
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -366,6 +367,17 @@ def test_repeats_in_a_plan_are_copied_once(spark, roots):
     assert outcomes(tf.execute_copy(many.drop("id"), 1 << 20)) == {"copied": 2}
 
 
+def test_small_files_share_tasks_of_few_bytes(spark, roots):
+    """Each file's cost was a task's whole share of bytes, so each had a task of its own."""
+    source, target = roots
+    sizes = {f"f{i:04d}": i % 7 for i in range(600)} | {"large": 3 << 20}
+    fill(source, {name: b"x" * size for name, size in sizes.items()})
+    report = tf.execute_copy(plan_of(spark, source, target, sizes), 1 << 20).collect()
+    assert {row["outcome"] for row in report} == {"copied"} and len(os.listdir(target)) == 601
+    shares = Counter(row["task_attempt_id"] for row in report)
+    assert 3 <= len(shares) <= 5 and max(shares.values()) <= 257
+
+
 def test_speculation_needs_an_atomic_replace(spark, roots, monkeypatch):
     from pyarrow.fs import LocalFileSystem
 

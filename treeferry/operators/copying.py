@@ -29,7 +29,7 @@ FILE_COST_BYTES = 1 << 20
 # Larger files are copied in ranges by several tasks, where the target can be written so.
 RANGE_BYTES = 1 << 30
 TEMP_PREFIX = ".treeferry-"
-# Directories or deletions per task.
+# Directories or deletions per task, and files where their bytes are few.
 CALLS_PER_TASK = 256
 
 # The copy stage also says which file a range belongs to; whole files leave these null.
@@ -387,10 +387,11 @@ def plan_batches(
     range_bytes: int = RANGE_BYTES,
     run_id: str | None = None,
     ledger: Ledger | None = None,
+    file_cost: int = FILE_COST_BYTES,
 ) -> Batches:
     """Cut the files of a plan (``source, destination, file_type, len, action``) into
     batches of about ``bytes_per_task``, so that neither many small files nor a few
-    large ones end up together. Files above ``range_bytes`` are cut into ranges first.
+    large ones end up together; each weighs ``file_cost`` besides. Files above ``range_bytes`` are cut into ranges first.
     ``rows`` is the number of files, if known. ``run_id`` marks the temporary names; a
     run with that of an earlier one takes over what that left. A ``ledger`` keeps the batches
     as what is meant to be done."""
@@ -398,7 +399,7 @@ def plan_batches(
     parts = _in_ranges(
         files.select("source", "destination", "file_type", "len", "action"), range_bytes, run_id or uuid.uuid4().hex
     )
-    cost = F.col("len") + FILE_COST_BYTES
+    cost = F.col("len") + file_cost
     balanced = balance_by_bytes(parts, bytes_per_task, rows, cost, order=("destination", "range_start"))
     counts = (F.count_if(F.col("range_start") == 0), F.max("partition"), F.max("batch"))
     names = ("cut_files", "last_partition", "last_batch")
@@ -452,10 +453,12 @@ def execute_copy(
     """Copy the files of a plan, each once, and report on each. Their directories have
     to exist. ``action`` says what is expected in a file's place: nothing (``copy``), a file
     (``replace``), or what forbids the copy (``conflict``). ``ledger`` is a folder that keeps
-    what the run means to do and has done, for ``recover_copies``."""
+    what the run means to do and has done, for ``recover_copies``. However few bytes a task
+    may have, small files share one: up to 256 of them."""
     kept = Ledger.of(files.sparkSession, ledger, run_id or "", options) if ledger else None
     once = files.select("source", "destination", "file_type", "len", "action").distinct()
-    batches = plan_batches(once, bytes_per_task, rows, range_bytes, run_id, kept)
+    file_cost = min(FILE_COST_BYTES, max(1, bytes_per_task // CALLS_PER_TASK))
+    batches = plan_batches(once, bytes_per_task, rows, range_bytes, run_id, kept, file_cost)
     return copy_batches(batches, num_tasks, buffer_bytes, options, direct_writes, kept)
 
 

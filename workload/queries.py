@@ -485,7 +485,8 @@ def execute_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = tf.execute_copy(files, 1 << 20)
     texts = _texts_by_id(spark, root, r"doc_(\d+)$").select("doc_id", "text")
     own_id = F.regexp_extract("destination", r"doc_(\d+)$", 1).cast("bigint")
-    return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts, "doc_id", "left")
+    # Catalyst knows the size of the names, not of the texts, which are no table to broadcast.
+    return report.select(own_id.alias("doc_id"), "outcome", "bytes").join(texts.hint("merge"), "doc_id", "left")
 
 
 def _fated(spark: SparkSession, sf_dir: str) -> DataFrame:
