@@ -142,3 +142,22 @@ def test_ranges_cover_everything_once():
     assert inner[0][0] == "3" and inner[-1][1] == "5"
     assert _ranges(iter(["a"]), None, None, 1) == [(None, None)]
     assert _ranges(iter(["\udcff", "\udcfe"]), None, None, 1) == [(None, None)]
+
+
+def test_a_task_reads_a_directory_once_for_all_its_ranges(tmp_path, monkeypatch):
+    """Each range was a reading of the whole directory, and of twice as many if it was too large."""
+    names = [f"f{i:04d}" for i in range(1000)]
+    for name in names:
+        (tmp_path / name).write_bytes(b"xy")
+    read, scandir = [], os.scandir
+    monkeypatch.setattr(os, "scandir", lambda path: read.append(path) or scandir(path))
+    edges = [None, *names[25:600:25], "f07", "f08"]  # two ranges of 100 and more, a gap after them
+    low, high = edges[:-1], edges[1:]
+    batch = pa.RecordBatch.from_pydict({"uri": [f"file://{tmp_path}"] * len(low), "depth": pa.array([0] * len(low), pa.int32()), "low": low, "high": high})
+    rows = [row for out in listing._walk(60.0, share=50)(iter([batch])) for row in out.to_pylist()]
+    assert len(read) == 2  # once for what is in each range, once for the entries
+    found = {row["uri"].rpartition("/")[2]: row["len"] for row in rows if row["kind"] == "entry"}
+    parts = sorted((row["low"], row["high"]) for row in rows if row["kind"] == "pending")
+    assert found == dict.fromkeys(names[:575], 2)
+    assert parts[0][0] == "f0575" and parts[-1][1] == "f08" and {p[1] for p in parts[:-1]} == {p[0] for p in parts[1:]}
+    assert max(sum(a <= name < b for name in names) for a, b in parts) <= 63

@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 import time
+from bisect import bisect_right
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,6 +32,10 @@ ROWS_PER_BATCH = 10_000
 # tasks; their bounds are taken from a sample of the names.
 ENTRIES_PER_RANGE = 50_000
 SAMPLED_NAMES = 4096
+# A task reads a directory once for all ranges of it that the task has: so many names are sampled
+# then, and so many small ranges weigh as much as one of ``ENTRIES_PER_RANGE``, at most.
+SAMPLED_IN_RANGES = 1 << 16
+SMALL_RANGES = 64
 
 # ``kind``: an entry of the tree, one that cannot be copied or read, a symbolic link, or a
 # directory left for the next round.
@@ -51,6 +57,11 @@ def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int)
             sample.append(name)
         elif (at := chance.randrange(seen)) < SAMPLED_NAMES:
             sample[at] = name
+    return _edges(sample, seen, low, high, share)
+
+
+def _edges(sample: Iterable[str], seen: int, low: str | None, high: str | None, share: int) -> list[tuple[str | None, str | None]]:
+    """``low`` to ``high`` cut into ranges of about ``share`` of ``seen`` names, by a sample."""
     sample = sorted(name for name in sample if escaped_name(name) == name)
     parts = max(2, -(-seen // share))
     bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)} - set(sample[:1])) if sample else []
@@ -58,6 +69,41 @@ def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int)
     return list(zip(edges, edges[1:]))
 
 
+class _Places:
+    """Ranges of names, none of which overlap, by the names in them."""
+
+    def __init__(self, bounds: Iterable[tuple[str | None, str | None]]):
+        self.bounds = sorted(bounds, key=lambda bound: bound[0] or "")
+        self.lows = [low or "" for low, _ in self.bounds]
+
+    def of(self, name: str) -> int | None:
+        """The number of the range that holds the name."""
+        at = bisect_right(self.lows, name) - 1
+        return at if at >= 0 and within(name, *self.bounds[at]) else None
+
+
+def _split_ranges(names: Iterable[str], bounds: Iterable[tuple[str | None, str | None]], share: int) -> tuple[list, list]:
+    """The ranges to read now, and smaller ones in place of those with more than ``share`` of the
+    ``names``. Names pass once for all ranges; a bounded sample of them is kept."""
+    places, chance = _Places(bounds), random.Random(0)
+    most = max(2, SAMPLED_IN_RANGES // len(places.bounds))
+    seen, samples = [0] * len(places.bounds), [[] for _ in places.bounds]
+    for name in names:
+        if (place := places.of(name)) is None:
+            continue
+        seen[place] += 1
+        sample = samples[place]
+        if len(sample) < most:
+            sample.append(name)
+        elif (at := chance.randrange(seen[place])) < most:
+            sample[at] = name
+    read, parts = [], []
+    for bound, count, sample in zip(places.bounds, seen, samples):
+        edges = _edges(sample, count, *bound, share) if count > share else [bound]
+        (parts if len(edges) > 1 else read).extend(edges)
+    return read, parts
+
+
 def any_of(patterns: Iterable[str]) -> str | None:
     """One pattern for all, or None for none."""
     return "|".join(f"(?:{pattern})" for pattern in patterns) or None
@@ -85,18 +131,27 @@ def _walk(
     )
     whole = (None, None)
 
-    def rows_of(stores: Stores, uri: str, depth: int, low: str | None, high: str | None, found: deque) -> Iterator[tuple]:
+    def rows_of(stores: Stores, uri: str, depth: int, bounds: list[tuple], found: deque) -> Iterator[tuple]:
         prefix = uri.removesuffix("/") + "/"
         try:
             store, path = stores.at(uri)
-            entries = store.scan(path, low, high)
-            if store.splits_directories:
-                few = list(islice(entries, share + 1))
-                if len(few) > share and len(ranges := _ranges(store.names(path), low, high, share)) > 1:
-                    for bounds in ranges:
-                        yield PENDING, uri, None, DIRECTORY, depth, None, *bounds
+            if whole not in bounds:
+                read, parts = _split_ranges(store.names(path), bounds, share)
+                for bound in parts:
+                    yield PENDING, uri, None, DIRECTORY, depth, None, *bound
+                if not read:
                     return
-                entries = chain(few, entries)
+                places = _Places(read)
+                entries = store.scan(path, lambda name: places.of(name) is not None)
+            else:
+                entries = store.scan(path)
+                if store.splits_directories:
+                    few = list(islice(entries, share + 1))
+                    if len(few) > share and len(ranges := _ranges(store.names(path), None, None, share)) > 1:
+                        for bound in ranges:
+                            yield PENDING, uri, None, DIRECTORY, depth, None, *bound
+                        return
+                    entries = chain(few, entries)
             for name, kind, length in entries:
                 own, name, problem = name, escaped_name(name), None
                 if exclude and re.fullmatch(exclude, prefix + name):
@@ -116,7 +171,7 @@ def _walk(
                     continue
                 yield ENTRY, prefix + name, length, kind, depth + 1, None, *whole
                 if kind == DIRECTORY and len(found) < DIRECTORIES_PER_TASK:
-                    found.append((prefix + name, depth + 1, *whole))
+                    found.append((prefix + name, depth + 1, [whole]))
                 elif kind == DIRECTORY:
                     yield PENDING, prefix + name, None, kind, depth + 1, None, *whole
         except Exception as error:
@@ -130,13 +185,20 @@ def _walk(
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found_rows() -> Iterator[tuple]:
             stores, todo, until, done = Stores(options), deque(), time.monotonic() + seconds, 0
+            ranges: dict[tuple[str, int], list[tuple]] = {}
             for batch in batches:
-                todo.extend(zip(*(batch.column(name).to_pylist() for name in FRONTIER)))
+                for uri, depth, *bound in zip(*(batch.column(name).to_pylist() for name in FRONTIER)):
+                    if tuple(bound) == whole:
+                        todo.append((uri, depth, [whole]))
+                    else:
+                        ranges.setdefault((uri, depth), []).append(tuple(bound))
+            todo.extend((*directory, bounds) for directory, bounds in ranges.items())
             while todo and (done == 0 or (done < DIRECTORIES_PER_TASK and time.monotonic() < until)):
                 yield from rows_of(stores, *todo.popleft(), todo)
                 done += 1
-            for uri, depth, low, high in todo:
-                yield PENDING, uri, None, DIRECTORY, depth, None, low, high
+            for uri, depth, bounds in todo:
+                for bound in bounds:
+                    yield PENDING, uri, None, DIRECTORY, depth, None, *bound
 
         rows = found_rows()
         while part := list(islice(rows, ROWS_PER_BATCH)):
@@ -272,20 +334,23 @@ def _walk_rounds(
         rows = rows.observe(
             seen,
             F.count_if(F.col("kind") == PENDING).alias("pending"),
+            F.count_if((F.col("kind") == PENDING) & (F.col("low").isNotNull() | F.col("high").isNotNull())).alias("ranges"),
             F.count_if(F.col("kind") == FAILED).alias("failures"),
             F.count_if(F.col("kind") == SKIPPED).alias("links"),
             F.count_if(is_file).alias("files"),
             F.coalesce(F.sum(F.when(is_file, F.col("len"))), F.lit(0)).alias("bytes"),
         )
         rows.write.parquet(f"{table}/round={number}")
-        counts.update({name: count for name, count in seen.get.items() if name != "pending"})
-        pending = seen.get["pending"]
+        counts.update({name: count for name, count in seen.get.items() if name not in ("pending", "ranges")})
+        pending, ranges = seen.get["pending"], seen.get["ranges"]
         frontier = (
             read_table(spark, f"{table}/round={number}", WALK_SCHEMA)
             .where(F.col("kind") == PENDING)
             .select(*FRONTIER)
         )
-        tasks = min(pending, max(least_tasks, -(-pending // DIRECTORIES_PER_TASK)))
+        # Each task that has ranges of a directory reads all its names, so small ranges share one.
+        weight = pending - ranges + ranges * max(min(1, entries_per_range / ENTRIES_PER_RANGE), 1 / SMALL_RANGES)
+        tasks = min(pending, max(least_tasks, ceil(weight / DIRECTORIES_PER_TASK)))
         if tasks:
             frontier = frontier.repartition(tasks)
         number += 1

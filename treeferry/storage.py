@@ -10,7 +10,7 @@ import contextlib
 import os
 import re
 import stat
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlencode
 
 # Scheme spellings of Hadoop connectors that pyarrow names differently.
@@ -27,7 +27,7 @@ class LocalStore:
     replaces_atomically = True
     appears_when_closed = False
     largest_move: int | None = None
-    #: Whether ``scan`` can read a range of names for less than the whole directory.
+    #: Whether ``scan`` can read some of the names for less than the whole directory.
     splits_directories = True
 
     def status(self, path: str) -> tuple[str, int] | None:
@@ -46,13 +46,13 @@ class LocalStore:
             for entry in entries:
                 yield entry.name
 
-    def scan(self, path: str, low: str | None = None, high: str | None = None) -> Iterator[tuple[str, str, int]]:
+    def scan(self, path: str, wanted: Callable[[str], bool] | None = None) -> Iterator[tuple[str, str, int]]:
         """(name, type, length) of each direct entry, as the directory is read: of those whose
-        name is at least ``low`` and below ``high``. A symbolic link is of type ``link`` and
-        never followed, which also rules out cycles."""
+        name is ``wanted``, if that is given; nothing is asked about others. A symbolic link is
+        of type ``link`` and never followed, which also rules out cycles."""
         with os.scandir(path) as entries:
             for entry in entries:
-                if not within(entry.name, low, high):
+                if wanted and not wanted(entry.name):
                     continue
                 if entry.is_symlink():
                     yield entry.name, "link", 0
@@ -152,11 +152,11 @@ class ArrowStore:
             return None
         return self._kind(info), info.size or 0
 
-    def scan(self, path: str, low: str | None = None, high: str | None = None) -> Iterator[tuple[str, str, int]]:
+    def scan(self, path: str, wanted: Callable[[str], bool] | None = None) -> Iterator[tuple[str, str, int]]:
         from pyarrow.fs import FileSelector
 
         for info in self.filesystem.get_file_info(FileSelector(path)):
-            if within(info.base_name, low, high):
+            if not wanted or wanted(info.base_name):
                 yield info.base_name, self._kind(info), info.size or 0
 
     def make_directory(self, path: str) -> None:

@@ -41,8 +41,8 @@ class ObjectStandIn(LocalStore):
 
     appears_when_closed = True
 
-    def scan(self, path, low=None, high=None):
-        for name, kind, length in super().scan(path, low, high):
+    def scan(self, path, wanted=None):
+        for name, kind, length in super().scan(path, wanted):
             yield name, kind, length + name.startswith("changed")
 
     def open_input(self, path, offset=0):
@@ -68,8 +68,8 @@ class ObjectStandIn(LocalStore):
 class HealedStandIn(ObjectStandIn):
     """The same store when nothing breaks any more."""
 
-    def scan(self, path, low=None, high=None):
-        return LocalStore.scan(self, path, low, high)
+    def scan(self, path, wanted=None):
+        return LocalStore.scan(self, path, wanted)
 
     def open_input(self, path, offset=0):
         return LocalStore.open_input(self, path, offset)
