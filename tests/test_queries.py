@@ -1,8 +1,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from workload import inputs
 from workload.check import compare
 from workload.oracles import ORACLES
 from workload.queries import QUERIES, _leftovers, _texts_by_id, checked_rows
@@ -55,3 +57,22 @@ def test_leftovers_are_longer_than_their_files_and_no_more(spark):
     assert len({row["uri"] for row in rows}) == 2 * len(lengths)
     over = sorted(len(row["text"]) - n for row, n in zip(rows, [n for n in lengths for _ in range(2)]))
     assert over[0] > 0 and over[-1] <= 20
+
+
+def test_all_cores_write_links_and_read_files(spark, tmp_path, monkeypatch):
+    """A table in one split was written by one task, and what one task had listed read by one."""
+    ids = spark.range(0, 40, 1, 1)
+    uri = F.concat(F.lit(f"file://{tmp_path}/"), F.col("id").cast("string"))
+    (tmp_path / "real").write_text("text")
+    for _ in range(2):  # again over what is there
+        inputs.write_links(ids.select(uri.alias("uri"), F.lit("real").alias("text")))
+    assert sorted(os.listdir(tmp_path)) == sorted([str(i) for i in range(40)] + ["real"])
+    assert all(os.readlink(tmp_path / str(i)) == "real" for i in range(40))
+    read = inputs.read_files(ids.select(uri.alias("uri")))
+    assert read.where("text = 'text'").count() == 40
+    assert read.select(F.spark_partition_id().alias("p")).distinct().count() == spark.sparkContext.defaultParallelism
+
+    tasks = []
+    monkeypatch.setattr(type(ids), "mapInArrow", lambda self, *_: tasks.append(self.rdd.getNumPartitions()) or spark.range(1).selectExpr("id AS files"))
+    inputs.write_links(ids.select(uri.alias("uri"), F.lit("real").alias("text")))
+    assert tasks == [spark.sparkContext.defaultParallelism]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 import pyarrow as pa
@@ -104,15 +105,18 @@ def write_links(links: DataFrame) -> None:
     """Make symbolic links ``uri`` to ``text``, on a local mount."""
 
     def write(batches):
+        stores = Stores()
         for batch in batches:
             for uri, text in zip(batch.column("uri").to_pylist(), batch.column("text").to_pylist()):
-                path = Stores().at(uri)[1]
-                if os.path.lexists(path):
+                path = stores.at(uri)[1]
+                with contextlib.suppress(FileNotFoundError):
                     os.remove(path)
                 os.symlink(text, path)
             yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
 
-    links.select("uri", "text").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+    # However few splits the tables are read in, all cores write.
+    spread = links.select("uri", "text").repartition(links.sparkSession.sparkContext.defaultParallelism)
+    spread.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
 
 
 def _write_files(batches):
