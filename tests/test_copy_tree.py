@@ -1,6 +1,7 @@
 import hashlib
 import os
 import re
+import sys
 from collections import Counter
 
 import pytest
@@ -378,6 +379,22 @@ def test_small_files_share_tasks_of_few_bytes(spark, roots):
     assert 3 <= len(shares) <= 5 and max(shares.values()) <= 257
 
 
+def test_ranges_are_planned_in_buckets_of_their_number(spark, roots, monkeypatch):
+    """Buckets were as many as the files needed, whatever the number of their ranges."""
+    from treeferry.operators import balance
+
+    module, kept = sys.modules["treeferry.plans.copy_tree"], []
+    plan_batches = module.plan_batches
+    monkeypatch.setattr(balance, "ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr(module, "plan_batches", lambda *given: kept.append(plan_batches(*given)) or kept[-1])
+    source, target = roots
+    fill(source, {f"f{i}": bytes(range(250)) * 20 for i in range(4)})
+    tf.copy_tree(spark, str(source), str(target), on_error="fail", range_bytes=100)
+    assert tree(target / "data") == tree(source)
+    shares = [row["count"] for row in kept[0].rows.groupBy("partition").count().collect()]
+    assert sum(shares) == 200 and max(shares) <= 60
+
+
 def test_speculation_needs_an_atomic_replace(spark, roots, monkeypatch):
     from pyarrow.fs import LocalFileSystem
 
