@@ -4,6 +4,7 @@ import pytest
 from pyarrow.fs import LocalFileSystem
 
 from treeferry.storage import ArrowStore, LocalStore, Stores, copy_bytes
+from workload.standin import ObjectStandIn
 
 
 @pytest.fixture(params=["local", "arrow"])
@@ -65,6 +66,39 @@ def test_open_fresh(store, tmp_path):
         assert (tmp_path / "f").read_bytes() == b"new"
 
 
+def test_a_fresh_file_takes_no_removal(tmp_path, monkeypatch):
+    monkeypatch.setattr(os, "remove", lambda path: pytest.fail(f"removed {path}"))
+    with LocalStore().open_fresh(str(tmp_path / "f")) as file:
+        file.write(b"new")
+    assert (tmp_path / "f").read_bytes() == b"new"
+
+
+def test_the_stand_in_locks_a_directory_little(tmp_path, monkeypatch):
+    """What is not closed yet is not in the directory, and what is replaced is freed after that."""
+    folder, moves = tmp_path / "root" / "raw", []
+    folder.mkdir(parents=True)
+    replace = os.replace
+
+    def watched(path, target):
+        old = os.path.lexists(target)
+        there = os.listdir(folder)
+        replace(path, target)
+        held = [name for name in os.listdir("/proc/self/fd") if os.path.islink(f"/proc/self/fd/{name}") and os.readlink(f"/proc/self/fd/{name}") == f"{target} (deleted)"]
+        moves.append((there, old, len(held)))
+
+    monkeypatch.setattr(os, "replace", watched)
+    store, path = ObjectStandIn(), str(folder / "f")
+    for data in (b"old", b"new"):
+        with store.open_fresh(path) as file:
+            file.write(data)
+    assert moves == [([], False, 0), (["f"], True, 1)] and (folder / "f").read_bytes() == b"new"
+    with pytest.raises(FileNotFoundError):
+        store.open_fresh(str(tmp_path / "none" / "f"))
+    assert len(os.listdir(tmp_path / "root")) == 2
+    del store, file
+    assert os.listdir(tmp_path / "root") == ["raw"] and os.listdir(folder) == ["f"]
+
+
 def test_ranges_of_one_file(tmp_path):
     store, data = LocalStore(), os.urandom(10_000)
     source, target = str(tmp_path / "source"), str(tmp_path / "target")

@@ -93,7 +93,10 @@ class LocalStore:
         return open(path, "xb", buffering=0)
 
     def open_fresh(self, path: str):
-        """Open a temporary file, in place of what may have been left under its name."""
+        """Open a temporary file, in place of what may have been left under its name. Mostly
+        nothing was: a removal would lock the directory for nothing."""
+        with contextlib.suppress(FileExistsError):
+            return self.open_new(path)
         with contextlib.suppress(FileNotFoundError):
             os.remove(path)
         return self.open_new(path)
