@@ -1,5 +1,6 @@
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,16 @@ def test_all_cores_write_links_and_read_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(ids), "mapInArrow", lambda self, *_: tasks.append(self.rdd.getNumPartitions()) or spark.range(1).selectExpr("id AS files"))
     inputs.write_links(ids.select(uri.alias("uri"), F.lit("real").alias("text")))
     assert tasks == [spark.sparkContext.defaultParallelism]
+
+
+def test_files_are_written_over_in_place(tmp_path, monkeypatch):
+    """A file that was there was removed and made anew, in a directory that all tasks wait for."""
+    texts = {"shorter": "ä", "longer": "new " * 9, "empty": "", "absent": "new"}
+    for name in ("shorter", "longer", "empty"):
+        (tmp_path / name).write_text("an older text")
+    before = {name: os.stat(tmp_path / name).st_ino for name in os.listdir(tmp_path)}
+    monkeypatch.setattr(os, "remove", lambda path: pytest.fail(f"removed {path}"))
+    rows = pa.RecordBatch.from_pydict({"uri": [f"file://{tmp_path}/{name}" for name in texts], "text": list(texts.values())})
+    assert [batch.to_pydict() for batch in inputs._write_files([rows])] == [{"files": [4]}]
+    assert {name: (tmp_path / name).read_bytes() for name in os.listdir(tmp_path)} == {n: t.encode() for n, t in texts.items()}
+    assert before == {name: os.stat(tmp_path / name).st_ino for name in before}

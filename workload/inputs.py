@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import treeferry as tf
 from treeferry.scratch import new_folder
 from treeferry.session import qualified
-from treeferry.storage import Stores, make_directories
+from treeferry.storage import LocalStore, Stores, make_directories
 
 SOURCE_ROOT = "hdfs://nn1:8020/lake/raw"
 DESTINATION_ROOT = "hdfs://nn2:8020/backup"
@@ -120,15 +120,19 @@ def write_links(links: DataFrame) -> None:
 
 
 def _write_files(batches):
-    """Write ``text`` to each ``uri``, whatever an earlier attempt left there."""
+    """Write ``text`` to each ``uri``, whatever is there. A file on a mount is written over in
+    place: its blocks are not freed, and the directory that all tasks share does not change."""
     stores = Stores()
     for batch in batches:
         for uri, text in zip(batch.column("uri").to_pylist(), batch.column("text").to_pylist()):
             store, path = stores.at(uri)
-            with store.open_fresh(path) as file:
+            in_place = isinstance(store, LocalStore)
+            with store.open_range(path, 0) if in_place else store.open_fresh(path) as file:
                 data = memoryview(text.encode("utf-8"))
                 while len(data):
                     data = data[file.write(data) :]
+                if in_place:
+                    file.truncate()
         yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
 
 
