@@ -5,6 +5,7 @@ import pytest
 
 import treeferry as tf
 from treeferry.sources import listing
+from treeferry.storage import escaped_name, plain_path
 
 
 def test_whole_tree_with_hidden_and_empty_entries(spark, roots):
@@ -133,6 +134,21 @@ def test_a_flat_directory_is_read_in_ranges(spark, tmp_path):
     assert len(read) >= 13 and max(shares) < 2 * 501
 
 
+def test_a_flat_directory_of_byte_names_is_read_in_ranges(spark, tmp_path):
+    """Names that are not UTF-8 gave no bounds, so one task read them all."""
+    names = [b"\xc3\xc3\xa4\x80_%d" % i for i in range(400)] + [b"\xff%d" % i for i in range(200)] + [b"\xef\xa3\xbeff", b"\xef\xa3\xbe", b"a", b"\xc3\xa4"]
+    for i, name in enumerate(names):
+        with open(os.fsencode(tmp_path) + b"/" + name, "wb") as file:
+            file.write(b"x" * (i % 7))
+    found = listing.walk_tree(spark, str(tmp_path), entries_per_range=100)
+    rows = [(os.fsencode(plain_path(r.uri.rpartition("/")[2])), r.len) for r in found.entries.where("depth = 1").collect()]
+    assert sorted(rows) == sorted((name, i % 7) for i, name in enumerate(names)) and found.failures == 0
+    ranges = found.rows.where("kind = 'pending' AND (low IS NOT NULL OR high IS NOT NULL)").select("low", "high").collect()
+    held = [escaped_name(os.fsdecode(name)) for name in names]
+    shares = [sum((r.low is None or n >= r.low) and (r.high is None or n < r.high) for n in held) for r in ranges]
+    assert len(ranges) >= 6 and max(shares) < 200
+
+
 def test_ranges_cover_everything_once():
     _ranges = listing._ranges
     names = [f"{i * 7919 % 10007}" for i in range(10007)]

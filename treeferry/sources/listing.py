@@ -29,9 +29,10 @@ ROUND_SECONDS = 20.0
 DIRECTORIES_PER_TASK = 1024
 ROWS_PER_BATCH = 10_000
 # A directory with more entries is read in ranges of names, of about as many each, by several
-# tasks; their bounds are taken from a sample of the names.
+# tasks; their bounds are taken from a sample of the names, with their bytes that are not UTF-8
+# marked, so that any names can be told apart.
 ENTRIES_PER_RANGE = 50_000
-SAMPLED_NAMES = 4096
+SAMPLED_NAMES = 1 << 14
 # A task reads a directory once for all ranges of it that the task has: so many names are sampled
 # then, and so many small ranges weigh as much as one of ``ENTRIES_PER_RANGE``, at most.
 SAMPLED_IN_RANGES = 1 << 16
@@ -60,10 +61,15 @@ def _ranges(names: Iterable[str], low: str | None, high: str | None, share: int)
     return _edges(sample, seen, low, high, share)
 
 
+def _is_text(name: str) -> bool:
+    return name.isascii() or not any("\ud800" <= c <= "\udfff" for c in name)
+
+
 def _edges(sample: Iterable[str], seen: int, low: str | None, high: str | None, share: int) -> list[tuple[str | None, str | None]]:
-    """``low`` to ``high`` cut into ranges of about ``share`` of ``seen`` names, by a sample."""
-    sample = sorted(name for name in sample if escaped_name(name) == name)
-    parts = max(2, -(-seen // share))
+    """``low`` to ``high`` cut into ranges of about ``share`` of ``seen`` names, by a sample. Names
+    and bounds are as a table holds them; a name that none can hold is no bound."""
+    sample = sorted(name for name in sample if _is_text(name))
+    parts = max(2, -(-seen * 5 // (share * 4)))  # some less, as a range that turns out too large takes a round more
     bounds = sorted({sample[len(sample) * k // parts] for k in range(1, parts)} - set(sample[:1])) if sample else []
     edges = [low, *bounds, high]
     return list(zip(edges, edges[1:]))
@@ -136,18 +142,18 @@ def _walk(
         try:
             store, path = stores.at(uri)
             if whole not in bounds:
-                read, parts = _split_ranges(store.names(path), bounds, share)
+                read, parts = _split_ranges(map(escaped_name, store.names(path)), bounds, share)
                 for bound in parts:
                     yield PENDING, uri, None, DIRECTORY, depth, None, *bound
                 if not read:
                     return
                 places = _Places(read)
-                entries = store.scan(path, lambda name: places.of(name) is not None)
+                entries = store.scan(path, lambda name: places.of(escaped_name(name)) is not None)
             else:
                 entries = store.scan(path)
                 if store.splits_directories:
                     few = list(islice(entries, share + 1))
-                    if len(few) > share and len(ranges := _ranges(store.names(path), None, None, share)) > 1:
+                    if len(few) > share and len(ranges := _ranges(map(escaped_name, store.names(path)), None, None, share)) > 1:
                         for bound in ranges:
                             yield PENDING, uri, None, DIRECTORY, depth, None, *bound
                         return

@@ -208,16 +208,16 @@ class ArrowStore:
 # the private range, so real names hardly have it; where one does, its bytes are marked too.
 MARK = "\uf8fe"
 _MARKED = re.compile(f"{MARK}([0-9a-f]{{2}})")
+# What stands for such bytes in the names that the system gives, and the mark itself.
+_HELD_OTHERWISE = re.compile(f"[\udc80-\udcff{MARK}]")
+_MARKS = {chr(0xDC00 + byte): f"{MARK}{byte:02x}" for byte in range(0x80, 0x100)}
+_MARKS[MARK] = "".join(f"{MARK}{byte:02x}" for byte in MARK.encode())
 
 
 def escaped_name(name: str) -> str:
     """A name as the system gives it, in a form that a table can hold: bytes that are not UTF-8
     are marked. ``plain_path`` gives the name back."""
-    if name.isascii():
-        return name
-    marked = lambda data: "".join(f"{MARK}{byte:02x}" for byte in data)
-    name = name.replace(MARK, marked(MARK.encode()))
-    return "".join(marked([ord(c) - 0xDC00]) if 0xDC80 <= ord(c) <= 0xDCFF else c for c in name)
+    return name if name.isascii() else _HELD_OTHERWISE.sub(lambda found: _MARKS[found[0]], name)
 
 
 def plain_path(path: str) -> str:
