@@ -90,3 +90,20 @@ def test_files_are_written_over_in_place(tmp_path, monkeypatch):
     assert [batch.to_pydict() for batch in inputs._write_files([rows])] == [{"files": [4]}]
     assert {name: (tmp_path / name).read_bytes() for name in os.listdir(tmp_path)} == {n: t.encode() for n, t in texts.items()}
     assert before == {name: os.stat(tmp_path / name).st_ino for name in before}
+
+
+def test_texts_move_only_where_cores_would_be_idle(spark, tmp_path, monkeypatch):
+    """All texts went through a shuffle before they were written."""
+    cores, spread = spark.sparkContext.defaultParallelism, []
+    uri = F.concat(F.lit(f"file://{tmp_path}/"), F.col("id").cast("string"))
+    rows = lambda tasks: spark.range(0, 40, 1, tasks).select(uri.alias("uri"), F.col("id").cast("string").alias("text"))
+    kind = type(rows(1))
+    repartition = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, count, *by: spread.append(count) or repartition(self, count, *by))
+    inputs.write_files(rows(cores))
+    assert spread == [] and len(os.listdir(tmp_path)) == 40
+    inputs.write_files(rows(cores).where("id < 0"))
+    inputs.write_files(rows(1))
+    inputs.write_files(rows(cores).where("id < 10"))  # all with the first task
+    assert spread == [cores, cores]
+    assert {name: (tmp_path / name).read_text() for name in os.listdir(tmp_path)} == {str(i): str(i) for i in range(40)}

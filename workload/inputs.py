@@ -18,6 +18,8 @@ SOURCE_ROOT = "hdfs://nn1:8020/lake/raw"
 DESTINATION_ROOT = "hdfs://nn2:8020/backup"
 # What a task reads at once of files, and how many it reads in all.
 READ_BYTES, READ_ROWS, FILES_PER_TASK = 4 << 20, 1024, 16_384
+# A task may have so many times a core's share of the rows before they are spread anew.
+MOST_OF_A_CORE = 1.5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,8 +99,18 @@ def new_root(spark: SparkSession, name: str) -> str:
 
 def write_files(files: DataFrame) -> None:
     """Make real files of ``uri, text``, in folders that exist."""
-    spread = files.select("uri", "text").repartition(files.sparkSession.sparkContext.defaultParallelism)
-    spread.mapInArrow(_write_files, "files bigint").agg(F.sum("files")).collect()
+    rows, cores = files.select("uri", "text"), files.sparkSession.sparkContext.defaultParallelism
+    # Texts are moved to other tasks only where those that read them would leave cores idle.
+    if _largest_share(rows) > MOST_OF_A_CORE / cores:
+        rows = rows.repartition(cores)
+    rows.mapInArrow(_write_files, "files bigint").agg(F.sum("files")).collect()
+
+
+def _largest_share(rows: DataFrame) -> float:
+    """The largest task's part of all rows, counted without their columns."""
+    tasks = rows.groupBy(F.spark_partition_id()).count()
+    largest, total = tasks.agg(F.max("count"), F.sum("count")).first()
+    return largest / total if total else 0.0
 
 
 def write_links(links: DataFrame) -> None:
