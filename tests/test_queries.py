@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+import treeferry as tf
 from workload import inputs
 from workload.check import compare
 from workload.oracles import ORACLES
@@ -60,6 +61,39 @@ def test_leftovers_are_longer_than_their_files_and_no_more(spark):
     assert over[0] > 0 and over[-1] <= 20
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the supplied tables")
+def test_copies_over_leftovers_have_one_place(spark, monkeypatch):
+    """Both copies and the leftovers beside each stood on disk together: four files a document."""
+    roots, before, new_root, copy_tree = [], [], inputs.new_root, tf.copy_tree
+    below = lambda root: [f"{folder}/{name}" for folder, _, names in os.walk(root.removeprefix("file://")) for name in names]
+    monkeypatch.setattr(inputs, "new_root", lambda spark, name: roots.append(new_root(spark, name)) or roots[-1])
+
+    def watched(spark, source, root, **options):
+        before.append({path: os.path.getsize(path) for path in below(root)})
+        return copy_tree(spark, source, root, **options)
+
+    monkeypatch.setattr(tf, "copy_tree", watched)
+    QUERIES["copy_over_leftovers"](spark, SF_DIR)
+    documents = inputs.table(spark, SF_DIR, "documents").count()
+    files = [path for root in roots if "-documents-" not in root for path in below(root)]
+    assert len(files) == 2 * documents
+    assert sum(os.path.basename(path).startswith("doc_") for path in files) == documents
+    # The second copy finds what the first one did: leftovers alone, at the same names and as long.
+    assert before[0] == before[1] and len(before[0]) == 2 * documents
+    assert not any(os.path.basename(path).startswith("doc_") for path in before[1])
+
+
+def test_moved_files_may_be_moved_before(spark, tmp_path):
+    """A task that is repeated finds what a lost attempt at it has moved."""
+    rows = spark.createDataFrame([(f"file://{tmp_path}/{name}", f"file://{tmp_path}/to_{name}") for name in "abc"], "uri string, target string")
+    for name in ("a", "b", "to_b", "to_c"):
+        (tmp_path / name).write_text(name)
+    inputs.move_files(rows)
+    assert {name: (tmp_path / name).read_text() for name in os.listdir(tmp_path)} == {"to_a": "a", "to_b": "b", "to_c": "to_c"}
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        inputs.move_files(rows.select("uri", F.concat("target", F.lit("_none")).alias("target")))
+
+
 def test_all_cores_write_links_and_read_files(spark, tmp_path, monkeypatch):
     """A table in one split was written by one task, and what one task had listed read by one."""
     ids = spark.range(0, 40, 1, 1)
