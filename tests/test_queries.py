@@ -83,6 +83,46 @@ def test_copies_over_leftovers_have_one_place(spark, monkeypatch):
     assert not any(os.path.basename(path).startswith("doc_") for path in before[1])
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the supplied tables")
+def test_names_to_be_excluded_take_no_blocks(spark, monkeypatch):
+    """Six files with a document's text stood on disk for two copies of it."""
+    roots, new_root = {}, inputs.new_root
+    monkeypatch.setattr(inputs, "new_root", lambda spark, name: roots.setdefault(name, new_root(spark, name)))
+    QUERIES["copy_tree_excluding"](spark, SF_DIR)
+    documents = inputs.table(spark, SF_DIR, "documents").count()
+    found = {
+        name: [os.stat(f"{folder}/{each}") for folder, _, names in os.walk(root.removeprefix("file://")) for each in names]
+        for name, root in roots.items()
+    }
+    assert len(found["marked"]) == 6 * documents and len({file.st_ino for file in found["marked"]}) == documents
+    assert len(found["unmarked"]) == 2 * documents and all(file.st_nlink == 1 for file in found["unmarked"])
+
+
+def test_files_under_several_names(spark, tmp_path, monkeypatch):
+    """Over what is there, over what an earlier attempt linked, and where nothing can be linked."""
+    texts = {"a": "ä" * 9, "b": "", "c": "new"}
+    wanted = {f"{name}{number}": text for name, text in texts.items() for number in range(3)}
+    rows = pa.RecordBatch.from_pydict({"uris": [[f"file://{tmp_path}/{name}{number}" for number in range(3)] for name in texts], "text": list(texts.values())})
+    for name in ("a0", "a2", "b1", "c0"):
+        (tmp_path / name).write_text("an older text, of another length")
+    read = lambda: {name: (tmp_path / name).read_text() for name in os.listdir(tmp_path)}
+    inodes = lambda: {name: os.stat(tmp_path / name).st_ino for name in wanted}
+    assert [batch.to_pydict() for batch in inputs._write_under_names([rows])] == [{"files": [3]}]
+    first = inodes()
+    assert read() == wanted and len(set(first.values())) == 3
+    list(inputs._write_under_names([rows]))
+    assert read() == wanted and inodes() == first
+    for name in ("a1", "b2"):
+        (tmp_path / name).unlink()
+
+    def no_links(*_):
+        raise PermissionError("no hard links here")
+
+    monkeypatch.setattr(os, "link", no_links)
+    list(inputs._write_under_names([rows]))
+    assert read() == wanted and len(set(inodes().values())) == 5
+
+
 def test_moved_files_may_be_moved_before(spark, tmp_path):
     """A task that is repeated finds what a lost attempt at it has moved."""
     rows = spark.createDataFrame([(f"file://{tmp_path}/{name}", f"file://{tmp_path}/to_{name}") for name in "abc"], "uri string, target string")
